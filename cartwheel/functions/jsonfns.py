@@ -23,10 +23,16 @@ def decode(df: DataFrame, fields, casts: dict | None = None, value_col: str = "v
     :func:`split_corrupt` to route those rows to a side output.
     """
     casts = casts or {}
-    parsed = df.select(*keep, F.from_json(F.col(value_col), string_schema(fields)).alias("_j"),
+    schema = string_schema(fields)
+    if mode == "failfast":
+        opts = {"mode": "FAILFAST"}
+    else:
+        schema = schema.add("_corrupt_record", T.StringType())
+        opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = df.select(*keep, F.from_json(F.col(value_col), schema, opts).alias("_j"),
                        F.col(value_col).alias("_raw"))
     cols = []
-    bad = F.col("_j").isNull()
+    bad = F.col("_j").isNull() | (F.col("_j")["_corrupt_record"].isNotNull() if mode != "failfast" else F.lit(False))
     for f in fields:
         raw = F.col("_j")[f]
         if f in casts:

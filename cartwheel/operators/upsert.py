@@ -18,9 +18,12 @@ from ..session import checkpoint_root
 from .dedup import pick_per_key
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The table at ``path`` or None.  With ``schema`` the partition columns
+    keep the given types (no inference of dates/numbers from folder names)."""
     try:
-        return spark.read.parquet(path)
+        r = spark.read.schema(schema) if schema is not None else spark.read
+        return r.parquet(path)
     except AnalysisException as e:  # PATH_NOT_FOUND / UNABLE_TO_INFER_SCHEMA on an empty dir
         msg = str(e)
         if "PATH_NOT_FOUND" in msg or "does not exist" in msg or "UNABLE_TO_INFER_SCHEMA" in msg:
@@ -49,7 +52,7 @@ def upsert(batch: DataFrame, path: str, keys, order_by, keep: str = "last",
     keys = [keys] if isinstance(keys, str) else list(keys)
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     checkpoint_root(spark)
-    existing = read_if_exists(spark, path)
+    existing = read_if_exists(spark, path, batch.schema)
     merged = batch
     if existing is not None:
         old = existing.select(*batch.columns)

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Later duplicate column names in a change-feed after-image win.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # partition folder values of keyed tables stay text (log_date, create_date, dt)
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 

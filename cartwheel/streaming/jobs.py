@@ -47,7 +47,7 @@ def dau_batch_writer(dau_path: str, seen_path: str | None = None):
         try:
             if rows.isEmpty():
                 return
-            seen = read_if_exists(spark, dau_path)
+            seen = read_if_exists(spark, dau_path, rows.schema)
             if seen is not None:
                 days = rows.select("log_date").distinct()
                 seen = seen.select(*DAU_KEYS).join(days, "log_date", "left_semi")
