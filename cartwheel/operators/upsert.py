@@ -60,7 +60,10 @@ def upsert(batch: DataFrame, path: str, keys, order_by, keep: str = "last",
             touched = batch.select(*parts).distinct()
             old = old.join(touched, parts, "left_semi")
         merged = old.unionByName(batch)
-    result = pick_per_key(merged, keys, order_by, keep).checkpoint(eager=True)
+    result = pick_per_key(merged, keys, order_by, keep)
+    if existing is not None:
+        # the write replaces files this plan reads: materialise it first
+        result = result.checkpoint(eager=True)
     if parts:
         # few files per partition; AQE still splits a skewed partition value
         result = result.hint("rebalance", *parts)

@@ -1,12 +1,14 @@
 """Sliding-window coupon alert.
 
 A sliding window of length W and slide S puts every row in W/S windows
-(5 min / 5 s = 60 copies).  Instead of copying rows, rows are first
-aggregated into S-wide panes per (device, pane, event id): counts plus the
-distinct coupon users and items.  Only pane rows are copied to their W/S
-windows and merged.  Pane and window aggregates are partial-aggregated on
-the map side, so a device holding a third of all rows is never gathered in
-one task before it is reduced.
+(5 min / 5 s = 60 copies).  Rows are never copied: they are first reduced
+to S-wide panes per device, and only pane rows are copied to their W/S
+windows.  Windows are qualified with plain hash aggregates (event counts,
+distinct coupon users by a distinct on (device, window, user)); member
+lists are gathered only for the windows that alert.  Every aggregate is
+partial-aggregated on the map side, so a device holding a third of all rows
+is reduced before any shuffle, and no set is built for windows that cannot
+alert.
 """
 
 from __future__ import annotations
@@ -33,75 +35,95 @@ def _ms_text(c):
     return F.date_format(F.timestamp_millis(c), "yyyy-MM-dd HH:mm:ss")
 
 
-def pane_aggregates(events: DataFrame, slide_ms: int) -> DataFrame:
-    """(mid, pane, evid) -> n, distinct coupon users ``u`` and items ``i``.
+def _pane(ts, slide_ms: int):
+    return (F.floor(F.col(ts) / slide_ms) * slide_ms).cast("long")
 
-    Users/items are wrapped in a struct so a null member still counts, as a
-    hash set would count it."""
-    coupon = F.col("evid") == EVID_COUPON
-    return (events
-            .select("mid", "uid", "evid", "itemid",
-                    (F.floor(F.col("ts") / slide_ms) * slide_ms).cast("long").alias("pane"))
-            .groupBy("mid", "pane", "evid")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.collect_set(F.when(coupon, F.struct(F.col("uid").alias("v")))).alias("u"),
-                 F.collect_set(F.when(coupon, F.struct(F.col("itemid").alias("v")))).alias("i")))
 
-
-def window_aggregates(panes: DataFrame, window_ms: int, slide_ms: int) -> DataFrame:
-    """Merge panes into every window that contains them -> one row per
-    (mid, window start): clicks, distinct coupon users/items, event counts."""
+def to_windows(df: DataFrame, window_ms: int, slide_ms: int, pane_col: str = "pane") -> DataFrame:
+    """Copy each pane row to every window containing it (``wstart`` column)."""
     if window_ms % slide_ms:
         raise ValueError("window length must be a multiple of the slide")
     copies = window_ms // slide_ms
-    per_evid = (panes
-                .select("mid", "evid", "n", "u", "i",
-                        F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_k"),
-                        "pane")
-                .select("mid", "evid", "n", "u", "i",
-                        (F.col("pane") - F.col("_k") * F.lit(slide_ms)).alias("wstart"))
-                .groupBy("mid", "wstart", "evid")
-                .agg(F.sum("n").alias("n"),
-                     F.array_distinct(F.flatten(F.collect_list("u"))).alias("u"),
-                     F.array_distinct(F.flatten(F.collect_list("i"))).alias("i")))
-    return (per_evid.groupBy("mid", "wstart")
-            .agg(F.sum(F.when(F.col("evid") == EVID_CLICK, F.col("n")).otherwise(0)).alias("clicks"),
-                 F.flatten(F.collect_list("u")).alias("u"),
-                 F.flatten(F.collect_list("i")).alias("i"),
-                 F.array_sort(F.collect_list(F.struct("evid", "n"))).alias("ev")))
-
-
-def _members(c):
-    return F.array_join(F.array_sort(F.transform(c, lambda s: s["v"])), ",", "null")
-
-
-def alert_rows(windows: DataFrame, window_ms: int, min_users: int) -> DataFrame:
-    """Keep windows with no click and at least ``min_users`` coupon users;
-    shape them as alert documents keyed by device + minute of emission (the
-    window end)."""
-    end = F.col("wstart") + F.lit(window_ms)
-    return (windows
-            .where((F.col("clicks") == 0) & (F.size("u") >= min_users))
-            .select(alert_id(F.col("mid"), end).alias("alert_id"),
-                    "mid",
-                    _ms_text(F.col("wstart")).alias("window_start"),
-                    _ms_text(end).alias("window_end"),
-                    F.size("u").cast("long").alias("n_uids"),
-                    _members(F.col("u")).alias("uids"),
-                    _members(F.col("i")).alias("item_ids"),
-                    F.array_join(F.transform("ev", lambda e: F.concat(e["evid"], F.lit(":"), e["n"].cast("string"))),
-                                 ",").alias("events"),
-                    end.cast("long").alias("ts")))
+    rest = [c for c in df.columns if c != pane_col]
+    return (df.select(*rest, pane_col, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_k"))
+              .select(*rest, (F.col(pane_col) - F.col("_k") * F.lit(slide_ms)).alias("wstart")))
+
+
+def pane_counts(events: DataFrame, slide_ms: int) -> DataFrame:
+    """(mid, pane, evid, n): event counts per pane."""
+    return (events.select("mid", "evid", _pane("ts", slide_ms).alias("pane"))
+                  .groupBy("mid", "pane", "evid").agg(F.count(F.lit(1)).alias("n")))
+
+
+def pane_members(events: DataFrame, col: str, slide_ms: int) -> DataFrame:
+    """(mid, pane, v): distinct values of ``col`` over coupon events per pane
+    (null is a member, as in a hash set)."""
+    return (events.where(F.col("evid") == EVID_COUPON)
+                  .select("mid", _pane("ts", slide_ms).alias("pane"), F.col(col).alias("v")).distinct())
+
+
+def qualifying_windows(counts: DataFrame, users: DataFrame, min_users: int) -> DataFrame:
+    """(mid, wstart, n_uids) of windows with no click and >= min_users coupon users."""
+    no_click = (counts.groupBy("mid", "wstart")
+                      .agg(F.sum(F.when(F.col("evid") == EVID_CLICK, F.col("n")).otherwise(0)).alias("clicks"))
+                      .where(F.col("clicks") == 0).select("mid", "wstart"))
+    n_users = (users.groupBy("mid", "wstart").agg(F.count(F.lit(1)).alias("n_uids"))
+                    .where(F.col("n_uids") >= min_users))
+    return n_users.join(no_click, ["mid", "wstart"], "left_semi")
+
+
+def _member_text(members: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """Sorted member list of the alerting windows only."""
+    # struct keeps null members through collect_list; array_sort puts them last
+    vals = F.array_sort(F.transform(F.collect_list(F.struct(F.col("v").alias("v"))), lambda s: s["v"]))
+    return (members.join(keys, ["mid", "wstart"], "left_semi")
+                   .groupBy("mid", "wstart").agg(F.array_join(vals, ",", "null").alias(name)))
+
+
+def alerts_from_panes(counts: DataFrame, users: DataFrame, items: DataFrame, window_ms: int, slide_ms: int,
+                      min_users: int, only_windows: DataFrame | None = None) -> DataFrame:
+    """Pane-level counts/members -> alert rows.  ``only_windows`` (mid,
+    wstart) restricts the work to windows touched by new panes (streaming)."""
+    def win(df):
+        w = to_windows(df, window_ms, slide_ms)
+        return w if only_windows is None else w.join(only_windows, ["mid", "wstart"], "left_semi")
+    wcounts = win(counts).groupBy("mid", "wstart", "evid").agg(F.sum("n").alias("n"))
+    wusers = win(users).distinct()
+    q = qualifying_windows(wcounts, wusers, min_users)
+    keys = q.select("mid", "wstart")
+    ev_text = (wcounts.join(keys, ["mid", "wstart"], "left_semi").groupBy("mid", "wstart")
+                      .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("evid", "n"))),
+                                                    lambda e: F.concat(e["evid"], F.lit(":"), e["n"].cast("string"))),
+                                        ",").alias("events")))
+    uids = _member_text(wusers, keys, "uids")
+    item_ids = _member_text(win(items).distinct(), keys, "item_ids")
+    on = ["mid", "wstart"]
+    return alert_rows(q.join(uids, on).join(item_ids, on).join(ev_text, on), window_ms)
 
 
 def coupon_alerts(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
                   min_users: int = ALERT_MIN_USERS) -> DataFrame:
     """Alert per (device, window): >= ``min_users`` distinct users claimed a
     coupon and nobody clicked an item.  ``events`` needs mid, uid, evid,
-    itemid, ts (epoch ms).  ``events`` is the event-id multiset of the window
-    as ``evid:count`` pairs in evid order (the sorted list, run-length coded)."""
-    w, s = interval_ms(window), interval_ms(slide)
-    return alert_rows(window_aggregates(pane_aggregates(events, s), w, s), w, min_users)
+    itemid, ts (epoch ms).  ``events`` of the output is the event-id multiset
+    of the window as ``evid:count`` pairs in evid order (the sorted list,
+    run-length coded, so its size is bounded by the number of event ids)."""
+    w_ms, s_ms = interval_ms(window), interval_ms(slide)
+    ev = events.select("mid", "uid", "evid", "itemid", "ts")
+    return alerts_from_panes(pane_counts(ev, s_ms), pane_members(ev, "uid", s_ms),
+                             pane_members(ev, "itemid", s_ms), w_ms, s_ms, min_users)
+
+
+def alert_rows(w: DataFrame, window_ms: int) -> DataFrame:
+    """Alert documents keyed by device + minute of emission (the window end)."""
+    end = F.col("wstart") + F.lit(window_ms)
+    return w.select(alert_id(F.col("mid"), end).alias("alert_id"),
+                    "mid",
+                    _ms_text(F.col("wstart")).alias("window_start"),
+                    _ms_text(end).alias("window_end"),
+                    F.col("n_uids").cast("long").alias("n_uids"),
+                    "uids", "item_ids", "events",
+                    end.cast("long").alias("ts"))
 
 
 def alerts_per_minute(alerts: DataFrame) -> DataFrame:

@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..constants import ALERT_MIN_USERS, ALERT_SLIDE, ALERT_WINDOW, JOIN_LATE_BOUND, TRIGGER_INTERVAL
-from ..functions.timefns import with_log_date_hour
+from ..constants import (ALERT_MIN_USERS, ALERT_SLIDE, ALERT_WINDOW, EVID_COUPON, JOIN_LATE_BOUND,
+                         TRIGGER_INTERVAL)
+from ..functions.timefns import day_number, with_log_date_hour
 from ..operators.cdc import route_changes
 from ..operators.dedup import latest_per_key
 from ..operators.joins import interval_join
 from ..operators.upsert import append_distinct, read_if_exists, upsert
-from ..operators.windows import alert_rows, interval_ms, pane_aggregates, window_aggregates
+from ..operators.windows import alerts_from_panes, interval_ms, to_windows
 from ..plans.dau import DAU_KEYS, DAU_ORDER, daily_active_new, daily_active
 from ..plans.orders import ORDER_COLUMNS, merge_sale_detail, with_user
 from ..plans.users import USER_COLUMNS
@@ -120,11 +121,15 @@ def sale_detail_stream(orders: DataFrame, details: DataFrame, bound: str = JOIN_
 
 
 def start_sale_detail(sale: DataFrame, out_path: str, checkpoint: str, users_path: str | None = None,
-                      as_of=None, keys=("order_detail_id",), partition_by: str = "dt",
+                      as_of=None, keys=("order_detail_id",), partition: str = "processing_day",
                       trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
     """Enrich each micro-batch with the user table as it is now (re-read per
-    batch, so updates are seen), then upsert documents keyed by ``keys``
-    into ``partition_by`` partitions (event day)."""
+    batch, so updates are seen), then upsert documents keyed by ``keys``.
+
+    ``partition='processing_day'`` (default) writes each batch into the daily
+    index of the write day (``day`` = days since epoch of the current date),
+    so a micro-batch touches one partition; ``partition='event_day'`` uses
+    the order's create date (``dt``) instead."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         users = read_if_exists(spark, users_path) if users_path else None
@@ -132,7 +137,12 @@ def start_sale_detail(sale: DataFrame, out_path: str, checkpoint: str, users_pat
             users = spark.createDataFrame([], "id string, login_name string, user_level string, "
                                               "birthday string, gender string")
         docs = with_user(batch, users, as_of)
-        upsert(docs, out_path, list(keys), ["sku_price", "create_time"], keep="last", partition_by=partition_by)
+        if partition == "processing_day":
+            docs = docs.withColumn("day", F.unix_date(F.current_date()).cast("long"))
+            part_col = "day"
+        else:
+            part_col = "dt"
+        upsert(docs, out_path, list(keys), ["sku_price", "create_time"], keep="last", partition_by=part_col)
     return _writer(sale, "sale_detail", checkpoint, trigger, available_now).foreachBatch(write).start()
 
 
@@ -142,42 +152,44 @@ def start_coupon_alerts(events: DataFrame, panes_path: str, alerts_path: str, ch
                         window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
                         min_users: int = ALERT_MIN_USERS, lateness: str = "1 minute",
                         trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
-    """Pane aggregates are kept as streaming state (update mode, bounded by
-    the watermark); each micro-batch upserts the changed panes into a pane
-    table, recomputes only the windows those panes touch and upserts their
+    """Pane aggregates (per device, slide-wide pane, event id: count and the
+    distinct coupon users/items of the pane) are streaming state in update
+    mode, evicted by the watermark.  Each micro-batch upserts the changed
+    panes into a pane table partitioned by day, recomputes only the windows
+    those panes touch (reading only the touched days) and upserts their
     alerts (id = device + minute, last write wins)."""
     w_ms, s_ms = interval_ms(window), interval_ms(slide)
+    coupon = F.col("evid") == EVID_COUPON
     ev = (events.select("mid", "uid", "evid", "itemid", "ts")
                 .withColumn("event_ts", F.timestamp_millis("ts"))
                 .withWatermark("event_ts", lateness))
-    # a tumbling window of the slide width keys the pane state so the watermark can evict it
     panes = (ev.groupBy("mid", F.window("event_ts", slide).alias("pw"), "evid")
                .agg(F.count(F.lit(1)).alias("n"),
-                    F.collect_set(F.when(F.col("evid") == "coupon", F.struct(F.col("uid").alias("v")))).alias("u"),
-                    F.collect_set(F.when(F.col("evid") == "coupon", F.struct(F.col("itemid").alias("v")))).alias("i"))
+                    F.collect_set(F.when(coupon, F.struct(F.col("uid").alias("v")))).alias("u"),
+                    F.collect_set(F.when(coupon, F.struct(F.col("itemid").alias("v")))).alias("i"))
                .select("mid", F.unix_millis(F.col("pw.start")).alias("pane"), "evid", "n", "u", "i"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        changed = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        changed = (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+                        .withColumn("pday", day_number(F.col("pane"))))
         changed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if changed.isEmpty():
                 return
-            upsert(changed, panes_path, ["mid", "pane", "evid"], ["batch_id", "n"], keep="last")
-            copies = w_ms // s_ms
-            touched = (changed.select("mid", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("k"), "pane")
-                              .select("mid", (F.col("pane") - F.col("k") * F.lit(s_ms)).alias("wstart"))
-                              .distinct())
-            # panes that can fall into a touched window: pane in [wstart, wstart + W)
-            pane_keys = (touched.select("mid", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("k"),
-                                        "wstart")
-                                .select("mid", (F.col("wstart") + F.col("k") * F.lit(s_ms)).alias("pane"))
-                                .distinct())
-            all_panes = spark.read.parquet(panes_path).join(pane_keys, ["mid", "pane"], "left_semi")
-            wins = window_aggregates(all_panes.select("mid", "pane", "evid", "n", "u", "i"), w_ms, s_ms)
-            wins = wins.join(touched, ["mid", "wstart"], "left_semi")
-            alerts = alert_rows(wins, w_ms, min_users)
+            upsert(changed, panes_path, ["mid", "pane", "evid"], ["batch_id", "n"], keep="last",
+                   partition_by="pday")
+            touched = to_windows(changed.select("mid", "pane"), w_ms, s_ms).distinct()
+            # a window [wstart, wstart + W) reads panes of its own and the next day at most
+            days = (touched.select(day_number(F.col("wstart")).alias("d0"),
+                                   day_number(F.col("wstart") + F.lit(w_ms - 1)).alias("d1"))
+                           .select(F.explode(F.sequence("d0", "d1")).alias("pday")).distinct())
+            stored = read_if_exists(spark, panes_path, changed.schema).join(days, "pday", "left_semi")
+            counts = stored.select("mid", "pane", "evid", "n")
+            members = stored.where(F.col("evid") == EVID_COUPON)
+            users = members.select("mid", "pane", F.explode("u").alias("m")).select("mid", "pane", F.col("m.v").alias("v"))
+            items = members.select("mid", "pane", F.explode("i").alias("m")).select("mid", "pane", F.col("m.v").alias("v"))
+            alerts = alerts_from_panes(counts, users, items, w_ms, s_ms, min_users, only_windows=touched)
             upsert(alerts, alerts_path, "alert_id", ["ts", "window_start"], keep="last")
         finally:
             changed.unpersist()
