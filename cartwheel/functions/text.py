@@ -18,7 +18,8 @@ def tokens(text) -> Column:
     """Lower-cased tokens: split on runs of non letters/digits; each CJK
     character is its own token; empty tokens dropped.  Works on whole texts."""
     spaced = F.regexp_replace(F.lower(_c(text)), _CJK, " $1 ")
-    return F.filter(F.split(spaced, _SEP), lambda t: t != F.lit(""))
+    # array_remove is a native (codegen) expression; a lambda filter would be interpreted per token
+    return F.array_remove(F.split(spaced, _SEP), "")
 
 
 def analyse(text: str) -> list[str]:

@@ -77,27 +77,36 @@ def bm25(docs: DataFrame, id_col: str, text_col: str, query: str, k1: float = 1.
 
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)); tf part
     tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl)).
-    Only query-token occurrences are exploded; document length is the token
-    count.  Corpus statistics are one row (broadcast is size-bounded).
+
+    Whole texts are tokenised once into (doc, length, tf of each query
+    token); tf = ``size(tokens) - size(array_remove(tokens, term))`` (native
+    expressions, no explode of token lists).  That narrow projection sits
+    behind one exchange which both consumers share (exchange reuse): the
+    one-row corpus statistics (N, avgdl, df per query token) and the
+    per-document scoring, which is then plain column arithmetic against the
+    broadcast statistics row.
     """
     q = sorted(set(analyse(query)))
     if not q:
         return docs.sparkSession.createDataFrame([], f"{id_col} long, score double")
-    qa = F.array(*[F.lit(t) for t in q])
-    toks = docs.select(F.col(id_col), tokens(text_col).alias("_t"))
-    toks = toks.select(id_col, F.size("_t").alias("dl"),
-                       F.filter("_t", lambda t: F.array_contains(qa, t)).alias("_q"))
-    stats = toks.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
-    occ = (toks.where(F.size("_q") > 0)
-               .select(id_col, "dl", F.explode("_q").alias("term"))
-               .groupBy(id_col, "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
-    dfreq = occ.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    scored = (occ.join(F.broadcast(dfreq), "term")          # at most len(query) rows
-                 .crossJoin(F.broadcast(stats))            # exactly one row
-                 .withColumn("idf", F.log(F.lit(1.0) + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-                 .withColumn("part", F.col("idf") * F.col("tf") * (k1 + 1)
-                             / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))))
-                 .groupBy(id_col).agg(F.sum("part").alias("score")))
+    # the one-element explode is a projection barrier: the token list is computed
+    # once per document instead of being inlined into every expression using it
+    toks = docs.select(F.col(id_col), F.explode(F.array(tokens(text_col))).alias("_t"))
+    tf_cols = [(F.size("_t") - F.size(F.array_remove("_t", t))).alias(f"_tf{i}") for i, t in enumerate(q)]
+    per_doc = toks.select(id_col, F.size("_t").alias("dl"), *tf_cols).repartition(id_col)
+    stats = per_doc.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"),
+                        *[F.count(F.when(F.col(f"_tf{i}") > 0, 1)).alias(f"_df{i}") for i in range(len(q))])
+    hit = F.lit(False)
+    score = F.lit(0.0)
+    norm = k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
+    for i in range(len(q)):
+        tf, dfq = F.col(f"_tf{i}"), F.col(f"_df{i}")
+        idf = F.log(F.lit(1.0) + (F.col("n_docs") - dfq + 0.5) / (dfq + 0.5))
+        score = score + F.when(tf > 0, idf * tf * (k1 + 1) / (tf + norm)).otherwise(F.lit(0.0))
+        hit = hit | (tf > 0)
+    scored = (per_doc.where(hit)
+                     .crossJoin(F.broadcast(stats))      # exactly one row
+                     .select(id_col, score.alias("score")))
     if top_k:
         scored = scored.orderBy(F.desc("score"), F.asc(id_col)).limit(top_k)
     return scored
