@@ -73,8 +73,10 @@ def test_decode_failfast_and_permissive(spark):
     ok, bad = jsonfns.split_corrupt(dec)
     assert [(r.mid, r.ts) for r in ok.collect()] == [("m1", 1704067200000)]
     assert sorted(r._raw for r in bad.collect()) == sorted([bad_num, bad_json])
-    with pytest.raises(PySparkException):
-        jsonfns.decode(df.limit(2), STARTUP_FIELDS, STARTUP_CASTS).collect()
+    for bad_row in (bad_num, bad_json):     # fail-fast: both a bad number and bad JSON raise
+        one = spark.createDataFrame([(bad_row,)], "value string")
+        with pytest.raises(Exception):
+            jsonfns.decode(one, STARTUP_FIELDS, STARTUP_CASTS).collect()
 
 
 def test_quoted_numbers_are_coerced(spark):
@@ -87,3 +89,19 @@ def test_after_image_json_duplicates_and_nulls(spark):
     df = spark.createDataFrame([([("id", "1"), ("name", None), ("id", "2")],)],
                                "after array<struct<name:string,value:string>>")
     assert df.select(jsonfns.after_image_json("after").alias("j")).first().j == '{"id":"2","name":null}'
+
+
+def test_regex_match_equals_token_match(spark):
+    texts = ["que", "Que,la", "quela", "laque que", "x que羽la", "羽que", "quea", "aque", "QUE!", "la-1que",
+             "ñque", "queñ", "que1", "1que", "", None, "  la  ", "lá", "que\nla", "毛球", "球"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    for q, op in [("que la", "or"), ("que la", "and"), ("球", "or"), ("que 球", "and"), ("que 1", "or")]:
+        qa = F.array(*[F.lit(x) for x in text.analyse(q)])
+        ref = F.arrays_overlap(text.tokens("t"), qa) if op == "or" else \
+            F.size(F.array_except(qa, text.tokens("t"))) == 0
+        rows = df.select("id", text.match("t", q, op).alias("m"), ref.alias("r")).collect()
+        assert [bool(r.m) for r in rows] == [bool(r.r) for r in rows], (q, op)
+    for v in ["que", "Que", "q-e", "羽", "羽毛"]:
+        ref = F.array_contains(text.tokens("t"), F.lit(v))
+        rows = df.select(text.term("t", v).alias("m"), ref.alias("r")).collect()
+        assert [bool(r.m) for r in rows] == [bool(r.r) for r in rows], v
