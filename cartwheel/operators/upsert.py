@@ -38,6 +38,35 @@ def fill_missing_ids(df: DataFrame, id_col: str) -> DataFrame:
     return df.withColumn(id_col, F.coalesce(F.col(id_col), F.concat(F.lit("auto-"), content)))
 
 
+def split_rejected(df: DataFrame, keys) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key columns are all set, rejected rows with a reason).
+    Rejected rows are returned as data for a side output, never just logged."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    ok = df.where(~missing)
+    bad = df.where(missing).withColumn("_reason", F.lit("missing key: " + ",".join(keys)))
+    return ok, bad
+
+
+def touched_partitions(batch: DataFrame, parts) -> "F.Column":
+    """Static partition filter for the partitions a batch touches.
+
+    Only the distinct partition values travel to the driver (a few days per
+    micro-batch; at most the number of partitions), which turns the read of
+    the stored table into a pruned scan (``PartitionFilters``) instead of a
+    full scan followed by a join."""
+    cond = F.lit(True)
+    for p in parts:
+        vals = [r[0] for r in batch.select(p).distinct().collect()]
+        c = F.col(p).isin([v for v in vals if v is not None])
+        if any(v is None for v in vals):
+            c = c | F.col(p).isNull()
+        cond = cond & c
+    return cond
+
+
 def upsert(batch: DataFrame, path: str, keys, order_by, keep: str = "last",
            partition_by=None) -> None:
     """Merge ``batch`` into the Parquet table at ``path``.
@@ -52,13 +81,20 @@ def upsert(batch: DataFrame, path: str, keys, order_by, keep: str = "last",
     keys = [keys] if isinstance(keys, str) else list(keys)
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     checkpoint_root(spark)
-    existing = read_if_exists(spark, path, batch.schema)
+    existing = read_if_exists(spark, path)
     merged = batch
     if existing is not None:
-        old = existing.select(*batch.columns)
+        # stored types win for data columns; partition folder values take the batch's types
+        stored = {f.name: f.dataType for f in existing.schema.fields}
+        btypes = {f.name: f.dataType for f in batch.schema.fields}
+        batch = batch.select(*[F.col(c).cast(stored[c]).alias(c) if c in stored and c not in parts
+                               and stored[c] != btypes[c] else F.col(c) for c in batch.columns])
+        old = existing.select(*[F.col(c).cast(btypes[c]).alias(c) if c in parts and stored.get(c) != btypes[c]
+                                else F.col(c) for c in batch.columns])
         if parts:
-            touched = batch.select(*parts).distinct()
-            old = old.join(touched, parts, "left_semi")
+            old = old.where(touched_partitions(batch, parts))
+            if len(parts) > 1:
+                old = old.join(batch.select(*parts).distinct(), parts, "left_semi")
         merged = old.unionByName(batch)
     result = pick_per_key(merged, keys, order_by, keep)
     if existing is not None:

@@ -120,6 +120,14 @@ UNION ALL
 SELECT 'order_amount', '新增交易额', round(CAST(sum(total_amount) AS DOUBLE), 2) FROM order_info WHERE create_date = '{date}'"""
 
 
+def _realtime_hours_json(date: str) -> str:
+    return _realtime_hours(date, False).replace("SELECT CASE WHEN log_date", ", t AS (SELECT CASE WHEN log_date", 1) \
+        .replace("GROUP BY 1, 2", "GROUP BY 1, 2)", 1).replace("WITH ", "WITH ", 1) + r"""
+, m AS (SELECT series, map_from_entries(list({'k': hour, 'v': value} ORDER BY hour)) AS m FROM t GROUP BY series)
+SELECT CAST(to_json({'yesterday': coalesce((SELECT m FROM m WHERE series = 'yesterday'), MAP {}),
+                     'today': coalesce((SELECT m FROM m WHERE series = 'today'), MAP {})}) AS VARCHAR) AS json"""
+
+
 def _realtime_hours(date: str, gmv: bool) -> str:
     y = _prev(date)
     if gmv:
@@ -174,9 +182,9 @@ SALE_HITS = rf"""hits AS (SELECT * FROM sale_user WHERE dt = '{R.SALE_DATE}'
   AND list_has_any({TOKENS.replace("lower(text)", "lower(sku_name)")}, ['plate', 'ring']))"""
 
 
-def _facet(key_expr: str) -> str:
+def _facet(key_expr: str, src: str = "sale_user") -> str:
     return rf"""SELECT name, value, round(CAST(100.0 * value / sum(value) OVER () AS DOUBLE), 2) AS share
-FROM (SELECT {key_expr} AS name, count(*) AS value FROM sale_user GROUP BY 1)"""
+FROM (SELECT {key_expr} AS name, count(*) AS value FROM {src} GROUP BY 1)"""
 
 
 GENDER_KEY = "CASE user_gender WHEN 'M' THEN '女' WHEN 'F' THEN '男' ELSE user_gender END"
@@ -260,6 +268,7 @@ UNION ALL SELECT 'after_state_filter', count(*) FILTER (WHERE has_late AND NOT h
         "realtime_total_orders_day": _realtime_total(g),
         "realtime_hours": _realtime_hours(d, False),
         "realtime_hours_gmv": _realtime_hours(g, True),
+        "realtime_hours_json": _realtime_hours_json(d),
         "decode_startup_json": w(STARTUP) + f"SELECT {STARTUP_COLS} FROM startup_log",
         "json_roundtrip": w(ORDER_INFO) +
             "SELECT id, user_id, order_status, total_amount, create_time, create_date, create_hour FROM order_info",
@@ -313,6 +322,9 @@ FROM occ JOIN dfq USING (term) CROSS JOIN st GROUP BY doc_id""",
         "sale_search_page": w(ORDER_INFO, ORDER_DETAIL, USER_INFO, SALE_ALL, SALE_USER, SALE_HITS) + f"""
 SELECT * FROM hits ORDER BY order_detail_id, order_id, sku_id, sku_price
 LIMIT {R.SALE_SIZE} OFFSET {R.SALE_FROM}""",
+        "sale_search_facets": w(ORDER_INFO, ORDER_DETAIL, USER_INFO, SALE_ALL, SALE_USER, SALE_HITS) +
+            "SELECT 'age' AS facet, * FROM (" + _facet(AGE_KEY, "hits") + ")\nUNION ALL\n"
+            "SELECT 'gender' AS facet, * FROM (" + _facet(GENDER_KEY, "hits") + ")",
         "sale_search_total": w(ORDER_INFO, ORDER_DETAIL, USER_INFO, SALE_ALL, SALE_USER, SALE_HITS) +
             "SELECT count(*) AS total FROM hits",
         "province_sales": w(PROVINCE) + "SELECT * FROM ps",

@@ -283,6 +283,12 @@ def q_sale_search_total(spark, sf):
     return _sale_search(spark, sf)["total"]
 
 
+def q_sale_search_facets(spark, sf):
+    r = _sale_search(spark, sf)
+    return (r["age"].select(F.lit("age").alias("facet"), "*")
+            .unionByName(r["gender"].select(F.lit("gender").alias("facet"), "*")))
+
+
 def _province_sales(spark, sf):
     return analysis.province_sales(
         read_table(spark, sf, "orders", ["o_custkey", "o_totalprice"]),
@@ -352,6 +358,7 @@ _BATCH = {
     "facet_age_band": q_facet_age_band,
     "sale_search_page": q_sale_search_page,
     "sale_search_total": q_sale_search_total,
+    "sale_search_facets": q_sale_search_facets,
     "province_sales": q_province_sales,
     "province_topk": q_province_topk,
     "province_sales_bins": q_province_sales_bins,

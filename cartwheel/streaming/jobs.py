@@ -216,7 +216,13 @@ def start_change_router(cdc: DataFrame, out_path: str, checkpoint: str, routes=N
     return w.start()
 
 
-def console_preview(df: DataFrame, name: str, num_rows: int = 10) -> StreamingQuery:
+def console_preview(df: DataFrame, name: str, num_rows: int = 10, checkpoint: str | None = None,
+                    available_now: bool = False) -> StreamingQuery:
     """First rows of each micro-batch on the console."""
-    return (df.writeStream.queryName(name).format("console").option("numRows", num_rows)
-              .option("truncate", "false").outputMode("append").start())
+    w = (df.writeStream.queryName(name).format("console").option("numRows", num_rows)
+           .option("truncate", "false").outputMode("append"))
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()

@@ -59,3 +59,18 @@ def test_no_python_udfs_in_registered_batch_queries(spark):
 def test_dedup_uses_partial_aggregation(spark):
     p = plan(dau.daily_active(fx.startup_log(spark, SF_SMALL)))
     assert "partial_min_by" in p   # map-side reduction before the shuffle (skew-safe)
+
+
+def test_upsert_reads_only_touched_partitions(spark, tmpdir_spark):
+    from pyspark.sql import functions as F
+    from cartwheel.operators.upsert import touched_partitions
+    path = f"{tmpdir_spark}/t"
+    base = spark.range(0, 2000).select(F.col("id").cast("string").alias("id"),
+                                       (F.col("id") % 20).cast("string").alias("day"), F.col("id").alias("v"))
+    upsert(base, path, "id", ["v"], "last", "day")
+    batch = spark.createDataFrame([("5", "5", 99)], "id string, day string, v long")
+    p = plan(spark.read.parquet(path).where(touched_partitions(batch, ["day"])))
+    assert "PartitionFilters: [" in p and "IN (5)" in p
+    upsert(batch, path, "id", ["v"], "last", "day")
+    t = spark.read.parquet(path)
+    assert t.count() == 2000 and t.where("id = '5'").first().v == 99

@@ -109,3 +109,27 @@ def test_json_topic_source_and_router(spark, tmpdir_spark):
     jobs.start_change_router(cdc_stream, topics, f"{tmpdir_spark}/ck_cdc", available_now=True).awaitTermination()
     got = spark.read.json(topics).groupBy("topic").count().collect()
     assert {r.topic for r in got} == {"order", "order_detail", "user_info"}
+
+
+def test_single_document_insert_and_rejected_rows(spark, tmpdir_spark):
+    from cartwheel.operators.upsert import split_rejected
+    p = f"{tmpdir_spark}/docs"
+    doc = spark.createDataFrame([("1001", "Movie A", 1)], "id string, movie_name string, v long")
+    upsert(doc, p, "id", ["v"])                                   # one document with an explicit id
+    upsert(doc.selectExpr("id", "'Movie B' AS movie_name", "2 AS v"), p, "id", ["v"])   # same id replaces
+    assert [(r.id, r.movie_name) for r in spark.read.parquet(p).collect()] == [("1001", "Movie B")]
+    rows = spark.createDataFrame([("a", "x"), (None, "y")], "mid string, day string")
+    ok, bad = split_rejected(rows, ["mid", "day"])
+    assert ok.count() == 1 and bad.first()._reason == "missing key: mid,day"
+
+
+def test_console_preview_and_observed_counts(spark, tmpdir_spark):
+    from cartwheel.operators.metrics import observe_count, observe_stream_count
+    src = TopicSource("parquet", path=SF_SMALL, glob="region.parquet").stream(spark)
+    q = jobs.console_preview(observe_stream_count(src, "regions"), "preview_" + uuid.uuid4().hex[:6],
+                             checkpoint=f"{tmpdir_spark}/ck", available_now=True)
+    q.awaitTermination()
+    assert q.lastProgress["observedMetrics"]["regions"]["regions"] == 5
+    df, obs = observe_count(spark.read.parquet(f"{SF_SMALL}/nation.parquet"), "nations")
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["nations"] == 25
