@@ -42,7 +42,8 @@ def new_devices_on(dau: DataFrame, date: str) -> DataFrame:
     Only devices active on ``date`` can qualify, so the history scan is a
     semi-join on those devices."""
     today = dau.where(F.col("log_date") == date).select("mid")
-    earlier = dau.where(F.col("log_date") < date).select("mid")
+    # distinct first: the partial aggregate shuffles devices, not device-days
+    earlier = dau.where(F.col("log_date") < date).select("mid").distinct()
     return (today.join(earlier, "mid", "left_anti")
                  .agg(F.count(F.lit(1)).alias("new_mid")))
 

@@ -65,7 +65,7 @@ SALE_USER = r"""sale_user AS (
   SELECT s.order_detail_id, s.order_id, s.order_status, s.create_time,
          CASE WHEN u.id IS NOT NULL THEN u.id ELSE s.user_id END AS user_id, s.sku_id,
          u.gender AS user_gender,
-         CASE WHEN u.id IS NOT NULL THEN {age} ELSE 0 END AS user_age,
+         coalesce(CASE WHEN u.id IS NOT NULL THEN {age} END, 0) AS user_age,
          u.user_level, coalesce(s.sku_price, 0.0) AS sku_price, s.sku_name, s.dt
   FROM sale s LEFT JOIN user_info u ON s.user_id = u.id)""".replace("{age}", age_sql("u.birthday"))
 

@@ -74,7 +74,8 @@ def sale_detail_all(order_info: DataFrame, order_detail: DataFrame, strict_price
 def with_user(sale: DataFrame, users: DataFrame, as_of=None) -> DataFrame:
     """Left lookup of the user dimension; a found user sets user_id, gender,
     level and age (whole 365-day years); a missing user leaves gender/level
-    null and age 0.  No broadcast hint: the user table grows with the data."""
+    null and age 0 (so does a user without birthday).  No broadcast hint:
+    the user table grows with the data; AQE splits a hot user's partition."""
     u = users.select(F.col("id").alias("u_id"), F.col("gender").alias("u_gender"),
                      F.col("user_level").alias("u_level"), F.col("birthday").alias("u_birthday"))
     j = sale.join(u, sale["user_id"] == u["u_id"], "left")
@@ -84,7 +85,7 @@ def with_user(sale: DataFrame, users: DataFrame, as_of=None) -> DataFrame:
         F.when(found, F.col("u_id")).otherwise(F.col("user_id")).alias("user_id"),
         "sku_id",
         F.col("u_gender").alias("user_gender"),
-        F.when(found, age_years("u_birthday", as_of)).otherwise(F.lit(0)).alias("user_age"),
+        F.coalesce(F.when(found, age_years("u_birthday", as_of)), F.lit(0)).alias("user_age"),
         F.col("u_level").alias("user_level"),
         F.coalesce(F.col("sku_price"), F.lit(0.0)).alias("sku_price"),
         "sku_name", "dt",

@@ -64,7 +64,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store): streaming "
+                               "checkpoints, keyed tables and lineage cuts must survive executor loss")
+        d = tempfile.mkdtemp(prefix="cartwheel-ckpt-")   # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)

@@ -132,7 +132,7 @@ s AS (SELECT d.id AS order_detail_id, o.id AS order_id, o.order_status, o.create
        AND d.event_ts BETWEEN o.event_ts - INTERVAL 10 DAY AND o.event_ts + INTERVAL 10 DAY)
 SELECT s.order_detail_id, s.order_id, s.order_status, s.create_time,
        CASE WHEN u.id IS NOT NULL THEN u.id ELSE s.user_id END AS user_id, s.sku_id, u.gender AS user_gender,
-       CASE WHEN u.id IS NOT NULL THEN """ + O.age_sql("u.birthday") + """ ELSE 0 END AS user_age,
+       coalesce(CASE WHEN u.id IS NOT NULL THEN """ + O.age_sql("u.birthday") + """ END, 0) AS user_age,
        u.user_level, coalesce(s.sku_price, 0.0) AS sku_price, s.sku_name, s.dt
 FROM s LEFT JOIN ul u ON s.user_id = u.id"""
     return {

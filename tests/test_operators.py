@@ -166,16 +166,18 @@ def test_interval_join_late_matrix(spark):
 
 
 def test_sale_detail_user_defaults(spark):
-    sale = spark.createDataFrame([("d1", "o1", "1", "u1", "2.5"), ("d2", "o2", "1", "u404", "1.0")],
+    sale = spark.createDataFrame([("d1", "o1", "1", "u1", "2.5"), ("d2", "o2", "1", "u404", "1.0"),
+                                  ("d3", "o3", "1", "u2", "3.0")],
                                  "d_id string, i_id string, i_status string, i_user_id string, d_price string")
     sale = sale.select("*", F.lit("2024-01-01 01:00:00").alias("i_create_time"), F.lit("s").alias("d_sku_id"),
                        F.lit("n").alias("d_sku_name"), F.lit("2024-01-01").alias("i_dt"))
     merged = orders.merge_sale_detail(sale)
-    u = spark.createDataFrame([("u1", "l", "gold", "2000-01-01", "F")], "id string, login_name string, "
-                              "user_level string, birthday string, gender string")
+    u = spark.createDataFrame([("u1", "l", "gold", "2000-01-01", "F"), ("u2", "m", "silver", None, "M")],
+                              "id string, login_name string, user_level string, birthday string, gender string")
     got = {r.order_detail_id: r for r in orders.with_user(merged, u, "2024-01-01 00:00:00").collect()}
     assert (got["d1"].user_age, got["d1"].user_gender, got["d1"].user_level, got["d1"].sku_price) == (24, "F", "gold", 2.5)
     assert (got["d2"].user_age, got["d2"].user_gender, got["d2"].user_level, got["d2"].user_id) == (0, None, None, "u404")
+    assert (got["d3"].user_age, got["d3"].user_gender, got["d3"].user_level) == (0, "M", "silver")  # no birthday
 
 
 def test_bad_price_strict_and_lenient(spark):
