@@ -133,3 +133,29 @@ def test_console_preview_and_observed_counts(spark, tmpdir_spark):
     df, obs = observe_count(spark.read.parquet(f"{SF_SMALL}/nation.parquet"), "nations")
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["nations"] == 25
+
+
+def test_stream_interval_join_equals_batch_over_time_ordered_batches(spark, tmpdir_spark):
+    from cartwheel.plans import orders as orders_plan
+    from cartwheel.sources.tables import read_table
+    o_dir, l_dir = f"{tmpdir_spark}/orders_y", f"{tmpdir_spark}/lines_y"
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    years = sorted(r[0] for r in o.select(F.year("o_orderdate")).distinct().collect())
+    for y in years:      # one file per year and table, written in event-time order
+        o.where(F.year("o_orderdate") == y).coalesce(1).write.mode("append").parquet(o_dir)
+        li.where(F.year("l_shipdate") == y).coalesce(1).write.mode("append").parquet(l_dir)
+    li.where(F.year("l_shipdate") > years[-1]).coalesce(1).write.mode("append").parquet(l_dir)
+    part = read_table(spark, SF_SMALL, "part", ["p_partkey", "p_name"])
+    os_ = TopicSource("parquet", path=o_dir, schema=o.schema, options={"maxFilesPerTrigger": "1"}).stream(spark)
+    ls_ = TopicSource("parquet", path=l_dir, schema=li.schema, options={"maxFilesPerTrigger": "1"}).stream(spark)
+    sale = jobs.sale_detail_stream(fx.order_info_from_orders(os_), fx.order_detail_from_lineitem(ls_, part),
+                                   "10 days")
+    name = "sale_" + uuid.uuid4().hex[:6]
+    q = (sale.writeStream.format("memory").queryName(name).option("checkpointLocation", f"{tmpdir_spark}/ck")
+             .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 3
+    batch = orders_plan.sale_detail_interval(fx.order_info(spark, SF_SMALL), fx.order_detail(spark, SF_SMALL),
+                                             "10 days")
+    assert _sorted(spark.table(name)) == _sorted(batch)
