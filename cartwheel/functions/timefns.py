@@ -64,12 +64,15 @@ def with_create_date_hour(df, col: str = "create_time", strict: bool = True):
               .withColumn("create_hour", create_hour(col, strict)))
 
 
-def age_years(birthday, as_of=None) -> Column:
+def age_years(birthday, as_of=None, calendar: bool = False) -> Column:
     """Whole 365-day years between midnight of ``birthday`` (yyyy-MM-dd) and
-    ``as_of`` (a timestamp column/literal; default: now)."""
+    ``as_of`` (a timestamp column/literal; default: now).  ``calendar=True``
+    gives calendar age (birthdays counted on their date) instead."""
     as_of_c = F.current_timestamp() if as_of is None else (
         F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of)
     born = F.to_date(_c(birthday), "yyyy-MM-dd").cast("timestamp")
+    if calendar:
+        return F.floor(F.months_between(F.to_date(as_of_c), F.to_date(born)) / 12).cast("int")
     return ((F.unix_millis(as_of_c) - F.unix_millis(born)) / F.lit(MS_PER_YEAR)).cast("long").cast("int")
 
 

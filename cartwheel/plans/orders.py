@@ -90,3 +90,12 @@ def with_user(sale: DataFrame, users: DataFrame, as_of=None) -> DataFrame:
         F.coalesce(F.col("sku_price"), F.lit(0.0)).alias("sku_price"),
         "sku_name", "dt",
     )
+
+
+def reenrich_sale_detail(sale_docs: DataFrame, users: DataFrame, as_of=None) -> DataFrame:
+    """Batch repair for documents written before their user row arrived: the
+    user columns are recomputed from the current user table (a left join on
+    user id; documents of still-unknown users keep the defaults)."""
+    base = sale_docs.select("order_detail_id", "order_id", "order_status", "create_time", "user_id",
+                            "sku_id", "sku_price", "sku_name", "dt")
+    return with_user(base, users, as_of)

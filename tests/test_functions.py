@@ -105,3 +105,9 @@ def test_regex_match_equals_token_match(spark):
         ref = F.array_contains(text.tokens("t"), F.lit(v))
         rows = df.select(text.term("t", v).alias("m"), ref.alias("r")).collect()
         assert [bool(r.m) for r in rows] == [bool(r.r) for r in rows], v
+
+
+def test_calendar_age_option(spark):
+    df = spark.createDataFrame([("2000-02-29",), ("2000-03-01",)], "b string")
+    ages = [r.a for r in df.select(timefns.age_years("b", "2024-02-29 00:00:00", calendar=True).alias("a")).collect()]
+    assert ages == [24, 23]

@@ -250,3 +250,14 @@ def test_pick_per_key_skewed_key(spark):
     df = spark.createDataFrame(rows, "k string, o int, v string").repartition(16)
     got = {r.k: r.v for r in dedup.latest_per_key(df, "k", ["o"]).collect()}
     assert got == {"hot": "v4999", "cold": "c"}
+
+
+def test_reenrich_fills_users_that_arrived_late(spark):
+    docs = spark.createDataFrame([("d1", "o1", "1", "t", "u7", "s", None, 0, None, 2.0, "n", "2024-01-01")],
+                                 "order_detail_id string, order_id string, order_status string, create_time string, "
+                                 "user_id string, sku_id string, user_gender string, user_age int, user_level string, "
+                                 "sku_price double, sku_name string, dt string")
+    u = spark.createDataFrame([("u7", "x", "gold", "2000-01-01", "F")], "id string, login_name string, "
+                              "user_level string, birthday string, gender string")
+    r = orders.reenrich_sale_detail(docs, u, "2024-01-01 00:00:00").first()
+    assert (r.user_gender, r.user_level, r.user_age) == ("F", "gold", 24)
