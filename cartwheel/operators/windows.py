@@ -1,14 +1,15 @@
 """Sliding-window coupon alert.
 
 A sliding window of length W and slide S puts every row in W/S windows
-(5 min / 5 s = 60 copies).  Rows are never copied: they are first reduced
-to S-wide panes per device, and only pane rows are copied to their W/S
-windows.  Windows are qualified with plain hash aggregates (event counts,
-distinct coupon users by a distinct on (device, window, user)); member
-lists are gathered only for the windows that alert.  Every aggregate is
-partial-aggregated on the map side, so a device holding a third of all rows
-is reduced before any shuffle, and no set is built for windows that cannot
-alert.
+(5 min / 5 s = 60 copies).  Rows are never copied: one scan and one
+aggregation reduce them to S-wide panes in a long form (device, pane, kind,
+key, count) holding event-id counts and the distinct coupon users and items
+of each pane.  Only pane rows are copied to their W/S windows and merged by
+a second aggregation.  Windows are qualified with a hash aggregate (clicks,
+number of distinct users); member and event lists are gathered only for the
+windows that alert.  Every aggregate is partial-aggregated on the map side,
+so a device holding a third of all rows is reduced before any shuffle, and
+no list is built for windows that cannot alert.
 """
 
 from __future__ import annotations
@@ -49,56 +50,58 @@ def to_windows(df: DataFrame, window_ms: int, slide_ms: int, pane_col: str = "pa
               .select(*rest, (F.col(pane_col) - F.col("_k") * F.lit(slide_ms)).alias("wstart")))
 
 
-def pane_counts(events: DataFrame, slide_ms: int) -> DataFrame:
-    """(mid, pane, evid, n): event counts per pane."""
-    return (events.select("mid", "evid", _pane("ts", slide_ms).alias("pane"))
-                  .groupBy("mid", "pane", "evid").agg(F.count(F.lit(1)).alias("n")))
-
-
-def pane_members(events: DataFrame, col: str, slide_ms: int) -> DataFrame:
-    """(mid, pane, v): distinct values of ``col`` over coupon events per pane
-    (null is a member, as in a hash set)."""
-    return (events.where(F.col("evid") == EVID_COUPON)
-                  .select("mid", _pane("ts", slide_ms).alias("pane"), F.col(col).alias("v")).distinct())
-
-
-def qualifying_windows(counts: DataFrame, users: DataFrame, min_users: int) -> DataFrame:
-    """(mid, wstart, n_uids) of windows with no click and >= min_users coupon users."""
-    no_click = (counts.groupBy("mid", "wstart")
-                      .agg(F.sum(F.when(F.col("evid") == EVID_CLICK, F.col("n")).otherwise(0)).alias("clicks"))
-                      .where(F.col("clicks") == 0).select("mid", "wstart"))
-    n_users = (users.groupBy("mid", "wstart").agg(F.count(F.lit(1)).alias("n_uids"))
-                    .where(F.col("n_uids") >= min_users))
-    return n_users.join(no_click, ["mid", "wstart"], "left_semi")
+def pane_long(events: DataFrame, slide_ms: int) -> DataFrame:
+    """Pane aggregates in one long form (one scan, one aggregation):
+    (mid, pane, kind, key, n) with kind 'evid' (key = event id, n = count),
+    'uid' / 'item' (key = coupon user / item, a distinct member of the pane;
+    null is a member, as in a hash set)."""
+    coupon = F.col("evid") == EVID_COUPON
+    entries = F.array(
+        F.struct(F.lit("evid").alias("kind"), F.col("evid").alias("key")),
+        F.when(coupon, F.struct(F.lit("uid").alias("kind"), F.col("uid").alias("key"))),
+        F.when(coupon, F.struct(F.lit("item").alias("kind"), F.col("itemid").alias("key"))))
+    return (events.select("mid", _pane("ts", slide_ms).alias("pane"), F.explode(entries).alias("e"))
+                  .where(F.col("e").isNotNull())
+                  .groupBy("mid", "pane", F.col("e.kind").alias("kind"), F.col("e.key").alias("key"))
+                  .agg(F.count(F.lit(1)).alias("n")))
+
+
+def window_long(panes: DataFrame, window_ms: int, slide_ms: int, only_windows: DataFrame | None = None) -> DataFrame:
+    """(mid, wstart, kind, key, n): pane rows merged into every window containing them."""
+    w = to_windows(panes.select("mid", "pane", "kind", "key", "n"), window_ms, slide_ms)
+    if only_windows is not None:
+        w = w.join(only_windows, ["mid", "wstart"], "left_semi")
+    return w.groupBy("mid", "wstart", "kind", "key").agg(F.sum("n").alias("n"))
+
+
+def qualifying_windows(wl: DataFrame, min_users: int) -> DataFrame:
+    """(mid, wstart, n_uids) of windows with no click and >= min_users coupon
+    users (hash aggregate; no lists)."""
+    kind = F.col("kind")
+    return (wl.groupBy("mid", "wstart")
+              .agg(F.sum(F.when((kind == "evid") & (F.col("key") == EVID_CLICK), F.col("n")).otherwise(0)).alias("clicks"),
+                   F.count(F.when(kind == "uid", 1)).alias("n_uids"))
+              .where((F.col("clicks") == 0) & (F.col("n_uids") >= min_users))
+              .select("mid", "wstart", "n_uids"))
+
+
+def _sorted_text(kind: str):
+    # struct keeps null members through collect_list; array_sort puts them last
+    vals = F.transform(F.collect_list(F.when(F.col("kind") == kind, F.struct(F.col("key").alias("v")))),
+                       lambda s: s["v"])
+    return F.array_join(F.array_sort(vals), ",", "null")
 
 
-def _member_text(members: DataFrame, keys: DataFrame, name: str) -> DataFrame:
-    """Sorted member list of the alerting windows only."""
-    # struct keeps null members through collect_list; array_sort puts them last
-    vals = F.array_sort(F.transform(F.collect_list(F.struct(F.col("v").alias("v"))), lambda s: s["v"]))
-    return (members.join(keys, ["mid", "wstart"], "left_semi")
-                   .groupBy("mid", "wstart").agg(F.array_join(vals, ",", "null").alias(name)))
-
-
-def alerts_from_panes(counts: DataFrame, users: DataFrame, items: DataFrame, window_ms: int, slide_ms: int,
-                      min_users: int, only_windows: DataFrame | None = None) -> DataFrame:
-    """Pane-level counts/members -> alert rows.  ``only_windows`` (mid,
-    wstart) restricts the work to windows touched by new panes (streaming)."""
-    def win(df):
-        w = to_windows(df, window_ms, slide_ms)
-        return w if only_windows is None else w.join(only_windows, ["mid", "wstart"], "left_semi")
-    wcounts = win(counts).groupBy("mid", "wstart", "evid").agg(F.sum("n").alias("n"))
-    wusers = win(users).distinct()
-    q = qualifying_windows(wcounts, wusers, min_users)
-    keys = q.select("mid", "wstart")
-    ev_text = (wcounts.join(keys, ["mid", "wstart"], "left_semi").groupBy("mid", "wstart")
-                      .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("evid", "n"))),
-                                                    lambda e: F.concat(e["evid"], F.lit(":"), e["n"].cast("string"))),
-                                        ",").alias("events")))
-    uids = _member_text(wusers, keys, "uids")
-    item_ids = _member_text(win(items).distinct(), keys, "item_ids")
-    on = ["mid", "wstart"]
-    return alert_rows(q.join(uids, on).join(item_ids, on).join(ev_text, on), window_ms)
+def alerts_from_long(wl: DataFrame, window_ms: int, min_users: int) -> DataFrame:
+    """Window rows -> alert rows; lists are collected for alerting windows only."""
+    q = qualifying_windows(wl, min_users)
+    ev = F.array_sort(F.collect_list(F.when(F.col("kind") == "evid", F.struct(F.col("key").alias("evid"), "n"))))
+    docs = (wl.join(q.select("mid", "wstart"), ["mid", "wstart"], "left_semi")
+              .groupBy("mid", "wstart")
+              .agg(_sorted_text("uid").alias("uids"), _sorted_text("item").alias("item_ids"),
+                   F.array_join(F.transform(ev, lambda e: F.concat(e["evid"], F.lit(":"), e["n"].cast("string"))),
+                                ",").alias("events")))
+    return alert_rows(q.join(docs, ["mid", "wstart"]), window_ms)
 
 
 def coupon_alerts(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
@@ -110,8 +113,21 @@ def coupon_alerts(events: DataFrame, window: str = ALERT_WINDOW, slide: str = AL
     run-length coded, so its size is bounded by the number of event ids)."""
     w_ms, s_ms = interval_ms(window), interval_ms(slide)
     ev = events.select("mid", "uid", "evid", "itemid", "ts")
-    return alerts_from_panes(pane_counts(ev, s_ms), pane_members(ev, "uid", s_ms),
-                             pane_members(ev, "itemid", s_ms), w_ms, s_ms, min_users)
+    return alerts_from_long(window_long(pane_long(ev, s_ms), w_ms, s_ms), w_ms, min_users)
+
+
+def alert_members(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
+                  min_users: int = ALERT_MIN_USERS) -> DataFrame:
+    """Long form of alert membership: one row per (alert_id, kind, member),
+    kind = 'uid' or 'item'.  Nothing is collected, so a window with any
+    number of users stays spread over tasks."""
+    w_ms, s_ms = interval_ms(window), interval_ms(slide)
+    ev = events.select("mid", "uid", "evid", "itemid", "ts")
+    wl = window_long(pane_long(ev, s_ms), w_ms, s_ms)
+    q = qualifying_windows(wl, min_users).select("mid", "wstart")
+    end = F.col("wstart") + F.lit(w_ms)
+    return (wl.where(F.col("kind") != "evid").join(q, ["mid", "wstart"], "left_semi")
+              .select(alert_id(F.col("mid"), end).alias("alert_id"), "kind", F.col("key").alias("member")))
 
 
 def alert_rows(w: DataFrame, window_ms: int) -> DataFrame:

@@ -292,6 +292,13 @@ FROM order_info o JOIN order_detail d ON o.id = d.order_id
         "user_latest": _user_latest(),
         "coupon_alert": w(EVENT_LOG, ALERT) + "SELECT * FROM alerts",
         "alert_per_minute": w(EVENT_LOG, ALERT) + "SELECT alert_id, mid, window_end, n_uids FROM alerts",
+        "coupon_alert_members": w(EVENT_LOG, ALERT) + """
+, q AS (SELECT mid, wstart FROM g WHERE clicks = 0 AND n_uids >= 3)
+SELECT DISTINCT mid || CAST((wstart + 3600000) // 60000 AS VARCHAR) AS alert_id, 'uid' AS kind, uid AS member
+FROM win JOIN q USING (mid, wstart) WHERE evid = 'coupon'
+UNION ALL
+SELECT DISTINCT mid || CAST((wstart + 3600000) // 60000 AS VARCHAR), 'item', itemid
+FROM win JOIN q USING (mid, wstart) WHERE evid = 'coupon'""",
         "upsert_latest_by_id": w(ORDER_DETAIL) + """
 SELECT id, order_id, sku_id, suppkey, strftime(event_ts, '%Y-%m-%d') AS ship_date, order_price AS sku_price FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY event_ts DESC, partkey DESC, suppkey DESC) AS rn

@@ -214,6 +214,11 @@ def q_alert_per_minute(spark, sf):
         "alert_id", "mid", "window_end", "n_uids")
 
 
+def q_coupon_alert_members(spark, sf):
+    from ..operators.windows import alert_members
+    return alert_members(fx.event_log(spark, sf), ALERT_WINDOW, ALERT_SLIDE, ALERT_USERS)
+
+
 def q_upsert_latest_by_id(spark, sf):
     d = fx.order_detail(spark, sf, False)
     latest = latest_per_key(d, "id", [F.col("event_ts"), F.col("sku_id").cast("long"), F.col("suppkey")])
@@ -346,6 +351,7 @@ _BATCH = {
     "user_latest": q_user_latest,
     "coupon_alert": q_coupon_alert,
     "alert_per_minute": q_alert_per_minute,
+    "coupon_alert_members": q_coupon_alert_members,
     "upsert_latest_by_id": q_upsert_latest_by_id,
     "daily_partition_counts": q_daily_partition_counts,
     "search_total_hits": q_search_total_hits,

@@ -20,8 +20,8 @@ from ..functions.timefns import day_number, with_log_date_hour
 from ..operators.cdc import route_changes
 from ..operators.dedup import latest_per_key
 from ..operators.joins import interval_join
-from ..operators.upsert import append_distinct, read_if_exists, upsert
-from ..operators.windows import alerts_from_panes, interval_ms, to_windows
+from ..operators.upsert import append_distinct, read_if_exists, touched_partitions, upsert
+from ..operators.windows import alerts_from_long, interval_ms, to_windows, window_long
 from ..plans.dau import DAU_KEYS, DAU_ORDER, daily_active_new, daily_active
 from ..plans.orders import ORDER_COLUMNS, merge_sale_detail, with_user
 from ..plans.users import USER_COLUMNS
@@ -50,8 +50,8 @@ def dau_batch_writer(dau_path: str, seen_path: str | None = None):
                 return
             seen = read_if_exists(spark, dau_path, rows.schema)
             if seen is not None:
-                days = rows.select("log_date").distinct()
-                seen = seen.select(*DAU_KEYS).join(days, "log_date", "left_semi")
+                # pruned scan of the days this batch touches (static partition filter)
+                seen = seen.where(touched_partitions(rows, ["log_date"])).select(*DAU_KEYS)
                 new = daily_active_new(rows, seen)
             else:
                 new = daily_active(rows)
@@ -152,22 +152,27 @@ def start_coupon_alerts(events: DataFrame, panes_path: str, alerts_path: str, ch
                         window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
                         min_users: int = ALERT_MIN_USERS, lateness: str = "1 minute",
                         trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
-    """Pane aggregates (per device, slide-wide pane, event id: count and the
-    distinct coupon users/items of the pane) are streaming state in update
-    mode, evicted by the watermark.  Each micro-batch upserts the changed
-    panes into a pane table partitioned by day, recomputes only the windows
-    those panes touch (reading only the touched days) and upserts their
-    alerts (id = device + minute, last write wins)."""
+    """Pane counts in long form (device, slide-wide pane, kind, key -> n) are
+    the streaming state: a plain count per key, evicted by the watermark.
+    Each micro-batch upserts the changed pane rows into a pane table
+    partitioned by day, recomputes only the windows those panes touch
+    (reading only the touched days) and upserts their alerts
+    (id = device + minute, last write wins)."""
     w_ms, s_ms = interval_ms(window), interval_ms(slide)
     coupon = F.col("evid") == EVID_COUPON
+    entries = F.array(
+        F.struct(F.lit("evid").alias("kind"), F.col("evid").alias("key")),
+        F.when(coupon, F.struct(F.lit("uid").alias("kind"), F.col("uid").alias("key"))),
+        F.when(coupon, F.struct(F.lit("item").alias("kind"), F.col("itemid").alias("key"))))
     ev = (events.select("mid", "uid", "evid", "itemid", "ts")
                 .withColumn("event_ts", F.timestamp_millis("ts"))
-                .withWatermark("event_ts", lateness))
-    panes = (ev.groupBy("mid", F.window("event_ts", slide).alias("pw"), "evid")
-               .agg(F.count(F.lit(1)).alias("n"),
-                    F.collect_set(F.when(coupon, F.struct(F.col("uid").alias("v")))).alias("u"),
-                    F.collect_set(F.when(coupon, F.struct(F.col("itemid").alias("v")))).alias("i"))
-               .select("mid", F.unix_millis(F.col("pw.start")).alias("pane"), "evid", "n", "u", "i"))
+                .withWatermark("event_ts", lateness)
+                .select("mid", "event_ts", F.explode(entries).alias("e"))
+                .where(F.col("e").isNotNull()))
+    panes = (ev.groupBy("mid", F.window("event_ts", slide).alias("pw"),
+                        F.col("e.kind").alias("kind"), F.col("e.key").alias("key"))
+               .agg(F.count(F.lit(1)).alias("n"))
+               .select("mid", F.unix_millis(F.col("pw.start")).alias("pane"), "kind", "key", "n"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -177,20 +182,18 @@ def start_coupon_alerts(events: DataFrame, panes_path: str, alerts_path: str, ch
         try:
             if changed.isEmpty():
                 return
-            upsert(changed, panes_path, ["mid", "pane", "evid"], ["batch_id", "n"], keep="last",
+            upsert(changed, panes_path, ["mid", "pane", "kind", "key"], ["batch_id", "n"], keep="last",
                    partition_by="pday")
-            touched = to_windows(changed.select("mid", "pane"), w_ms, s_ms).distinct()
+            touched = to_windows(changed.select("mid", "pane").distinct(), w_ms, s_ms).distinct()
             # a window [wstart, wstart + W) reads panes of its own and the next day at most
             days = (touched.select(day_number(F.col("wstart")).alias("d0"),
                                    day_number(F.col("wstart") + F.lit(w_ms - 1)).alias("d1"))
                            .select(F.explode(F.sequence("d0", "d1")).alias("pday")).distinct())
-            stored = read_if_exists(spark, panes_path, changed.schema).join(days, "pday", "left_semi")
-            counts = stored.select("mid", "pane", "evid", "n")
-            members = stored.where(F.col("evid") == EVID_COUPON)
-            users = members.select("mid", "pane", F.explode("u").alias("m")).select("mid", "pane", F.col("m.v").alias("v"))
-            items = members.select("mid", "pane", F.explode("i").alias("m")).select("mid", "pane", F.col("m.v").alias("v"))
-            alerts = alerts_from_panes(counts, users, items, w_ms, s_ms, min_users, only_windows=touched)
-            upsert(alerts, alerts_path, "alert_id", ["ts", "window_start"], keep="last")
+            stored = read_if_exists(spark, panes_path, changed.schema)
+            stored = stored.where(touched_partitions(days, ["pday"]))
+            wl = window_long(stored, w_ms, s_ms, only_windows=touched)
+            upsert(alerts_from_long(wl, w_ms, min_users), alerts_path, "alert_id", ["ts", "window_start"],
+                   keep="last")
         finally:
             changed.unpersist()
     return (_writer(panes, "coupon_alerts", checkpoint, trigger, available_now)
