@@ -261,3 +261,19 @@ def test_reenrich_fills_users_that_arrived_late(spark):
                               "user_level string, birthday string, gender string")
     r = orders.reenrich_sale_detail(docs, u, "2024-01-01 00:00:00").first()
     assert (r.user_gender, r.user_level, r.user_age) == ("F", "gold", 24)
+
+
+def test_sql_reports_equal_dataframe_reports(spark):
+    from cartwheel.plans import sql_reports
+    from cartwheel.sources import fixtures as fx
+    d = dau.daily_active(fx.startup_log(spark, "/root/testdata/sf0.001"))
+    o = fx.order_info(spark, "/root/testdata/sf0.001")
+    sql_reports.register_tables(spark, d, o)
+    srt = lambda df: sorted(tuple(r) for r in df.collect())
+    day = d.select("log_date").orderBy("log_date").first().log_date
+    gday = o.select("create_date").orderBy("create_date").first().create_date
+    assert srt(sql_reports.run(spark, "dau_total", day)) == srt(reports.dau_total(d, day))
+    assert srt(sql_reports.run(spark, "dau_by_hour", day)) == srt(reports.dau_by_hour(d, day))
+    assert srt(sql_reports.run(spark, "gmv_total", gday)) == srt(reports.gmv_total(o, gday))
+    assert srt(sql_reports.run(spark, "gmv_by_hour", gday)) == srt(reports.gmv_by_hour(o, gday))
+    assert srt(sql_reports.run(spark, "hours_compare_dau", day)) == srt(reports.dau_hours_compare(d, day))
