@@ -19,7 +19,7 @@ from ..functions.timefns import daily_index_name, epoch_ms, with_log_date_hour
 from ..operators.cdc import route_changes
 from ..operators.dedup import latest_per_key
 from ..operators.search import bm25
-from ..schemas import ORDER_FIELDS, STARTUP_CASTS, STARTUP_FIELDS
+from ..schemas import STARTUP_CASTS, STARTUP_FIELDS
 from ..session import apply_runtime_conf
 from ..sources import fixtures as fx
 from ..sources.tables import read_table

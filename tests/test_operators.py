@@ -277,3 +277,32 @@ def test_sql_reports_equal_dataframe_reports(spark):
     assert srt(sql_reports.run(spark, "gmv_total", gday)) == srt(reports.gmv_total(o, gday))
     assert srt(sql_reports.run(spark, "gmv_by_hour", gday)) == srt(reports.gmv_by_hour(o, gday))
     assert srt(sql_reports.run(spark, "hours_compare_dau", day)) == srt(reports.dau_hours_compare(d, day))
+
+
+def test_today_text_dimension_lookup_and_topic_files(spark, tmpdir_spark):
+    import datetime as dt
+    from cartwheel.functions.timefns import today_text
+    from cartwheel.operators.joins import dimension_lookup
+    assert spark.range(1).select(today_text().alias("d")).first().d == dt.datetime.now(dt.timezone.utc).date().isoformat()
+    fact = spark.createDataFrame([("1", 5), ("2", 7)], "k string, v int")
+    dim = spark.createDataFrame([("1", "one")], "dk string, name string")
+    got = sorted((r.k, r.name) for r in dimension_lookup(fact, dim, "k", "dk", broadcast_dim=True).collect())
+    assert got == [("1", "one"), ("2", None)]
+    msgs = spark.createDataFrame([("order", '{"id":"1"}'), ("user_info", '{"id":"2"}')], "topic string, value string")
+    cdc.to_topic_files(msgs, f"{tmpdir_spark}/topics")
+    back = spark.read.json(f"{tmpdir_spark}/topics")
+    assert sorted((r.topic, r.value) for r in back.collect()) == [("order", '{"id":"1"}'), ("user_info", '{"id":"2"}')]
+
+
+def test_coupon_alert_hot_device(spark):
+    # one device holds nearly all rows: thousands of coupon users in one window, spread over many tasks
+    M = 60_000
+    hot = spark.range(0, 6000).select(F.lit("hot").alias("mid"), F.concat(F.lit("u"), F.col("id").cast("string")).alias("uid"),
+                                      F.lit("coupon").alias("evid"), (F.col("id") % 7).cast("string").alias("itemid"),
+                                      (F.lit(T0) + (F.col("id") % 4) * M).alias("ts")).repartition(16)
+    cold = spark.createDataFrame([("c", "u1", "clickItem", "1", T0)], EV)
+    al = windows.coupon_alerts(hot.unionByName(cold), "5 minutes", "5 minutes", 3).collect()
+    assert len(al) == 1 and al[0].mid == "hot" and al[0].n_uids == 6000
+    assert al[0].item_ids == "0,1,2,3,4,5,6" and al[0].events == "coupon:6000"
+    mem = windows.alert_members(hot, "5 minutes", "5 minutes", 3)
+    assert mem.where("kind = 'uid'").count() == 6000
