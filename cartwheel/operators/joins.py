@@ -32,9 +32,24 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
 
 
 def dimension_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                     how: str = "left", broadcast_dim: bool = False) -> DataFrame:
-    """Left lookup of a dimension row.  ``broadcast_dim`` is only for
-    dimensions with a fixed size bound; otherwise the planner decides by the
-    size estimate (``autoBroadcastJoinThreshold``) and AQE by runtime size."""
-    d = F.broadcast(dim) if broadcast_dim else dim
+                     how: str = "left", broadcast_dim: bool = False,
+                     broadcast_max_rows: int | None = None) -> DataFrame:
+    """Left lookup of a dimension row.
+
+    ``broadcast_dim`` is only for dimensions with a fixed size bound.
+    ``broadcast_max_rows`` checks the size first (one count of the dimension)
+    and broadcasts only below the limit, with a shuffle join beyond it.
+    Without either, the planner decides by its size estimate
+    (``autoBroadcastJoinThreshold``) and AQE by the runtime size."""
+    use_broadcast = broadcast_dim
+    if broadcast_max_rows is not None:
+        use_broadcast = dim.count() <= broadcast_max_rows
+    d = F.broadcast(dim) if use_broadcast else dim
     return fact.join(d, fact[fact_key] == d[dim_key], how)
+
+
+def one_row(stats: DataFrame):
+    """A one-row aggregate as a struct-valued scalar subquery column: Spark
+    computes it once and substitutes the value, so no join pairs any rows.
+    Read fields with ``one_row(stats)["name"]``."""
+    return stats.select(F.struct(*stats.columns)).scalar()

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import analyse, match, term, tokens
+from ..session import checkpoint_root
+from .joins import one_row
 
 
 @dataclass
@@ -80,11 +82,11 @@ def bm25(docs: DataFrame, id_col: str, text_col: str, query: str, k1: float = 1.
 
     Whole texts are tokenised once into (doc, length, tf of each query
     token); tf = ``size(tokens) - size(array_remove(tokens, term))`` (native
-    expressions, no explode of token lists).  That narrow projection sits
-    behind one exchange which both consumers share (exchange reuse): the
-    one-row corpus statistics (N, avgdl, df per query token) and the
-    per-document scoring, which is then plain column arithmetic against the
-    broadcast statistics row.
+    expressions, no explode of token lists).  That narrow projection is
+    materialised once (reliable checkpoint) and read by both consumers: the
+    one-row corpus statistics (N, avgdl, df per query token, a scalar
+    subquery) and the per-document scoring, which is plain column
+    arithmetic -- no join pairs any rows.
     """
     q = sorted(set(analyse(query)))
     if not q:
@@ -93,19 +95,24 @@ def bm25(docs: DataFrame, id_col: str, text_col: str, query: str, k1: float = 1.
     # once per document instead of being inlined into every expression using it
     toks = docs.select(F.col(id_col), F.explode(F.array(tokens(text_col))).alias("_t"))
     tf_cols = [(F.size("_t") - F.size(F.array_remove("_t", t))).alias(f"_tf{i}") for i, t in enumerate(q)]
-    per_doc = toks.select(id_col, F.size("_t").alias("dl"), *tf_cols).repartition(id_col)
+    # narrow (doc, length, tf per query token) rows, materialised once under
+    # spark.checkpoint.dir: statistics and scoring both read them, texts are
+    # tokenised a single time
+    checkpoint_root(docs.sparkSession)
+    per_doc = toks.select(id_col, F.size("_t").alias("dl"), *tf_cols).checkpoint(eager=True)
     stats = per_doc.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"),
                         *[F.count(F.when(F.col(f"_tf{i}") > 0, 1)).alias(f"_df{i}") for i in range(len(q))])
+    # statistics: one scalar subquery, referenced once as a column (no join)
+    st = F.col("_st")
     hit = F.lit(False)
     score = F.lit(0.0)
-    norm = k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
+    norm = k1 * (1 - b + b * F.col("dl") / st["avgdl"])
     for i in range(len(q)):
-        tf, dfq = F.col(f"_tf{i}"), F.col(f"_df{i}")
-        idf = F.log(F.lit(1.0) + (F.col("n_docs") - dfq + 0.5) / (dfq + 0.5))
+        tf, dfq = F.col(f"_tf{i}"), st[f"_df{i}"]
+        idf = F.log(F.lit(1.0) + (st["n_docs"] - dfq + 0.5) / (dfq + 0.5))
         score = score + F.when(tf > 0, idf * tf * (k1 + 1) / (tf + norm)).otherwise(F.lit(0.0))
         hit = hit | (tf > 0)
-    scored = (per_doc.where(hit)
-                     .crossJoin(F.broadcast(stats))      # exactly one row
+    scored = (per_doc.where(hit).withColumn("_st", one_row(stats))
                      .select(id_col, score.alias("score")))
     if top_k:
         scored = scored.orderBy(F.desc("score"), F.asc(id_col)).limit(top_k)

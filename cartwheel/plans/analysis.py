@@ -3,12 +3,13 @@ province and item sales."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import AGE_BANDS, GENDER_LABELS
 from ..operators.search import SearchResult, TermsAgg, search
 from ..functions.text import match
+from ..operators.joins import one_row
 
 
 def student_search(students: DataFrame, sex: str, favo_token: str, offset: int = 0, size: int = 2,
@@ -34,11 +35,12 @@ def age_band(c) -> F.Column:
 
 
 def _facet(df: DataFrame, key, name: str) -> DataFrame:
-    """(name, count, share %) — the share uses a global window over the
-    already-aggregated facet rows (a handful of rows), not over the data."""
+    """(name, count, share %).  The total is a scalar subquery over the
+    facet rows (no join, no global window)."""
     g = df.groupBy(key.alias(name)).agg(F.count(F.lit(1)).alias("value"))
-    total = F.sum("value").over(Window.partitionBy())
-    return g.select(name, "value", F.round((F.lit(100.0) * F.col("value") / total).cast("double"), 2).alias("share"))
+    total = g.agg(F.sum("value").alias("total")).scalar()
+    return g.select(name, "value",
+                    F.round((F.lit(100.0) * F.col("value") / total).cast("double"), 2).alias("share"))
 
 
 def facet_gender(sale: DataFrame) -> DataFrame:
