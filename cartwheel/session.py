@@ -60,17 +60,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     chosen here.  Streaming checkpoints, keyed tables and lineage cuts all
     live below it, so they survive the loss of any executor.
     """
+    try:
+        sc = spark.sparkContext          # not available on a Spark Connect session
+    except Exception:  # noqa: BLE001
+        sc = None
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store): streaming "
                                "checkpoints, keyed tables and lineage cuts must survive executor loss")
         d = tempfile.mkdtemp(prefix="cartwheel-ckpt-")   # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 

@@ -44,6 +44,16 @@ def q_stream_dau(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{run}/dau").select(*R.STARTUP_COLS)
 
 
+def q_stream_dau_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Stream -> keyed DAU table -> today vs yesterday report read from the
+    table (partition-pruned by log_date)."""
+    from ..plans.reports import dau_hours_compare
+    run = _run(spark, "dau_report")
+    src = fx.startup_from_events(table_stream(spark, sf, "events"))
+    _wait(jobs.start_dau(src, f"{run}/dau", f"{run}/ckpt", available_now=True))
+    return dau_hours_compare(spark.read.parquet(f"{run}/dau"), R.DAU_DATE)
+
+
 def _order_table(spark, sf, run) -> str:
     path = f"{run}/orders"
     src = fx.order_info_from_orders(table_stream(spark, sf, "orders"))
@@ -107,6 +117,7 @@ def q_stream_cdc_route(spark: SparkSession, sf: str) -> DataFrame:
 def stream_queries() -> dict:
     return {
         "stream_dau": q_stream_dau,
+        "stream_dau_report": q_stream_dau_report,
         "stream_order_table": q_stream_order_table,
         "stream_gmv": q_stream_gmv,
         "stream_user_latest": q_stream_user_latest,
@@ -137,6 +148,7 @@ SELECT s.order_detail_id, s.order_id, s.order_status, s.create_time,
 FROM s LEFT JOIN ul u ON s.user_id = u.id"""
     return {
         "stream_dau": batch_sql["dau_first_per_device"],
+        "stream_dau_report": batch_sql["dau_hours_compare"],
         "stream_order_table": batch_sql["order_enrich"],
         "stream_gmv": batch_sql["gmv_by_day"],
         "stream_user_latest": batch_sql["user_latest"],
