@@ -306,3 +306,19 @@ def test_coupon_alert_hot_device(spark):
     assert al[0].item_ids == "0,1,2,3,4,5,6" and al[0].events == "coupon:6000"
     mem = windows.alert_members(hot, "5 minutes", "5 minutes", 3)
     assert mem.where("kind = 'uid'").count() == 6000
+
+
+def test_sale_search_empty_keyword_and_facet_shares(spark):
+    from cartwheel.plans import analysis
+    from cartwheel.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    sale = orders.with_user(orders.sale_detail_all(fx.order_info(spark, sf), fx.order_detail(spark, sf)),
+                            fx.user_info(spark, sf), "2024-02-01 00:00:00")
+    day = sale.groupBy("dt").count().orderBy(F.desc("count"), "dt").first().dt
+    r = analysis.sale_search(sale, day, "", 0, 1000)
+    n = sale.where(F.col("dt") == day).count()
+    assert r["total"].first().total == n and r["detail"].count() == n       # empty keyword: no text filter
+    for facet in ("age", "gender"):
+        rows = r[facet].collect()
+        assert sum(x.value for x in rows) == n
+        assert abs(sum(x.share for x in rows) - 100.0) < 0.05
