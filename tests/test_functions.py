@@ -111,3 +111,34 @@ def test_calendar_age_option(spark):
     df = spark.createDataFrame([("2000-02-29",), ("2000-03-01",)], "b string")
     ages = [r.a for r in df.select(timefns.age_years("b", "2024-02-29 00:00:00", calendar=True).alias("a")).collect()]
     assert ages == [24, 23]
+
+
+def test_cluster_session_requires_shared_checkpoint_folder():
+    from cartwheel.session import checkpoint_root
+
+    class Conf(dict):
+        def get(self, k, default=None):
+            return dict.get(self, k, default)
+
+        def set(self, k, v):
+            self[k] = v
+
+    class Ctx:
+        master = "yarn"
+        _dir = None
+
+        def getCheckpointDir(self):
+            return self._dir
+
+        def setCheckpointDir(self, d):
+            self._dir = d
+
+    class Session:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    with pytest.raises(RuntimeError):
+        checkpoint_root(Session())
+    s = Session()
+    s.conf = Conf({"spark.checkpoint.dir": "hdfs://nn/shared/ckpt/"})
+    assert checkpoint_root(s) == "hdfs://nn/shared/ckpt"
