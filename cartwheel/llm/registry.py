@@ -100,7 +100,7 @@ _SEARCH = """
 WITH v AS (
   SELECT vec_id, {vector} AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 {also}),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 {also}),
 hits AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, {score} AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v))
@@ -114,7 +114,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": _LINES,
         "op4_nearest": _SEARCH.format(vector="embedding::DOUBLE[]", score="list_distance(q.v, c.v)", order="",
-                                      also="AND len(list_filter(embedding, x -> x <> 0)) > 0"),
-        "op9_top_k": _SEARCH.format(vector="list_transform(embedding::DOUBLE[], x -> floor(1024 * x))",
+                                      also="AND len(list_filter(embedding, lambda x: x <> 0)) > 0"),
+        "op9_top_k": _SEARCH.format(vector="list_transform(embedding::DOUBLE[], lambda x: floor(1024 * x))",
                                     score="list_inner_product(q.v, c.v)::BIGINT", order="DESC", also=""),
     }
