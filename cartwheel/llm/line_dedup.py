@@ -45,10 +45,12 @@ def window_rows(docs: DataFrame, window: int) -> DataFrame:
 def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     """(doc_id, at): windows that occur earlier."""
     rows = written(window_rows(docs, window), "windows")
-    shared = rows.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
-    candidates = rows.join(shared.hint("shuffle_merge"), "fp")
+    # written tables on either side of a join leave AQE free to split a hot fingerprint or match
+    shared = written(rows.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp"), "fingerprints")
+    candidates = written(rows.join(shared.hint("shuffle_merge"), "fp"), "candidates")
     match = ["fp", "off", "r1", "r2"]
-    first = candidates.groupBy(*match).agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    first = written(candidates.groupBy(*match).agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n"))
+                    .filter("n > 1").drop("n"), "firsts")
     return (candidates.join(first.hint("shuffle_merge"), match)
             .filter(F.struct("doc_id", "at") > F.col("first")).select("doc_id", "at"))
 
