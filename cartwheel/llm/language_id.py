@@ -106,6 +106,8 @@ def sets_of(rows: DataFrame) -> DataFrame:
 def even_sample(rows: DataFrame, n: int) -> DataFrame:
     """At most ``n`` rows (lang, text), about as many of each language: those with the least (id hash x rows of the language)."""
     share = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    if share.count() <= 10_000:            # a language a row: below 1 MB
+        share = F.broadcast(share)
     uniform = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     picked = rows.join(share, "lang").select("doc_id", "lang", "text", (uniform * F.col("n")).alias("place"))
     return picked.orderBy("place", "doc_id", "lang", "text").limit(n)
