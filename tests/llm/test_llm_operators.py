@@ -1,0 +1,368 @@
+"""The training-data operators against brute force, exact libraries and held-out accuracy; odd inputs for each."""
+
+import base64
+import hashlib
+import os
+import random
+import sys
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+import brute  # noqa: E402
+from cartwheel.llm import bpe, language_id, line_dedup, packing, quality, simhash, substring_dedup, toxicity, vectors  # noqa: E402
+from cartwheel.llm.components import components  # noqa: E402
+from cartwheel.llm.registry import split_pattern, tokenizer_path  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, span long, choice string, h string, fp string, __0 string"
+
+
+def documents(spark, rows, parts=3):
+    """Documents with extra columns under the operators' own names."""
+    full = [(d, t, None, None, None, 1, "x", "y", "z", "w") for d, t in rows]
+    return spark.createDataFrame(full, DOCS).repartition(parts)
+
+
+def odd_rows():
+    rng = random.Random(5)
+    shared = ["".join(rng.choice("abcdeé \n") for _ in range(rng.randint(60, 400))) for _ in range(10)]
+    rows = []
+    for i in range(120):
+        parts = [rng.choice(shared)[rng.randint(0, 40):rng.randint(100, 400)] if rng.random() < .5 else
+                 "".join(rng.choice("abcdeé \n") for _ in range(rng.randint(0, 150))) for _ in range(rng.randint(0, 6))]
+        rows.append((i, "".join(parts)))
+    rows += [(200, "a" * 1500), (201, "a" * 2500 + "b"), (202, "ab" * 800), (203, None), (204, ""), (205, "xyz" * 300 + "q" + "xyz" * 300),
+             (206, "é" * 700), (207, " \n\t\n"), (208, "\n\nx y\nz\n\nx y\nz"), (209, "X Y\nz"), (None, "x y\nz\nw")]
+    return rows
+
+
+def by_id(df, *columns):
+    return {r["doc_id"]: tuple(r[c] for c in columns) for r in df.collect()}
+
+
+# ---- line dedup -------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("window", [1, 2, 3])
+def test_line_dedup_equals_brute_force(spark, window):
+    rows = odd_rows()
+    got = by_id(line_dedup.dedup_lines(documents(spark, rows), window), "text", "n_lines", "n_removed", "n_runs")
+    assert got == brute.line_dedup(rows, window)
+
+
+def test_line_dedup_rows_sharing_an_id_are_one_document(spark):
+    rows = [(1, "a\nb"), (1, "a\nb"), (2, "a\nb\nc"), (2, "a")]
+    got = by_id(line_dedup.dedup_lines(documents(spark, rows)), "text")
+    assert got == {1: ("a\nb",), 2: ("c",)}
+
+
+def test_line_dedup_is_native(spark):
+    plan = line_dedup.dedup_lines(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# ---- packing ----------------------------------------------------------------------------------
+
+def check_packing(rows, pieces, capacity):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    ids = {d: [*t.encode(x or "", add_special_tokens=False).ids, 1] for d, x in rows}
+    by_doc, by_seq = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        by_doc[p.doc_id].append(p)
+        by_seq[p.sequence_id].append(p)
+    assert set(by_doc) == set(ids)
+    for d, mine in by_doc.items():
+        at = 0
+        for p in sorted(mine, key=lambda p: p.start):
+            assert p.start == at and p.doc_tokens == len(ids[d]) and p.length > 0
+            assert p.ids_crc32 == zlib.crc32(np.array(ids[d][at:at + p.length], "<u4").tobytes())
+            at += p.length
+        assert at == len(ids[d])
+    for mine in by_seq.values():
+        at = 0
+        for p in sorted(mine, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at == mine[0].sequence_tokens <= capacity and at & (at - 1) == 0     # full or a power of two: no padding
+
+
+@pytest.mark.parametrize("capacity,group", [(2048, 1 << 19), (64, 500)])
+def test_packing(spark, capacity, group):
+    rows = [r for r in odd_rows() if r[0] is not None] + [(300, "x <|endoftext|> y"), (301, "word " * 5000), (302, "q" * 3000)]
+    out = packing.pack(documents(spark, rows), tokenizer_path("byte_bpe_50k.json"), capacity, 1, group).collect()
+    check_packing(rows, out, capacity)
+
+
+def test_packing_balances_cost():
+    docs = [(i, np.ones(n, "<u4")) for i, n in enumerate(np.random.default_rng(1).integers(1, 900, 300).tolist())]
+    cost = Counter()
+    for d, start, length, seq, offset, size in packing.pack_group(docs, 2048):
+        if size == 2048:
+            cost[seq] += length + length * length / 2048
+    assert max(cost.values()) < 1.5 * min(cost.values())
+
+
+def test_packing_ids_equal_tokenizers_on_the_table(spark):
+    from tokenizers import Tokenizer
+    t, encode = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json")), packing.encoder(tokenizer_path("byte_bpe_50k.json"))
+    for (text,) in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect():
+        assert t.encode(text, add_special_tokens=False).ids == encode(text)
+
+
+# ---- BPE --------------------------------------------------------------------------------------
+
+def test_bpe_equals_tiktoken_and_round_trips(spark):
+    import tiktoken
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    t = tiktoken.Encoding("own", pat_str=split_pattern(), mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(2)
+    rows = odd_rows()[:60] + odd_rows()[-11:] + [(400 + i, "".join(chr(rng.choice([rng.randint(32, 126), rng.randint(0xa0, 0x24f), rng.randint(0x4e00, 0x4f00)]))
+                                                                  for _ in range(rng.randint(0, 300)))) for i in range(60)]
+    rows += [(500, "don't I'll 12345"), (501, "🙂🙃" * 50), (502, " " * 3000), (503, "ab" * 2000)]
+    encoded = bpe.encode_documents(documents(spark, rows), path, split_pattern(), with_ids=True)
+    got = by_id(encoded, "n_tokens", "ids_sha256", "decoded_sha256", "ids")
+    for d, x in rows:
+        ids = t.encode_ordinary(x or "")
+        assert got[d] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                          hashlib.sha256((x or "").encode()).hexdigest(), ids)
+    assert by_id(bpe.decode_documents(encoded, path), "text") == {d: (x or "",) for d, x in rows}
+
+
+def test_bpe_single_and_grouped_pieces_agree():
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    ranks, _, longest = bpe.load_ranks(path)
+    rng = random.Random(3)
+    pieces = [bytes(rng.choice(b"abcdeth \xc3\xa9") for _ in range(rng.randint(1, 90))) for _ in range(800)]
+    assert [list(p) for p in bpe.encode_many(pieces, path)] == [bpe.encode_piece(p, ranks, longest) for p in pieces]
+
+
+# ---- SimHash ----------------------------------------------------------------------------------
+
+def test_simhash_equals_brute_force(spark):
+    rows = odd_rows() + [(600 + i, "the quick brown fox jumps over the lazy dog again and again " * 6 + str(i % 7)) for i in range(40)]
+    got = by_id(simhash.near_duplicates(documents(spark, rows)), "fingerprint", "component_id")
+    prints = {d: brute.fingerprint(t) for d, t in rows}
+    assert {d: f for d, (f, _) in got.items()} == {d: f"{f:016x}" for d, f in prints.items()}
+    known = {d: f for d, f in prints.items() if d is not None}
+    expected = brute.groups(known)
+    twins = {expected[d] for d, f in known.items() if (f ^ prints[None]).bit_count() <= 2}     # the null id is the smallest
+    assert {d: c for d, (_, c) in got.items()} == {**{d: None if c in twins else c for d, c in expected.items()}, None: None}
+
+
+@pytest.mark.parametrize("max_bits", [1, 2, 3, 4])
+def test_near_fingerprints_lose_no_link(spark, max_bits):
+    rng = random.Random(7)
+    prints = set()
+    for _ in range(6):
+        f = rng.getrandbits(64)
+        for _ in range(60):
+            f ^= 1 << rng.randrange(64)
+            if rng.random() < .3:
+                f ^= 1 << rng.randrange(64)
+            prints.add(f)
+    prints |= {0, 1, 3, (1 << 64) - 1, 1 << 63}
+    nodes = {i: f for i, f in enumerate(sorted(prints))}
+    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f, i) for i, f in nodes.items()], "fp long, node long")
+    found = {r.node: r.component for r in components(simhash.fingerprint_links(df, max_bits)).collect()}
+    assert {i: found.get(i, i) for i in nodes} == brute.groups(nodes, max_bits)
+
+
+def test_a_crowded_grid_point_is_linked_exactly():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, dtype=np.uint64)
+    fps = np.unique(np.array([int(base) ^ (1 << int(a)) ^ (1 << int(b)) ^ (1 << int(c)) for a, b, c in rng.integers(0, 64, (400, 3))], np.uint64))
+    i, j = simhash.near_links(fps, 2)
+    assert (np.bitwise_count(fps[i] ^ fps[j]) <= 2).all()
+    linked = {k: {k} for k in range(len(fps))}
+    for a, b in zip(i.tolist(), j.tolist()):
+        if linked[a] is not linked[b]:
+            both = linked[a] | linked[b]
+            for x in both:
+                linked[x] = both
+    expected = brute.groups({k: int(f) for k, f in enumerate(fps)})
+    assert {k: min(v) for k, v in linked.items()} == expected
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5), (3000, 2999), (3000, 2999)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(1, 301)}, **{1000 + i: 1000 for i in range(1, 200)}, 3000: 2999}
+
+
+# ---- substring dedup --------------------------------------------------------------------------
+
+@pytest.mark.parametrize("length,gram,hot", [(100, 32, 50_000), (40, 12, 3), (100, 32, 2), (30, 10, 10)])
+def test_substring_dedup_equals_brute_force(spark, length, gram, hot):
+    rows = odd_rows()
+    out = substring_dedup.dedup_substrings(documents(spark, rows), length, gram=gram, hot=hot, with_text=True)
+    got = by_id(out, "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == brute.substring_dedup(rows, length)
+
+
+def test_families_cut_by_chunks_and_hash_collisions_change_nothing():
+    text = (b"abcabcabd" * 60 + b"hello world, this is text " * 30) * 2
+    data, offsets = np.frombuffer(text, np.uint8), np.array([0, 700, 700, len(text)])
+    windows = [s for s in range(len(text) - 39) if not (s < 700 < s + 40)]
+    for chunk in (50, 333, 1 << 20):
+        found = [s + i for start, count, *_ in substring_dedup.families(data, offsets, 40, 12, chunk) for s, n in zip(start, count) for i in range(n)]
+        assert sorted(found) == windows
+
+
+# ---- vectors ----------------------------------------------------------------------------------
+
+def odd_vectors(spark):
+    rng = np.random.default_rng(6)
+    m = rng.normal(size=(450, 16)).astype("float32")
+    m[50:90] = m[10:50]                       # ties
+    rows = [(i, m[i].tolist()) for i in range(450)]
+    rows += [(500, None), (600, [1.0] * 15 + [None]), (700, [float("nan")] * 16), (800, [0.0] * 16), (900, [1e30] * 16), (None, [1.0] * 16),
+             (1000, [1.0, 2.0]), (1100, []), (100, [-9.0] * 16)]
+    return rows, spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<float>, v string, dim int").repartition(4)
+
+
+@pytest.mark.parametrize("block,shard", [(8192, 1 << 16), (2, 37)])
+def test_vector_search_equals_brute_force(spark, block, shard):
+    rows, df = odd_vectors(spark)
+    usable = {}
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+            v = [float(np.float32(x)) for x in v]
+            usable[i] = max(usable.get(i, v), v)
+    for kind, zero in ((vectors.exact_top_k, True), (vectors.nearest, False)):
+        expected = {}
+        part = {i: v for i, v in usable.items() if zero or any(v)}
+        for q in [i for i in part if i % 100 == 0]:
+            hits = []
+            for c, v in part.items():
+                if c != q and len(v) == len(part[q]):
+                    if zero:
+                        s = sum(int(np.floor(1024 * a)) * int(np.floor(1024 * b)) for a, b in zip(part[q], v))
+                        hits.append((-max(-(1 << 63) + 1, min((1 << 63) - 1, s)), c))
+                    else:
+                        hits.append((float(np.sqrt(sum((a - b) ** 2 for a, b in zip(part[q], v)))), c))
+            for r, (s, c) in enumerate(sorted(hits)[:10]):
+                expected[q, r + 1] = (c, -s if zero else s)
+        got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in kind(df, block=block, shard=shard).collect()}
+        assert got.keys() == expected.keys()
+        for k, (c, s) in expected.items():
+            assert got[k][0] == c and got[k][1] == pytest.approx(s, rel=1e-12), (kind, k)
+
+
+# ---- classifiers ------------------------------------------------------------------------------
+
+def test_language_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    truth = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    got = [r for r in language_id.predict_languages(docs).collect()]
+    assert len(got) == len(truth)
+    held = [r for r in got if r.held_out]
+    assert {r.doc_id for r in held} == {d for d in truth if zlib.crc32(str(d).encode()) % 5 == 0}
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.97
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_odd_texts(spark):
+    rows = [(i, t, lang, 1) for i, (t, lang) in enumerate([("hello there you", "en"), ("bonjour à tous", "fr")] * 20)]
+    rows += [(100, None, "en", 1), (101, "", None, 1), (102, "123 !? ٣", "fr", 1), (None, "bonjour à toi", None, 1), (103, "hello you " * 20000, None, 1)]
+    got = by_id(language_id.predict_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string, k int")), "lang_pred", "score")
+    assert [got[i][0] for i in (100, 101, 102)] == ["und"] * 3 and got[103][0] == "en" and got[None][0] == "fr"
+
+
+def test_language_without_labels_is_undetermined(spark):
+    df = spark.createDataFrame([(1, "hello", None), (2, "text", None)], "doc_id long, text string, lang string")
+    assert by_id(language_id.predict_languages(df), "lang_pred", "score") == {1: ("und", 0.0), 2: ("und", 0.0)}
+
+
+def toxic_corpus(spark, n=1500):
+    rng = random.Random(8)
+    words = ["".join(rng.choice(["an", "er", "th", "on", "re", "in"]) for _ in range(rng.randint(1, 4))) for _ in range(800)]
+    rows, labels = [], []
+    for i in range(n):
+        text = [rng.choice(words) for _ in range(rng.randint(30, 120))]
+        toxic = int(rng.random() < .2)
+        if toxic:
+            for _ in range(max(2, len(text) // 20)):
+                text[rng.randrange(len(text))] = rng.choice(["idiot", "scumbags", "vequ" + rng.choice(words)])
+        rows.append((i, " ".join(text)))
+        labels.append((i, toxic))
+    return rows, labels
+
+
+def test_toxicity_finds_toxic_texts_and_leaves_the_rest(spark):
+    rows, labels = toxic_corpus(spark)
+    truth = dict(labels)
+    marks = spark.createDataFrame([*labels, labels[0], (None, 1), (5000, None)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.predict_toxicity(documents(spark, [*rows, (4000, None), (4001, ""), (4002, "an er " * 50000)]), marks).collect()}
+    held = [r for d, r in got.items() if r.held_out and d in truth]
+    hits = sum(r.predicted and truth[r.doc_id] for r in held)
+    assert hits >= 0.9 * sum(truth[r.doc_id] for r in held) and hits >= 0.9 * sum(r.predicted for r in held)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= .5) for r in got.values())
+    assert not any(got[d].predicted for d in (4000, 4001, 4002))
+
+
+@pytest.mark.parametrize("toxic", [None, 0, 1])
+def test_toxicity_with_one_class_or_none(spark, toxic):
+    labels = spark.createDataFrame([(i, toxic) for i in range(10)] if toxic is not None else [], "doc_id long, toxic int")
+    got = by_id(toxicity.predict_toxicity(documents(spark, [(i, f"word {i}") for i in range(10)]), labels), "predicted")
+    assert set(got.values()) == {(toxic or 0,)}
+
+
+def test_quality_prefers_target_texts_and_samples_the_share(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.resample(docs, labels).collect()
+    assert len(rows) == 1000 and sum(r.selected for r in rows) == 500
+    assert {r.doc_id for r in rows if r.selected} == {r.doc_id for r in sorted(rows, key=lambda r: (-r.gumbel_key, r.doc_id))[:500]}
+    good = {r.doc_id: r.quality for r in labels.collect()}
+    share = lambda q: np.mean([r.selected for r in rows if good.get(r.doc_id) == q])
+    assert share(1) > 5 * share(0)
+
+
+def test_quality_features_equal_a_plain_count(spark):
+    text = "The  cat\tsat THE cat"
+    data = np.frombuffer(text.encode(), np.uint8)
+    at, owner = quality.features(data, np.array([0, len(data)]))
+    n = Counter(at.tolist())
+    assert len(at) == 9 and set(owner.tolist()) == {0} and sorted(n.values()) == [1, 1, 1, 2, 2, 2]
+
+
+def test_quality_ties_empties_and_no_labels(spark):
+    rows = [(i, "same text") for i in range(6)] + [(1, "same text"), (None, None), (20, ""), (21, "x " * 100000)]
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    got = quality.resample(documents(spark, rows), labels, fraction=0.4).collect()
+    assert len(got) == len(rows) and all(r.log_ratio == 0 for r in got) and 4 <= sum(r.selected for r in got) <= 5
+
+
+# ---- empty tables -----------------------------------------------------------------------------
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([], "doc_id long, toxic int, quality int")
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    frames = [line_dedup.dedup_lines(docs), packing.pack(docs, tokenizer_path("byte_bpe_50k.json")),
+              toxicity.predict_toxicity(docs, labels), vectors.nearest(empty), vectors.exact_top_k(empty),
+              bpe.encode_documents(docs, tokenizer_path("byte_bpe_multi_50k.tiktoken"), split_pattern()), quality.resample(docs, labels),
+              language_id.predict_languages(docs), simhash.near_duplicates(docs), substring_dedup.dedup_substrings(docs)]
+    assert [f.count() for f in frames] == [0] * len(frames)
+
+
+def test_all_null_rows(spark):
+    docs = documents(spark, [(None, None), (None, None)])
+    labels = spark.createDataFrame([(None, None, None)], "doc_id long, toxic int, quality int")
+    assert line_dedup.dedup_lines(docs).count() == 1
+    assert substring_dedup.dedup_substrings(docs).count() == 1
+    for f in (packing.pack(docs, tokenizer_path("byte_bpe_50k.json")), toxicity.predict_toxicity(docs, labels),
+              bpe.encode_documents(docs, tokenizer_path("byte_bpe_multi_50k.tiktoken"), split_pattern()),
+              quality.resample(docs, labels), language_id.predict_languages(docs), simhash.near_duplicates(docs)):
+        assert f.count() == 2
+
+
+def test_held_out_is_crc32_of_the_id_text(spark):
+    from cartwheel.llm.common import held_out
+    got = spark.range(50).select(F.col("id").alias("doc_id"), held_out("id").alias("h")).collect()
+    assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
