@@ -33,8 +33,8 @@ from .common import one_row_per_id, real_id, slices, text_buffers, written
 from .suffix import Hashed, mixed, sliding
 
 GRAM = 32
-CHUNK = 1 << 20      # windows hashed at a time; also the most windows of a family
-SETTLE = 1 << 19     # families a task holds while it settles its own copies
+CHUNK = 1 << 19      # windows hashed at a time; also the most windows of a family
+SETTLE = 1 << 18     # families a task holds while it settles its own copies
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 COVERED, BORDER, HOT = 0, 1, 2
 
@@ -278,7 +278,7 @@ def border_blocks(joined: DataFrame, length: int) -> DataFrame:
     return joined.mapInArrow(task, "choice long, doc_id long, start long, count long, bytes binary")
 
 
-def settle_borders(blocks: DataFrame, length: int, chunk_bytes: int = 1 << 22) -> DataFrame:
+def settle_borders(blocks: DataFrame, length: int, chunk_bytes: int = 1 << 21) -> DataFrame:
     """Border blocks -> (doc_id, start, count) of the windows that occur earlier."""
     names = ["doc_id", "start", "count"]
 

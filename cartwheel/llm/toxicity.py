@@ -10,7 +10,8 @@ adds almost nothing where these are alike.  A text's evidence is log P(text | to
 curve from evidence to score is fitted as well, on a bounded sample of ``calibrate_rows`` rows per class.
 
 Counts are gathered over all labelled training rows as Spark groupings of exact n-grams.  Only the finished tables come to the
-driver and go out for scoring: ``SIZES`` buckets by order (n-grams that share a bucket add up), 100 MB whatever the corpus is.
+driver and go out for scoring: ``SIZES`` buckets by order (n-grams that share a bucket add up), 55 MB in memory
+whatever the corpus is.
 
 Words are maximal runs of letters of the whole lower-cased text.  Null, empty and wordless texts have evidence 0.  Without
 toxic or without ordinary training rows every text gets that one class's score.  Labels that share a doc_id count
@@ -20,6 +21,7 @@ source and doc_id are never inputs of a score."""
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -30,8 +32,8 @@ from pyspark.sql import functions as F
 from .common import held_out, id_text, slices, written
 
 TOP = 6
-SIZES = (0, 1 << 10, 1 << 16, 1 << 17, 1 << 19, 1 << 20, 1 << 21)      # buckets by order
-SLOTS = 1 << 21
+SIZES = (0, 1 << 10, 1 << 14, 1 << 16, 1 << 18, 1 << 19, 1 << 20)      # buckets by order
+SLOTS = 1 << 20
 RARE = (20, 80, 320, 1280, 5120, 20480)
 DISCOUNT = 0.75
 BROADCAST_ROWS = 2_000_000         # labels are broadcast up to here (16 bytes each), else joined by shuffle
@@ -128,18 +130,33 @@ class Model:
     """For each (owner, order): discounted counts, context totals and different successors, by bucket."""
 
     def __init__(self, slot: np.ndarray, value: np.ndarray):
-        self.parts = {}
         order = np.argsort(slot)
-        slot, value = slot[order], value[order].astype(np.float32)
+        self.slot, self.value = slot[order], value[order].astype(np.float32)
+        self.rare, self.curve = RARE[0], (0.0, 0.0)        # slope and offset of the logistic curve
+        self.spread()
+
+    def spread(self) -> None:
+        """The tables as arrays."""
+        self.parts = {}
         for owner in range(3):
             for o in range(1, TOP + (owner < 2)):
                 raw = np.zeros((3, SIZES[o]), np.float32)
                 for kind in range(3):
                     base = ((owner * 8 + o) * 3 + kind) * SLOTS
-                    lo, hi = np.searchsorted(slot, [base, base + SLOTS])
-                    raw[kind, slot[lo:hi] - base] = value[lo:hi]
+                    lo, hi = np.searchsorted(self.slot, [base, base + SLOTS])
+                    raw[kind, self.slot[lo:hi] - base] = self.value[lo:hi]
                 self.parts[owner, o] = raw
-        self.rare, self.curve = RARE[0], (0.0, 0.0)        # slope and offset of the logistic curve
+
+    def __getstate__(self):
+        """Only the buckets in use travel, packed: on disk a broadcast takes a few bytes for each."""
+        gaps = np.diff(self.slot, prepend=0).astype(np.uint32)
+        return {"slot": zlib.compress(gaps.tobytes(), 1), "value": zlib.compress(self.value.tobytes(), 1), "rare": self.rare, "curve": self.curve}
+
+    def __setstate__(self, state):
+        self.slot = np.cumsum(np.frombuffer(zlib.decompress(state["slot"]), np.uint32), dtype=np.int64)
+        self.value = np.frombuffer(zlib.decompress(state["value"]), np.float32)
+        self.rare, self.curve = state["rare"], state["curve"]
+        self.spread()
 
     def word_ratios(self, words: list[str], rares) -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary), a row for each threshold."""
@@ -233,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, calibrate_rows: int = 4000) -> Model
                 .mapInArrow(task, "toxic int, " + ", ".join(f"e{i} double" for i in range(len(RARE)))).toPandas())
         parts.append(part.to_numpy(float))       # calibrate_rows rows at most
         weights.append(np.full(len(part), n / max(1, len(part))))
-    shared.unpersist()
+    shared.destroy()
     if len(parts) < 2:
         model.curve = (0.0, 30.0 if 1 in sizes else -30.0)
         return model
