@@ -123,7 +123,8 @@ def tables(rows: DataFrame) -> DataFrame:
                 values += [np.maximum(n[at] - DISCOUNT, 0), n[at].astype(float), np.ones(int(at.sum()))]
             slot, at = np.unique(np.concatenate(slots), return_inverse=True)
             yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(np.bincount(at, np.concatenate(values)))], names=["slot", "value"])
-    return rows.mapInArrow(task, "slot long, value double").groupBy("slot").agg(F.sum("value").alias("value"))
+    return rows.mapInArrow(task, "slot long, value double").groupBy("slot").agg(
+        F.sum("value").cast("float").alias("value"))
 
 
 class Model:
@@ -133,10 +134,10 @@ class Model:
         order = np.argsort(slot)
         self.slot, self.value = slot[order], value[order].astype(np.float32)
         self.rare, self.curve = RARE[0], (0.0, 0.0)        # slope and offset of the logistic curve
-        self.spread()
+        self.parts = None
 
     def spread(self) -> None:
-        """The tables as arrays."""
+        """The tables as arrays, where texts are scored (never in the driver)."""
         self.parts = {}
         for owner in range(3):
             for o in range(1, TOP + (owner < 2)):
@@ -155,13 +156,14 @@ class Model:
     def __setstate__(self, state):
         self.slot = np.cumsum(np.frombuffer(zlib.decompress(state["slot"]), np.uint32), dtype=np.int64)
         self.value = np.frombuffer(zlib.decompress(state["value"]), np.float32)
-        self.rare, self.curve = state["rare"], state["curve"]
-        self.spread()
+        self.rare, self.curve, self.parts = state["rare"], state["curve"], None
 
     def word_ratios(self, words: list[str], rares) -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary), a row for each threshold."""
         if not words:
             return np.zeros((len(rares), 0))
+        if self.parts is None:
+            self.spread()
         code, sizes = spelled(words)
         lower = np.full(len(code), 1 / 256, np.float32)
         ratio = np.zeros((len(rares), len(code)), np.float32)
@@ -231,7 +233,8 @@ def fit(docs: DataFrame, labels: DataFrame, calibrate_rows: int = 4000) -> Model
     """Counts from folds 2 to 4; the curve and ``rare`` from fold 1."""
     rows = labelled(docs, labels)
     got = tables(levels(written(counted(rows.filter("fold > 1")), "grams"))).toPandas()     # bounded by the sizes of the tables
-    model = Model(got["slot"].to_numpy(np.int64), got["value"].to_numpy(float))
+    model = Model(got["slot"].to_numpy(np.int64), got["value"].to_numpy(np.float32))
+    del got
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def task(batches):
