@@ -96,16 +96,13 @@ def counted(rows: DataFrame) -> DataFrame:
 
 def levels(top: DataFrame) -> DataFrame:
     """(owner, order, gram, n): counts of each class (owner 0 or 1) at every order; owner 2: continuation counts of both below the top."""
-    out, level = None, top
-    for order in range(TOP, 0, -1):
-        shorter = F.col("gram").bitwiseAND((1 << 8 * order) - 1).alias("gram")
-        if order < TOP:
-            both = level.select("gram").distinct().groupBy(shorter).agg(F.count("*").alias("n"))
-            level = level.groupBy("toxic", shorter).agg(F.sum("n").alias("n"))
-            out = out.unionByName(both.select(F.lit(2).alias("owner"), F.lit(order).alias("order"), "gram", "n"))
-        rows = level.select(F.col("toxic").alias("owner"), F.lit(order).alias("order"), "gram", "n")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    ends = lambda order: F.col("gram").bitwiseAND((1 << 8 * order) - 1)
+    every = F.explode(F.array(*[F.struct(F.lit(o).alias("order"), ends(o).alias("gram")) for o in range(1, TOP + 1)])).alias("g")
+    raw = written(top.select(F.col("toxic").alias("owner"), "n", every).groupBy("owner", "g.order", "g.gram").agg(F.sum("n").alias("n")), "levels")
+    shorter = F.coalesce(*[F.when(F.col("order") == o + 1, ends(o)) for o in range(1, TOP)]).alias("gram")
+    both = (raw.filter("order > 1").select("order", "gram").distinct()
+            .groupBy((F.col("order") - 1).alias("order"), shorter).agg(F.count("*").alias("n")))
+    return raw.unionByName(both.select(F.lit(2).alias("owner"), "order", "gram", "n"))
 
 
 def tables(rows: DataFrame) -> DataFrame:
