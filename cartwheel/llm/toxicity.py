@@ -102,7 +102,11 @@ def levels(top: DataFrame) -> DataFrame:
     shorter = F.coalesce(*[F.when(F.col("order") == o + 1, ends(o)) for o in range(1, TOP)]).alias("gram")
     both = (raw.filter("order > 1").select("order", "gram").distinct()
             .groupBy((F.col("order") - 1).alias("order"), shorter).agg(F.count("*").alias("n")))
-    return raw.unionByName(both.select(F.lit(2).alias("owner"), "order", "gram", "n"))
+    rows = raw.unionByName(both.select(F.lit(2).alias("owner"), "order", "gram", "n"))
+    # contexts that both classes together have seen less than every threshold are never asked for
+    context = ["order", F.shiftright("gram", 8).alias("context")]
+    often = raw.groupBy(*context).agg(F.sum("n").alias("n")).filter(F.col("n") >= min(RARE)).drop("n")
+    return rows.withColumn("context", context[1]).join(often, ["order", "context"], "left_semi").select(*raw.columns)
 
 
 def tables(rows: DataFrame) -> DataFrame:
@@ -120,40 +124,50 @@ def tables(rows: DataFrame) -> DataFrame:
                 values += [np.maximum(n[at] - DISCOUNT, 0), n[at].astype(float), np.ones(int(at.sum()))]
             slot, at = np.unique(np.concatenate(slots), return_inverse=True)
             yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(np.bincount(at, np.concatenate(values)))], names=["slot", "value"])
-    return rows.mapInArrow(task, "slot long, value double").groupBy("slot").agg(
-        F.sum("value").cast("float").alias("value"))
+    return rows.mapInArrow(task, "slot long, value double").groupBy("slot").agg(F.sum("value").alias("value"))
+
+
+def packed(sums: DataFrame) -> DataFrame:
+    """(slot, value) -> compressed runs of both, a few bytes a slot: what comes to the driver and goes out again."""
+    def task(batches):
+        held = []
+
+        def emit():
+            slot, value = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(slot)
+            row = zlib.compress(np.diff(slot[order], prepend=0).astype(np.uint32).tobytes(), 1), zlib.compress(value[order].astype(np.float32).tobytes(), 1)
+            return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in row], names=["slot", "value"])
+
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)))
+            if sum(len(x[0]) for x in held) >= 1 << 18:
+                yield emit()
+                held = []
+        if held:
+            yield emit()
+
+    return sums.mapInArrow(task, "slot binary, value binary")
 
 
 class Model:
     """For each (owner, order): discounted counts, context totals and different successors, by bucket."""
 
-    def __init__(self, slot: np.ndarray, value: np.ndarray):
-        order = np.argsort(slot)
-        self.slot, self.value = slot[order], value[order].astype(np.float32)
+    def __init__(self, runs: list[tuple[bytes, bytes]]):
+        self.runs, self.parts = runs, None
         self.rare, self.curve = RARE[0], (0.0, 0.0)        # slope and offset of the logistic curve
-        self.parts = None
 
     def spread(self) -> None:
         """The tables as arrays, where texts are scored (never in the driver)."""
-        self.parts = {}
-        for owner in range(3):
-            for o in range(1, TOP + (owner < 2)):
-                raw = np.zeros((3, SIZES[o]), np.float32)
+        raw = {(owner, o): np.zeros((3, SIZES[o]), np.float32) for owner in range(3) for o in range(1, TOP + (owner < 2))}
+        for slot, value in self.runs:
+            slot = np.cumsum(np.frombuffer(zlib.decompress(slot), np.uint32), dtype=np.int64)
+            value = np.frombuffer(zlib.decompress(value), np.float32)
+            for (owner, o), table in raw.items():
                 for kind in range(3):
                     base = ((owner * 8 + o) * 3 + kind) * SLOTS
-                    lo, hi = np.searchsorted(self.slot, [base, base + SLOTS])
-                    raw[kind, self.slot[lo:hi] - base] = self.value[lo:hi]
-                self.parts[owner, o] = raw
-
-    def __getstate__(self):
-        """Only the buckets in use travel, packed: on disk a broadcast takes a few bytes for each."""
-        gaps = np.diff(self.slot, prepend=0).astype(np.uint32)
-        return {"slot": zlib.compress(gaps.tobytes(), 1), "value": zlib.compress(self.value.tobytes(), 1), "rare": self.rare, "curve": self.curve}
-
-    def __setstate__(self, state):
-        self.slot = np.cumsum(np.frombuffer(zlib.decompress(state["slot"]), np.uint32), dtype=np.int64)
-        self.value = np.frombuffer(zlib.decompress(state["value"]), np.float32)
-        self.rare, self.curve, self.parts = state["rare"], state["curve"], None
+                    lo, hi = np.searchsorted(slot, [base, base + SLOTS])
+                    table[kind, slot[lo:hi] - base] = value[lo:hi]
+        self.parts = raw
 
     def word_ratios(self, words: list[str], rares) -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary), a row for each threshold."""
@@ -229,9 +243,8 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, calibrate_rows: int = 4000) -> Model:
     """Counts from folds 2 to 4; the curve and ``rare`` from fold 1."""
     rows = labelled(docs, labels)
-    got = tables(levels(written(counted(rows.filter("fold > 1")), "grams"))).toPandas()     # bounded by the sizes of the tables
-    model = Model(got["slot"].to_numpy(np.int64), got["value"].to_numpy(np.float32))
-    del got
+    sums = tables(levels(written(counted(rows.filter("fold > 1")), "grams")))
+    model = Model([(bytes(r.slot), bytes(r.value)) for r in packed(sums).collect()])     # bounded by the sizes of the tables
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def task(batches):
