@@ -40,11 +40,12 @@ def latest_per_key(df: DataFrame, keys, order_cols) -> DataFrame:
 
 
 def anti_join_seen(batch: DataFrame, seen: DataFrame, keys) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``seen``.  No broadcast hint: the
+    """Rows of ``batch`` whose key is not in ``seen``; the seen side is reduced to its keys before the join,
+    so a hot one is a single row.  No broadcast hint: the
     seen-key set grows with the data, so the join strategy is left to the
     size check of the planner/AQE (broadcast while small, shuffle beyond)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return batch.join(seen.select(*keys), keys, "left_anti")
+    return batch.join(seen.select(*keys).distinct(), keys, "left_anti")
 
 
 def distinct_union(a: DataFrame, b: DataFrame, keys) -> DataFrame:

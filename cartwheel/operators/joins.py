@@ -31,21 +31,10 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return left.join(right, cond, how)
 
 
-def dimension_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                     how: str = "left", broadcast_dim: bool = False,
-                     broadcast_max_rows: int | None = None) -> DataFrame:
-    """Left lookup of a dimension row.
-
-    ``broadcast_dim`` is only for dimensions with a fixed size bound.
-    ``broadcast_max_rows`` checks the size first (one count of the dimension)
-    and broadcasts only below the limit, with a shuffle join beyond it.
-    Without either, the planner decides by its size estimate
+def dimension_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "left") -> DataFrame:
+    """Left lookup of a dimension row; the planner picks the join by its size estimate
     (``autoBroadcastJoinThreshold``) and AQE by the runtime size."""
-    use_broadcast = broadcast_dim
-    if broadcast_max_rows is not None:
-        use_broadcast = dim.count() <= broadcast_max_rows
-    d = F.broadcast(dim) if use_broadcast else dim
-    return fact.join(d, fact[fact_key] == d[dim_key], how)
+    return fact.join(dim, fact[fact_key] == dim[dim_key], how)
 
 
 def one_row(stats: DataFrame):

@@ -1,11 +1,9 @@
-"""Keyed upsert into plain Parquet tables.
-
-``upsert`` merges a batch into a table directory so that each key holds one
-row (first-wins or last-wins by an ordering), rewriting only the partitions
-the batch touches (dynamic partition overwrite).  The merged result is cut
-from its lineage with a reliable ``checkpoint()`` (stored under
-``spark.checkpoint.dir``) before the overwrite, so the write never reads the
-files it replaces.  Replaying a batch yields the same table (idempotent).
+"""Keyed tables as append-only Parquet.
+
+A micro-batch writes its rows into a folder of its own, ``[partition=.../]batch_id=N``; the latest (or first) row
+per key is picked when the table is read.  So a write costs what the batch holds, whatever the table holds; a
+write that fails leaves every stored row; a replayed batch replaces its own folder only; and a reader running during a
+write sees whole earlier batches.  ``compact`` writes the picked rows as a new table and leaves the old one alone.
 """
 
 from __future__ import annotations
@@ -14,34 +12,84 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
 from .dedup import pick_per_key
 
+BATCH = "batch_id"
+
+
+def _names(cols) -> list[str]:
+    return [cols] if isinstance(cols, str) else list(cols or [])
+
+
+def append(batch: DataFrame, path: str, batch_id: int, partition_by=None) -> None:
+    """Write ``batch`` as micro-batch ``batch_id`` of the table; a replay overwrites that micro-batch only."""
+    parts = _names(partition_by)
+    # few files per partition; AQE still splits a skewed partition value
+    out = batch.withColumn(BATCH, F.lit(int(batch_id)).cast("long")).hint("rebalance", *parts)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*parts, BATCH).parquet(path))
+
 
-def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """The table at ``path`` or None.  With ``schema`` the partition columns
-    keep the given types (no inference of dates/numbers from folder names)."""
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """All rows of all micro-batches (with ``batch_id``), None if nothing was ever written there.
+    A folder that is there but holds no readable table raises: it must not pass for an empty one."""
     try:
-        r = spark.read.schema(schema) if schema is not None else spark.read
-        return r.parquet(path)
-    except AnalysisException as e:  # PATH_NOT_FOUND / UNABLE_TO_INFER_SCHEMA on an empty dir
-        msg = str(e)
-        if "PATH_NOT_FOUND" in msg or "does not exist" in msg or "UNABLE_TO_INFER_SCHEMA" in msg:
+        table = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
             return None
-        raise
+        raise RuntimeError(f"keyed table {path} is there but cannot be read") from e
+    if BATCH not in table.columns:
+        raise RuntimeError(f"{path} is not a keyed table: it has no {BATCH}")
+    return table.withColumn(BATCH, F.col(BATCH).cast("long"))
+
+
+def first_number(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """The number that a stream's micro-batch 0 gets in the table: one above those stored when this checkpoint was new.  It is
+    kept beside the checkpoint, so a restarted stream goes on and a stream with a new checkpoint overwrites nothing."""
+    note = f"{checkpoint}/first_number"
+    try:
+        return int(spark.read.text(note).first()[0])
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    table = stored(spark, path)
+    last = table.agg(F.max(BATCH)).first()[0] if table is not None else None
+    first = 0 if last is None else last + 1
+    spark.createDataFrame([(str(first),)], "value string").coalesce(1).write.text(note)
+    return first
+
+
+def read_keyed(spark: SparkSession, path: str, keys, order_by=(), keep: str = "last", where=None) -> DataFrame | None:
+    """One row per key: of the last micro-batch that wrote it (``keep='first'``: of the first), within a micro-batch the
+    largest (smallest) by ``order_by``.  A filter on key columns prunes by itself; ``where`` prunes by columns that never
+    change for a key."""
+    table = stored(spark, path)
+    if table is None:
+        return None
+    if where is not None:
+        table = table.where(where)
+    return pick_per_key(table, _names(keys), [BATCH, *_names(order_by)], keep).drop(BATCH)
+
+
+def compact(spark: SparkSession, path: str, to: str, keys, order_by=(), keep: str = "last", partition_by=None) -> None:
+    """The picked rows as one micro-batch (numbered as the last one) of a new table at ``to``.  Nothing at ``path`` is
+    touched; readers and the writer move to ``to`` when they are restarted."""
+    last = stored(spark, path).agg(F.max(BATCH)).first()[0]
+    append(read_keyed(spark, path, keys, order_by, keep), to, last, partition_by)
 
 
 def fill_missing_ids(df: DataFrame, id_col: str) -> DataFrame:
-    """Rows without an id get a deterministic content id (append semantics
-    that stay idempotent on replay)."""
+    """Every row without an id gets one of its own (content and place), so equal rows without ids all stay."""
     content = F.sha2(F.to_json(F.struct(*[c for c in df.columns if c != id_col])), 256)
-    return df.withColumn(id_col, F.coalesce(F.col(id_col), F.concat(F.lit("auto-"), content)))
+    own = F.concat_ws("-", F.lit("auto"), content, F.monotonically_increasing_id().cast("string"))
+    return df.withColumn(id_col, F.coalesce(F.col(id_col).cast("string"), own))
 
 
 def split_rejected(df: DataFrame, keys) -> tuple[DataFrame, DataFrame]:
     """(rows whose key columns are all set, rejected rows with a reason).
     Rejected rows are returned as data for a side output, never just logged."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
+    keys = _names(keys)
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
@@ -50,66 +98,13 @@ def split_rejected(df: DataFrame, keys) -> tuple[DataFrame, DataFrame]:
     return ok, bad
 
 
-def touched_partitions(batch: DataFrame, parts) -> "F.Column":
-    """Static partition filter for the partitions a batch touches.
-
-    Only the distinct partition values travel to the driver (a few days per
-    micro-batch; at most the number of partitions), which turns the read of
-    the stored table into a pruned scan (``PartitionFilters``) instead of a
-    full scan followed by a join."""
-    cond = F.lit(True)
-    for p in parts:
-        vals = [r[0] for r in batch.select(p).distinct().collect()]
-        c = F.col(p).isin([v for v in vals if v is not None])
-        if any(v is None for v in vals):
-            c = c | F.col(p).isNull()
-        cond = cond & c
-    return cond
-
-
-def upsert(batch: DataFrame, path: str, keys, order_by, keep: str = "last",
-           partition_by=None) -> None:
-    """Merge ``batch`` into the Parquet table at ``path``.
-
-    keys        key columns (one row per key afterwards)
-    order_by    ordering columns; ``keep='last'`` keeps the largest tuple
-                (replace), ``keep='first'`` the smallest (first write wins)
-    partition_by  partition columns; only partitions present in the batch
-                are read and rewritten
-    """
-    spark = batch.sparkSession
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-    checkpoint_root(spark)
-    existing = read_if_exists(spark, path)
-    merged = batch
-    if existing is not None:
-        # stored types win for data columns; partition folder values take the batch's types
-        stored = {f.name: f.dataType for f in existing.schema.fields}
-        btypes = {f.name: f.dataType for f in batch.schema.fields}
-        batch = batch.select(*[F.col(c).cast(stored[c]).alias(c) if c in stored and c not in parts
-                               and stored[c] != btypes[c] else F.col(c) for c in batch.columns])
-        old = existing.select(*[F.col(c).cast(btypes[c]).alias(c) if c in parts and stored.get(c) != btypes[c]
-                                else F.col(c) for c in batch.columns])
-        if parts:
-            old = old.where(touched_partitions(batch, parts))
-            if len(parts) > 1:
-                old = old.join(batch.select(*parts).distinct(), parts, "left_semi")
-        merged = old.unionByName(batch)
-    result = pick_per_key(merged, keys, order_by, keep)
-    if existing is not None:
-        # the write replaces files this plan reads: materialise it first
-        result = result.checkpoint(eager=True)
-    if parts:
-        # few files per partition; AQE still splits a skewed partition value
-        result = result.hint("rebalance", *parts)
-    w = result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if parts:
-        w = w.partitionBy(*parts)
-    w.parquet(path)
-
-
-def append_distinct(batch: DataFrame, path: str, keys, partition_by=None) -> None:
-    """Set-add of key tuples (idempotent): keeps one row per key."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    upsert(batch.select(*keys).distinct(), path, keys, keys, "first", partition_by)
+def append_accepted(batch: DataFrame, path: str, batch_id: int, keys, partition_by=None) -> None:
+    """Append the rows that have a key; the others go to the table ``<path>_rejected`` with a reason."""
+    ok, bad = split_rejected(batch, keys)
+    append(ok, path, batch_id, partition_by)
+    append(bad, f"{path}_rejected", batch_id)
+
+
+def append_distinct(batch: DataFrame, path: str, keys, batch_id: int, partition_by=None) -> None:
+    """Set-add of key tuples; read the set with ``read_keyed(spark, path, keys)``."""
+    append(batch.select(*_names(keys)).distinct(), path, batch_id, partition_by)

@@ -70,19 +70,34 @@ def window_long(panes: DataFrame, window_ms: int, slide_ms: int, only_windows: D
     """(mid, wstart, kind, key, n): pane rows merged into every window containing them."""
     w = to_windows(panes.select("mid", "pane", "kind", "key", "n"), window_ms, slide_ms)
     if only_windows is not None:
-        w = w.join(only_windows, ["mid", "wstart"], "left_semi")
+        w = same_windows(w, only_windows)
     return w.groupBy("mid", "wstart", "kind", "key").agg(F.sum("n").alias("n"))
 
 
-def qualifying_windows(wl: DataFrame, min_users: int) -> DataFrame:
-    """(mid, wstart, n_uids) of windows with no click and >= min_users coupon
-    users (hash aggregate; no lists)."""
+def same_windows(wl: DataFrame, windows: DataFrame) -> DataFrame:
+    """Rows of ``wl`` that belong to one of ``windows`` (mid, wstart); a null device is a device."""
+    w = windows.select(F.col("mid").alias("_mid"), F.col("wstart").alias("_wstart"))
+    return wl.join(w, F.col("mid").eqNullSafe(F.col("_mid")) & (F.col("wstart") == F.col("_wstart")), "left_semi")
+
+
+def _crowded_windows(wl: DataFrame, min_users: int) -> DataFrame:
+    """(mid, wstart, clicks, n_uids) of windows with >= min_users coupon users (hash aggregate; no lists)."""
     kind = F.col("kind")
     return (wl.groupBy("mid", "wstart")
               .agg(F.sum(F.when((kind == "evid") & (F.col("key") == EVID_CLICK), F.col("n")).otherwise(0)).alias("clicks"),
                    F.count(F.when(kind == "uid", 1)).alias("n_uids"))
-              .where((F.col("clicks") == 0) & (F.col("n_uids") >= min_users))
-              .select("mid", "wstart", "n_uids"))
+              .where(F.col("n_uids") >= min_users))
+
+
+def qualifying_windows(wl: DataFrame, min_users: int) -> DataFrame:
+    """(mid, wstart, n_uids) of windows with no click and >= min_users coupon users."""
+    return _crowded_windows(wl, min_users).where("clicks = 0").select("mid", "wstart", "n_uids")
+
+
+def withdrawn_windows(wl: DataFrame, window_ms: int, min_users: int) -> DataFrame:
+    """(mid, window_start) of windows with enough users and a click: counts only grow, so any alert
+    that no longer holds is among them."""
+    return _crowded_windows(wl, min_users).where("clicks > 0").select("mid", _ms_text(F.col("wstart")).alias("window_start"))
 
 
 def _sorted_text(kind: str):
@@ -96,12 +111,14 @@ def alerts_from_long(wl: DataFrame, window_ms: int, min_users: int) -> DataFrame
     """Window rows -> alert rows; lists are collected for alerting windows only."""
     q = qualifying_windows(wl, min_users)
     ev = F.array_sort(F.collect_list(F.when(F.col("kind") == "evid", F.struct(F.col("key").alias("evid"), "n"))))
-    docs = (wl.join(q.select("mid", "wstart"), ["mid", "wstart"], "left_semi")
+    docs = (same_windows(wl, q)
               .groupBy("mid", "wstart")
               .agg(_sorted_text("uid").alias("uids"), _sorted_text("item").alias("item_ids"),
                    F.array_join(F.transform(ev, lambda e: F.concat(e["evid"], F.lit(":"), e["n"].cast("string"))),
                                 ",").alias("events")))
-    return alert_rows(q.join(docs, ["mid", "wstart"]), window_ms)
+    q = q.withColumnsRenamed({"mid": "_mid", "wstart": "_wstart"})
+    both = docs.join(q, F.col("mid").eqNullSafe(F.col("_mid")) & (F.col("wstart") == F.col("_wstart")))
+    return alert_rows(both, window_ms)
 
 
 def coupon_alerts(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
@@ -126,14 +143,14 @@ def alert_members(events: DataFrame, window: str = ALERT_WINDOW, slide: str = AL
     wl = window_long(pane_long(ev, s_ms), w_ms, s_ms)
     q = qualifying_windows(wl, min_users).select("mid", "wstart")
     end = F.col("wstart") + F.lit(w_ms)
-    return (wl.where(F.col("kind") != "evid").join(q, ["mid", "wstart"], "left_semi")
-              .select(alert_id(F.col("mid"), end).alias("alert_id"), "kind", F.col("key").alias("member")))
+    return (same_windows(wl.where(F.col("kind") != "evid"), q)
+              .select(alert_id(F.coalesce("mid", F.lit("null")), end).alias("alert_id"), "kind", F.col("key").alias("member")))
 
 
 def alert_rows(w: DataFrame, window_ms: int) -> DataFrame:
     """Alert documents keyed by device + minute of emission (the window end)."""
     end = F.col("wstart") + F.lit(window_ms)
-    return w.select(alert_id(F.col("mid"), end).alias("alert_id"),
+    return w.select(alert_id(F.coalesce("mid", F.lit("null")), end).alias("alert_id"),
                     "mid",
                     _ms_text(F.col("wstart")).alias("window_start"),
                     _ms_text(end).alias("window_end"),

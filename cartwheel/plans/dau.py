@@ -18,9 +18,9 @@ def daily_active(startup: DataFrame) -> DataFrame:
 
 
 def daily_active_new(batch: DataFrame, seen: DataFrame) -> DataFrame:
-    """Batch rows of devices not yet recorded for that (event) day, then the
-    earliest per (day, device): anti-join + in-batch dedup."""
-    return daily_active(anti_join_seen(batch, seen, list(DAU_KEYS)))
+    """The earliest row per (day, device) of devices not yet recorded for that (event) day.  All rows of a key
+    stay or go together, so both sides are reduced to a row per key before the join."""
+    return anti_join_seen(daily_active(batch), seen, list(DAU_KEYS))
 
 
 def seen_union(seen: DataFrame, new_rows: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,12 +20,12 @@ RUNTIME_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "cartwheel",
+def build_session(master: str | None = None, app: str = "cartwheel",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine's defaults.
 
-    On a cluster the master comes from spark-submit; ``shuffle_partitions``
+    Without ``master`` and ``shuffle_partitions`` those of spark-submit or the cluster hold; ``shuffle_partitions``
     should be sized so one partition holds roughly 128-256 MB of shuffle data.
     """
     b = SparkSession.builder.appName(app)
@@ -34,12 +33,13 @@ def build_session(master: str = "local[*]", app: str = "cartwheel",
         b = b.master(master)
     conf = dict(RUNTIME_CONF)
     conf.update({
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or os.cpu_count() or 8),
         "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     })
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

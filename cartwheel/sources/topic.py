@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 @dataclass
 class TopicSource:
     kind: str                     # "kafka" | "json" | "parquet"
-    topic: str = ""               # kafka topic (or pattern with subscribePattern)
+    topic: str = ""               # kafka topic, or with ``pattern`` a topic pattern
+    pattern: bool = False         # subscribe by pattern
     path: str = ""                # folder for file kinds
     servers: str = ""             # kafka bootstrap servers
     schema: T.StructType | None = None   # parquet schema (streams need it up front)
@@ -43,7 +44,7 @@ class TopicSource:
         r = spark.readStream if streaming else spark.read
         if self.kind == "kafka":
             r = self._reader(r.format("kafka").option("kafka.bootstrap.servers", self.servers)
-                             .option("subscribe", self.topic))
+                             .option("subscribePattern" if self.pattern else "subscribe", self.topic))
             if streaming:
                 r = r.option("startingOffsets", self.starting_offsets)
             df = r.load()

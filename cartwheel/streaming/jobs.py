@@ -2,15 +2,15 @@
 
 Each job = source DataFrame -> the same pure transformation the batch form
 uses -> watermark / trigger / checkpoint -> sink.  Keyed sinks go through
-``foreachBatch`` + :func:`cartwheel.operators.upsert.upsert`, which is
-idempotent, so a replayed micro-batch (after a crash or a lost executor)
-converges to the same table: checkpoint + keyed write = effectively once.
+``foreachBatch`` + :func:`cartwheel.operators.upsert.append`: a replayed
+micro-batch (after a crash or a lost executor) replaces its own folder, and
+the ``read_*`` functions pick one row per key.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,12 +18,13 @@ from ..constants import (ALERT_MIN_USERS, ALERT_SLIDE, ALERT_WINDOW, EVID_COUPON
                          TRIGGER_INTERVAL)
 from ..functions.timefns import day_number, with_log_date_hour
 from ..operators.cdc import route_changes
-from ..operators.dedup import latest_per_key
+from ..operators.dedup import latest_per_key, pick_per_key
 from ..operators.joins import interval_join
-from ..operators.upsert import append_distinct, read_if_exists, touched_partitions, upsert
-from ..operators.windows import alerts_from_long, interval_ms, to_windows, window_long
+from ..operators.upsert import append, append_accepted, append_distinct, fill_missing_ids, first_number, read_keyed, stored
+from ..operators.windows import (alerts_from_long, alerts_per_minute, interval_ms, to_windows, window_long,
+                                 withdrawn_windows)
 from ..plans.dau import DAU_KEYS, DAU_ORDER, daily_active_new, daily_active
-from ..plans.orders import ORDER_COLUMNS, merge_sale_detail, with_user
+from ..plans.orders import merge_sale_detail, with_user
 from ..plans.users import USER_COLUMNS
 
 
@@ -36,39 +37,37 @@ def _writer(df: DataFrame, name: str, checkpoint: str, trigger: str | None, avai
 
 # ---- daily active devices -------------------------------------------------------------
 
-def dau_batch_writer(dau_path: str, seen_path: str | None = None):
-    """foreachBatch body: drop devices already recorded for that event day
-    (anti-join on the recorded keys of the touched days), keep the earliest
-    start-up per (day, device) of the batch, then write both sinks from one
-    persisted batch (rows table + seen-key set)."""
+def dau_batch_writer(dau_path: str, seen_path: str | None = None, first: int = 0):
+    """foreachBatch body: the earliest start-up per (day, device) of the batch is appended; which batch had a device first
+    is decided when the table is read (``read_dau``).  With ``seen_path`` devices of the recorded set are left out
+    (anti-join), and the new ones are added to the set; both sinks are written from one persisted batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        batch_id += first
         rows = with_log_date_hour(batch)
         rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if rows.isEmpty():
                 return
-            seen = read_if_exists(spark, dau_path, rows.schema)
-            if seen is not None:
-                # pruned scan of the days this batch touches (static partition filter)
-                seen = seen.where(touched_partitions(rows, ["log_date"])).select(*DAU_KEYS)
-                new = daily_active_new(rows, seen)
-            else:
-                new = daily_active(rows)
-            # first write wins on replay as well: keep="first" by ts
-            upsert(new, dau_path, list(DAU_KEYS), list(DAU_ORDER), keep="first", partition_by="log_date")
+            seen = stored(batch.sparkSession, seen_path) if seen_path else None
+            # keys of this batch's own earlier attempt do not count as seen
+            new = daily_active(rows) if seen is None else daily_active_new(rows, seen.where(F.col("batch_id") < batch_id))
+            append_accepted(new, dau_path, batch_id, list(DAU_KEYS), "log_date")
             if seen_path:
-                append_distinct(rows, seen_path, list(DAU_KEYS), partition_by="log_date")
+                append_distinct(new.dropna(subset=list(DAU_KEYS)), seen_path, list(DAU_KEYS), batch_id, "log_date")
         finally:
             rows.unpersist()
     return write
 
 
+def read_dau(spark: SparkSession, path: str) -> DataFrame:
+    return read_keyed(spark, path, list(DAU_KEYS), list(DAU_ORDER), keep="first")
+
+
 def start_dau(startup: DataFrame, dau_path: str, checkpoint: str, seen_path: str | None = None,
               trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
     """``startup``: decoded start-up rows (mid, uid, ..., ts epoch ms)."""
     return (_writer(startup, "dau", checkpoint, trigger, available_now)
-            .foreachBatch(dau_batch_writer(dau_path, seen_path)).start())
+            .foreachBatch(dau_batch_writer(dau_path, seen_path, first_number(startup.sparkSession, dau_path, checkpoint))).start())
 
 
 def dau_stream_dedup(startup: DataFrame, retention: str = "2 days") -> DataFrame:
@@ -82,27 +81,43 @@ def dau_stream_dedup(startup: DataFrame, retention: str = "2 days") -> DataFrame
 
 def start_order_table(orders: DataFrame, table_path: str, checkpoint: str, order_by=("event_ts",),
                       trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
-    """Keyed order table (id), partitioned by create_date; last write wins."""
-    cols = list(dict.fromkeys([*ORDER_COLUMNS, *order_by]))
+    """Keyed order table (id) with every column of the stream, partitioned by create_date; last write wins
+    (``read_orders``).  Orders without an id go to the rejected table."""
+    first = first_number(orders.sparkSession, table_path, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch.select(*cols), table_path, "id", list(order_by), keep="last", partition_by="create_date")
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            append_accepted(batch, table_path, first + batch_id, "id", "create_date")
+        finally:
+            batch.unpersist()
     return _writer(orders, "orders", checkpoint, trigger, available_now).foreachBatch(write).start()
 
 
+def read_orders(spark: SparkSession, path: str, order_by=("event_ts",), where=None) -> DataFrame:
+    """Latest version per order; ``where`` on create_date (fixed for an order) prunes days."""
+    return read_keyed(spark, path, "id", list(order_by), where=where)
+
+
 # ---- user dimension -------------------------------------------------------------------
 
 def start_user_dimension(users: DataFrame, table_path: str, checkpoint: str, order_by=("ts", "seq"),
                          trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
     """Latest value per user id (order = arrival order columns)."""
     cols = [*USER_COLUMNS, *order_by]
+    first = first_number(users.sparkSession, table_path, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest = latest_per_key(batch.select(*cols), "id", list(order_by))
-        upsert(latest, table_path, "id", list(order_by), keep="last")
+        latest = latest_per_key(batch.select(*cols).where(F.col("id").isNotNull()), "id", list(order_by))
+        append(latest, table_path, first + batch_id)
     return _writer(users, "users", checkpoint, trigger, available_now).foreachBatch(write).start()
 
 
+def read_users(spark: SparkSession, path: str, order_by=("ts", "seq")) -> DataFrame | None:
+    """Latest value per user; None before the first write."""
+    return read_keyed(spark, path, "id", list(order_by))
+
+
 # ---- sale detail ----------------------------------------------------------------------
 
 def sale_detail_stream(orders: DataFrame, details: DataFrame, bound: str = JOIN_LATE_BOUND,
@@ -124,15 +139,18 @@ def start_sale_detail(sale: DataFrame, out_path: str, checkpoint: str, users_pat
                       as_of=None, keys=("order_detail_id",), partition: str = "processing_day",
                       trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
     """Enrich each micro-batch with the user table as it is now (re-read per
-    batch, so updates are seen), then upsert documents keyed by ``keys``.
+    batch, so updates are seen), then append the documents; the last write per ``keys`` wins (``read_sale_detail``).
+    Documents without an id get one of their own and all stay.
 
     ``partition='processing_day'`` (default) writes each batch into the daily
     index of the write day (``day`` = days since epoch of the current date),
     so a micro-batch touches one partition; ``partition='event_day'`` uses
     the order's create date (``dt``) instead."""
+    first = first_number(sale.sparkSession, out_path, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        users = read_if_exists(spark, users_path) if users_path else None
+        users = read_users(spark, users_path) if users_path else None    # a damaged table raises
         if users is None:
             users = spark.createDataFrame([], "id string, login_name string, user_level string, "
                                               "birthday string, gender string")
@@ -142,10 +160,15 @@ def start_sale_detail(sale: DataFrame, out_path: str, checkpoint: str, users_pat
             part_col = "day"
         else:
             part_col = "dt"
-        upsert(docs, out_path, list(keys), ["sku_price", "create_time"], keep="last", partition_by=part_col)
+        append(fill_missing_ids(docs, keys[0]), out_path, first + batch_id, part_col)
     return _writer(sale, "sale_detail", checkpoint, trigger, available_now).foreachBatch(write).start()
 
 
+def read_sale_detail(spark: SparkSession, path: str, keys=("order_detail_id",)) -> DataFrame:
+    """Last write per document; within one micro-batch the latest creation time, then the larger price."""
+    return read_keyed(spark, path, list(keys), ["create_time", "sku_price"])
+
+
 # ---- coupon alerts --------------------------------------------------------------------
 
 def start_coupon_alerts(events: DataFrame, panes_path: str, alerts_path: str, checkpoint: str,
@@ -154,10 +177,11 @@ def start_coupon_alerts(events: DataFrame, panes_path: str, alerts_path: str, ch
                         trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
     """Pane counts in long form (device, slide-wide pane, kind, key -> n) are
     the streaming state: a plain count per key, evicted by the watermark.
-    Each micro-batch upserts the changed pane rows into a pane table
+    Each micro-batch appends the changed pane rows to a pane table
     partitioned by day, recomputes only the windows those panes touch
-    (reading only the touched days) and upserts their alerts
-    (id = device + minute, last write wins)."""
+    (reading only the touched days) and appends their verdicts.  A window that has had enough
+    users but now has a click is appended as withdrawn, so an alert raised before the click came does not
+    stand.  ``read_alerts`` gives the alerts that stand, one per device-minute."""
     w_ms, s_ms = interval_ms(window), interval_ms(slide)
     coupon = F.col("evid") == EVID_COUPON
     entries = F.array(
@@ -174,42 +198,51 @@ def start_coupon_alerts(events: DataFrame, panes_path: str, alerts_path: str, ch
                .agg(F.count(F.lit(1)).alias("n"))
                .select("mid", F.unix_millis(F.col("pw.start")).alias("pane"), "kind", "key", "n"))
 
+    first = first_number(events.sparkSession, panes_path, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch_id += first
         spark = batch.sparkSession
-        changed = (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                        .withColumn("pday", day_number(F.col("pane"))))
+        changed = batch.withColumn("pday", day_number(F.col("pane")))
         changed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if changed.isEmpty():
                 return
-            upsert(changed, panes_path, ["mid", "pane", "kind", "key"], ["batch_id", "n"], keep="last",
-                   partition_by="pday")
+            append(changed, panes_path, batch_id, "pday")
             touched = to_windows(changed.select("mid", "pane").distinct(), w_ms, s_ms).distinct()
             # a window [wstart, wstart + W) reads panes of its own and the next day at most
             days = (touched.select(day_number(F.col("wstart")).alias("d0"),
                                    day_number(F.col("wstart") + F.lit(w_ms - 1)).alias("d1"))
                            .select(F.explode(F.sequence("d0", "d1")).alias("pday")).distinct())
-            stored = read_if_exists(spark, panes_path, changed.schema)
-            stored = stored.where(touched_partitions(days, ["pday"]))
-            wl = window_long(stored, w_ms, s_ms, only_windows=touched)
-            upsert(alerts_from_long(wl, w_ms, min_users), alerts_path, "alert_id", ["ts", "window_start"],
-                   keep="last")
+            panes_now = stored(spark, panes_path).withColumn("pday", F.col("pday").cast("long"))
+            panes_now = pick_per_key(panes_now.join(days, "pday", "left_semi"), ["mid", "pane", "kind", "key"],
+                                     ["batch_id", "n"], "last")
+            wl = window_long(panes_now, w_ms, s_ms, only_windows=touched)
+            append(alerts_from_long(wl, w_ms, min_users).withColumn("withdrawn", F.lit(False))
+                   .unionByName(withdrawn_windows(wl, w_ms, min_users).withColumn("withdrawn", F.lit(True)),
+                                allowMissingColumns=True), alerts_path, batch_id)
         finally:
             changed.unpersist()
     return (_writer(panes, "coupon_alerts", checkpoint, trigger, available_now)
             .outputMode("update").foreachBatch(write).start())
 
 
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The alerts that stand: last verdict per window, then the latest window per device-minute."""
+    last = read_keyed(spark, path, ["mid", "window_start"])
+    return alerts_per_minute(last.where(~F.col("withdrawn")).drop("withdrawn"))
+
+
 # ---- change-feed router ---------------------------------------------------------------
 
 def start_change_router(cdc: DataFrame, out_path: str, checkpoint: str, routes=None, topics=None,
                         trigger: str | None = None, available_now: bool = False,
-                        kafka_servers: str | None = None) -> StreamingQuery:
+                        kafka_servers: str | None = None, table_pattern: str | None = None) -> StreamingQuery:
     """Route change entries to topics.  With ``kafka_servers`` the messages go
     to Kafka (``topic``/``value`` columns); otherwise to JSON files
     partitioned by topic."""
     from ..constants import ROUTES
-    msgs = route_changes(cdc, routes or ROUTES, topics)
+    msgs = route_changes(cdc, routes or ROUTES, topics, table_pattern)
     if kafka_servers:
         w = (_writer(msgs.select("topic", "value"), "change_router", checkpoint, trigger, available_now)
              .format("kafka").option("kafka.bootstrap.servers", kafka_servers))

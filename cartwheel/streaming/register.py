@@ -41,7 +41,7 @@ def q_stream_dau(spark: SparkSession, sf: str) -> DataFrame:
     run = _run(spark, "dau")
     src = fx.startup_from_events(table_stream(spark, sf, "events"))
     _wait(jobs.start_dau(src, f"{run}/dau", f"{run}/ckpt", seen_path=f"{run}/seen", available_now=True))
-    return spark.read.parquet(f"{run}/dau").select(*R.STARTUP_COLS)
+    return jobs.read_dau(spark, f"{run}/dau").select(*R.STARTUP_COLS)
 
 
 def q_stream_dau_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,7 +51,7 @@ def q_stream_dau_report(spark: SparkSession, sf: str) -> DataFrame:
     run = _run(spark, "dau_report")
     src = fx.startup_from_events(table_stream(spark, sf, "events"))
     _wait(jobs.start_dau(src, f"{run}/dau", f"{run}/ckpt", available_now=True))
-    return dau_hours_compare(spark.read.parquet(f"{run}/dau"), R.DAU_DATE)
+    return dau_hours_compare(jobs.read_dau(spark, f"{run}/dau"), R.DAU_DATE)
 
 
 def _order_table(spark, sf, run) -> str:
@@ -63,18 +63,18 @@ def _order_table(spark, sf, run) -> str:
 
 def q_stream_order_table(spark: SparkSession, sf: str) -> DataFrame:
     run = _run(spark, "orders")
-    return spark.read.parquet(_order_table(spark, sf, run)).select(*ORDER_COLUMNS)
+    return jobs.read_orders(spark, _order_table(spark, sf, run)).select(*ORDER_COLUMNS)
 
 
 def q_stream_gmv(spark: SparkSession, sf: str) -> DataFrame:
     run = _run(spark, "gmv")
-    t = spark.read.parquet(_order_table(spark, sf, run))
+    t = jobs.read_orders(spark, _order_table(spark, sf, run))
     return gmv_by_day(t).select("create_date", F.round("sum_amount", 2).alias("sum_amount"), "n_orders")
 
 
 def q_stream_user_latest(spark: SparkSession, sf: str) -> DataFrame:
     run = _run(spark, "users")
-    return spark.read.parquet(_user_table(spark, sf, run)).select(*USER_COLUMNS)
+    return jobs.read_users(spark, _user_table(spark, sf, run)).select(*USER_COLUMNS)
 
 
 def q_stream_sale_detail(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,7 +88,7 @@ def q_stream_sale_detail(spark: SparkSession, sf: str) -> DataFrame:
     # the fixture's line id repeats across lines; the line's item completes the document key
     _wait(jobs.start_sale_detail(sale, out, f"{run}/ckpt_sale", users_path=users, as_of=R.AS_OF,
                                  keys=("order_detail_id", "sku_id"), available_now=True))
-    return spark.read.parquet(out).select(
+    return jobs.read_sale_detail(spark, out, ("order_detail_id", "sku_id")).select(
         "order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id", "user_gender",
         "user_age", "user_level", "sku_price", "sku_name", "dt")
 
@@ -98,7 +98,7 @@ def q_stream_coupon_alert(spark: SparkSession, sf: str) -> DataFrame:
     ev = fx.event_log_from_events(table_stream(spark, sf, "events"))
     _wait(jobs.start_coupon_alerts(ev, f"{run}/panes", f"{run}/alerts", f"{run}/ckpt",
                                    R.ALERT_WINDOW, R.ALERT_SLIDE, R.ALERT_USERS, available_now=True))
-    return spark.read.parquet(f"{run}/alerts").select(
+    return jobs.read_alerts(spark, f"{run}/alerts").select(
         "alert_id", "mid", "window_start", "window_end", "n_uids", "uids", "item_ids", "events", "ts")
 
 

@@ -286,7 +286,7 @@ def test_today_text_dimension_lookup_and_topic_files(spark, tmpdir_spark):
     assert spark.range(1).select(today_text().alias("d")).first().d == dt.datetime.now(dt.timezone.utc).date().isoformat()
     fact = spark.createDataFrame([("1", 5), ("2", 7)], "k string, v int")
     dim = spark.createDataFrame([("1", "one")], "dk string, name string")
-    got = sorted((r.k, r.name) for r in dimension_lookup(fact, dim, "k", "dk", broadcast_dim=True).collect())
+    got = sorted((r.k, r.name) for r in dimension_lookup(fact, dim, "k", "dk").collect())
     assert got == [("1", "one"), ("2", None)]
     msgs = spark.createDataFrame([("order", '{"id":"1"}'), ("user_info", '{"id":"2"}')], "topic string, value string")
     cdc.to_topic_files(msgs, f"{tmpdir_spark}/topics")

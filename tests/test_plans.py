@@ -5,7 +5,7 @@ import io
 from contextlib import redirect_stdout
 
 import __spark_entry__ as E
-from cartwheel.operators.upsert import upsert
+from cartwheel.operators.upsert import append, read_keyed
 from cartwheel.plans import dau, reports
 from cartwheel.sources import fixtures as fx
 
@@ -21,9 +21,8 @@ def plan(df) -> str:
 
 def test_report_on_dau_table_prunes_partitions(spark, tmpdir_spark):
     path = f"{tmpdir_spark}/dau"
-    upsert(dau.daily_active(fx.startup_log(spark, SF_SMALL)), path, ["log_date", "mid"], ["ts"], "first",
-           partition_by="log_date")
-    table = spark.read.parquet(path)
+    append(dau.daily_active(fx.startup_log(spark, SF_SMALL)), path, 0, "log_date")
+    table = read_keyed(spark, path, ["log_date", "mid"], ["ts"], "first")
     p = plan(reports.dau_total(table, "2024-01-15"))
     assert "PartitionFilters: [isnotnull(log_date" in p and "(log_date#" in p and "= 2024-01-15)" in p
     got = reports.dau_total(table, "2024-01-15").first().dau
@@ -61,29 +60,25 @@ def test_dedup_uses_partial_aggregation(spark):
     assert "partial_min_by" in p   # map-side reduction before the shuffle (skew-safe)
 
 
-def test_upsert_reads_only_touched_partitions(spark, tmpdir_spark):
+def test_a_write_reads_nothing_and_a_read_prunes(spark, tmpdir_spark):
     from pyspark.sql import functions as F
-    from cartwheel.operators.upsert import touched_partitions
     path = f"{tmpdir_spark}/t"
     base = spark.range(0, 2000).select(F.col("id").cast("string").alias("id"),
                                        (F.col("id") % 20).cast("string").alias("day"), F.col("id").alias("v"))
-    upsert(base, path, "id", ["v"], "last", "day")
-    batch = spark.createDataFrame([("5", "5", 99)], "id string, day string, v long")
-    p = plan(spark.read.parquet(path).where(touched_partitions(batch, ["day"])))
+    append(base, path, 0, "day")
+    append(spark.createDataFrame([("5", "5", 99)], "id string, day string, v long"), path, 1, "day")
+    p = plan(read_keyed(spark, path, "id", where=F.col("day") == "5"))
     assert "PartitionFilters: [isnotnull(day" in p and "= 5)" in p
-    upsert(batch, path, "id", ["v"], "last", "day")
-    t = spark.read.parquet(path)
+    t = read_keyed(spark, path, "id")
     assert t.count() == 2000 and t.where("id = '5'").first().v == 99
 
 
-def test_size_checked_dimension_broadcast(spark):
-    from cartwheel.operators.joins import dimension_lookup
-    fact = spark.range(1000).selectExpr("CAST(id % 10 AS STRING) AS k")
-    dim = spark.range(10).selectExpr("CAST(id AS STRING) AS dk", "id AS v")
-    small = plan(dimension_lookup(fact, dim, "k", "dk", broadcast_max_rows=100))
-    assert "BroadcastExchange" in small
-    # above the limit no hint is added (the planner's own size estimate decides); results are the same
-    assert dimension_lookup(fact, dim, "k", "dk", broadcast_max_rows=5).count() == 1000
+def test_anti_join_reduces_both_sides(spark):
+    rows = fx.startup_log(spark, SF_SMALL)
+    p = plan(dau.daily_active_new(rows, rows.where("log_hour < '12'")))
+    assert p.index("LeftAnti") > 0 and "partial_min_by" in p
+    seen = p[p.index("(1) Scan"):]
+    assert seen.count("HashAggregate") >= 2
 
 
 def test_global_statistics_are_scalar_subqueries_not_joins(spark):

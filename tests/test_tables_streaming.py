@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from cartwheel.operators.upsert import fill_missing_ids, upsert
+from cartwheel.operators.upsert import append, compact, fill_missing_ids, read_keyed, stored
 from cartwheel.plans import dau
 from cartwheel.sources import fixtures as fx
 from cartwheel.sources.topic import TopicSource
@@ -19,23 +19,80 @@ def _sorted(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_upsert_replace_first_and_replay(spark, tmpdir_spark):
+S = "id string, v string, ord long, day string"
+
+
+def test_last_or_first_write_per_key_and_replay(spark, tmpdir_spark):
+    p = f"{tmpdir_spark}/t"
+    b1 = spark.createDataFrame([("1", "a", 1, "d1"), ("2", "b", 1, "d1"), ("3", "c", 9, "d2")], S)
+    b2 = spark.createDataFrame([("1", "a2", 2, "d1"), ("2", "b0", 0, "d1"), ("2", "b1", -1, "d1")], S)
+    append(b1, p, 0, "day")
+    append(b2, p, 1, "day")
+    last = [("1", "a2", 2, "d1"), ("2", "b0", 0, "d1"), ("3", "c", 9, "d2")]       # the last batch, whatever its order values
+    read = lambda path=p, keep="last": _sorted(read_keyed(spark, path, "id", ["ord"], keep).select("id", "v", "ord", "day"))
+    assert read() == last
+    append(b2, p, 1, "day")          # replay: no change
+    assert read() == last and stored(spark, p).count() == 6
+    assert read(keep="first") == [("1", "a", 1, "d1"), ("2", "b", 1, "d1"), ("3", "c", 9, "d2")]
+    compact(spark, p, f"{tmpdir_spark}/t2", "id", ["ord"], partition_by="day")
+    assert read(f"{tmpdir_spark}/t2") == last and stored(spark, f"{tmpdir_spark}/t2").count() == 3 and read() == last
+
+
+def test_failed_write_keeps_every_stored_row(spark, tmpdir_spark):
+    import pytest
     p = f"{tmpdir_spark}/t"
-    s = "id string, v string, ord long, day string"
-    b1 = spark.createDataFrame([("1", "a", 1, "d1"), ("2", "b", 1, "d1"), ("3", "c", 1, "d2")], s)
-    b2 = spark.createDataFrame([("1", "a2", 2, "d1"), ("2", "b0", 0, "d1")], s)
-    upsert(b1, p, "id", ["ord"], "last", "day")
-    upsert(b2, p, "id", ["ord"], "last", "day")
-    after = _sorted(spark.read.parquet(p).select("id", "v", "ord", "day"))
-    assert after == [("1", "a2", 2, "d1"), ("2", "b", 1, "d1"), ("3", "c", 1, "d2")]
-    upsert(b2, p, "id", ["ord"], "last", "day")          # replay: no change
-    assert _sorted(spark.read.parquet(p).select("id", "v", "ord", "day")) == after
-    # untouched partition d2 is preserved by the dynamic overwrite
-    assert spark.read.parquet(p).where("day = 'd2'").count() == 1
-    q = f"{tmpdir_spark}/first"
-    upsert(b1, q, "id", ["ord"], "first")
-    upsert(b2, q, "id", ["ord"], "first")
-    assert {r.id: r.v for r in spark.read.parquet(q).collect()} == {"1": "a", "2": "b0", "3": "c"}
+    append(spark.createDataFrame([("1", "a", 1, "d1"), ("2", "b", 1, "d1")], S), p, 0)
+    broken = spark.range(4).select(F.col("id").cast("string").alias("id"), F.when(F.col("id") == 3, F.raise_error(F.lit("stop")))
+                                   .otherwise("x").cast("string").alias("v"), F.col("id").alias("ord"), F.lit("d1").alias("day"))
+    reader = read_keyed(spark, p, "id", ["ord"])
+    with pytest.raises(Exception, match="stop"):
+        append(broken, p, 1)
+    assert {r.id: r.v for r in read_keyed(spark, p, "id", ["ord"]).collect()} == {"1": "a", "2": "b"}
+    append(spark.createDataFrame([("2", "b2", 0, "d1")], S), p, 1)      # the retry; a reader planned before still finds its files
+    assert {r.id: r.v for r in reader.collect()} == {"1": "a", "2": "b"}
+    assert {r.id: r.v for r in read_keyed(spark, p, "id", ["ord"]).collect()} == {"1": "a", "2": "b2"}
+
+
+def test_missing_and_damaged_tables_differ(spark, tmpdir_spark):
+    import pytest
+    assert stored(spark, f"{tmpdir_spark}/nowhere") is None and read_keyed(spark, f"{tmpdir_spark}/nowhere", "id") is None
+    os.makedirs(f"{tmpdir_spark}/empty")
+    with pytest.raises(RuntimeError):
+        stored(spark, f"{tmpdir_spark}/empty")
+
+
+def test_sale_documents_without_id_stay_and_the_last_write_wins(spark, tmpdir_spark):
+    cols = "order_detail_id string, order_id string, order_status string, create_time string, user_id string, sku_id string, sku_price double, sku_name string, dt string"
+    src, out = f"{tmpdir_spark}/src", f"{tmpdir_spark}/sale"
+    row = lambda i, price: (i, "o", "1", "2024-01-01 00:00:00", "u", "s", price, "n", "2024-01-01")
+    run = lambda: jobs.start_sale_detail(TopicSource("parquet", path=src).stream(spark), out, f"{tmpdir_spark}/ck",
+                                         available_now=True).awaitTermination()
+    spark.createDataFrame([row("1", 9.0), row(None, 5.0), row(None, 5.0)], cols).coalesce(1).write.parquet(src)
+    run()
+    spark.createDataFrame([row("1", 2.0)], cols).coalesce(1).write.mode("append").parquet(src)
+    run()
+    got = jobs.read_sale_detail(spark, out).collect()
+    assert sorted(r.sku_price for r in got) == [2.0, 5.0, 5.0]
+
+
+def test_stream_withdraws_an_alert_when_a_click_follows(spark, tmpdir_spark):
+    from cartwheel.plans.alerts import stored_alerts
+    cols = "mid string, uid string, evid string, itemid string, ts long"
+    t0 = 1_700_000_000_000 // 300_000 * 300_000 + 57_000
+    for mid in ("m", None):
+        run = f"{tmpdir_spark}/{mid}"
+        first = [(mid, f"u{i}", "coupon", "i", t0 + i) for i in range(3)]
+        click = [(mid, "u9", "clickItem", "i", t0 + 20_000)]
+        start = lambda: jobs.start_coupon_alerts(TopicSource("parquet", path=f"{run}/src").stream(spark), f"{run}/panes", f"{run}/alerts",  # noqa: E731,B023
+                                                 f"{run}/ck", "5 minutes", "5 seconds", available_now=True).awaitTermination()
+        spark.createDataFrame(first, cols).coalesce(1).write.parquet(f"{run}/src")
+        start()
+        early = jobs.read_alerts(spark, f"{run}/alerts").count()
+        spark.createDataFrame(click, cols).coalesce(1).write.mode("append").parquet(f"{run}/src")
+        start()
+        batch = stored_alerts(spark.createDataFrame(first + click, cols), "5 minutes", "5 seconds")
+        got = jobs.read_alerts(spark, f"{run}/alerts")
+        assert _sorted(got.select(*batch.columns)) == _sorted(batch) and 0 < batch.count() < early
 
 
 def test_null_ids_get_deterministic_ids(spark):
@@ -63,7 +120,7 @@ def test_stream_dau_equals_batch_keys(spark, tmpdir_spark):
     q.awaitTermination()
     assert len(q.recentProgress) >= 3
     batch = dau.daily_active(fx.startup_log(spark, SF_SMALL))
-    got = spark.read.parquet(out)
+    got = jobs.read_dau(spark, out)
     assert _sorted(got.select("log_date", "mid")) == _sorted(batch.select("log_date", "mid"))
     assert got.count() == batch.count()
     # replay the same input with a fresh checkpoint: the table does not change
@@ -71,7 +128,7 @@ def test_stream_dau_equals_batch_keys(spark, tmpdir_spark):
         TopicSource("parquet", path=src_dir, schema=schema).stream(spark)), out, f"{tmpdir_spark}/ck2",
         available_now=True)
     q2.awaitTermination()
-    assert _sorted(spark.read.parquet(out).select("log_date", "mid", "ts")) == \
+    assert _sorted(jobs.read_dau(spark, out).select("log_date", "mid", "ts")) == \
         _sorted(got.select("log_date", "mid", "ts"))
 
 
@@ -99,7 +156,7 @@ def test_json_topic_source_and_router(spark, tmpdir_spark):
     rows = decode(src, STARTUP_FIELDS, STARTUP_CASTS)
     out = f"{tmpdir_spark}/dau"
     jobs.start_dau(rows, out, f"{tmpdir_spark}/ck", available_now=True).awaitTermination()
-    r = spark.read.parquet(out).collect()
+    r = jobs.read_dau(spark, out).collect()
     assert len(r) == 1 and r[0].uid == "u1"
     # change router to topic folders
     cdc_in = f"{tmpdir_spark}/cdc_in"
@@ -115,9 +172,9 @@ def test_single_document_insert_and_rejected_rows(spark, tmpdir_spark):
     from cartwheel.operators.upsert import split_rejected
     p = f"{tmpdir_spark}/docs"
     doc = spark.createDataFrame([("1001", "Movie A", 1)], "id string, movie_name string, v long")
-    upsert(doc, p, "id", ["v"])                                   # one document with an explicit id
-    upsert(doc.selectExpr("id", "'Movie B' AS movie_name", "2 AS v"), p, "id", ["v"])   # same id replaces
-    assert [(r.id, r.movie_name) for r in spark.read.parquet(p).collect()] == [("1001", "Movie B")]
+    append(doc, p, 0)                                                                  # one document with an explicit id
+    append(doc.selectExpr("id", "'Movie B' AS movie_name", "CAST(0 AS LONG) AS v"), p, 1)   # same id replaces
+    assert [(r.id, r.movie_name) for r in read_keyed(spark, p, "id").collect()] == [("1001", "Movie B")]
     rows = spark.createDataFrame([("a", "x"), (None, "y")], "mid string, day string")
     ok, bad = split_rejected(rows, ["mid", "day"])
     assert ok.count() == 1 and bad.first()._reason == "missing key: mid,day"
@@ -202,12 +259,12 @@ def test_stream_dau_resumes_from_checkpoint(spark, tmpdir_spark):
     run = lambda: jobs.start_dau(fx.startup_from_events(
         TopicSource("parquet", path=src_dir, schema=ev.schema).stream(spark)), out, ck, available_now=True)
     run().awaitTermination()
-    first = spark.read.parquet(out).count()
+    first = jobs.read_dau(spark, out).count()
     for i in (1, 2):     # more data arrives while the job is down
         ev.where(F.col("event_id") % 3 == i).coalesce(1).write.mode("append").parquet(src_dir)
     run().awaitTermination()
     batch = dau.daily_active(fx.startup_log(spark, SF_SMALL))
-    got = spark.read.parquet(out)
+    got = jobs.read_dau(spark, out)
     assert first < got.count() == batch.count()
     assert _sorted(got.select("log_date", "mid")) == _sorted(batch.select("log_date", "mid"))
 
@@ -227,4 +284,4 @@ def test_stream_alerts_over_time_ordered_batches_equal_batch(spark, tmpdir_spark
     assert len(q.recentProgress) >= 3
     batch = coupon_alerts(fx.event_log(spark, SF_SMALL), "1 hour", "5 minutes", 2)
     cols = ["alert_id", "mid", "window_start", "n_uids", "uids", "item_ids", "events"]
-    assert _sorted(spark.read.parquet(alerts).select(*cols)) == _sorted(batch.select(*cols))
+    assert _sorted(jobs.read_alerts(spark, alerts).select(*cols)) == _sorted(batch.select(*cols))
