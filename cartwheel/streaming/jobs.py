@@ -81,22 +81,23 @@ def dau_stream_dedup(startup: DataFrame, retention: str = "2 days") -> DataFrame
 
 def start_order_table(orders: DataFrame, table_path: str, checkpoint: str, order_by=("event_ts",),
                       trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
-    """Keyed order table (id) with every column of the stream, partitioned by create_date; last write wins
+    """Keyed order table (id) with every column of the stream, partitioned by month; last write wins
     (``read_orders``).  Orders without an id go to the rejected table."""
     first = first_number(orders.sparkSession, table_path, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            append_accepted(batch, table_path, first + batch_id, "id", "create_date")
+            append_accepted(batch.withColumn("create_month", F.substring("create_date", 1, 7)), table_path,
+                            first + batch_id, "id", "create_month")
         finally:
             batch.unpersist()
     return _writer(orders, "orders", checkpoint, trigger, available_now).foreachBatch(write).start()
 
 
 def read_orders(spark: SparkSession, path: str, order_by=("event_ts",), where=None) -> DataFrame:
-    """Latest version per order; ``where`` on create_date (fixed for an order) prunes days."""
-    return read_keyed(spark, path, "id", list(order_by), where=where)
+    """Latest version per order; ``where`` on create_month or create_date (fixed for an order) prunes months and row groups."""
+    return read_keyed(spark, path, "id", list(order_by), where=where).drop("create_month")
 
 
 # ---- user dimension -------------------------------------------------------------------
