@@ -64,6 +64,18 @@ def with_create_date_hour(df, col: str = "create_time", strict: bool = True):
               .withColumn("create_hour", create_hour(col, strict)))
 
 
+def within_days(df, col: str, first: str | None = None, last: str | None = None):
+    """Rows whose raw time column lies on the days ``first`` to ``last`` (``yyyy-MM-dd``, both included; None = open).
+    The bounds are literals of the column's own type, so the range reaches the scan, which a filter on derived
+    day text does not."""
+    kind = df.schema[col].dataType
+    if first is not None:
+        df = df.where(F.col(col) >= F.lit(first).cast("date").cast(kind))
+    if last is not None:
+        df = df.where(F.col(col) < F.date_add(F.lit(last).cast("date"), 1).cast(kind))
+    return df
+
+
 def age_years(birthday, as_of=None, calendar: bool = False) -> Column:
     """Whole 365-day years between midnight of ``birthday`` (yyyy-MM-dd) and
     ``as_of`` (a timestamp column/literal; default: now).  ``calendar=True``

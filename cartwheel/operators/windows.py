@@ -4,10 +4,9 @@ A sliding window of length W and slide S puts every row in W/S windows
 (5 min / 5 s = 60 copies).  Rows are never copied: one scan and one
 aggregation reduce them to S-wide panes in a long form (device, pane, kind,
 key, count) holding event-id counts and the distinct coupon users and items
-of each pane.  Only pane rows are copied to their W/S windows and merged by
-a second aggregation.  Windows are qualified with a hash aggregate (clicks,
-number of distinct users); member and event lists are gathered only for the
-windows that alert.  Every aggregate is partial-aggregated on the map side,
+of each pane.  Only the pane rows of clicks and coupon users are copied to their
+W/S windows, which qualifies the windows (hash aggregate of clicks and distinct users); the
+windows that alert then name their panes, and member and event lists are gathered from those alone.  Every aggregate is partial-aggregated on the map side,
 so a device holding a third of all rows is reduced before any shuffle, and
 no list is built for windows that cannot alert.
 """
@@ -100,37 +99,79 @@ def withdrawn_windows(wl: DataFrame, window_ms: int, min_users: int) -> DataFram
     return _crowded_windows(wl, min_users).where("clicks > 0").select("mid", _ms_text(F.col("wstart")).alias("window_start"))
 
 
-def _sorted_text(kind: str):
+def members_of(panes: DataFrame, windows: DataFrame, window_ms: int, slide_ms: int) -> DataFrame:
+    """(mid, wstart, kind, key, n) of the given windows: each window names its panes, so panes of other windows are not copied."""
+    own = windows.select(F.col("mid").alias("_mid"), "wstart",
+                         F.explode(F.sequence(F.lit(0), F.lit(window_ms // slide_ms - 1))).alias("_k"))
+    own = own.select("_mid", "wstart", (F.col("wstart") + F.col("_k") * F.lit(slide_ms)).alias("_pane"))
+    return (panes.join(own, F.col("mid").eqNullSafe(F.col("_mid")) & (F.col("pane") == F.col("_pane")))
+                 .groupBy("mid", "wstart", "kind", "key").agg(F.sum("n").alias("n")))
+
+
+def alerting_windows(panes: DataFrame, window_ms: int, slide_ms: int, min_users: int) -> DataFrame:
+    """(mid, wstart, n_uids) of the windows that alert; only panes of clicks and coupon users are copied to windows."""
+    deciding = panes.where((F.col("kind") == "uid") | ((F.col("kind") == "evid") & (F.col("key") == EVID_CLICK)))
+    return qualifying_windows(window_long(deciding, window_ms, slide_ms), min_users)
+
+
+def last_of_minute(windows: DataFrame, window_ms: int) -> DataFrame:
+    """Of the windows of a device that end in the same minute the latest (the one that would be written last)."""
+    minute = F.floor((F.col("wstart") + F.lit(window_ms)) / 60_000)
+    return (windows.groupBy("mid", minute.alias("_minute"))
+                   .agg(F.max("wstart").alias("wstart"), F.max_by("n_uids", "wstart").alias("n_uids"))
+                   .select("mid", "wstart", "n_uids"))
+
+
+def _sorted_keys(kind: str):
     # struct keeps null members through collect_list; array_sort puts them last
     vals = F.transform(F.collect_list(F.when(F.col("kind") == kind, F.struct(F.col("key").alias("v")))),
                        lambda s: s["v"])
-    return F.array_join(F.array_sort(vals), ",", "null")
+    return F.array_sort(vals)
 
 
-def alerts_from_long(wl: DataFrame, window_ms: int, min_users: int) -> DataFrame:
-    """Window rows -> alert rows; lists are collected for alerting windows only."""
-    q = qualifying_windows(wl, min_users)
+def alert_documents(members: DataFrame, windows: DataFrame, window_ms: int) -> DataFrame:
+    """Member rows of the alerting ``windows`` -> alert rows, members as arrays."""
     ev = F.array_sort(F.collect_list(F.when(F.col("kind") == "evid", F.struct(F.col("key").alias("evid"), "n"))))
-    docs = (same_windows(wl, q)
-              .groupBy("mid", "wstart")
-              .agg(_sorted_text("uid").alias("uids"), _sorted_text("item").alias("item_ids"),
-                   F.array_join(F.transform(ev, lambda e: F.concat(e["evid"], F.lit(":"), e["n"].cast("string"))),
-                                ",").alias("events")))
-    q = q.withColumnsRenamed({"mid": "_mid", "wstart": "_wstart"})
+    docs = (members.groupBy("mid", "wstart")
+              .agg(_sorted_keys("uid").alias("uids"), _sorted_keys("item").alias("item_ids"),
+                   F.transform(ev, lambda e: F.concat(F.coalesce(e["evid"], F.lit("null")), F.lit(":"), e["n"].cast("string"))).alias("events")))
+    q = windows.withColumnsRenamed({"mid": "_mid", "wstart": "_wstart"})
     both = docs.join(q, F.col("mid").eqNullSafe(F.col("_mid")) & (F.col("wstart") == F.col("_wstart")))
     return alert_rows(both, window_ms)
 
 
+def alerts_from_long(wl: DataFrame, window_ms: int, min_users: int) -> DataFrame:
+    """Window rows -> alert rows; lists are collected for alerting windows only."""
+    q = qualifying_windows(wl, min_users)
+    return alert_documents(same_windows(wl, q), q, window_ms)
+
+
+def _panes(events: DataFrame, slide_ms: int) -> DataFrame:
+    return pane_long(events.select("mid", "uid", "evid", "itemid", "ts"), slide_ms)
+
+
 def coupon_alerts(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
-                  min_users: int = ALERT_MIN_USERS) -> DataFrame:
+                  min_users: int = ALERT_MIN_USERS, per_minute: bool = False) -> DataFrame:
     """Alert per (device, window): >= ``min_users`` distinct users claimed a
     coupon and nobody clicked an item.  ``events`` needs mid, uid, evid,
-    itemid, ts (epoch ms).  ``events`` of the output is the event-id multiset
-    of the window as ``evid:count`` pairs in evid order (the sorted list,
-    run-length coded, so its size is bounded by the number of event ids)."""
+    itemid, ts (epoch ms).  ``uids``, ``item_ids`` and ``events`` of the output are arrays; ``events`` is the
+    event-id multiset of the window as ``evid:count`` entries in evid order (the sorted list,
+    run-length coded, so its size is bounded by the number of event ids).  With ``per_minute`` only the last window of
+    each device-minute, chosen before any list is built."""
     w_ms, s_ms = interval_ms(window), interval_ms(slide)
-    ev = events.select("mid", "uid", "evid", "itemid", "ts")
-    return alerts_from_long(window_long(pane_long(ev, s_ms), w_ms, s_ms), w_ms, min_users)
+    panes = _panes(events, s_ms)
+    q = alerting_windows(panes, w_ms, s_ms, min_users)
+    if per_minute:
+        q = last_of_minute(q, w_ms)
+    return alert_documents(members_of(panes, q, w_ms, s_ms), q, w_ms)
+
+
+def alert_minutes(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
+                  min_users: int = ALERT_MIN_USERS) -> DataFrame:
+    """(alert_id, mid, window_start, window_end, n_uids, ts) of the stored alert per device-minute, without member lists."""
+    w_ms, s_ms = interval_ms(window), interval_ms(slide)
+    q = last_of_minute(alerting_windows(_panes(events, s_ms), w_ms, s_ms, min_users), w_ms)
+    return alert_rows(q, w_ms, ())
 
 
 def alert_members(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
@@ -139,15 +180,14 @@ def alert_members(events: DataFrame, window: str = ALERT_WINDOW, slide: str = AL
     kind = 'uid' or 'item'.  Nothing is collected, so a window with any
     number of users stays spread over tasks."""
     w_ms, s_ms = interval_ms(window), interval_ms(slide)
-    ev = events.select("mid", "uid", "evid", "itemid", "ts")
-    wl = window_long(pane_long(ev, s_ms), w_ms, s_ms)
-    q = qualifying_windows(wl, min_users).select("mid", "wstart")
+    panes = _panes(events, s_ms)
+    q = alerting_windows(panes, w_ms, s_ms, min_users).select("mid", "wstart")
     end = F.col("wstart") + F.lit(w_ms)
-    return (same_windows(wl.where(F.col("kind") != "evid"), q)
+    return (members_of(panes.where(F.col("kind") != "evid"), q, w_ms, s_ms)
               .select(alert_id(F.coalesce("mid", F.lit("null")), end).alias("alert_id"), "kind", F.col("key").alias("member")))
 
 
-def alert_rows(w: DataFrame, window_ms: int) -> DataFrame:
+def alert_rows(w: DataFrame, window_ms: int, lists=("uids", "item_ids", "events")) -> DataFrame:
     """Alert documents keyed by device + minute of emission (the window end)."""
     end = F.col("wstart") + F.lit(window_ms)
     return w.select(alert_id(F.coalesce("mid", F.lit("null")), end).alias("alert_id"),
@@ -155,10 +195,15 @@ def alert_rows(w: DataFrame, window_ms: int) -> DataFrame:
                     _ms_text(F.col("wstart")).alias("window_start"),
                     _ms_text(end).alias("window_end"),
                     F.col("n_uids").cast("long").alias("n_uids"),
-                    "uids", "item_ids", "events",
+                    *lists,
                     end.cast("long").alias("ts"))
 
 
+def alert_text(alerts: DataFrame) -> DataFrame:
+    """The member arrays as comma text (null members as ``null``), for flat reports."""
+    return alerts.withColumns({c: F.array_join(c, ",", "null") for c in ("uids", "item_ids", "events")})
+
+
 def alerts_per_minute(alerts: DataFrame) -> DataFrame:
     """At most one stored alert per device-minute: the last write (latest
     window end) wins."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..constants import ALERT_MIN_USERS, ALERT_SLIDE, ALERT_WINDOW
-from ..operators.windows import alerts_per_minute, coupon_alerts
+from ..operators.windows import coupon_alerts
 
 
 def coupon_alert_job(event_log: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
@@ -17,4 +17,4 @@ def coupon_alert_job(event_log: DataFrame, window: str = ALERT_WINDOW, slide: st
 def stored_alerts(event_log: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
                   min_users: int = ALERT_MIN_USERS) -> DataFrame:
     """What the alert index holds: one document per device-minute."""
-    return alerts_per_minute(coupon_alert_job(event_log, window, slide, min_users))
+    return coupon_alerts(event_log, window, slide, min_users, per_minute=True)

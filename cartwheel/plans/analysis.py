@@ -63,6 +63,21 @@ def sale_search(sale: DataFrame, date: str, keyword: str = "", offset: int = 0,
     return {"total": total, "detail": page, "age": facet_age_band(hits), "gender": facet_gender(hits)}
 
 
+def sale_search_json(sale: DataFrame, date: str, keyword: str = "", offset: int = 0, size: int = 20) -> DataFrame:
+    """The sale search as one document: total, stat[0] = age options, stat[1] = gender options, detail = the page's rows.
+    Only facet rows (a handful) and one page are ever gathered."""
+    found = sale_search(sale, date, keyword, offset, size)
+    options = lambda facet: F.struct(facet.agg(
+        F.array_sort(F.collect_list(F.struct("name", "value", "share")))).scalar().alias("options"))
+    row = F.struct(*found["detail"].columns)
+    placed = F.struct("order_detail_id", "order_id", "sku_id", "sku_price", row.alias("row"))
+    detail = F.transform(F.array_sort(F.collect_list(placed)), lambda r: r["row"])
+    return found["detail"].agg(detail.alias("detail")).select(F.to_json(F.struct(
+        found["total"].scalar().alias("total"),
+        F.array(options(found["age"]), options(found["gender"])).alias("stat"),
+        F.col("detail"))).alias("json"))
+
+
 def province_sales(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """(name, order_count, value) per province.  Orders are first reduced per
     customer (partial aggregation), so the customer join sees one row per

@@ -37,15 +37,13 @@ def new_devices_by_day(dau: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("new_mid")))
 
 
-def new_devices_on(dau: DataFrame, date: str) -> DataFrame:
-    """One row: number of devices first seen on ``date`` (0 when none).
-    Only devices active on ``date`` can qualify, so the history scan is a
-    semi-join on those devices."""
-    today = dau.where(F.col("log_date") == date).select("mid")
-    # distinct first: the partial aggregate shuffles devices, not device-days
-    earlier = dau.where(F.col("log_date") < date).select("mid").distinct()
-    return (today.join(earlier, "mid", "left_anti")
-                 .agg(F.count(F.lit(1)).alias("new_mid")))
+def devices_on(dau: DataFrame, date: str) -> DataFrame:
+    """One row (dau, new_mid): devices of ``date`` and those of them without an earlier day, from one scan of the history
+    up to ``date`` (one row per device-day or raw start-ups; a device counts once)."""
+    per_mid = (dau.where(F.col("log_date") <= date).groupBy("mid")
+                  .agg(F.min("log_date").alias("first_date"), F.max("log_date").alias("last_date")))
+    return per_mid.agg(F.count(F.when(F.col("last_date") == date, 1)).alias("dau"),
+                       F.count(F.when(F.col("first_date") == date, 1)).alias("new_mid"))
 
 
 def stage_counts(startup: DataFrame, split_hour: str = "12") -> DataFrame:

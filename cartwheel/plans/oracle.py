@@ -8,6 +8,7 @@ is integer division like Spark ``div``.
 from __future__ import annotations
 
 from . import registry as R
+from .reports import previous_day_text
 
 STARTUP = r"""startup_log AS (
   SELECT CAST(user_id AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid, 'app' AS appid,
@@ -36,6 +37,20 @@ ORDER_INFO = r"""order_info AS (
          o_orderdate AS event_ts
   FROM orders)"""
 
+WIRE_ORDERS = r"""wire_orders AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(c_nationkey AS VARCHAR) AS province_id,
+         'consignee-' || CAST(o_custkey AS VARCHAR) AS consignee, o_orderpriority AS order_comment,
+         '138' || lpad(CAST(o_custkey % 100000000 AS VARCHAR), 8, '0') AS consignee_tel, o_orderstatus AS order_status,
+         CAST(o_orderkey % 3 + 1 AS VARCHAR) AS payment_way, CAST(o_custkey AS VARCHAR) AS user_id,
+         CAST(NULL AS VARCHAR) AS img_url, o_totalprice AS total_amount,
+         strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d') || ' 00:00:00' AS expire_time,
+         'address-' || CAST(o_custkey AS VARCHAR) AS delivery_address, i.create_time,
+         CASE WHEN o_orderstatus <> 'O' THEN i.create_time END AS operate_time, CAST(NULL AS VARCHAR) AS tracking_no,
+         CASE WHEN o_orderkey % 10 = 0 THEN CAST(o_orderkey + 1 AS VARCHAR) END AS parent_order_id,
+         lpad(CAST(o_orderkey AS VARCHAR), 18, '0') AS out_trade_no, 'trade-' || CAST(o_orderkey AS VARCHAR) AS trade_body,
+         i.create_date, i.create_hour
+  FROM orders JOIN order_info i ON i.id = CAST(o_orderkey AS VARCHAR) LEFT JOIN customer ON c_custkey = o_custkey)"""
+
 ORDER_DETAIL = r"""order_detail AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id,
          CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS sku_id,
@@ -78,11 +93,6 @@ def w(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def _prev(d: str) -> str:
-    import datetime as dt
-    return (dt.date.fromisoformat(d) - dt.timedelta(days=1)).isoformat()
-
-
 STARTUP_COLS = "mid, uid, appid, area, os, ch, type, vs, ts, log_date, log_hour"
 
 STATE_BATCH = rf"""state AS (SELECT DISTINCT log_date, mid FROM startup_log WHERE log_hour < '{R.SPLIT_HOUR}'),
@@ -95,7 +105,7 @@ batch_new AS (
 
 
 def _hours_compare(src: str, date_col: str, hour_col: str, date: str, value: str, cast: str) -> str:
-    y = _prev(date)
+    y = previous_day_text(date)
     zero = "0" if cast == "BIGINT" else "0.0"
     fin = (lambda c: f"CAST(coalesce(g.{c}, 0) AS BIGINT)") if cast == "BIGINT" else (
         lambda c: f"round(coalesce(g.{c}, {zero}), 2)")
@@ -120,6 +130,13 @@ UNION ALL
 SELECT 'order_amount', '新增交易额', round(CAST(sum(total_amount) AS DOUBLE), 2) FROM order_info WHERE create_date = '{date}'"""
 
 
+def _realtime_total_json(date: str) -> str:
+    return _realtime_total(date).replace("\nSELECT 'dau'", ", tot AS (SELECT 'dau'", 1) + r""")
+SELECT '[' || string_agg('{"id":"' || id || '","name":"' || name || '"' || coalesce(',"value":' || CASE WHEN id = 'order_amount'
+         THEN CAST(CAST(value AS DECIMAL(20,2)) AS VARCHAR) ELSE CAST(CAST(value AS BIGINT) AS VARCHAR) END, '') || '}', ','
+       ORDER BY CASE id WHEN 'dau' THEN 1 WHEN 'new_mid' THEN 2 ELSE 3 END) || ']' AS json FROM tot"""
+
+
 def _realtime_hours_json(date: str) -> str:
     return _realtime_hours(date, False).replace("SELECT CASE WHEN log_date", ", t AS (SELECT CASE WHEN log_date", 1) \
         .replace("GROUP BY 1, 2", "GROUP BY 1, 2)", 1).replace("WITH ", "WITH ", 1) + r"""
@@ -129,7 +146,7 @@ SELECT CAST(to_json({'yesterday': coalesce((SELECT m FROM m WHERE series = 'yest
 
 
 def _realtime_hours(date: str, gmv: bool) -> str:
-    y = _prev(date)
+    y = previous_day_text(date)
     if gmv:
         return w(ORDER_INFO) + rf"""
 SELECT CASE WHEN create_date = '{date}' THEN 'today' ELSE 'yesterday' END AS series, create_hour AS hour,
@@ -141,7 +158,9 @@ SELECT CASE WHEN log_date = '{date}' THEN 'today' ELSE 'yesterday' END AS series
 FROM dau WHERE log_date IN ('{date}', '{y}') GROUP BY 1, 2"""
 
 
-ALERT = rf"""p AS (SELECT mid, uid, evid, itemid, (ts // {{S}}) * {{S}} AS pane FROM event_log),
+BUSY_LOG = EVENT_LOG.replace("epoch_us(ts) // 1000 AS ts", "epoch_us(ts) // 1000 // 60 AS ts")
+
+_ALERT = rf"""p AS (SELECT mid, uid, evid, itemid, (ts // {{S}}) * {{S}} AS pane FROM event_log),
 win AS (SELECT mid, uid, evid, itemid, pane - k * {{S}} AS wstart FROM p CROSS JOIN range({{K}}) r(k)),
 per AS (SELECT mid, wstart, evid, count(*) AS n FROM win GROUP BY mid, wstart, evid),
 g AS (SELECT mid, wstart,
@@ -158,7 +177,17 @@ alerts AS (
          strftime(make_timestamp((wstart + {{W}}) * 1000), '%Y-%m-%d %H:%M:%S') AS window_end,
          CAST(n_uids AS BIGINT) AS n_uids, uids, item_ids, events, wstart + {{W}} AS ts
   FROM g JOIN e USING (mid, wstart) WHERE clicks = 0 AND n_uids >= {R.ALERT_USERS})"""
-ALERT = ALERT.replace("{S}", str(5 * 60_000)).replace("{K}", "12").replace("{W}", str(3_600_000))
+
+
+def _alert(window_ms: int, slide_ms: int) -> str:
+    return (_ALERT.replace("{S}", str(slide_ms)).replace("{K}", str(window_ms // slide_ms)).replace("{W}", str(window_ms)))
+
+
+ALERT = _alert(3_600_000, 5 * 60_000)
+ALERT_5S = _alert(5 * 60_000, 5_000)
+PER_MINUTE = """
+SELECT alert_id, mid, window_end, n_uids FROM (
+  SELECT *, row_number() OVER (PARTITION BY alert_id ORDER BY ts DESC) AS rn FROM alerts) WHERE rn = 1"""
 
 STUDENT = rf"""student AS (
   SELECT CAST(c_custkey AS VARCHAR) AS doc_id, CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS sex,
@@ -194,15 +223,27 @@ JOIN_COLS = """o.id AS order_id, d.id AS order_detail_id, d.order_id AS detail_o
   d.sku_id, d.order_price AS sku_price"""
 
 
+def _image(**fields) -> str:
+    """Names and values of an after image, sorted by name."""
+    return " || '|' || ".join(f"'{name}=' || {fields[name]}" for name in sorted(fields))
+
+
 def _cdc_after() -> str:
     ins = "o_orderkey % 3 = 0 AND o_orderkey % 11 <> 0"
+    order = _image(id="o_orderkey", user_id="o_custkey", order_status="o_orderstatus", total_amount="CAST(o_totalprice AS VARCHAR)",
+                   create_time="strftime(o_orderdate, '%Y-%m-%d') || ' ' || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':00:00'")
+    line = _image(id="l_orderkey || '-' || l_linenumber", order_id="l_orderkey", sku_id="l_partkey",
+                  order_price="CAST(l_extendedprice AS VARCHAR)", sku_num="CAST(l_quantity AS VARCHAR)")
+    user = _image(id="c_custkey", login_name="c_name", user_level="c_mktsegment",
+                  birthday="strftime(DATE '1960-01-01' + CAST((c_custkey * 37) % 18000 AS INTEGER), '%Y-%m-%d')",
+                  gender="CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END")
     return rf"""
-SELECT 'order' AS topic, CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS ref FROM orders WHERE {ins}
+SELECT 'order' AS topic, CAST(o_orderkey AS VARCHAR) AS id, {order} AS image FROM orders WHERE {ins}
 UNION ALL
-SELECT 'order_detail', CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), CAST(l_orderkey AS VARCHAR)
+SELECT 'order_detail', CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), {line}
 FROM lineitem WHERE l_orderkey % 3 = 0 AND l_orderkey % 11 <> 0
 UNION ALL
-SELECT 'user_info', CAST(c_custkey AS VARCHAR), c_name FROM customer WHERE c_custkey % 3 IN (0, 1) AND c_custkey % 11 <> 0"""
+SELECT 'user_info', CAST(c_custkey AS VARCHAR), {user} FROM customer WHERE c_custkey % 3 IN (0, 1) AND c_custkey % 11 <> 0"""
 
 
 def _cdc_route() -> str:
@@ -251,8 +292,7 @@ def oracle_sql() -> dict[str, str]:
 SELECT 'input' AS stage, CAST(sum(n) AS BIGINT) AS n FROM k
 UNION ALL SELECT 'after_batch_dedup', count(*) FROM k
 UNION ALL SELECT 'after_state_filter', count(*) FILTER (WHERE has_late AND NOT has_early) FROM k""",
-        "order_enrich": w(ORDER_INFO) +
-            "SELECT id, user_id, order_status, total_amount, create_time, create_date, create_hour FROM order_info",
+        "order_enrich": w(ORDER_INFO, WIRE_ORDERS) + "SELECT * FROM wire_orders",
         "gmv_total": w(ORDER_INFO) +
             f"SELECT round(CAST(sum(total_amount) AS DOUBLE), 2) AS sum_amount FROM order_info WHERE create_date = '{g}'",
         "gmv_by_hour": w(ORDER_INFO) +
@@ -266,12 +306,12 @@ UNION ALL SELECT 'after_state_filter', count(*) FILTER (WHERE has_late AND NOT h
             _hours_compare("order_info", "create_date", "create_hour", g, "total_amount", "DOUBLE"),
         "realtime_total": _realtime_total(R.NEW_DEVICE_DATE),
         "realtime_total_orders_day": _realtime_total(g),
+        "realtime_total_json": _realtime_total_json(g),
         "realtime_hours": _realtime_hours(d, False),
         "realtime_hours_gmv": _realtime_hours(g, True),
         "realtime_hours_json": _realtime_hours_json(d),
         "decode_startup_json": w(STARTUP) + f"SELECT {STARTUP_COLS} FROM startup_log",
-        "json_roundtrip": w(ORDER_INFO) +
-            "SELECT id, user_id, order_status, total_amount, create_time, create_date, create_hour FROM order_info",
+        "json_roundtrip": w(ORDER_INFO, WIRE_ORDERS) + "SELECT * FROM wire_orders",
         "cdc_route": _cdc_route(),
         "cdc_after_image_json": _cdc_after(),
         "order_detail_full_outer": w(ORDER_INFO, ORDER_DETAIL) +
@@ -291,7 +331,9 @@ FROM order_info o JOIN order_detail d ON o.id = d.order_id
         "user_age_years": w(USER_INFO) + f"SELECT id, birthday, {age_sql('birthday')} AS user_age FROM user_info",
         "user_latest": _user_latest(),
         "coupon_alert": w(EVENT_LOG, ALERT) + "SELECT * FROM alerts",
-        "alert_per_minute": w(EVENT_LOG, ALERT) + "SELECT alert_id, mid, window_end, n_uids FROM alerts",
+        "coupon_alert_5s": w(BUSY_LOG, ALERT_5S) + "SELECT * FROM alerts",
+        "alert_per_minute": w(EVENT_LOG, ALERT) + PER_MINUTE,
+        "alert_per_minute_5s": w(BUSY_LOG, ALERT_5S) + PER_MINUTE,
         "coupon_alert_members": w(EVENT_LOG, ALERT) + """
 , q AS (SELECT mid, wstart FROM g WHERE clicks = 0 AND n_uids >= 3)
 SELECT DISTINCT mid || CAST((wstart + 3600000) // 60000 AS VARCHAR) AS alert_id, 'uid' AS kind, uid AS member
@@ -303,6 +345,12 @@ FROM win JOIN q USING (mid, wstart) WHERE evid = 'coupon'""",
 SELECT id, order_id, sku_id, suppkey, strftime(event_ts, '%Y-%m-%d') AS ship_date, order_price AS sku_price FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY event_ts DESC, partkey DESC, suppkey DESC) AS rn
   FROM order_detail) WHERE rn = 1""",
+        "bulk_upsert_documents": """
+SELECT CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS id, CAST(o_custkey AS VARCHAR) AS user_id,
+       round(CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 3 = 0 THEN o_totalprice - 1 ELSE o_totalprice END, 2) AS total_amount
+FROM orders
+UNION ALL
+SELECT NULL, CAST(o_custkey AS VARCHAR), round(o_totalprice - 1, 2) FROM orders WHERE o_orderkey % 7 = 0 AND o_orderkey % 3 = 0""",
         "daily_partition_counts": """
 SELECT 'sale_detail' || CAST((epoch_us(l_shipdate) // 1000) // 86400000 AS VARCHAR) AS index_name,
        count(*) AS n_docs FROM lineitem GROUP BY 1""",
@@ -334,6 +382,16 @@ LIMIT {R.SALE_SIZE} OFFSET {R.SALE_FROM}""",
             "SELECT 'gender' AS facet, * FROM (" + _facet(GENDER_KEY, "hits") + ")",
         "sale_search_total": w(ORDER_INFO, ORDER_DETAIL, USER_INFO, SALE_ALL, SALE_USER, SALE_HITS) +
             "SELECT count(*) AS total FROM hits",
+        "sale_search_json": w(ORDER_INFO, ORDER_DETAIL, USER_INFO, SALE_ALL, SALE_USER, SALE_HITS) + f"""
+, page AS (SELECT * FROM hits ORDER BY order_detail_id, order_id, sku_id, sku_price LIMIT {R.SALE_SIZE} OFFSET {R.SALE_FROM}),
+age AS (""" + _facet(AGE_KEY, "hits") + """), gen AS (""" + _facet(GENDER_KEY, "hits") + """)
+SELECT CAST(to_json({'total': (SELECT count(*) FROM hits),
+  'stat': [{'options': (SELECT coalesce(list({'name': name, 'value': value, 'share': share} ORDER BY name), []) FROM age)},
+           {'options': (SELECT coalesce(list({'name': name, 'value': value, 'share': share} ORDER BY name), []) FROM gen)}],
+  'detail': (SELECT coalesce(list({'order_detail_id': order_detail_id, 'order_id': order_id, 'order_status': order_status,
+     'create_time': create_time, 'user_id': user_id, 'sku_id': sku_id, 'user_gender': user_gender, 'user_age': user_age,
+     'user_level': user_level, 'sku_price': sku_price, 'sku_name': sku_name, 'dt': dt}
+     ORDER BY order_detail_id, order_id, sku_id, sku_price), []) FROM page)}) AS VARCHAR) AS json""",
         "province_sales": w(PROVINCE) + "SELECT * FROM ps",
         "province_topk": w(PROVINCE) + "SELECT * FROM ps ORDER BY value DESC, name LIMIT 5",
         "province_sales_bins": w(PROVINCE) + """

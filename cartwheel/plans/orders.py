@@ -9,8 +9,10 @@ from ..constants import JOIN_LATE_BOUND
 from ..functions.timefns import age_years
 from ..operators.joins import interval_join
 
-ORDER_COLUMNS = ("id", "user_id", "order_status", "total_amount", "create_time", "create_date",
-                 "create_hour")
+# fixed values: the columns of the order table
+ORDER_COLUMNS = ("id", "province_id", "consignee", "order_comment", "consignee_tel", "order_status", "payment_way",
+                 "user_id", "img_url", "total_amount", "expire_time", "delivery_address", "create_time", "operate_time",
+                 "tracking_no", "parent_order_id", "out_trade_no", "trade_body", "create_date", "create_hour")
 
 
 def order_revenue_rows(order_info: DataFrame) -> DataFrame:
@@ -55,7 +57,7 @@ def order_detail_join(order_info: DataFrame, order_detail: DataFrame, how: str =
 
 
 def orders_without_detail(order_info: DataFrame, order_detail: DataFrame) -> DataFrame:
-    return order_info.join(order_detail.select(F.col("order_id").alias("id")), "id", "left_anti")
+    return order_info.join(order_detail.select(F.col("order_id").alias("id")).distinct(), "id", "left_anti")
 
 
 def sale_detail_interval(order_info: DataFrame, order_detail: DataFrame,
@@ -71,6 +73,11 @@ def sale_detail_all(order_info: DataFrame, order_detail: DataFrame, strict_price
     return merge_sale_detail(order_detail_join(order_info, order_detail, "inner"), strict_price)
 
 
+def with_sku_name(sale: DataFrame, names: DataFrame) -> DataFrame:
+    """Item names (sku_id, sku_name) for rows that are already reduced to those wanted."""
+    return sale.drop("sku_name").join(names, "sku_id", "left").select(*sale.columns)
+
+
 def with_user(sale: DataFrame, users: DataFrame, as_of=None) -> DataFrame:
     """Left lookup of the user dimension; a found user sets user_id, gender,
     level and age (whole 365-day years); a missing user leaves gender/level

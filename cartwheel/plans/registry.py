@@ -15,16 +15,18 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonfns import decode, row_json
 from ..functions.text import match
-from ..functions.timefns import daily_index_name, epoch_ms, with_log_date_hour
+from ..functions.timefns import age_years, daily_index_name, epoch_ms, with_log_date_hour
 from ..operators.cdc import route_changes
 from ..operators.dedup import latest_per_key
 from ..operators.search import bm25
+from ..operators.upsert import append, fill_missing_ids, read_keyed
+from ..operators.windows import alert_members, alert_minutes, alert_text
 from ..schemas import STARTUP_CASTS, STARTUP_FIELDS
-from ..session import apply_runtime_conf
+from ..session import apply_runtime_conf, run_path
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
 from . import analysis, dau, orders, reports
-from .alerts import coupon_alert_job, stored_alerts
+from .alerts import coupon_alert_job
 from .users import user_latest
 
 # Query parameters (fixed so the oracle can use the same literals).
@@ -46,12 +48,17 @@ def _startup(spark, sf):
     return fx.startup_log(spark, sf)
 
 
-def _dau(spark, sf):
-    return dau.daily_active(_startup(spark, sf))
+def _dau(spark, sf, first=None, last=None):
+    """The DAU rows of the given days: a day's rows come from that day's start-ups only."""
+    return dau.daily_active(fx.startup_log(spark, sf, first, last))
 
 
-def _orders(spark, sf):
-    return fx.order_info(spark, sf)
+def _orders(spark, sf, first=None, last=None):
+    return fx.order_info(spark, sf, first, last)
+
+
+def _with_day_before(date):
+    return reports.previous_day_text(date), date
 
 
 def q_startup_enrich(spark, sf):
@@ -78,11 +85,11 @@ def q_dau_state_union(spark, sf):
 
 
 def q_dau_total(spark, sf):
-    return reports.dau_total(_dau(spark, sf), DAU_DATE)
+    return reports.dau_total(_dau(spark, sf, DAU_DATE, DAU_DATE), DAU_DATE)
 
 
 def q_dau_by_hour(spark, sf):
-    return reports.dau_by_hour(_dau(spark, sf), DAU_DATE)
+    return reports.dau_by_hour(_dau(spark, sf, DAU_DATE, DAU_DATE), DAU_DATE)
 
 
 def q_new_devices(spark, sf):
@@ -94,15 +101,15 @@ def q_dau_stage_counts(spark, sf):
 
 
 def q_order_enrich(spark, sf):
-    return orders.order_revenue_rows(_orders(spark, sf))
+    return orders.order_revenue_rows(fx.wire_orders(spark, sf))
 
 
 def q_gmv_total(spark, sf):
-    return reports.gmv_total(_orders(spark, sf), GMV_DATE).select(F.round("sum_amount", 2).alias("sum_amount"))
+    return reports.gmv_total(_orders(spark, sf, GMV_DATE, GMV_DATE), GMV_DATE).select(F.round("sum_amount", 2).alias("sum_amount"))
 
 
 def q_gmv_by_hour(spark, sf):
-    return reports.gmv_by_hour(_orders(spark, sf), GMV_DATE).select(
+    return reports.gmv_by_hour(_orders(spark, sf, GMV_DATE, GMV_DATE), GMV_DATE).select(
         "create_hour", F.round("sum_amount", 2).alias("sum_amount"))
 
 
@@ -112,32 +119,46 @@ def q_gmv_by_day(spark, sf):
 
 
 def q_dau_hours_compare(spark, sf):
-    return reports.dau_hours_compare(_dau(spark, sf), DAU_DATE)
+    return reports.dau_hours_compare(_dau(spark, sf, *_with_day_before(DAU_DATE)), DAU_DATE)
 
 
 def q_gmv_hours_compare(spark, sf):
-    return reports.gmv_hours_compare(_orders(spark, sf), GMV_DATE)
+    return reports.gmv_hours_compare(_orders(spark, sf, *_with_day_before(GMV_DATE)), GMV_DATE)
+
+
+def _totals_input(spark, sf, date):
+    """Start-ups up to the date (a device counts once a day, so they need no dedup first) and the date's orders."""
+    return fx.startup_log(spark, sf, None, date), _orders(spark, sf, date, date), date
 
 
 def q_realtime_total(spark, sf):
-    return reports.realtime_total(_dau(spark, sf), _orders(spark, sf), NEW_DEVICE_DATE)
+    return reports.realtime_total(*_totals_input(spark, sf, NEW_DEVICE_DATE))
 
 
 def q_realtime_total_orders_day(spark, sf):
-    return reports.realtime_total(_dau(spark, sf), _orders(spark, sf), GMV_DATE)
+    return reports.realtime_total(*_totals_input(spark, sf, GMV_DATE))
+
+
+def q_realtime_total_json(spark, sf):
+    return reports.realtime_total_json(*_totals_input(spark, sf, GMV_DATE))
+
+
+def _hours_input(spark, sf, date):
+    days = _with_day_before(date)
+    return _dau(spark, sf, *days), _orders(spark, sf, *days), date
 
 
 def q_realtime_hours(spark, sf):
-    return reports.realtime_hours("dau", _dau(spark, sf), _orders(spark, sf), DAU_DATE)
+    return reports.realtime_hours("dau", *_hours_input(spark, sf, DAU_DATE))
 
 
 def q_realtime_hours_gmv(spark, sf):
-    r = reports.realtime_hours("order_amount", _dau(spark, sf), _orders(spark, sf), GMV_DATE)
+    r = reports.realtime_hours("order_amount", *_hours_input(spark, sf, GMV_DATE))
     return r.select("series", "hour", F.round("value", 2).alias("value"))
 
 
 def q_realtime_hours_json(spark, sf):
-    return reports.realtime_hours_json("dau", _dau(spark, sf), _orders(spark, sf), DAU_DATE)
+    return reports.realtime_hours_json("dau", *_hours_input(spark, sf, DAU_DATE))
 
 
 def q_decode_startup_json(spark, sf):
@@ -148,7 +169,7 @@ def q_decode_startup_json(spark, sf):
 
 def q_json_roundtrip(spark, sf):
     cols = orders.ORDER_COLUMNS
-    wire = _orders(spark, sf).select(row_json(*cols).alias("value"))
+    wire = fx.wire_orders(spark, sf).select(row_json(*cols).alias("value"))
     return decode(wire, cols, {"total_amount": "double"}).select(*cols)
 
 
@@ -158,10 +179,14 @@ def q_cdc_route(spark, sf):
 
 
 def q_cdc_after_image_json(spark, sf):
-    msgs = route_changes(fx.cdc(spark, sf))
-    g = lambda p: F.get_json_object("value", p)
-    return msgs.select("topic", g("$.id").alias("id"),
-                       F.coalesce(g("$.user_id"), g("$.order_id"), g("$.login_name")).alias("ref"))
+    return after_images(route_changes(fx.cdc(spark, sf)))
+
+
+def after_images(msgs):
+    """(topic, id, image) of routed messages: every name and value of the JSON, as ``name=value`` sorted by name."""
+    read = msgs.select("topic", F.from_json("value", "map<string,string>").alias("m"))
+    pairs = F.transform(F.map_entries("m"), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null"))))
+    return read.select("topic", F.col("m")["id"].alias("id"), F.array_join(F.array_sort(pairs), "|").alias("image"))
 
 
 def _join_cols(j):
@@ -187,8 +212,11 @@ def q_sale_detail_interval_join(spark, sf):
     return orders.sale_detail_interval(_orders(spark, sf), fx.order_detail(spark, sf), JOIN_BOUND)
 
 
-def _sale_with_user(spark, sf):
-    sale = orders.sale_detail_all(_orders(spark, sf), fx.order_detail(spark, sf))
+def _sale_with_user(spark, sf, day=None, names=True):
+    """Orders (of one day), then their lines, then item names where they are read, then users."""
+    sale = orders.sale_detail_all(_orders(spark, sf, day, day), fx.order_detail(spark, sf, False))
+    if names:
+        sale = orders.with_sku_name(sale, fx.sku_names(spark, sf))
     return orders.with_user(sale, fx.user_info(spark, sf), AS_OF)
 
 
@@ -197,7 +225,6 @@ def q_sale_detail_with_user(spark, sf):
 
 
 def q_user_age_years(spark, sf):
-    from ..functions.timefns import age_years
     return fx.user_info(spark, sf).select("id", "birthday", age_years("birthday", AS_OF).alias("user_age"))
 
 
@@ -206,16 +233,25 @@ def q_user_latest(spark, sf):
 
 
 def q_coupon_alert(spark, sf):
-    return coupon_alert_job(fx.event_log(spark, sf), ALERT_WINDOW, ALERT_SLIDE, ALERT_USERS)
+    return alert_text(coupon_alert_job(fx.event_log(spark, sf), ALERT_WINDOW, ALERT_SLIDE, ALERT_USERS))
+
+
+def q_coupon_alert_5s(spark, sf):
+    """The operator's defaults: windows of 5 minutes every 5 seconds."""
+    return alert_text(coupon_alert_job(fx.busy_event_log(spark, sf)))
 
 
 def q_alert_per_minute(spark, sf):
-    return stored_alerts(fx.event_log(spark, sf), ALERT_WINDOW, ALERT_SLIDE, ALERT_USERS).select(
+    return alert_minutes(fx.event_log(spark, sf), ALERT_WINDOW, ALERT_SLIDE, ALERT_USERS).select(
         "alert_id", "mid", "window_end", "n_uids")
 
 
+def q_alert_per_minute_5s(spark, sf):
+    """Up to twelve windows of a device end in a minute; the last one is stored."""
+    return alert_minutes(fx.busy_event_log(spark, sf)).select("alert_id", "mid", "window_end", "n_uids")
+
+
 def q_coupon_alert_members(spark, sf):
-    from ..operators.windows import alert_members
     return alert_members(fx.event_log(spark, sf), ALERT_WINDOW, ALERT_SLIDE, ALERT_USERS)
 
 
@@ -227,6 +263,22 @@ def q_upsert_latest_by_id(spark, sf):
                          F.col("order_price").cast("double").alias("sku_price"))
 
 
+def q_bulk_upsert_documents(spark, sf):
+    """Two bulk writes through the keyed sink: all orders, then cheaper replacements of every third.  Documents without
+    an id (every seventh) are appended, each with an id of its own, which is not shown."""
+    own = F.col("o_orderkey") % 7 != 0
+    docs = read_table(spark, sf, "orders", fx.ORDER_SOURCE).select(
+        F.when(own, F.col("o_orderkey").cast("string")).alias("id"), F.col("o_custkey").cast("string").alias("user_id"),
+        F.col("o_totalprice").alias("total_amount"), (F.col("o_orderkey") % 3 == 0).alias("again"))
+    table = f"{run_path(spark, 'documents')}/docs"
+    again = docs.where("again").withColumn("total_amount", F.col("total_amount") - 1)
+    for number, batch in enumerate((docs, again)):
+        append(fill_missing_ids(batch.drop("again"), "id"), table, number)
+    return read_keyed(spark, table, "id").select(
+        F.when(~F.col("id").startswith("auto-"), F.col("id")).alias("id"), "user_id",
+        F.round("total_amount", 2).alias("total_amount"))
+
+
 def q_daily_partition_counts(spark, sf):
     from ..constants import SALE_DETAIL_INDEX
     d = fx.order_detail(spark, sf, False)
@@ -269,15 +321,15 @@ def q_search_bm25(spark, sf):
 
 
 def q_facet_gender(spark, sf):
-    return analysis.facet_gender(_sale_with_user(spark, sf))
+    return analysis.facet_gender(_sale_with_user(spark, sf, names=False))
 
 
 def q_facet_age_band(spark, sf):
-    return analysis.facet_age_band(_sale_with_user(spark, sf))
+    return analysis.facet_age_band(_sale_with_user(spark, sf, names=False))
 
 
 def _sale_search(spark, sf):
-    return analysis.sale_search(_sale_with_user(spark, sf), SALE_DATE, SALE_KEYWORD, SALE_FROM, SALE_SIZE)
+    return analysis.sale_search(_sale_with_user(spark, sf, SALE_DATE), SALE_DATE, SALE_KEYWORD, SALE_FROM, SALE_SIZE)
 
 
 def q_sale_search_page(spark, sf):
@@ -294,6 +346,10 @@ def q_sale_search_facets(spark, sf):
             .unionByName(r["gender"].select(F.lit("gender").alias("facet"), "*")))
 
 
+def q_sale_search_json(spark, sf):
+    return analysis.sale_search_json(_sale_with_user(spark, sf, SALE_DATE), SALE_DATE, SALE_KEYWORD, SALE_FROM, SALE_SIZE)
+
+
 def _province_sales(spark, sf):
     return analysis.province_sales(
         read_table(spark, sf, "orders", ["o_custkey", "o_totalprice"]),
@@ -335,6 +391,7 @@ _BATCH = {
     "gmv_hours_compare": q_gmv_hours_compare,
     "realtime_total": q_realtime_total,
     "realtime_total_orders_day": q_realtime_total_orders_day,
+    "realtime_total_json": q_realtime_total_json,
     "realtime_hours": q_realtime_hours,
     "realtime_hours_gmv": q_realtime_hours_gmv,
     "realtime_hours_json": q_realtime_hours_json,
@@ -350,9 +407,12 @@ _BATCH = {
     "user_age_years": q_user_age_years,
     "user_latest": q_user_latest,
     "coupon_alert": q_coupon_alert,
+    "coupon_alert_5s": q_coupon_alert_5s,
     "alert_per_minute": q_alert_per_minute,
+    "alert_per_minute_5s": q_alert_per_minute_5s,
     "coupon_alert_members": q_coupon_alert_members,
     "upsert_latest_by_id": q_upsert_latest_by_id,
+    "bulk_upsert_documents": q_bulk_upsert_documents,
     "daily_partition_counts": q_daily_partition_counts,
     "search_total_hits": q_search_total_hits,
     "search_terms_agg": q_search_terms_agg,
@@ -365,6 +425,7 @@ _BATCH = {
     "sale_search_page": q_sale_search_page,
     "sale_search_total": q_sale_search_total,
     "sale_search_facets": q_sale_search_facets,
+    "sale_search_json": q_sale_search_json,
     "province_sales": q_province_sales,
     "province_topk": q_province_topk,
     "province_sales_bins": q_province_sales_bins,

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import TOTAL_METRICS
-from .dau import new_devices_on
+from .dau import devices_on
 
 
-def _prev(date: str) -> str:
+def previous_day_text(date: str) -> str:
     return (_dt.date.fromisoformat(date) - _dt.timedelta(days=1)).isoformat()
 
 
@@ -52,7 +52,7 @@ def _compare(spark: SparkSession, df: DataFrame, date_col: str, hour_col: str, d
     """One scan over today + yesterday, split by conditional aggregates, then
     aligned on the 24-hour axis with zero fill.  The hourly aggregate has at
     most 24 rows, so broadcasting it is size-bounded."""
-    y = _prev(date)
+    y = previous_day_text(date)
     hourly = (df.where(F.col(date_col).isin(date, y))
                 .groupBy(F.col(hour_col).alias("hour"))
                 .agg(F.sum(F.when(F.col(date_col) == date, value)).alias("today"),
@@ -76,20 +76,30 @@ def realtime_total(dau: DataFrame, orders: DataFrame, date: str) -> DataFrame:
     """Three rows (id, name, value): DAU count, devices first seen that day,
     order amount (NULL when the day has no orders)."""
     (dau_id, dau_name), (new_id, new_name), (gmv_id, gmv_name) = TOTAL_METRICS
-    d = dau_total(dau, date).select(F.lit(dau_id).alias("id"), F.lit(dau_name).alias("name"),
-                                    F.col("dau").cast("double").alias("value"))
-    n = new_devices_on(dau, date).select(F.lit(new_id).alias("id"), F.lit(new_name).alias("name"),
-                                         F.col("new_mid").cast("double").alias("value"))
+    metric = lambda i, n, v: F.struct(F.lit(i).alias("id"), F.lit(n).alias("name"), F.col(v).cast("double").alias("value"))
+    d = devices_on(dau, date).select(F.inline(F.array(metric(dau_id, dau_name, "dau"), metric(new_id, new_name, "new_mid"))))
     g = gmv_total(orders, date).select(F.lit(gmv_id).alias("id"), F.lit(gmv_name).alias("name"),
                                        F.round("sum_amount", 2).alias("value"))
-    return d.unionByName(n).unionByName(g)
+    return d.unionByName(g)
+
+
+def realtime_total_json(dau: DataFrame, orders: DataFrame, date: str) -> DataFrame:
+    """One row: the three totals as a JSON list of {id, name, value}; devices are whole numbers, the amount has two
+    decimals and is left out on a day without orders."""
+    amount_id = TOTAL_METRICS[2][0]
+    as_json = lambda kind: F.to_json(F.struct("id", "name", F.col("value").cast(kind).alias("value")))
+    place = F.array_position(F.array(*[F.lit(i) for i, _ in TOTAL_METRICS]), F.col("id"))
+    rows = realtime_total(dau, orders, date).select(
+        place.alias("place"), F.when(F.col("id") == amount_id, as_json("decimal(20,2)")).otherwise(as_json("long")).alias("text"))
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda r: r["text"])
+    return rows.agg(F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias("json"))
 
 
 def realtime_hours(metric_id: str, dau: DataFrame, orders: DataFrame, date: str) -> DataFrame:
     """Tidy (series, hour, value) for today and yesterday; ``order_amount``
     selects revenue, anything else DAU.  Hours without rows are absent (the
     caller zero-fills, see ``*_hours_compare``)."""
-    y = _prev(date)
+    y = previous_day_text(date)
     if metric_id == "order_amount":
         src, dcol, hcol, val = orders, "create_date", "create_hour", F.sum("total_amount").cast("double")
     else:

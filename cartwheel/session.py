@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -79,5 +80,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def run_path(spark: SparkSession, name: str) -> str:
+    """A fresh working folder for one run, under the shared folder."""
+    return work_path(spark, "runs", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
 def work_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_root(spark), *parts])

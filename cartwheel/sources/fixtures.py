@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import EVID_CLICK, EVID_COUPON, MS_PER_DAY
-from ..functions.timefns import age_years, epoch_ms, with_create_date_hour, with_log_date_hour
+from ..functions.timefns import age_years, epoch_ms, with_create_date_hour, with_log_date_hour, within_days
 from .tables import read_table
 
 AS_OF = "2024-02-01 00:00:00"  # fixed "now" of the fixtures, for deterministic ages
@@ -59,10 +59,32 @@ def create_time_text(orderdate: str = "o_orderdate", orderkey: str = "o_orderkey
                     F.lpad((F.col(orderkey) % 24).cast("string"), 2, "0"), F.lit(":00:00"))
 
 
+def _wire_order_fields():
+    """The order fields that reports do not read, derived from key, customer and priority."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    nothing = F.lit(None).cast("string")
+    return [
+        F.concat(F.lit("consignee-"), c.cast("string")).alias("consignee"),
+        F.col("o_orderpriority").alias("order_comment"),
+        F.concat(F.lit("138"), F.lpad((c % 100000000).cast("string"), 8, "0")).alias("consignee_tel"),
+        (k % 3 + 1).cast("string").alias("payment_way"),
+        nothing.alias("img_url"),
+        F.concat(F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 1), "yyyy-MM-dd"),
+                 F.lit(" 00:00:00")).alias("expire_time"),
+        F.concat(F.lit("address-"), c.cast("string")).alias("delivery_address"),
+        F.when(F.col("o_orderstatus") != "O", create_time_text()).alias("operate_time"),
+        nothing.alias("tracking_no"),
+        F.when(k % 10 == 0, (k + 1).cast("string")).alias("parent_order_id"),
+        F.lpad(k.cast("string"), 18, "0").alias("out_trade_no"),
+        F.concat(F.lit("trade-"), k.cast("string")).alias("trade_body"),
+    ]
+
+
 def order_info_from_orders(orders: DataFrame, customer: DataFrame | None = None) -> DataFrame:
-    """Order rows; ``province_id`` needs the customer table (one extra join), so
-    it is only added when ``customer`` is given."""
+    """Order rows; with ``customer`` all 20 columns of the wire type (``province_id`` costs one join), else
+    those that the reports and joins read."""
     o = orders.select(
+        *(_wire_order_fields() if customer is not None else []),
         F.col("o_orderkey").cast("string").alias("id"),
         F.col("o_custkey").cast("string").alias("user_id"),
         F.col("o_orderstatus").alias("order_status"),
@@ -182,8 +204,9 @@ def cdc_from_tables(orders: DataFrame, lineitem: DataFrame, customer: DataFrame)
 
 # ---- batch loaders over an sf directory -------------------------------------------------
 
-def startup_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events", ["user_id", "event_type", "ts"])
+def startup_log(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Start-ups of the days ``first`` to ``last`` (all days when None)."""
+    ev = within_days(read_table(spark, sf_dir, "events", ["user_id", "event_type", "ts"]), "ts", first, last)
     return with_log_date_hour(startup_from_events(ev))
 
 
@@ -192,11 +215,32 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_log_date_hour(event_log_from_events(ev))
 
 
-def order_info(spark: SparkSession, sf_dir: str, with_province: bool = False) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus",
-                                             "o_totalprice", "o_orderdate"])
-    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"]) if with_province else None
-    return order_info_from_orders(o, c)
+def busy_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The behaviour log at 60 times its pace (ts div 60): dense enough for windows of 5 minutes."""
+    return event_log(spark, sf_dir).withColumn("ts", F.expr("ts div 60"))
+
+
+ORDER_SOURCE = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+
+
+def order_info(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Orders of the days ``first`` to ``last`` (all days when None)."""
+    return order_info_from_orders(within_days(read_table(spark, sf_dir, "orders", ORDER_SOURCE), "o_orderdate", first, last))
+
+
+def wire_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with all 20 columns of the wire type."""
+    return order_info_from_orders(read_table(spark, sf_dir, "orders", [*ORDER_SOURCE, "o_orderpriority"]),
+                                  customer_nation(spark, sf_dir))
+
+
+def customer_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+
+
+def sku_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "part", ["p_partkey", "p_name"]).select(
+        F.col("p_partkey").cast("string").alias("sku_id"), F.col("p_name").alias("sku_name"))
 
 
 def order_detail(spark: SparkSession, sf_dir: str, with_name: bool = True) -> DataFrame:
@@ -216,11 +260,6 @@ def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  ["c_custkey", "c_name", "c_mktsegment"]))
 
 
-def province(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"]).select(
-        F.col("n_nationkey").cast("string").alias("province_id"), F.col("n_name").alias("name"))
-
-
 def student(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     return student_from_customer(read_table(spark, sf_dir, "customer",
                                             ["c_custkey", "c_mktsegment", "c_nationkey"]), as_of)

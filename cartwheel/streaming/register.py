@@ -1,117 +1,148 @@
-"""Registered streaming queries: each runs its Structured Streaming job over
-the driver tables as file streams (``availableNow``), then returns the sink
-table it wrote.  Working folders are fresh per run, under the shared
-``spark.checkpoint.dir``."""
+"""Registered streaming queries.
+
+Each source arrives in slices, ordered by its time or key: a slice is written to the run's source folder, the job runs over it
+(``availableNow``) and ends; the next slice finds it restarted from its checkpoint.  So every query merges several
+micro-batches through its sink.  Working folders are fresh per run, under the shared ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from ..session import work_path
+from ..session import run_path
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
-from ..sources.topic import table_stream
+from ..sources.topic import TopicSource
 from ..plans import registry as R
-from ..plans.orders import ORDER_COLUMNS
-from ..plans.reports import gmv_by_day
+from ..plans.orders import ORDER_COLUMNS, with_sku_name
+from ..plans.reports import dau_hours_compare, gmv_by_day
 from ..plans.users import USER_COLUMNS
 from . import jobs
 
+SLICES = 3
+
+
+def _slices(df: DataFrame, col: str, n: int = SLICES) -> list[DataFrame]:
+    """The rows in ``n`` slices of equal ranges of ``col`` (rows without a value come last)."""
+    low, high = df.agg(F.min(col), F.max(col)).first()
+    if low is None:
+        return [df]
+    cuts = [low + (high - low) * i / n if not isinstance(low, int) else low + (high - low) * i // n for i in range(1, n)]
+    out, rest = [], F.lit(True)
+    for cut in cuts:
+        before = F.coalesce(F.col(col) < F.lit(cut).cast(df.schema[col].dataType), F.lit(False))
+        out.append(df.where(rest & before))
+        rest = rest & ~before
+    return [*out, df.where(rest)]
+
 
-def _run(spark: SparkSession, name: str) -> str:
-    return work_path(spark, "runs", f"{name}-{uuid.uuid4().hex[:12]}")
+def _run(spark: SparkSession, run: str, feeds: dict[str, list[DataFrame]], start: Callable[[dict], StreamingQuery]) -> None:
+    """Slice after slice: append it to the source folders, run the job until it has read them."""
+    for i in range(max(len(f) for f in feeds.values())):
+        for name, slices in feeds.items():
+            if i < len(slices):
+                slices[i].write.mode("append").parquet(f"{run}/src/{name}")
+        streams = {name: TopicSource("parquet", path=f"{run}/src/{name}", schema=slices[0].schema).stream(spark)
+                   for name, slices in feeds.items()}
+        start(streams).awaitTermination()
 
 
-def _wait(q) -> None:
-    q.awaitTermination()
+def _events(spark, sf) -> dict[str, list[DataFrame]]:
+    return {"events": _slices(read_table(spark, sf, "events", ["user_id", "event_type", "props", "ts"]), "ts")}
 
 
 def _user_table(spark, sf, run) -> str:
+    """Inserts come first, the changes of the same users in a later slice."""
     path = f"{run}/users"
-    cust = table_stream(spark, sf, "customer")
-    _wait(jobs.start_user_dimension(fx.user_changes_from_customer(cust), path, f"{run}/ckpt_users",
-                                    available_now=True))
+    _run(spark, run, {"user_changes": _slices(fx.user_changes(spark, sf), "ts")},
+         lambda s: jobs.start_user_dimension(s["user_changes"], path, f"{run}/ckpt_users", available_now=True))
+    return path
+
+
+def _dau_table(spark, sf, run, seen=False) -> str:
+    path = f"{run}/dau"
+    _run(spark, run, _events(spark, sf),
+         lambda s: jobs.start_dau(fx.startup_from_events(s["events"]), path, f"{run}/ckpt",
+                                  seen_path=f"{run}/seen" if seen else None, available_now=True))
     return path
 
 
 def q_stream_dau(spark: SparkSession, sf: str) -> DataFrame:
-    run = _run(spark, "dau")
-    src = fx.startup_from_events(table_stream(spark, sf, "events"))
-    _wait(jobs.start_dau(src, f"{run}/dau", f"{run}/ckpt", seen_path=f"{run}/seen", available_now=True))
-    return jobs.read_dau(spark, f"{run}/dau").select(*R.STARTUP_COLS)
+    return jobs.read_dau(spark, _dau_table(spark, sf, run_path(spark, "dau"), seen=True)).select(*R.STARTUP_COLS)
 
 
 def q_stream_dau_report(spark: SparkSession, sf: str) -> DataFrame:
     """Stream -> keyed DAU table -> today vs yesterday report read from the
     table (partition-pruned by log_date)."""
-    from ..plans.reports import dau_hours_compare
-    run = _run(spark, "dau_report")
-    src = fx.startup_from_events(table_stream(spark, sf, "events"))
-    _wait(jobs.start_dau(src, f"{run}/dau", f"{run}/ckpt", available_now=True))
-    return dau_hours_compare(jobs.read_dau(spark, f"{run}/dau"), R.DAU_DATE)
+    return dau_hours_compare(jobs.read_dau(spark, _dau_table(spark, sf, run_path(spark, "dau_report"))), R.DAU_DATE)
 
 
 def _order_table(spark, sf, run) -> str:
+    """An early version of every fifth order first, then the orders themselves in three slices."""
     path = f"{run}/orders"
-    src = fx.order_info_from_orders(table_stream(spark, sf, "orders"))
-    _wait(jobs.start_order_table(src, path, f"{run}/ckpt_orders", available_now=True))
+    rows = read_table(spark, sf, "orders", [*fx.ORDER_SOURCE, "o_orderpriority"])
+    early = rows.where("o_orderkey % 5 = 0").withColumns({"o_orderstatus": F.lit("early"), "o_totalprice": F.col("o_totalprice") + 10})
+    nations = fx.customer_nation(spark, sf)
+    _run(spark, run, {"orders": [early, *_slices(rows, "o_orderdate")]},
+         lambda s: jobs.start_order_table(fx.order_info_from_orders(s["orders"], nations), path, f"{run}/ckpt_orders",
+                                          available_now=True))
     return path
 
 
 def q_stream_order_table(spark: SparkSession, sf: str) -> DataFrame:
-    run = _run(spark, "orders")
-    return jobs.read_orders(spark, _order_table(spark, sf, run)).select(*ORDER_COLUMNS)
+    return jobs.read_orders(spark, _order_table(spark, sf, run_path(spark, "orders"))).select(*ORDER_COLUMNS)
 
 
 def q_stream_gmv(spark: SparkSession, sf: str) -> DataFrame:
-    run = _run(spark, "gmv")
-    t = jobs.read_orders(spark, _order_table(spark, sf, run))
+    t = jobs.read_orders(spark, _order_table(spark, sf, run_path(spark, "gmv")))
     return gmv_by_day(t).select("create_date", F.round("sum_amount", 2).alias("sum_amount"), "n_orders")
 
 
 def q_stream_user_latest(spark: SparkSession, sf: str) -> DataFrame:
-    run = _run(spark, "users")
-    return jobs.read_users(spark, _user_table(spark, sf, run)).select(*USER_COLUMNS)
+    return jobs.read_users(spark, _user_table(spark, sf, run_path(spark, "users"))).select(*USER_COLUMNS)
 
 
 def q_stream_sale_detail(spark: SparkSession, sf: str) -> DataFrame:
-    run = _run(spark, "sale")
-    users = _user_table(spark, sf, run)
-    orders = fx.order_info_from_orders(table_stream(spark, sf, "orders"))
-    part = read_table(spark, sf, "part", ["p_partkey", "p_name"])          # static side
-    details = fx.order_detail_from_lineitem(table_stream(spark, sf, "lineitem"), part)
-    sale = jobs.sale_detail_stream(orders, details, R.JOIN_BOUND)
-    out = f"{run}/sale_detail"
+    run = run_path(spark, "sale")
+    users, out = _user_table(spark, sf, run), f"{run}/sale_detail"
+    names = fx.sku_names(spark, sf)          # static side
+    lines = read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                               "l_extendedprice", "l_shipdate"])
+    feeds = {"orders": _slices(read_table(spark, sf, "orders", fx.ORDER_SOURCE), "o_orderdate"),
+             "lineitem": _slices(lines, "l_shipdate")}
+
     # the fixture's line id repeats across lines; the line's item completes the document key
-    _wait(jobs.start_sale_detail(sale, out, f"{run}/ckpt_sale", users_path=users, as_of=R.AS_OF,
-                                 keys=("order_detail_id", "sku_id"), available_now=True))
+    def start(s):
+        sale = jobs.sale_detail_stream(fx.order_info_from_orders(s["orders"]), fx.order_detail_from_lineitem(s["lineitem"]),
+                                       R.JOIN_BOUND)
+        return jobs.start_sale_detail(with_sku_name(sale, names), out, f"{run}/ckpt_sale", users_path=users, as_of=R.AS_OF,
+                                      keys=("order_detail_id", "sku_id"), available_now=True)
+    _run(spark, run, feeds, start)
     return jobs.read_sale_detail(spark, out, ("order_detail_id", "sku_id")).select(
         "order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id", "user_gender",
         "user_age", "user_level", "sku_price", "sku_name", "dt")
 
 
 def q_stream_coupon_alert(spark: SparkSession, sf: str) -> DataFrame:
-    run = _run(spark, "alerts")
-    ev = fx.event_log_from_events(table_stream(spark, sf, "events"))
-    _wait(jobs.start_coupon_alerts(ev, f"{run}/panes", f"{run}/alerts", f"{run}/ckpt",
-                                   R.ALERT_WINDOW, R.ALERT_SLIDE, R.ALERT_USERS, available_now=True))
-    return jobs.read_alerts(spark, f"{run}/alerts").select(
+    run = run_path(spark, "alerts")
+    _run(spark, run, _events(spark, sf),
+         lambda s: jobs.start_coupon_alerts(fx.event_log_from_events(s["events"]), f"{run}/panes", f"{run}/alerts", f"{run}/ckpt",
+                                            R.ALERT_WINDOW, R.ALERT_SLIDE, R.ALERT_USERS, available_now=True))
+    return R.alert_text(jobs.read_alerts(spark, f"{run}/alerts")).select(
         "alert_id", "mid", "window_start", "window_end", "n_uids", "uids", "item_ids", "events", "ts")
 
 
 def q_stream_cdc_route(spark: SparkSession, sf: str) -> DataFrame:
-    run = _run(spark, "cdc")
-    cdc = fx.cdc_from_tables(table_stream(spark, sf, "orders"), table_stream(spark, sf, "lineitem"),
-                             table_stream(spark, sf, "customer"))
+    run = run_path(spark, "cdc")
     out = f"{run}/topics"
-    _wait(jobs.start_change_router(cdc, out, f"{run}/ckpt", available_now=True))
-    msgs = spark.read.schema("value string, topic string").json(out)
-    g = lambda p: F.get_json_object("value", p)
-    return msgs.select("topic", g("$.id").alias("id"),
-                       F.coalesce(g("$.user_id"), g("$.order_id"), g("$.login_name")).alias("ref"))
+    _run(spark, run, {t: _slices(read_table(spark, sf, t), k) for t, k in (
+        ("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("customer", "c_custkey"))},
+         lambda s: jobs.start_change_router(fx.cdc_from_tables(s["orders"], s["lineitem"], s["customer"]), out, f"{run}/ckpt",
+                                            available_now=True))
+    return R.after_images(spark.read.schema("value string, topic string").json(out))
 
 
 def stream_queries() -> dict:

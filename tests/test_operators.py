@@ -132,9 +132,9 @@ def test_coupon_alert_cases(spark):
     by_mid = {a.mid: a for a in al}
     assert set(by_mid) == {"d1", "d4"}
     a = by_mid["d1"]
-    assert (a.n_uids, a.uids, a.item_ids, a.events) == (3, "u1,u2,u3", "i1,i2", "coupon:3,view:1")
+    assert (a.n_uids, a.uids, a.item_ids, a.events) == (3, ["u1", "u2", "u3"], ["i1", "i2"], ["coupon:3", "view:1"])
     assert a.window_start == "2024-01-01 00:00:00" and a.alert_id == "d1" + str((T0 + 5 * M) // M)
-    assert by_mid["d4"].uids == "u1,u2,null"
+    assert by_mid["d4"].uids == ["u1", "u2", None]
 
 
 def test_coupon_alert_sliding_edges(spark):
@@ -303,7 +303,7 @@ def test_coupon_alert_hot_device(spark):
     cold = spark.createDataFrame([("c", "u1", "clickItem", "1", T0)], EV)
     al = windows.coupon_alerts(hot.unionByName(cold), "5 minutes", "5 minutes", 3).collect()
     assert len(al) == 1 and al[0].mid == "hot" and al[0].n_uids == 6000
-    assert al[0].item_ids == "0,1,2,3,4,5,6" and al[0].events == "coupon:6000"
+    assert al[0].item_ids == list("0123456") and al[0].events == ["coupon:6000"]
     mem = windows.alert_members(hot, "5 minutes", "5 minutes", 3)
     assert mem.where("kind = 'uid'").count() == 6000
 
@@ -322,3 +322,28 @@ def test_sale_search_empty_keyword_and_facet_shares(spark):
         rows = r[facet].collect()
         assert sum(x.value for x in rows) == n
         assert abs(sum(x.share for x in rows) - 100.0) < 0.05
+
+
+def test_alert_minute_keeps_the_last_window(spark):
+    M = 60_000
+    rows = [("d", f"u{i}", "coupon", "x", T0 + 10_000 + i) for i in range(3)]
+    ev = spark.createDataFrame(rows, EV)
+    al = windows.coupon_alerts(ev, "1 minute", "5 seconds", 3)
+    assert al.count() == 12                      # every window that holds the three coupons
+    stored = {r.alert_id: r for r in windows.alert_minutes(ev, "1 minute", "5 seconds", 3).collect()}
+    by_list = {r.alert_id: r for r in windows.alerts_per_minute(al).collect()}
+    short = {r.alert_id: r for r in windows.coupon_alerts(ev, "1 minute", "5 seconds", 3, per_minute=True).collect()}
+    assert set(stored) == set(by_list) == set(short) == {f"d{T0 // M}", f"d{T0 // M + 1}"}
+    for k, r in stored.items():
+        assert r.ts == by_list[k].ts == short[k].ts and short[k].uids == by_list[k].uids == ["u0", "u1", "u2"]
+
+
+def test_null_device_alerts_and_json_answers_without_rows(spark):
+    from cartwheel.plans import analysis
+    ev = spark.createDataFrame([(None, f"u{i}", "coupon", "x", T0) for i in range(3)], EV)
+    al = windows.coupon_alerts(ev, "1 minute", "1 minute", 3).collect()
+    assert len(al) == 1 and al[0].mid is None and al[0].uids == ["u0", "u1", "u2"]
+    sale = spark.createDataFrame([], "order_detail_id string, order_id string, sku_id string, sku_price double, sku_name string, "
+                                     "user_gender string, user_age int, dt string")
+    got = analysis.sale_search_json(sale, "2024-01-01").collect()
+    assert [r.json for r in got] == ['{"total":0,"stat":[{"options":[]},{"options":[]}],"detail":[]}']

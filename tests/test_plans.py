@@ -87,3 +87,30 @@ def test_global_statistics_are_scalar_subqueries_not_joins(spark):
         p = plan(q[name](spark, SF_SMALL))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
         assert "Subquery" in p, name
+
+
+def test_date_reports_push_the_day_range_to_the_scan(spark):
+    q = E.queries()
+    for name, col, both in (
+            ("dau_total", "ts", True), ("dau_by_hour", "ts", True), ("dau_hours_compare", "ts", True),
+            ("realtime_hours", "ts", True), ("realtime_hours_json", "ts", True), ("realtime_total", "ts", False),
+            ("realtime_total", "o_orderdate", True), ("realtime_total_orders_day", "o_orderdate", True),
+            ("gmv_total", "o_orderdate", True), ("gmv_by_hour", "o_orderdate", True),
+            ("gmv_hours_compare", "o_orderdate", True), ("realtime_hours_gmv", "o_orderdate", True),
+            ("sale_search_page", "o_orderdate", True), ("sale_search_total", "o_orderdate", True),
+            ("sale_search_facets", "o_orderdate", True)):
+        pushed = [line for line in plan(q[name](spark, SF_SMALL)).splitlines() if "PushedFilters" in line]
+        assert any(f"LessThan({col}," in line and (f"GreaterThanOrEqual({col}," in line or not both) for line in pushed), name
+
+
+def test_totals_scan_events_once_and_facets_read_no_names(spark):
+    q = E.queries()
+    assert plan(q["realtime_total"](spark, SF_SMALL)).count("ReadSchema: struct<ts:timestamp_ntz,user_id:bigint") + \
+        plan(q["realtime_total"](spark, SF_SMALL)).count("ReadSchema: struct<user_id:bigint,ts:timestamp_ntz") == 1
+    for name in ("facet_gender", "facet_age_band"):
+        assert "p_name" not in plan(q[name](spark, SF_SMALL)), name
+
+
+def test_only_deciding_panes_are_copied_to_windows(spark):
+    p = plan(E.queries()["alert_per_minute_5s"](spark, SF_SMALL))
+    assert "collect_list" not in p and "Generate" in p
