@@ -26,24 +26,36 @@ def append(batch: DataFrame, path: str, batch_id: int, partition_by=None) -> Non
     parts = _names(partition_by)
     # few files per partition; AQE still splits a skewed partition value
     out = batch.withColumn(BATCH, F.lit(int(batch_id)).cast("long")).hint("rebalance", *parts)
+    # an empty partitioned write leaves no file, so the columns are noted beside the table once
+    batch.sparkSession.createDataFrame([], out.schema).write.mode("ignore").parquet(f"{path}_schema")
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts, BATCH).parquet(path))
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame | None:
     """All rows of all micro-batches (with ``batch_id``), None if nothing was ever written there.
-    A folder that is there but holds no readable table raises: it must not pass for an empty one."""
+    A table whose micro-batches were all empty has no rows; any other folder that holds no readable table raises: it must
+    not pass for an empty one."""
     try:
         table = spark.read.parquet(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
-        raise RuntimeError(f"keyed table {path} is there but cannot be read") from e
+        table = _without_rows(spark, path) if e.getCondition() == "UNABLE_TO_INFER_SCHEMA" else None
+        if table is None:
+            raise RuntimeError(f"keyed table {path} is there but cannot be read") from e
     if BATCH not in table.columns:
         raise RuntimeError(f"{path} is not a keyed table: it has no {BATCH}")
     return table.withColumn(BATCH, F.col(BATCH).cast("long"))
 
 
+def _without_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(f"{path}_schema")
+    except AnalysisException:
+        return None
+
+
 def first_number(spark: SparkSession, path: str, checkpoint: str) -> int:
     """The number that a stream's micro-batch 0 gets in the table: one above those stored when this checkpoint was new.  It is
     kept beside the checkpoint, so a restarted stream goes on and a stream with a new checkpoint overwrites nothing."""
