@@ -9,9 +9,10 @@ adds almost nothing where these are alike.  A text's evidence is log P(text | to
 ``rare`` is the candidate of ``RARE`` with the least loss on a training fold that the counts do not see; there a logistic
 curve from evidence to score is fitted as well, on a bounded sample of ``calibrate_rows`` rows per class.
 
-Counts are gathered over all labelled training rows as Spark groupings of exact n-grams.  Only the finished tables come to the
-driver and go out for scoring: ``SIZES`` buckets by order (n-grams that share a bucket add up), 55 MB in memory
-whatever the corpus is.
+Counts of all n-grams stay exact in a Spark table that grows with the corpus.  A text's evidence is the sum over its bytes of
+what the n-gram ending there says, so the distinct n-grams of the scored texts are joined to that table.  Of the results, the
+most frequent ``CACHE`` go to where texts are scored; the rest is joined to the texts that have them.  The cut-off
+between the two changes no result.
 
 Words are maximal runs of letters of the whole lower-cased text.  Null, empty and wordless texts have evidence 0.  Without
 toxic or without ordinary training rows every text gets that one class's score.  Labels that share a doc_id count
@@ -21,24 +22,24 @@ source and doc_id are never inputs of a score."""
 from __future__ import annotations
 
 import re
-import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out, id_text, slices, written
 
 TOP = 6
-SIZES = (0, 1 << 10, 1 << 14, 1 << 16, 1 << 18, 1 << 19, 1 << 20)      # buckets by order
-SLOTS = 1 << 20
+CACHE = 1 << 20                    # numbers that go to the tasks: 8 bytes each, and 8 for their n-gram
 RARE = (20, 80, 320, 1280, 5120, 20480)
 DISCOUNT = 0.75
 BROADCAST_ROWS = 2_000_000         # labels are broadcast up to here (16 bytes each), else joined by shuffle
 SETTLE = 1 << 19                   # different words a task counts before it sends n-grams on
 START, END = 1, 2
+VALUES = ("n0", "n1", "n2", "k0", "k1", "k2")
 _find = re.compile(r"[^\W\d_]+").findall
 
 
@@ -58,157 +59,173 @@ def spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return code[live], sizes
 
 
-def bucket(gram: np.ndarray, order: int) -> np.ndarray:
-    h = (gram.astype(np.uint64) + np.uint64(order << 56)) * np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((h >> np.uint64(32)) % np.uint64(SIZES[order])).astype(np.int64)
-
-
 def counted(rows: DataFrame) -> DataFrame:
-    """(text, toxic) -> (toxic, gram, n) at order TOP; words are counted per task, then spelled once each."""
+    """(text, part) -> (part, gram, n) at order TOP; words are counted per task, then spelled once each."""
     def task(batches):
-        seen = (Counter(), Counter())
+        seen = defaultdict(Counter)
 
         def emit():
-            codes, weights = [], []
-            for toxic, words in enumerate(seen):
+            for part, words in seen.items():
                 if words:
                     code, sizes = spelled(list(words))
-                    codes.append(code << 1 | toxic)
-                    weights.append(np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes))
-            code, at = np.unique(np.concatenate(codes), return_inverse=True)
-            n = np.bincount(at, np.concatenate(weights)).astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array((code & 1).astype(np.int32)), pa.array(code >> 1), pa.array(n)],
-                                              names=["toxic", "gram", "n"])
+                    code, at = np.unique(code, return_inverse=True)
+                    n = np.bincount(at, np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), part, np.int32)), pa.array(code), pa.array(n)],
+                                                     names=["part", "gram", "n"])
 
         for batch in slices(batches, 1 << 21):
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[toxic].update(_find(text.lower()))
-            if len(seen[0]) + len(seen[1]) >= SETTLE:
-                yield emit()
-                seen = (Counter(), Counter())
-        if seen[0] or seen[1]:
-            yield emit()
-
-    return (rows.select("text", "toxic").mapInArrow(task, "toxic int, gram long, n long")
-            .groupBy("toxic", "gram").agg(F.sum("n").alias("n")))
-
-
-def levels(top: DataFrame) -> DataFrame:
-    """(owner, order, gram, n): counts of each class (owner 0 or 1) at every order; owner 2: continuation counts of both below the top."""
-    ends = lambda order: F.col("gram").bitwiseAND((1 << 8 * order) - 1)
-    every = F.explode(F.array(*[F.struct(F.lit(o).alias("order"), ends(o).alias("gram")) for o in range(1, TOP + 1)])).alias("g")
-    raw = written(top.select(F.col("toxic").alias("owner"), "n", every).groupBy("owner", "g.order", "g.gram").agg(F.sum("n").alias("n")), "levels")
-    shorter = F.coalesce(*[F.when(F.col("order") == o + 1, ends(o)) for o in range(1, TOP)]).alias("gram")
-    both = (raw.filter("order > 1").select("order", "gram").distinct()
-            .groupBy((F.col("order") - 1).alias("order"), shorter).agg(F.count("*").alias("n")))
-    rows = raw.unionByName(both.select(F.lit(2).alias("owner"), "order", "gram", "n"))
-    # contexts that both classes together have seen less than every threshold are never asked for
-    context = ["order", F.shiftright("gram", 8).alias("context")]
-    often = raw.groupBy(*context).agg(F.sum("n").alias("n")).filter(F.col("n") >= min(RARE)).drop("n")
-    return rows.withColumn("context", context[1]).join(often, ["order", "context"], "left_semi").select(*raw.columns)
-
-
-def tables(rows: DataFrame) -> DataFrame:
-    """(owner, order, gram, n) -> (slot, value).  A slot is ((owner * 8 + order) * 3 + kind) * SLOTS + bucket; kinds: 0
-    discounted count of an n-gram, 1 total of a context, 2 different successors of a context."""
-    def task(batches):
-        for batch in batches:
-            owner, order, gram, n = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(4))
-            slots, values = [], []
-            for o in np.unique(order).tolist():
-                at = order == o
-                base = (owner[at] * 8 + o) * 3 * SLOTS
-                context = bucket(gram[at] >> 8, o)
-                slots += [base + bucket(gram[at], o), base + SLOTS + context, base + 2 * SLOTS + context]
-                values += [np.maximum(n[at] - DISCOUNT, 0), n[at].astype(float), np.ones(int(at.sum()))]
-            slot, at = np.unique(np.concatenate(slots), return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(np.bincount(at, np.concatenate(values)))], names=["slot", "value"])
-    return rows.mapInArrow(task, "slot long, value double").groupBy("slot").agg(F.sum("value").alias("value"))
-
-
-def packed(sums: DataFrame) -> DataFrame:
-    """(slot, value) -> compressed runs of both, a few bytes a slot: what comes to the driver and goes out again."""
-    def task(batches):
-        held = []
-
-        def emit():
-            slot, value = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(slot)
-            row = zlib.compress(np.diff(slot[order], prepend=0).astype(np.uint32).tobytes(), 1), zlib.compress(value[order].astype(np.float32).tobytes(), 1)
-            return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in row], names=["slot", "value"])
+            for text, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen[part].update(_find(text.lower()))
+            if sum(map(len, seen.values())) >= SETTLE:
+                yield from emit()
+                seen = defaultdict(Counter)
+        yield from emit()
+
+    return (rows.select("text", "part").mapInArrow(task, "part int, gram long, n long")
+            .groupBy("part", "gram").agg(F.sum("n").alias("n")))
+
+
+def ending(order: int):
+    """The n-gram of ``order`` at the end of a longer one."""
+    return F.col("gram").bitwiseAND((1 << 8 * order) - 1)
+
+
+def keyed(kind: int, order, gram):
+    """One number for the n-gram (kind 0) or the context of n-grams (kind 1) of an order."""
+    return (F.lit(kind * 8) + order).cast("long") * F.lit(1 << 48) + gram
+
+
+def short(kind: int, order: int) -> bool:
+    """Two bytes at most, so there are 131,329 of them at most."""
+    return order - kind <= 2
+
+
+def counts(grams: DataFrame) -> DataFrame:
+    """(toxic, gram, n) -> (key, n0, n1, n2, k0, k1, k2): of an n-gram its count in either class and, below the top, after how many
+    different bytes it was seen in either; of a context the sums of these, and how many different successors they have."""
+    top = grams.groupBy("gram").agg(*[F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)])
+    every = F.explode(F.array(*[F.struct(F.lit(o).alias("order"), ending(o).alias("gram")) for o in range(1, TOP + 1)])).alias("g")
+    raw = written(top.select("n0", "n1", every).groupBy("g.order", "g.gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "levels")
+    shorter = F.coalesce(*[F.when(F.col("order") == o + 1, ending(o)) for o in range(1, TOP)]).alias("gram")
+    both = raw.filter("order > 1").groupBy((F.col("order") - 1).alias("order"), shorter).agg(F.count("*").alias("n2"))
+    none = F.lit(0).cast("long")
+    rows = raw.withColumn("n2", none).unionByName(both.select("order", "gram", none.alias("n0"), none.alias("n1"), "n2"))
+    own = F.struct(keyed(0, F.col("order"), F.col("gram")).alias("key"), *[none.alias(f"k{c}") for c in range(3)])
+    context = F.struct(keyed(1, F.col("order"), F.shiftright("gram", 8)).alias("key"),
+                       *[(F.col(f"n{c}") > 0).cast("long").alias(f"k{c}") for c in range(3)])
+    sums = rows.select("n0", "n1", "n2", F.explode(F.array(own, context)).alias("g")).select("n0", "n1", "n2", "g.*")
+    return written(sums.groupBy("key").agg(*[F.sum(c).alias(c) for c in VALUES]), "counts")
+
+
+def ratios(found: np.ndarray, rares) -> np.ndarray:
+    """(12 slots, VALUES, n-grams) -> log P(byte | toxic) - log P(byte | ordinary), a row for each threshold.  Slots: the
+    n-gram's endings of order 1 to TOP, then their contexts."""
+    lower = np.full(found.shape[2], 1 / 256)
+    out = np.zeros((len(rares), found.shape[2]))
+    live = [np.ones(found.shape[2], bool) for _ in rares]
+    for o in range(1, TOP + 1):
+        own, context = found[o - 1], found[TOP + o - 1]
+        p = [np.where(context[c] > 0, (np.maximum(own[c] - DISCOUNT, 0) + DISCOUNT * context[3 + c] * lower) / np.maximum(context[c], 1), lower)
+             for c in range(3)]
+        now = np.log(p[1]) - np.log(p[0])
+        for i, rare in enumerate(rares):
+            live[i] &= context[0] + context[1] >= rare
+            out[i][live[i]] = now[live[i]]
+        lower = p[2]
+    return out
+
+
+def looked_up(grams: DataFrame, table: DataFrame, rares) -> DataFrame:
+    """(gram, n) -> (gram, n, r): what the byte that ends each n-gram says, by threshold."""
+    def slots(low):
+        return F.explode(F.array(*[F.struct(F.lit(kind * TOP + o - 1).alias("slot"), keyed(kind, F.lit(o), F.shiftright(ending(o), 8 * kind)).alias("key"))
+                                   for kind in (0, 1) for o in range(1, TOP + 1) if short(kind, o) == low])).alias("g")
+
+    number = F.shiftright("key", 48)
+    low = number.isin([kind * 8 + o for kind in (0, 1) for o in range(1, TOP + 1) if short(kind, o)])
+    joined = [grams.select("gram", "n", slots(part)).select("gram", "n", "g.*").join(side, "key")
+              for part, side in ((True, F.broadcast(table.filter(low))), (False, table.filter(~low).hint("shuffle_merge")))]
+    each = F.struct("slot", *[F.col(c).cast("double").alias(c) for c in VALUES])
+    rows = joined[0].unionByName(joined[1]).groupBy("gram").agg(F.max("n").alias("n"), F.collect_list(each).alias("found"))
 
+    def task(batches):
         for batch in batches:
-            held.append((batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)))
-            if sum(len(x[0]) for x in held) >= 1 << 18:
-                yield emit()
-                held = []
-        if held:
-            yield emit()
+            if not batch.num_rows:
+                continue
+            found = batch.column(2)
+            at = np.repeat(np.arange(batch.num_rows), found.value_lengths().to_numpy(zero_copy_only=False))
+            slot, *values = (c.to_numpy(zero_copy_only=False) for c in found.flatten().flatten())
+            dense = np.zeros((2 * TOP, len(VALUES), batch.num_rows))
+            for i, v in enumerate(values):
+                dense[slot, i, at] = v
+            r = np.ascontiguousarray(ratios(dense, rares).T)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, r.size + 1, len(rares)), pa.int32()), pa.array(r.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["gram", "n", "r"])
+
+    return written(rows.mapInArrow(task, "gram long, n long, r array<double>"), "ratios")
+
+
+def evidence(docs: DataFrame, said: DataFrame, k: int, cache: int | None = None) -> DataFrame:
+    """(id, text), (gram, n, r of k numbers) -> (id, e): log likelihood ratio per word of each text, k numbers."""
+    bits = F.floor(F.log2("n")).alias("bits")
+    sizes = sorted(((r.bits, r.n) for r in said.groupBy(bits).agg(F.count("*").alias("n")).collect()), reverse=True)     # 63 rows at most
+    least, room = 64, (CACHE if cache is None else cache) // k
+    for b, n in sizes:
+        if n > room:
+            break
+        least, room = b, room - n
+    whole = not sizes or least == sizes[-1][0]
+    held = said.filter(bits >= least).select("gram", "r").toArrow()          # CACHE numbers at most
+    gram = held.column("gram").to_numpy()
+    order = np.argsort(gram)
+    r = held.column("r").combine_chunks().flatten().to_numpy().reshape(-1, k)
+    shared = docs.sparkSession.sparkContext.broadcast((gram[order], r[order]))
 
-    return sums.mapInArrow(task, "slot binary, value binary")
+    def task(batches):
+        known, values = shared.value
+        row = TaskContext.get().partitionId() << 40
+        for batch in slices(batches, 1 << 21):
+            texts = [_find(t.lower()) for t in batch.column(1).to_pylist()]
+            number = {w: i for i, w in enumerate(set().union(*texts))}
+            sums, missing = np.zeros((len(number), k)), {}
+            if number:
+                code, sizes = spelled(list(number))
+                first = np.cumsum(sizes) - sizes
+                at = np.minimum(np.searchsorted(known, code), max(0, len(known) - 1))
+                hit = known[at] == code if len(known) else np.zeros(len(code), bool)
+                each = np.zeros((len(code), k))
+                each[hit] = values[at[hit]]
+                sums = np.add.reduceat(each, first, axis=0)
+                if not whole:
+                    for i in np.flatnonzero(np.add.reduceat(~hit, first)).tolist():
+                        mine = slice(first[i], first[i] + sizes[i])
+                        missing[i] = code[mine][~hit[mine]].tolist()
+            e, rest = [], []
+            for words in texts:
+                mine = [number[w] for w in words]
+                e.append((sums[mine].sum(axis=0) / max(1, len(mine))).tolist())
+                left = Counter(g for i in mine if i in missing for g in missing[i]) if missing else {}
+                rest.append([{"gram": g, "share": n / len(mine)} for g, n in left.items()])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(row, row + len(e))), batch.column(0), pa.array(e, pa.list_(pa.float64())),
+                 pa.array(rest, pa.list_(pa.struct([("gram", pa.int64()), ("share", pa.float64())])))], names=["row", "id", "e", "rest"])
+            row += len(e)
+
+    rows = docs.select("id", "text").mapInArrow(task, "row long, id long, e array<double>, rest array<struct<gram: long, share: double>>")
+    if whole:
+        return rows.select("id", "e")
+    rows = written(rows, "evidence")
+    more = (rows.select("row", F.explode("rest").alias("g")).select("row", "g.*").join(said.filter(bits < least).hint("shuffle_merge"), "gram")
+            .groupBy("row").agg(*[F.sum(F.col("share") * F.get("r", F.lit(i))).alias(f"m{i}") for i in range(k)]))
+    both = F.array(*[F.get("e", F.lit(i)) + F.coalesce(f"m{i}", F.lit(0.0)) for i in range(k)])
+    return rows.join(more.hint("shuffle_merge"), "row", "left").select("id", both.alias("e"))
 
 
 class Model:
-    """For each (owner, order): discounted counts, context totals and different successors, by bucket."""
-
-    def __init__(self, runs: list[tuple[bytes, bytes]]):
-        self.runs, self.parts = runs, None
-        self.rare, self.curve = RARE[0], (0.0, 0.0)        # slope and offset of the logistic curve
-
-    def spread(self) -> None:
-        """The tables as arrays, where texts are scored (never in the driver)."""
-        raw = {(owner, o): np.zeros((3, SIZES[o]), np.float32) for owner in range(3) for o in range(1, TOP + (owner < 2))}
-        for slot, value in self.runs:
-            slot = np.cumsum(np.frombuffer(zlib.decompress(slot), np.uint32), dtype=np.int64)
-            value = np.frombuffer(zlib.decompress(value), np.float32)
-            for (owner, o), table in raw.items():
-                for kind in range(3):
-                    base = ((owner * 8 + o) * 3 + kind) * SLOTS
-                    lo, hi = np.searchsorted(slot, [base, base + SLOTS])
-                    table[kind, slot[lo:hi] - base] = value[lo:hi]
-        self.parts = raw
-
-    def word_ratios(self, words: list[str], rares) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary), a row for each threshold."""
-        if not words:
-            return np.zeros((len(rares), 0))
-        if self.parts is None:
-            self.spread()
-        code, sizes = spelled(words)
-        lower = np.full(len(code), 1 / 256, np.float32)
-        ratio = np.zeros((len(rares), len(code)), np.float32)
-        live = [np.ones(len(code), bool) for _ in rares]
-        for o in range(1, TOP + 1):
-            gram = code & ((1 << 8 * o) - 1)
-            g, c = bucket(gram, o), bucket(gram >> 8, o)
-            p, totals = [], []
-            for owner in (0, 1):
-                count, total, types = (x[i] for x, i in zip(self.parts[owner, o], (g, c, c)))
-                p.append(np.where(total > 0, (count + DISCOUNT * types * lower) / np.maximum(total, 1), lower))
-                totals.append(total)
-            now = np.log(p[1]) - np.log(p[0])
-            for i, rare in enumerate(rares):
-                live[i] &= totals[0] + totals[1] >= rare
-                ratio[i][live[i]] = now[live[i]]
-            if o < TOP:
-                count, total, types = (x[i] for x, i in zip(self.parts[2, o], (g, c, c)))
-                lower = np.where(total > 0, (count + DISCOUNT * types * lower) / np.maximum(total, 1), lower).astype(np.float32)
-        return np.add.reduceat(ratio.astype(np.float64), np.cumsum(sizes) - sizes, axis=1)
-
-    def evidence(self, texts: list[str], rares=None) -> np.ndarray:
-        """Log likelihood ratio per word of each text, a row for each threshold (or the model's own)."""
-        found = [_find(t.lower()) for t in texts]
-        number = {w: i for i, w in enumerate(set().union(*found))} if found else {}
-        ratios = self.word_ratios(list(number), rares or (self.rare,))
-        out = np.zeros((len(ratios), len(texts)))
-        for i, words in enumerate(found):
-            if words:
-                out[:, i] = ratios[:, [number[w] for w in words]].mean(axis=1)
-        return out if rares else out[0]
-
-    def scores(self, texts: list[str]) -> np.ndarray:
-        return logistic(self.curve[0] * self.evidence(texts) + self.curve[1])
+    """The exact counts (or None), the threshold and the slope and offset of the logistic curve."""
+
+    def __init__(self, table: DataFrame | None, rare: int, curve: tuple[float, float]):
+        self.table, self.rare, self.curve = table, rare, curve
 
 
 def logistic(x):
@@ -243,46 +260,41 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, calibrate_rows: int = 4000) -> Model:
     """Counts from folds 2 to 4; the curve and ``rare`` from fold 1."""
     rows = labelled(docs, labels)
-    sums = tables(levels(written(counted(rows.filter("fold > 1")), "grams")))
-    model = Model([(bytes(r.slot), bytes(r.value)) for r in packed(sums).collect()])     # bounded by the sizes of the tables
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-
-    def task(batches):
-        for batch in slices(batches, 1 << 21):
-            evidence = shared.value.evidence(batch.column(0).to_pylist(), RARE)
-            yield pa.RecordBatch.from_arrays([batch.column(1), *map(pa.array, evidence)],
-                                             names=["toxic", *(f"e{i}" for i in range(len(RARE)))])
-
     one = rows.filter("fold = 1")
     sizes = {r.toxic: r.n for r in one.groupBy("toxic").agg(F.count("*").alias("n")).collect()}    # two rows
-    parts, weights = [], []
-    for toxic, n in sorted(sizes.items()):
+    if len(sizes) < 2:
+        return Model(None, RARE[0], (0.0, 30.0 if 1 in sizes else -30.0))
+    grams = written(counted(rows.filter("fold > 1").withColumn("part", F.col("toxic"))).withColumnRenamed("part", "toxic"), "grams")
+    table = counts(grams)
+    parts = []
+    for toxic in sorted(sizes):
         mine = one.filter(F.col("toxic") == toxic)
         ids = mine.select("doc_id").orderBy(F.xxhash64(F.lit("fit"), "doc_id"), "doc_id").limit(calibrate_rows)
-        part = (mine.join(F.broadcast(ids.distinct()), "doc_id").select("text", "toxic").limit(calibrate_rows)
-                .mapInArrow(task, "toxic int, " + ", ".join(f"e{i} double" for i in range(len(RARE)))).toPandas())
-        parts.append(part.to_numpy(float))       # calibrate_rows rows at most
-        weights.append(np.full(len(part), n / max(1, len(part))))
-    shared.destroy()
-    if len(parts) < 2:
-        model.curve = (0.0, 30.0 if 1 in sizes else -30.0)
-        return model
-    seen, weight = np.concatenate(parts), np.concatenate(weights)
-    curves = [curve(seen[:, 1 + i], seen[:, 0], weight) for i in range(len(RARE))]
+        parts.append(mine.join(F.broadcast(ids.distinct()), "doc_id").select(F.col("toxic").cast("long").alias("id"), "text").limit(calibrate_rows))
+    sample = written(parts[0].unionByName(parts[1]), "sample")
+    said = looked_up(distinct_grams(sample), table, RARE)
+    out = evidence(sample, said, len(RARE)).toArrow()          # calibrate_rows rows of each class at most
+    toxic = out.column("id").to_numpy().astype(float)
+    seen = out.column("e").combine_chunks().flatten().to_numpy().reshape(-1, len(RARE))
+    weight = np.where(toxic > 0, sizes[1] / max(1, (toxic > 0).sum()), sizes[0] / max(1, (toxic == 0).sum()))
+    curves = [curve(seen[:, i], toxic, weight) for i in range(len(RARE))]
     best = min(range(len(RARE)), key=lambda i: curves[i][2])
-    model.rare, model.curve = RARE[best], curves[best][:2]
-    return model
+    return Model(table, RARE[best], curves[best][:2])
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def distinct_grams(docs: DataFrame) -> DataFrame:
+    """(gram, n) of order TOP in the texts."""
+    return counted(docs.select("text", F.lit(0).alias("part"))).select("gram", "n")
 
-    def task(batches):
-        for batch in slices(batches, 1 << 21):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.scores(batch.column(1).to_pylist()))],
-                                             names=["doc_id", "score"])
-    return id_text(docs, id_col, text_col).mapInArrow(task, "doc_id long, score double")
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", cache: int | None = None) -> DataFrame:
+    """(doc_id, score) of every row."""
+    docs = id_text(docs, id_col, text_col).withColumnRenamed("doc_id", "id")
+    if model.table is None:
+        return docs.select(F.col("id").alias("doc_id"), F.lit(float(logistic(model.curve[1]))).alias("score"))
+    out = evidence(docs, looked_up(distinct_grams(docs), model.table, (model.rare,)), 1, cache)
+    x = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.lit(model.curve[0]) * F.get("e", F.lit(0)) + F.lit(model.curve[1])))
+    return out.select(F.col("id").alias("doc_id"), (1 / (1 + F.exp(-x))).alias("score"))
 
 
 def predict_toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
