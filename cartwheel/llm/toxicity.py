@@ -6,8 +6,9 @@ model, whose continuation counts (after how many different bytes an n-gram was s
 as long as both classes together have seen it ``rare`` times, so a rare expression is judged by its more frequent parts and
 adds almost nothing where these are alike.  A text's evidence is log P(text | toxic) - log P(text | ordinary), per word.
 
-``rare`` is the candidate of ``RARE`` with the least loss on a training fold that the counts do not see; there a logistic
-curve from evidence to score is fitted as well, on a bounded sample of ``calibrate_rows`` rows per class.
+``rare`` is the candidate of ``RARE`` with the least loss on a training fold that the counts do not see yet; there a logistic
+curve from evidence to score is fitted as well, on a bounded sample of ``calibrate_rows`` rows per class.  The counts that
+texts are scored with are then gathered over all labelled training rows, that fold included.
 
 Counts of all n-grams stay exact in a Spark table that grows with the corpus.  A text's evidence is the sum over its bytes of
 what the n-gram ending there says, so the distinct n-grams of the scored texts are joined to that table.  Of the results, the
@@ -258,14 +259,15 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, calibrate_rows: int = 4000) -> Model:
-    """Counts from folds 2 to 4; the curve and ``rare`` from fold 1."""
+    """The curve and ``rare`` from fold 1 under the counts of folds 2 to 4; then the counts of all four."""
     rows = labelled(docs, labels)
     one = rows.filter("fold = 1")
     sizes = {r.toxic: r.n for r in one.groupBy("toxic").agg(F.count("*").alias("n")).collect()}    # two rows
     if len(sizes) < 2:
         return Model(None, RARE[0], (0.0, 30.0 if 1 in sizes else -30.0))
-    grams = written(counted(rows.filter("fold > 1").withColumn("part", F.col("toxic"))).withColumnRenamed("part", "toxic"), "grams")
-    table = counts(grams)
+    part = F.col("toxic") + F.when(F.col("fold") == 1, 2).otherwise(0)
+    grams = written(counted(rows.withColumn("part", part)).withColumn("toxic", F.col("part") % 2), "grams")
+    table = counts(grams.filter("part < 2"))
     parts = []
     for toxic in sorted(sizes):
         mine = one.filter(F.col("toxic") == toxic)
@@ -279,7 +281,7 @@ def fit(docs: DataFrame, labels: DataFrame, calibrate_rows: int = 4000) -> Model
     weight = np.where(toxic > 0, sizes[1] / max(1, (toxic > 0).sum()), sizes[0] / max(1, (toxic == 0).sum()))
     curves = [curve(seen[:, i], toxic, weight) for i in range(len(RARE))]
     best = min(range(len(RARE)), key=lambda i: curves[i][2])
-    return Model(table, RARE[best], curves[best][:2])
+    return Model(counts(grams), RARE[best], curves[best][:2])
 
 
 def distinct_grams(docs: DataFrame) -> DataFrame:

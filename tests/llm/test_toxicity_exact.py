@@ -81,3 +81,16 @@ def test_no_ngrams_share_a_count(spark):
     table = toxicity.counts(toxicity.counted(rows).withColumnRenamed("part", "toxic"))
     grams = {bytes_of(x)[i + 1 - o:i + 1] for x in letters for i in range(TOP - 1, len(bytes_of(x))) for o in range(1, TOP + 1)}
     assert table.filter(F.shiftright("key", 48) < 8).count() == len(grams)
+
+
+def test_fold_1_counts_in_the_final_model(spark):
+    """The scores' table holds the n-grams of all training rows: those of fold 1 too, the held-out ones never."""
+    import zlib
+    folds = {i: zlib.crc32(str(i).encode()) % 5 for i in range(200)}
+    rows = [(i, f"{'rotten' if i % 2 else 'lovely'} fold{'abcde'[folds[i]]}") for i in folds]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"),
+                         spark.createDataFrame([(i, i % 2) for i in folds], "doc_id long, toxic int"))
+    of = lambda f: int.from_bytes(f"fold{'abcde'[f]}".encode()[-TOP:], "big")
+    key = {f: (TOP - 1 << 48) + (of(f) & ((1 << 8 * (TOP - 1)) - 1)) for f in range(5)}
+    got = {r.key: (r.n0, r.n1) for r in model.table.filter(F.col("key").isin(list(key.values()))).collect()}
+    assert got == {key[f]: tuple(sum(folds[i] == f and i % 2 == c for i in folds) for c in (0, 1)) for f in range(1, 5)}
