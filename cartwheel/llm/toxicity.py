@@ -3,8 +3,8 @@
 A word is scored byte by byte (with marks for its start and end) under a model of toxic and one of ordinary text:
 absolutely discounted counts of n-grams of up to ``TOP`` bytes.  The discounted mass of either class goes by the same back-off
 model, whose continuation counts (after how many different bytes an n-gram was seen) pool both classes.  A byte's context is
-as long as both classes together have seen it ``rare`` times, so a rare expression is judged by its more frequent parts and
-adds almost nothing where these are alike.  A text's evidence is log P(text | toxic) - log P(text | ordinary), per word.
+as long as both classes together have seen it ``rare`` times.  From 1 on, where only discount and back-off smooth, the data
+choose: at high ``rare`` a rare expression is judged by its more frequent parts alone.  A text's evidence is log P(text | toxic) - log P(text | ordinary), per word.
 
 ``rare`` is the candidate of ``RARE`` with the least loss on a training fold that the counts do not see yet; there a logistic
 curve from evidence to score is fitted as well, on a bounded sample of ``calibrate_rows`` rows per class.  The counts that
@@ -35,7 +35,7 @@ from .common import held_out, id_text, slices, written
 
 TOP = 6
 CACHE = 1 << 20                    # numbers that go to the tasks: 8 bytes each, and 8 for their n-gram
-RARE = (20, 80, 320, 1280, 5120, 20480)
+RARE = (1, 2, 5, 20, 80, 320, 1280, 5120, 20480)
 DISCOUNT = 0.75
 BROADCAST_ROWS = 2_000_000         # labels are broadcast up to here (16 bytes each), else joined by shuffle
 SETTLE = 1 << 19                   # different words a task counts before it sends n-grams on

@@ -94,3 +94,12 @@ def test_fold_1_counts_in_the_final_model(spark):
     key = {f: (TOP - 1 << 48) + (of(f) & ((1 << 8 * (TOP - 1)) - 1)) for f in range(5)}
     got = {r.key: (r.n0, r.n1) for r in model.table.filter(F.col("key").isin(list(key.values()))).collect()}
     assert got == {key[f]: tuple(sum(folds[i] == f and i % 2 == c for i in folds) for c in (0, 1)) for f in range(1, 5)}
+
+
+def test_a_word_seen_16_times_can_be_judged_as_a_whole():
+    """Some threshold on offer cuts no context off a word that only toxic texts have, 16 times."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdeghiklmnorstuw") for _ in range(6)) for _ in range(400)]
+    ordinary = lambda: " ".join(rng.choice(words) for _ in range(40))
+    ratio = brute_ratio({0: [ordinary() for _ in range(150)], 1: [ordinary() + (" clown" if i < 16 else "") for i in range(100)]})
+    assert ratio("clown", min(toxicity.RARE)) == ratio("clown", 1) > 4
