@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language_id, line_dedup, packing, quality, simhash, substring_dedup, toxicity, vectors
+from . import (alignment, bpe, fim, fingerprints, language_id, line_dedup, packing, quality, simhash, substring_dedup, toxicity,
+               vectors)
 from .common import read
 
 
@@ -61,9 +62,21 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(read(spark, sf_dir, "documents"), length=100)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(read(spark, sf_dir, "documents"), seed=7, rate=100, spm_rate=50)
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.against_edited(read(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_toxicity, op4_nearest, op5_bpe, op6_quality, op7_language,
-                                    op8_simhash, op9_top_k, op10_suffix_dedup)}
+                                    op8_simhash, op9_top_k, op10_suffix_dedup, op11_fill_in_middle, op12_fingerprints, op13_alignment)}
 
 
 _LINES = """
@@ -109,6 +122,32 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 WHERE rank <= 10
 """
 
+_FIM = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (
+  SELECT *, length(t) - length(replace(t, chr(10), '')) + CASE WHEN t = '' OR right(t, 1) = chr(10) THEN 0 ELSE 1 END AS n,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR h3 % 100 >= 100 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+         string_split(t, chr(10)) AS l FROM u),
+p AS (
+  SELECT *, CASE WHEN a = 0 THEN '' WHEN a = n THEN t ELSE array_to_string(l[1:a], chr(10)) || chr(10) END AS x,
+         CASE WHEN b = 0 THEN '' WHEN b = n THEN t ELSE array_to_string(l[1:b], chr(10)) || chr(10) END AS y FROM c),
+q AS (
+  SELECT *, substr(y, length(x) + 1) AS middle, substr(t, length(y) + 1) AS suffix FROM p)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(x)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || x || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM q
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -117,4 +156,5 @@ def oracle_sql() -> dict[str, str]:
                                       also="AND len(list_filter(embedding, lambda x: x <> 0)) > 0"),
         "op9_top_k": _SEARCH.format(vector="list_transform(embedding::DOUBLE[], lambda x: floor(1024 * x))",
                                     score="list_inner_product(q.v, c.v)::BIGINT", order="DESC", also=""),
+        "op11_fill_in_middle": _FIM,
     }
