@@ -32,23 +32,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def one_row_per_id(docs: DataFrame) -> DataFrame:
-    """Documents keyed by ``doc_id`` (first column), the text in the second.
-
-    Rows that share an id are one document: the row with the greatest text (then the greatest
-    other columns) stands for it.  Null ids are one document, with ``NULL_ID`` as its id here.
-    Ids that are unique already (one scan of the id column tells) cost no shuffle of the texts."""
-    first, *rest = docs.columns
-    docs = docs.withColumn(first, F.coalesce(F.col(first).cast("long"), F.lit(NULL_ID)))
-    repeated = docs.groupBy(first).count().filter("count > 1").limit(1).count()
-    if not repeated:
-        return docs
-    return docs.groupBy(first).agg(F.max(F.struct(*rest)).alias("__r")).select(first, "__r.*")
-
-
-def real_id(col: str = "doc_id"):
-    """The id as the caller knows it (null again where ``one_row_per_id`` put ``NULL_ID``)."""
-    return F.when(F.col(col) != F.lit(NULL_ID), F.col(col)).alias(col)
+def row_keyed(rows: DataFrame, nulls_last: bool = False) -> DataFrame:
+    """``rows`` with the id (first column) replaced by a number of each row's own, and the id itself as ``__id``.
+
+    The numbers ascend with the ids (null first, or last; rows that share an id by a hash of the second column), so "earlier"
+    and ties by id can be told from them, and no row is merged with another.  Ids that are unique already (one scan of the
+    id column tells) are their own numbers.  Else the rows are sorted, numbered and written once, equal ones spread by
+    a row number, so that a hot id fills no task."""
+    first, second, *rest = rows.columns
+    rows = rows.withColumn("__id", F.col(first).cast("long"))
+    unique = rows.withColumn(first, F.coalesce("__id", F.lit(NULL_ID)))
+    if nulls_last:
+        unique = unique.filter("__id IS NOT NULL")
+    repeated = unique.groupBy(first).count().filter("count > 1").limit(1).count()
+    if not repeated and not (nulls_last and rows.filter("__id IS NULL").limit(1).count()):
+        return unique
+    order = F.asc_nulls_last("__id") if nulls_last else F.asc_nulls_first("__id")
+    keyed = rows.withColumn("__hash", F.xxhash64(second)).withColumn("__spread", F.xxhash64(F.monotonically_increasing_id()))
+    return written(keyed.orderBy(order, "__hash", "__spread").withColumn(first, F.monotonically_increasing_id())
+                   .drop("__hash", "__spread"), "rows")
 
 
 def held_out(id_col: str = "doc_id"):
@@ -56,11 +58,6 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def fit_sample(df: DataFrame, n: int, id_col: str = "doc_id") -> DataFrame:
-    """The ``n`` rows with the smallest id hash: a bounded sample, the same in every run."""
-    return df.orderBy(F.xxhash64(F.lit("fit"), F.col(id_col)), F.col(id_col)).limit(n)
-
-
 def text_buffers(column: pa.Array) -> tuple:
     """Bytes and offsets (numpy) of an Arrow string column without nulls, without copying."""
     import numpy as np

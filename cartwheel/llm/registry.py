@@ -23,7 +23,7 @@ def split_pattern() -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(read(spark, sf_dir, "documents"), window=2)
+    return line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,13 +87,9 @@ WITH lines AS (
 filled AS (
   SELECT doc_id, line, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p
   FROM lines WHERE trim(translate(line, chr(9) || chr(13), '  ')) <> ''),
-pairs AS (
-  SELECT doc_id, p, line, lead(line) OVER (PARTITION BY doc_id ORDER BY p) AS following FROM filled),
-later AS (
+dead AS (
   SELECT doc_id, p FROM (
-    SELECT doc_id, p, row_number() OVER (PARTITION BY line, following ORDER BY doc_id, p) AS r
-    FROM pairs WHERE following IS NOT NULL) WHERE r > 1),
-dead AS (SELECT doc_id, p FROM later UNION SELECT doc_id, p + 1 FROM later),
+    SELECT doc_id, p, row_number() OVER (PARTITION BY line ORDER BY doc_id, p) AS r FROM filled) WHERE r > 1),
 kept AS (
   SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text
   FROM lines l LEFT JOIN filled f ON f.doc_id = l.doc_id AND f.i = l.i

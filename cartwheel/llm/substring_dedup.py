@@ -6,8 +6,9 @@ earlier in the same document).  Only windows that can repeat are ever sorted:
 1. **Families.**  Every window is assigned the least hash among its ``GRAM``-byte substrings.  The choice depends on
    the window's bytes alone, so equal windows share it.  Consecutive windows with one choice are a *family*; its *block*
    is the text they cover.  There are some 27 times fewer families than bytes; each is one small row.
-2. **Equal blocks.**  Families with the same (choice, block hash) repeat as a whole: all but the first are covered.  Tasks
-   settle this for their own rows first, so a group of copies sends one row per task, however large it is.
+2. **Equal blocks.**  Families whose blocks have the same 128-bit BLAKE2b digest repeat as a whole: all but the first are covered.
+   The digest verifies what the polynomial hashes only nominate.  Tasks settle this for their own rows first, so a group
+   of copies sends one row per task, however large it is.
 3. **Borders.**  A choice that is left with several different blocks stands at the edge of a repeated passage.  Only
    these blocks are fetched from their documents and compared window by window (``covered_windows``): equal window hashes
    nominate starts, a hash-compared suffix mergesort groups and orders them, binary search on prefix hashes gives each match's
@@ -17,30 +18,32 @@ earlier in the same document).  Only windows that can repeat are ever sorted:
 
 The text is shuffled once (Spark reuses the exchange for the fetch and for the cut).
 
-Null and empty texts lose nothing; rows sharing a doc_id (or a null one) are one document, see
-``one_row_per_id``.  Columns other than the id and the text are not read.  An empty table gives no rows."""
+Null and empty texts lose nothing.  Rows that share a doc_id (or have none) are documents of their own, ordered by a hash of
+the text (``row_keyed``); null ids come first.  Columns other than the id and the text are not read.  An empty table gives no rows."""
 
 from __future__ import annotations
 
 import hashlib
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import one_row_per_id, real_id, slices, text_buffers, written
+from .common import row_keyed, slices, text_buffers, written
 from .suffix import Hashed, mixed, sliding
 
 GRAM = 32
 CHUNK = 1 << 19      # windows hashed at a time; also the most windows of a family
+HOT_BLOCKS = 2000    # different blocks of one choice that may stay in one task
 SETTLE = 1 << 18     # families a task holds while it settles its own copies
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 COVERED, BORDER, HOT = 0, 1, 2
 
 
 def families(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, chunk: int = CHUNK):
-    """(start, count, choice, block hash, repeats itself) of the families, by offset in ``data``; documents end at ``offsets``."""
+    """(start, count, choice, repeats itself) of the families, by offset in ``data``; documents end at ``offsets``."""
     n, width = len(data) - length + 1, length - gram + 1
     if n <= 0:
         return
@@ -62,7 +65,6 @@ def families(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, chun
         first = np.flatnonzero(new)
         start, count = keep[first], np.diff(np.append(first, len(keep)))
         choice = value[first]
-        block = mixed(text.of(start, count + length - 1) + count.astype(np.uint64))
         # two equal least grams in reach of one window: its family may repeat itself
         padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
         anchors = np.flatnonzero(sliding(padded, width, np.maximum) == grams)
@@ -74,7 +76,7 @@ def families(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, chun
             f1 = np.searchsorted(start, i, "right")
             np.add.at(mark, f0, 1)
             np.add.at(mark, f1, -1)
-        yield start + at, count, choice, block, np.cumsum(mark[:-1]) > 0
+        yield start + at, count, choice, np.cumsum(mark[:-1]) > 0
 
 
 def _span(start, count, flag):
@@ -91,34 +93,37 @@ def _count(span):
 
 
 def family_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """docs (doc_id, text) -> (choice, block, doc_id, span).  The flag's bit 0: may repeat itself; bit 1: known to be
+    """docs (doc_id, text) -> (choice, digest1, digest2, doc_id, span).  The flag's bit 0: may repeat itself; bit 1: known to be
     covered (an equal block of this task comes earlier), with a random choice so that such rows spread evenly."""
     def settle(parts):
-        choice, block, doc, span = (np.concatenate(c) for c in zip(*parts))
-        key = choice ^ (block * np.uint64(0xD6E8FEB86659FD93))
-        order = np.argsort(key, kind="stable")
-        same = key[order][1:] == key[order][:-1]
+        choice, one, two, doc, span = (np.concatenate(c) for c in zip(*parts))
+        order = np.argsort(one, kind="stable")
+        same = one[order][1:] == one[order][:-1]
         multi = np.zeros(len(order), bool)
         multi[1:] |= same
         multi[:-1] |= same
         rows = order[multi]
-        rows = rows[np.lexsort((span[rows], doc[rows], block[rows], choice[rows]))]
+        rows = rows[np.lexsort((span[rows], doc[rows], two[rows], one[rows], choice[rows]))]
         again = np.zeros(len(rows), bool)
-        again[1:] = (choice[rows[1:]] == choice[rows[:-1]]) & (block[rows[1:]] == block[rows[:-1]])
+        again[1:] = np.logical_and.reduce([c[rows[1:]] == c[rows[:-1]] for c in (choice, one, two)])
         gone = rows[again]
         span[gone] |= 2
         choice[gone] = mixed(span[gone].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ mixed(doc[gone].astype(np.uint64)))
-        return pa.RecordBatch.from_arrays([pa.array(choice.view(np.int64)), pa.array(block.view(np.int64)), pa.array(doc), pa.array(span)],
-                                          names=["choice", "block", "doc_id", "span"])
+        return pa.RecordBatch.from_arrays([pa.array(choice.view(np.int64)), pa.array(one), pa.array(two), pa.array(doc), pa.array(span)],
+                                          names=["choice", "digest1", "digest2", "doc_id", "span"])
 
     def task(batches):
         parts, held = [], 0
         for batch in slices(batches, 1 << 22):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = text_buffers(batch.column(1))
-            for start, count, choice, block, itself in families(data, offsets, length, gram):
+            raw = memoryview(np.ascontiguousarray(data))
+            for start, count, choice, itself in families(data, offsets, length, gram):
                 owner = np.searchsorted(offsets, start, "right") - 1
-                parts.append((choice, block, ids[owner], _span(start - offsets[owner], count, itself.astype(np.int64))))
+                digest = b"".join([blake2b(raw[s:e], digest_size=16).digest()
+                                   for s, e in zip(start.tolist(), (start + count + length - 1).tolist())])
+                one, two = np.frombuffer(digest, np.int64).reshape(-1, 2).T
+                parts.append((choice, one, two, ids[owner], _span(start - offsets[owner], count, itself.astype(np.int64))))
                 held += len(start)
                 if held >= SETTLE:
                     yield settle(parts)
@@ -126,24 +131,24 @@ def family_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
         if parts:
             yield settle(parts)
 
-    return docs.mapInArrow(task, "choice long, block long, doc_id long, span long")
+    return docs.mapInArrow(task, "choice long, digest1 long, digest2 long, doc_id long, span long")
 
 
 def candidate_rows(rows: DataFrame, hot: int) -> DataFrame:
     """Family rows -> (doc_id, choice, span) with the flag COVERED, BORDER or HOT; the rest cannot repeat.
 
-    One pass over rows sorted by (choice, block, place).  A group waits until it is whole, or known to be hot."""
+    One pass over rows sorted by (choice, digest, place).  A group waits until it is whole, or known to be hot."""
     def task(batches):
         names = ["doc_id", "choice", "span"]
-        wait = np.empty((0, 4), np.int64)      # rows of the last choice, not yet decided
-        over = None                            # that choice, once hot; its last block
+        wait = np.empty((0, 5), np.int64)      # rows of the last choice, not yet decided
+        over = None                            # that choice, once hot; its last digest
         over_block = None
 
         def decided(rows, flag):
             if not len(rows):
                 return None
             return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in (
-                rows[:, 2], rows[:, 0], rows[:, 3] & ~np.int64(3) | flag)], names=names)
+                rows[:, 3], rows[:, 0], rows[:, 4] & ~np.int64(3) | flag)], names=names)
 
         def sort_out(rows, whole):
             """Covered rows, border rows and rows of a hot, unfinished choice."""
@@ -151,15 +156,15 @@ def candidate_rows(rows: DataFrame, hot: int) -> DataFrame:
             if not len(rows):
                 return rows, rows, rows
             again = np.zeros(len(rows), bool)
-            again[1:] = (rows[1:, 0] == rows[:-1, 0]) & (rows[1:, 1] == rows[:-1, 1])
+            again[1:] = (rows[1:, :3] == rows[:-1, :3]).all(axis=1)
             if over is not None:
-                again[0] = rows[0, 0] == over and rows[0, 1] == over_block
+                again[0] = rows[0, 0] == over and (rows[0, 1:3] == over_block).all()
             firsts = rows[~again]
             new = np.ones(len(firsts), bool)
             new[1:] = firsts[1:, 0] != firsts[:-1, 0]
             group = np.cumsum(new) - 1
             size = np.bincount(group, minlength=1)[group] if len(firsts) else group
-            itself = (firsts[:, 3] & 1) == 1
+            itself = (firsts[:, 4] & 1) == 1
             is_hot = size > hot
             if over is not None:
                 is_hot |= firsts[:, 0] == over
@@ -175,8 +180,8 @@ def candidate_rows(rows: DataFrame, hot: int) -> DataFrame:
                     yield out
 
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in range(4)], axis=1)
-            known = (rows[:, 3] & 2) == 2
+            rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in range(5)], axis=1)
+            known = (rows[:, 4] & 2) == 2
             out = decided(rows[known], COVERED)
             if out is not None:
                 yield out
@@ -190,10 +195,10 @@ def candidate_rows(rows: DataFrame, hot: int) -> DataFrame:
             wait = rows[cut:]
             if len(wait) > hot or (over is not None and over == wait[0, 0]):
                 yield from flush(wait, False)
-                over, over_block, wait = wait[-1, 0], wait[-1, 1], wait[:0]
+                over, over_block, wait = wait[-1, 0], wait[-1, 1:3], wait[:0]
         yield from flush(wait, True)
 
-    return (rows.repartition("choice").sortWithinPartitions("choice", "block", "doc_id", "span")
+    return (rows.repartition("choice").sortWithinPartitions("choice", "digest1", "digest2", "doc_id", "span")
             .mapInArrow(task, "doc_id long, choice long, span long"))
 
 
@@ -318,33 +323,42 @@ def settle_borders(blocks: DataFrame, length: int, chunk_bytes: int = 1 << 21) -
             .mapInArrow(task, "doc_id long, start long, count long"))
 
 
-def cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """The bytes outside the [from, to) spans, the number removed and the number of maximal removed runs."""
-    keep, removed, runs, at = [], 0, 0, 0
-    end = -1
+def runs(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The maximal runs that [from, to) spans cover."""
+    out: list[tuple[int, int]] = []
     for lo, hi in sorted(spans):
-        if lo > end:
-            runs += 1
-            if end >= 0:
-                removed += end - begin
-            keep.append(data[at:lo])
-            begin, end = lo, hi
+        if out and lo <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], hi)
         else:
-            end = max(end, hi)
-        at = end
-    if end >= 0:
-        removed += end - begin
-    keep.append(data[at:])
-    return b"".join(keep), removed, runs
+            out.append((lo, hi))
+    return out
+
+
+def without(data: bytes, gone: list[tuple[int, int]]) -> bytes:
+    """The bytes outside the runs."""
+    ends = [0, *(hi for _, hi in gone)]
+    return b"".join(data[a:b] for a, b in zip(ends, [*(lo for lo, _ in gone), len(data)]))
+
+
+def whole_characters(data: bytes, gone: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The runs moved inwards to characters, so that only fully repeated ones go."""
+    out = []
+    for lo, hi in gone:
+        while lo < hi and data[lo] & 0xC0 == 0x80:
+            lo += 1
+        while hi > lo and hi < len(data) and data[hi] & 0xC0 == 0x80:
+            hi -= 1
+        out.append((lo, hi))
+    return out
 
 
 def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text",
-                     gram: int = GRAM, hot: int = 50_000, with_text: bool = False,
+                     gram: int = GRAM, hot: int = HOT_BLOCKS, with_text: bool = False,
                      keep_columns: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: its bytes, the bytes and maximal runs removed, SHA-256 of what is left (``with_text``: and
-    that as text, without characters of which a part was removed; ``keep_columns``: and these columns as they were)."""
-    rows = one_row_per_id(docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-                                      *[F.col(c).alias(f"__{i}") for i, c in enumerate(keep_columns)]))
+    the text without the characters of which every byte was removed; ``keep_columns``: and these columns as they were)."""
+    rows = row_keyed(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+                                 *[F.col(c).alias(f"__{i}") for i, c in enumerate(keep_columns)]))
     docs, kept_columns = rows.select("doc_id", "text"), rows.columns[2:]
     marks = written(candidate_rows(family_rows(docs, length, gram), hot), "families")
     flag = F.col("span").bitwiseAND(3)
@@ -361,8 +375,9 @@ def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
             rows = []
             for doc, text, spans in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 data = text.encode("utf-8")
-                kept, removed, runs = cut(data, [(s["start"], s["start"] + s["count"] + length - 1) for s in spans or ()])
-                rows.append((doc, len(data), removed, runs, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore"))[:len(names)])
+                gone = runs([(s["start"], s["start"] + s["count"] + length - 1) for s in spans or ()])
+                row = (doc, len(data), sum(hi - lo for lo, hi in gone), len(gone), hashlib.sha256(without(data, gone)).hexdigest())
+                rows.append((*row, without(data, whole_characters(data, gone)).decode("utf-8")) if with_text else row)
             types = [pa.int64()] * 4 + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*rows), types)), *batch.columns[3:]],
                                              names=names + kept_columns)
@@ -370,4 +385,4 @@ def dedup_substrings(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
     schema = SCHEMA + ", text string" * with_text + "".join(
         f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in kept_columns)
     out = rows.join(gone.hint("shuffle_merge"), "doc_id", "left").select("doc_id", "text", "spans", *kept_columns).mapInArrow(task, schema)
-    return out.select(real_id(), *names[1:], *[F.col(f"__{i}").alias(c) for i, c in enumerate(keep_columns)])
+    return out.select(F.col("__id").alias("doc_id"), *names[1:], *[F.col(f"__{i}").alias(c) for i, c in enumerate(keep_columns)])

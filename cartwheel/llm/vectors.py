@@ -9,8 +9,9 @@ the tiles are merged per query in a tree of fan-in ``FAN``.
 * ``nearest``: products of int8 codes give every distance up to a proven error; pairs whose lower bound reaches the k-th
   upper bound are recomputed in float64 and go through a heap per query.  The result equals brute force (recall 1).
 
-Vectors that are null, without an id, or hold a null or non-finite component take no part (``nearest``: zero ones neither).
-Rows that share a vec_id are one vector, the greatest in component order.  Vectors of different lengths are not
+Vectors that are null or hold a null or non-finite component take no part (``nearest``: zero ones neither).  Rows that share a
+vec_id are vectors of their own, queries each; rows without one are candidates, after all others in ties.  Distances
+that overflow or underflow when squared are summed in units of their largest component.  Vectors of different lengths are not
 compared.  A query without candidates, like an empty table, gives no rows.  Other columns are not read."""
 
 from __future__ import annotations
@@ -23,19 +24,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, one_row_per_id, written
+from .common import row_keyed, written
 
 BLOCK, SHARD, STEP, FAN = 8192, 1 << 16, 1024, 16
 
 
 def usable(vectors: DataFrame, zero: bool, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, v array<double>): the vectors that take part, one per id."""
+    """(vec_id, v array<double>, __id): the vectors that take part; vec_id numbers the rows in the order of their ids ``__id``."""
     v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    v = v.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~bad)
+    v = v.filter(F.col("v").isNotNull() & ~bad)
     if not zero:
         v = v.filter(F.exists("v", lambda x: x != 0))
-    return one_row_per_id(v).filter(F.col("vec_id") != NULL_ID)
+    return row_keyed(v, nulls_last=True)
 
 
 def tiled(v: DataFrame, is_query, k: int, tile_lists, block: int, shard: int) -> DataFrame:
@@ -160,25 +161,38 @@ class Distances:
         code = np.clip(np.nan_to_num(code), -127, 127)
         back = code * scale[:, None]
         kind = np.float32 if v.shape[1] * 127 * 127 < 1 << 24 else np.float64
-        norm = np.sqrt((back * back).sum(axis=1))
-        return code.astype(kind), scale, norm, np.sqrt(((v - back) ** 2).sum(axis=1)), 1e-7 * norm + 1e-150
+        with np.errstate(over="ignore"):
+            norm, error = np.sqrt((back * back).sum(axis=1)), np.sqrt(((v - back) ** 2).sum(axis=1))
+        return code.astype(kind), scale, norm, error, 1e-7 * norm + 1e-150
 
     def add(self, ids, vectors):
         q, qs, qn, qe, qx = self.code
         c, cs, cn, ce, cx = self.coded(vectors)
         tile = (q @ c.T).astype(np.float64)
-        about = np.sqrt(np.maximum(qn[:, None] ** 2 + cn[None, :] ** 2 - 2 * (qs[:, None] * cs[None, :]) * tile, 0))
-        error = (qe + qx)[:, None] + (ce + cx)[None, :]
+        with np.errstate(all="ignore"):
+            about = np.sqrt(np.maximum(qn[:, None] ** 2 + cn[None, :] ** 2 - 2 * (qs[:, None] * cs[None, :]) * tile, 0))
+            error = (qe + qx)[:, None] + (ce + cx)[None, :]
+            lower, upper = about - error, about + error
+        known = np.isfinite(about) & np.isfinite(error)          # beyond doubles there is no bound, and the pair is recomputed
+        lower[~known], upper[~known] = -np.inf, np.inf
         own = self.ids[:, None] == ids[None, :]
-        upper = np.where(own, np.inf, about + error)
+        upper[own] = np.inf
         bar = self.worst
         if upper.shape[1] > self.k:
             bar = np.minimum(bar, np.partition(upper, self.k - 1, axis=1)[:, self.k - 1])
-        row, col = np.nonzero((about - error <= bar[:, None]) & ~own)
+        row, col = np.nonzero((lower <= bar[:, None]) & ~own)
         total = np.zeros(len(row))
-        for j in range(self.v.shape[1]):         # in component order, as a plain loop would sum
-            total += (self.v[row, j] - vectors[col, j]) ** 2
-        exact = np.sqrt(total)
+        with np.errstate(over="ignore", under="ignore"):
+            for j in range(self.v.shape[1]):     # in component order, as a plain loop would sum
+                total += (self.v[row, j] - vectors[col, j]) ** 2
+            exact = np.sqrt(total)
+            odd = np.flatnonzero(~np.isfinite(total) | (total < 1e-280))
+            if len(odd):
+                apart = self.v[row[odd]] - vectors[col[odd]]
+                unit = np.abs(apart).max(axis=1, initial=0.0)
+                inside = (unit > 0) & np.isfinite(unit)
+                odd, apart, unit = odd[inside], apart[inside], unit[inside]
+                exact[odd] = unit * np.sqrt(((apart / unit[:, None]) ** 2).sum(axis=1))
         near = exact <= self.worst[row]
         for r, d, vec in zip(row[near].tolist(), exact[near].tolist(), ids[col[near]].tolist()):
             heap = self.heaps[r]
@@ -196,9 +210,14 @@ class Distances:
 
 def _search(vectors, every, k, kind, zero, id_col, vector_col, block, shard):
     v = written(usable(vectors, zero, id_col, vector_col), "vectors")
-    tops = tiled(v, F.col("vec_id") % every == 0, k, kind, block, shard)
-    return tops.select("query_id", F.posexplode("top").alias("at", "hit")).select(
+    tops = tiled(v, F.col("__id") % every == 0, k, kind, block, shard)
+    hits = tops.select("query_id", F.posexplode("top").alias("at", "hit")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.key").alias("key"))
+    if v.filter(~F.col("vec_id").eqNullSafe(F.col("__id"))).limit(1).count():        # numbered rows: back to their ids
+        for c in ("query_id", "vec_id"):
+            ids = v.select(F.col("vec_id").alias(c), "__id")
+            hits = hits.join(ids, c).drop(c).withColumnRenamed("__id", c)
+    return hits.select("query_id", "rank", "vec_id", "key")
 
 
 def exact_top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id", vector_col: str = "embedding",

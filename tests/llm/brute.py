@@ -4,7 +4,7 @@ import hashlib
 from collections import defaultdict
 
 
-def line_dedup(rows, window=2):
+def line_dedup(rows):
     """{doc_id: (text, n_lines, n_removed, n_runs)}"""
     seen, out = set(), {}
     for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
@@ -14,11 +14,10 @@ def line_dedup(rows, window=2):
         lines = text.split("\n")
         full = [i for i, x in enumerate(lines) if x.strip(" \t\r")]
         dead = set()
-        for at in range(len(full) - window + 1):
-            key = tuple(lines[full[at + j]] for j in range(window))
-            if key in seen:
-                dead |= {at + j for j in range(window)}
-            seen.add(key)
+        for p, i in enumerate(full):
+            if lines[i] in seen:
+                dead.add(p)
+            seen.add(lines[i])
         gone = {full[p] for p in dead}
         out[doc] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(full), len(dead),
                     sum(p - 1 not in dead for p in dead))

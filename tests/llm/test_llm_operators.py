@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 from cartwheel.llm import bpe, language_id, line_dedup, packing, quality, simhash, substring_dedup, toxicity, vectors  # noqa: E402
+from cartwheel.llm.common import row_keyed  # noqa: E402
 from cartwheel.llm.components import components  # noqa: E402
 from cartwheel.llm.registry import split_pattern, tokenizer_path  # noqa: E402
 
@@ -47,17 +48,45 @@ def by_id(df, *columns):
 
 # ---- line dedup -------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("window", [1, 2, 3])
+def keyed(spark, rows):
+    """Rows whose ids repeat or are missing, as the operators order them: [(number, id, text)]."""
+    return [tuple(r) for r in row_keyed(documents(spark, rows).select("doc_id", "text")).select("doc_id", "__id", "text").orderBy("doc_id").collect()]
+
+
+@pytest.mark.parametrize("window", [1, 2, 4, 50])
 def test_line_dedup_equals_brute_force(spark, window):
     rows = odd_rows()
     got = by_id(line_dedup.dedup_lines(documents(spark, rows), window), "text", "n_lines", "n_removed", "n_runs")
-    assert got == brute.line_dedup(rows, window)
-
-
-def test_line_dedup_rows_sharing_an_id_are_one_document(spark):
-    rows = [(1, "a\nb"), (1, "a\nb"), (2, "a\nb\nc"), (2, "a")]
-    got = by_id(line_dedup.dedup_lines(documents(spark, rows)), "text")
-    assert got == {1: ("a\nb",), 2: ("c",)}
+    assert got == brute.line_dedup(rows)
+
+
+def test_winnowing_selects_guaranteed_fingerprints_and_extends(spark):
+    rng = random.Random(6)
+    text = "\n".join(str(rng.random()) for _ in range(200))
+    hashed = line_dedup.line_hashes(documents(spark, [(1, text), (2, "one\ntwo")]))
+    h = {r.doc_id: r.h for r in hashed.collect()}
+    rows = line_dedup.fingerprints(hashed, 4).collect()
+    for d in h:
+        expected = {min(range(s, min(s + 4, len(h[d]))), key=lambda i: h[d][i]) for s in range(max(1, len(h[d]) - 3))}
+        assert {r["at"] for r in rows if r.doc_id == d} == expected and sum(r.doc_id == d for r in rows) == len(expected)
+    assert 0.3 < sum(r.doc_id == 1 for r in rows) / 200 < 0.5
+    # a repeated run is covered by the extended matches alone
+    both = line_dedup.line_hashes(documents(spark, [(1, text), (2, "x\n" + text + "\ny")]))
+    found = line_dedup.matches(line_dedup.fingerprints(both, 4)).select(
+        "at", line_dedup.common_length(F.col("before"), F.col("first.before")).alias("l"),
+        line_dedup.common_length(F.col("after"), F.col("first.after")).alias("r")).collect()
+    covered = {i for r in found for i in range(r["at"] - r.l, r["at"] + r.r + 1)}
+    assert covered == set(range(1, 201))
+
+
+def test_line_dedup_keeps_every_row(spark):
+    rows = [(1, "a\nb"), (1, "a\nb"), (1, "c\nd"), (2, "a\nb\nc"), (None, "e\nf"), (None, "e\ng"), (None, None)]
+    order = keyed(spark, rows)
+    want = brute.line_dedup([(k, t) for k, _, t in order])
+    got = line_dedup.dedup_lines(documents(spark, rows)).collect()
+    assert Counter((r.doc_id, r.text, r.n_removed) for r in got) == Counter((d, want[k][0], want[k][2]) for k, d, _ in order)
+    kept = Counter(x for r in got for x in (r.text or "").split("\n") if x)
+    assert kept == Counter("abcdefg")
 
 
 def test_line_dedup_is_native(spark):
@@ -205,6 +234,33 @@ def test_substring_dedup_equals_brute_force(spark, length, gram, hot):
     assert got == brute.substring_dedup(rows, length)
 
 
+def test_substring_dedup_keeps_every_row(spark):
+    rng = random.Random(11)
+    long = ["".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(3)]
+    rows = [(1, long[0]), (1, long[0] + long[1]), (None, long[1]), (None, long[2]), (None, long[2]), (7, None)]
+    order = keyed(spark, rows)
+    want = brute.substring_dedup([(k, t) for k, _, t in order], 100)
+    got = substring_dedup.dedup_substrings(documents(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == Counter((d, *want[k]) for k, d, _ in order)
+
+
+@pytest.mark.parametrize("parts", [1, 2])
+def test_texts_with_equal_polynomial_hashes_lose_nothing(spark, parts):
+    words = {"u": "skqzwhkvqg", "v": "ehgbvjtvgk"}        # a Thue-Morse arrangement and its mirror collide modulo 2^64
+    one = "".join(words[c] for c in "uvvuvuuvvuuvuvvu")
+    two = "".join(words[c] for c in "vuuvuvvuuvvuvuuv")
+    docs = spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string").repartition(parts)
+    assert by_id(substring_dedup.dedup_substrings(docs), "n_bytes", "n_removed") == {1: (160, 0), 2: (160, 0)}
+
+
+def test_removed_spans_move_inwards_to_whole_characters(spark):
+    rng = random.Random(3)
+    shared = "é" * 5 + "".join(rng.choice("abcdef") for _ in range(120))
+    rows = [(1, shared + "é1"), (2, shared + "è2"), (3, "x" + shared)]
+    got = by_id(substring_dedup.dedup_substrings(documents(spark, rows), with_text=True), "text", "n_removed")
+    assert got == {1: (shared + "é1", 0), 2: ("è2", len(shared.encode()) + 1), 3: ("x", len(shared.encode()))}
+
+
 def test_families_cut_by_chunks_and_hash_collisions_change_nothing():
     text = (b"abcabcabd" * 60 + b"hello world, this is text " * 30) * 2
     data, offsets = np.frombuffer(text, np.uint8), np.array([0, 700, 700, len(text)])
@@ -229,29 +285,35 @@ def odd_vectors(spark):
 @pytest.mark.parametrize("block,shard", [(8192, 1 << 16), (2, 37)])
 def test_vector_search_equals_brute_force(spark, block, shard):
     rows, df = odd_vectors(spark)
-    usable = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            v = [float(np.float32(x)) for x in v]
-            usable[i] = max(usable.get(i, v), v)
+    usable = [(i, [float(np.float32(x)) for x in v]) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
     for kind, zero in ((vectors.exact_top_k, True), (vectors.nearest, False)):
-        expected = {}
-        part = {i: v for i, v in usable.items() if zero or any(v)}
-        for q in [i for i in part if i % 100 == 0]:
+        expected = Counter()
+        part = [(i, v) for i, v in usable if zero or any(v)]
+        for at, (q, own) in enumerate(part):
+            if q is None or q % 100:
+                continue
             hits = []
-            for c, v in part.items():
-                if c != q and len(v) == len(part[q]):
+            for other, (c, v) in enumerate(part):
+                if other != at and len(v) == len(own):
                     if zero:
-                        s = sum(int(np.floor(1024 * a)) * int(np.floor(1024 * b)) for a, b in zip(part[q], v))
-                        hits.append((-max(-(1 << 63) + 1, min((1 << 63) - 1, s)), c))
+                        s = sum(int(np.floor(1024 * a)) * int(np.floor(1024 * b)) for a, b in zip(own, v))
+                        key = -max(-(1 << 63) + 1, min((1 << 63) - 1, s))
                     else:
-                        hits.append((float(np.sqrt(sum((a - b) ** 2 for a, b in zip(part[q], v)))), c))
-            for r, (s, c) in enumerate(sorted(hits)[:10]):
-                expected[q, r + 1] = (c, -s if zero else s)
-        got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in kind(df, block=block, shard=shard).collect()}
-        assert got.keys() == expected.keys()
-        for k, (c, s) in expected.items():
-            assert got[k][0] == c and got[k][1] == pytest.approx(s, rel=1e-12), (kind, k)
+                        key = float(np.sqrt(sum((a - b) ** 2 for a, b in zip(own, v))))
+                    hits.append((key, c is None, c or 0, c))
+            for r, (s, _, _, c) in enumerate(sorted(hits)[:10]):
+                expected[q, r + 1, c, -s if zero else float(f"{s:.11g}")] += 1
+        got = kind(df, block=block, shard=shard).collect()
+        assert Counter((r.query_id, r["rank"], r.vec_id, r.score if zero else float(f"{r.score:.11g}")) for r in got) == expected
+
+
+def test_distances_of_huge_and_tiny_components(spark):
+    rows = [(100, [1e200, 0.0]), (1, [1e200, 3e199]), (2, [-1e200, 0.0]), (3, [1.0, 2.0]), (200, [1e-200, 0.0]), (4, [3e-200, 0.0])]
+    got = vectors.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    first = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in got}
+    assert [first[100, i][0] for i in range(1, 6)] == [1, 3, 4, 200, 2]
+    assert first[100, 1][1] == pytest.approx(3e199) and first[100, 5][1] == pytest.approx(2e200)
+    assert first[200, 1] == (4, pytest.approx(2e-200))
 
 
 # ---- classifiers ------------------------------------------------------------------------------
@@ -354,9 +416,7 @@ def test_empty_tables(spark):
 def test_all_null_rows(spark):
     docs = documents(spark, [(None, None), (None, None)])
     labels = spark.createDataFrame([(None, None, None)], "doc_id long, toxic int, quality int")
-    assert line_dedup.dedup_lines(docs).count() == 1
-    assert substring_dedup.dedup_substrings(docs).count() == 1
-    for f in (packing.pack(docs, tokenizer_path("byte_bpe_50k.json")), toxicity.predict_toxicity(docs, labels),
+    for f in (line_dedup.dedup_lines(docs), substring_dedup.dedup_substrings(docs), packing.pack(docs, tokenizer_path("byte_bpe_50k.json")), toxicity.predict_toxicity(docs, labels),
               bpe.encode_documents(docs, tokenizer_path("byte_bpe_multi_50k.tiktoken"), split_pattern()),
               quality.resample(docs, labels), language_id.predict_languages(docs), simhash.near_duplicates(docs)):
         assert f.count() == 2

@@ -46,7 +46,7 @@ def test_pipeline_equals_brute_force(spark):
     after = got.collect()
     assert got.columns == list(pipeline.COLUMNS) and {r.doc_id for r in after} == set(cut)
     for r in after:
-        assert 0 <= cut[r.doc_id][0] - cut[r.doc_id][1] - len(r.text.encode()) <= 6 * cut[r.doc_id][2]     # whole characters only
+        assert 0 <= len(r.text.encode()) - (cut[r.doc_id][0] - cut[r.doc_id][1]) <= 6 * cut[r.doc_id][2]     # whole characters only
     packed = stages["pack"](spark, got, SF).collect()
     check_packing([(r.doc_id, r.text) for r in after], packed, 2048)
     assert {r.doc_id for r in pipeline.run(spark, SF).collect()} == {r.doc_id for r in packed}
@@ -54,7 +54,7 @@ def test_pipeline_equals_brute_force(spark):
 
 def test_stages_take_odd_rows(spark):
     rows = [(d, t, ["en", "fr", None][i % 3], None, None) for i, (d, t) in enumerate(odd_rows())]
-    rows += rows[:3] + [(900, "1234 !!", "en", "s", 7)]
+    rows += rows[:3] + [(None, "another text without id", "en", None, None), (900, "1234 !!", "en", "s", 7)]
     docs = spark.createDataFrame(rows, SCHEMA)
     for name, stage in pipeline.STAGES:
         docs = stage(spark, docs, SF)
