@@ -3,14 +3,14 @@
 Stages, each on all that its predecessor kept:
 
 1. ``language``: language ID; documents without a language (null texts, texts without a letter) go.
-2. ``lines``: line dedup; repeated runs of lines go from the texts.
+2. ``lines``: line dedup; lines that stand earlier go from the texts, alone or in runs.
 3. ``near_duplicates``: SimHash groups; the document with the smallest id of each group stays.
 4. ``substrings``: suffix-array dedup; repeated strings of 100 bytes and more go from the texts.  Characters of which
-   a part repeats go whole.
+   only a part repeats stay whole.
 5. ``pack``: the texts as sequences of 2048 tokens; one row per piece.
 
 All but the last return the columns of ``documents``; ``n_chars`` follows the text.  Documents are never dropped for
-being short, or for having become empty.  Rows that share a doc_id are one document from stage 2 on (``one_row_per_id``).  Every
+being short, or for having become empty.  Rows that share a doc_id, or have none, are documents of their own in every stage.  Every
 stage is written as Parquet below ``spark.checkpoint.dir`` and read again, so a lost executor repeats one stage at most.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm import language_id, line_dedup, packing, simhash, substring_dedup
-from cartwheel.llm.common import one_row_per_id, read, real_id, written
+from cartwheel.llm.common import read, row_keyed, written
 from cartwheel.llm.registry import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -40,14 +40,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _documents(line_dedup.dedup_lines(docs, window=2, keep_columns=OTHERS))
+    return _documents(line_dedup.dedup_lines(docs, keep_columns=OTHERS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = one_row_per_id(docs.select(*COLUMNS))
-    first = simhash.near_duplicates(docs, shingle=3, max_bits=2).filter(F.col("component_id").eqNullSafe(F.col("doc_id")) | (
-        F.col("component_id").isNull() & (F.col("doc_id") == F.lit(simhash.NULL_ID))))
-    return docs.join(first.select("doc_id").hint("shuffle_merge"), "doc_id", "left_semi").select(real_id(), *COLUMNS[1:])
+    docs = row_keyed(docs.select(*COLUMNS))
+    first = simhash.near_duplicates(docs, shingle=3, max_bits=2).filter(
+        F.coalesce("component_id", F.lit(simhash.NULL_ID)) == F.col("doc_id"))
+    return (docs.join(first.select("doc_id").hint("shuffle_merge"), "doc_id", "left_semi")
+            .select(F.col("__id").alias("doc_id"), *COLUMNS[1:]))
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
