@@ -1,59 +1,80 @@
-"""Keyed tables as append-only Parquet.
+"""Keyed tables as append-only Parquet with snapshots.
 
-A micro-batch writes its rows into a folder of its own, ``[partition=.../]batch_id=N``; the latest (or first) row
-per key is picked when the table is read.  So a write costs what the batch holds, whatever the table holds; a
-write that fails leaves every stored row; a replayed batch replaces its own folder only; and a reader running during a
-write sees whole earlier batches.  ``compact`` writes the picked rows as a new table and leaves the old one alone.
-"""
+A micro-batch writes its rows into a folder of its own and then publishes a snapshot that names it (``snapshots``); the latest
+(or first) row per key is picked when the table is read.  So a write costs what the batch holds, whatever the table
+holds; a write that fails leaves every stored row; a replayed batch replaces its own folder only; and readers see whole
+micro-batches.
+
+``compact`` merges folders in place: ``FAN`` folders of one level become one of the next, with one row per key.  It runs beside
+writers and readers.  So after n micro-batches a reader merges some ``FAN`` x log(n) folders, and a row is rewritten log(n)
+times.  ``tidy``, which the streaming jobs call after every write, also deletes what was replaced ``RETAIN`` seconds ago."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from . import snapshots
 from .dedup import pick_per_key
+from .snapshots import FOLDER, Folder, Snapshot
 
 BATCH = "batch_id"
+FAN = 8
+RETAIN = 3600.0
 
 
 def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols or [])
 
 
-def append(batch: DataFrame, path: str, batch_id: int, partition_by=None) -> None:
-    """Write ``batch`` as micro-batch ``batch_id`` of the table; a replay overwrites that micro-batch only."""
-    parts = _names(partition_by)
+def _write(rows: DataFrame, place: str, parts: list[str]) -> None:
     # few files per partition; AQE still splits a skewed partition value
-    out = batch.withColumn(BATCH, F.lit(int(batch_id)).cast("long")).hint("rebalance", *parts)
-    # an empty partitioned write leaves no file, so the columns are noted beside the table once
-    batch.sparkSession.createDataFrame([], out.schema).write.mode("ignore").parquet(f"{path}_schema")
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts, BATCH).parquet(path))
+    rows.hint("rebalance", *parts).write.partitionBy(*parts).parquet(place)
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """All rows of all micro-batches (with ``batch_id``), None if nothing was ever written there.
-    A table whose micro-batches were all empty has no rows; any other folder that holds no readable table raises: it must
-    not pass for an empty one."""
-    try:
-        table = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        table = _without_rows(spark, path) if e.getCondition() == "UNABLE_TO_INFER_SCHEMA" else None
-        if table is None:
-            raise RuntimeError(f"keyed table {path} is there but cannot be read") from e
-    if BATCH not in table.columns:
-        raise RuntimeError(f"{path} is not a keyed table: it has no {BATCH}")
-    return table.withColumn(BATCH, F.col(BATCH).cast("long"))
+def _with_columns_of(stored_schema: StructType, new: StructType) -> StructType:
+    """The stored schema, and the columns that only the new rows have."""
+    known = {f.name: f.dataType for f in stored_schema}
+    for f in new:
+        if f.name in known and known[f.name] != f.dataType:
+            raise ValueError(f"column {f.name} is stored as {known[f.name].simpleString()}, not {f.dataType.simpleString()}")
+    return StructType([*stored_schema, *(f for f in new if f.name not in known)])
 
 
-def _without_rows(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{path}_schema")
-    except AnalysisException:
-        return None
+def append(batch: DataFrame, path: str, batch_id: int, partition_by=None) -> None:
+    """Write ``batch`` as micro-batch ``batch_id`` of the table; a replay replaces that micro-batch only."""
+    spark, parts, number = batch.sparkSession, _names(partition_by), int(batch_id)
+    out = batch.withColumn(BATCH, F.lit(number).cast("long"))
+    snapshots.create(spark, path, out.schema, parts)
+    name, place = snapshots.new_folder(path)
+    _write(out, place, parts)
+    filled = snapshots.Files(spark, path).holds_data(place)
+
+    def add(s: Snapshot) -> bool:
+        s.schema = _with_columns_of(s.schema, out.schema)
+        s.retire({f.name for f in s.live if f.low == f.high == number and f.level == 0})
+        if filled:
+            s.live.append(Folder(name, number, number))
+        s.last = number if s.last is None else max(s.last, number)
+        return True
+
+    snapshots.commit(spark, path, add)
+
+
+def _read(spark: SparkSession, path: str, s: Snapshot, folders: list[Folder]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], s.schema)
+    return (spark.read.schema(StructType(list(s.schema)).add(FOLDER, "string")).option("basePath", f"{path}/data")
+            .parquet(*[f"{path}/data/{FOLDER}={f.name}" for f in folders]).select(*s.schema.names))
+
+
+def stored(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
+    """All rows of the newest snapshot (or of ``version``) with ``batch_id``, None if nothing was ever written there.
+    Any other folder raises: it must not pass for an empty table."""
+    s = snapshots.current(spark, path, version)
+    return None if s is None else _read(spark, path, s, s.live)
 
 
 def first_number(spark: SparkSession, path: str, checkpoint: str) -> int:
@@ -65,18 +86,18 @@ def first_number(spark: SparkSession, path: str, checkpoint: str) -> int:
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-    table = stored(spark, path)
-    last = table.agg(F.max(BATCH)).first()[0] if table is not None else None
-    first = 0 if last is None else last + 1
+    s = snapshots.current(spark, path)
+    first = 0 if s is None or s.last is None else s.last + 1
     spark.createDataFrame([(str(first),)], "value string").coalesce(1).write.text(note)
     return first
 
 
-def read_keyed(spark: SparkSession, path: str, keys, order_by=(), keep: str = "last", where=None) -> DataFrame | None:
+def read_keyed(spark: SparkSession, path: str, keys, order_by=(), keep: str = "last", where=None,
+               version: int | None = None) -> DataFrame | None:
     """One row per key: of the last micro-batch that wrote it (``keep='first'``: of the first), within a micro-batch the
     largest (smallest) by ``order_by``.  A filter on key columns prunes by itself; ``where`` prunes by columns that never
-    change for a key."""
-    table = stored(spark, path)
+    change for a key.  ``version``: as that snapshot had it."""
+    table = stored(spark, path, version)
     if table is None:
         return None
     if where is not None:
@@ -84,11 +105,53 @@ def read_keyed(spark: SparkSession, path: str, keys, order_by=(), keep: str = "l
     return pick_per_key(table, _names(keys), [BATCH, *_names(order_by)], keep).drop(BATCH)
 
 
-def compact(spark: SparkSession, path: str, to: str, keys, order_by=(), keep: str = "last", partition_by=None) -> None:
-    """The picked rows as one micro-batch (numbered as the last one) of a new table at ``to``.  Nothing at ``path`` is
-    touched; readers and the writer move to ``to`` when they are restarted."""
-    last = stored(spark, path).agg(F.max(BATCH)).first()[0]
-    append(read_keyed(spark, path, keys, order_by, keep), to, last, partition_by)
+def _due(s: Snapshot, fan: int, everything: bool) -> list[Folder]:
+    """The folders to merge next: ``fan`` of the lowest level that has them.  The newest micro-batch is left out, since it
+    may be written again."""
+    settled = [f for f in s.live if f.low < s.last or f.level]
+    if everything:
+        return settled if len(settled) > 1 else []
+    for level in sorted({f.level for f in settled}):
+        mine = sorted((f for f in settled if f.level == level), key=lambda f: f.low)
+        if len(mine) >= fan:
+            return mine[:fan]
+    return []
+
+
+def compact(spark: SparkSession, path: str, keys=None, order_by=(), keep: str = "last", fan: int = FAN, everything: bool = False) -> int:
+    """Merge folders in place while ``fan`` of one level are there (``everything``: all settled ones into one), one row per
+    key (all rows without ``keys``).  Returns how many merges were published; one that a replay overtakes is dropped."""
+    done = 0
+    while True:
+        s = snapshots.current(spark, path)
+        group = _due(s, fan, everything) if s is not None else []
+        if not group:
+            return done
+        rows = _read(spark, path, s, group)
+        if keys:
+            rows = pick_per_key(rows, _names(keys), [BATCH, *_names(order_by)], keep)
+        name, place = snapshots.new_folder(path)
+        _write(rows, place, s.partition_by)
+        names = {f.name for f in group}
+        merged = Folder(name, min(f.low for f in group), max(f.high for f in group), 1 + max(f.level for f in group))
+
+        def switch(now: Snapshot) -> bool:
+            if not names <= {f.name for f in now.live}:
+                return False
+            now.retire(names)
+            now.live.append(merged)
+            return True
+
+        if snapshots.commit(spark, path, switch) is None:
+            snapshots.Files(spark, path).delete(place)
+        else:
+            done += 1
+
+
+def tidy(spark: SparkSession, path: str, keys=None, order_by=(), keep: str = "last", fan: int = FAN, retain: float = RETAIN) -> None:
+    """Keep the table small after a write: merge what is due, and delete what was replaced ``retain`` seconds ago."""
+    if compact(spark, path, keys, order_by, keep, fan):
+        snapshots.expire(spark, path, retain)
 
 
 def fill_missing_ids(df: DataFrame, id_col: str) -> DataFrame:
@@ -110,13 +173,16 @@ def split_rejected(df: DataFrame, keys) -> tuple[DataFrame, DataFrame]:
     return ok, bad
 
 
-def append_accepted(batch: DataFrame, path: str, batch_id: int, keys, partition_by=None) -> None:
-    """Append the rows that have a key; the others go to the table ``<path>_rejected`` with a reason."""
+def append_accepted(batch: DataFrame, path: str, batch_id: int, keys, partition_by=None, order_by=(), keep: str = "last") -> None:
+    """Append the rows that have a key; the others go to the table ``<path>_rejected`` with a reason.  Both are tidied."""
     ok, bad = split_rejected(batch, keys)
     append(ok, path, batch_id, partition_by)
     append(bad, f"{path}_rejected", batch_id)
+    tidy(batch.sparkSession, path, keys, order_by, keep)
+    tidy(batch.sparkSession, f"{path}_rejected")
 
 
 def append_distinct(batch: DataFrame, path: str, keys, batch_id: int, partition_by=None) -> None:
     """Set-add of key tuples; read the set with ``read_keyed(spark, path, keys)``."""
     append(batch.select(*_names(keys)).distinct(), path, batch_id, partition_by)
+    tidy(batch.sparkSession, path, keys, keep="first")

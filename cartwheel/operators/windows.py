@@ -49,54 +49,37 @@ def to_windows(df: DataFrame, window_ms: int, slide_ms: int, pane_col: str = "pa
               .select(*rest, (F.col(pane_col) - F.col("_k") * F.lit(slide_ms)).alias("wstart")))
 
 
+def pane_entries():
+    """What one event adds to its pane, as an array of (kind, key): 'evid' its event id; for a coupon event also 'uid' and 'item',
+    the user and the item (null is a member, as in a hash set)."""
+    coupon = F.col("evid") == EVID_COUPON
+    return F.array(F.struct(F.lit("evid").alias("kind"), F.col("evid").alias("key")),
+                   F.when(coupon, F.struct(F.lit("uid").alias("kind"), F.col("uid").alias("key"))),
+                   F.when(coupon, F.struct(F.lit("item").alias("kind"), F.col("itemid").alias("key"))))
+
+
 def pane_long(events: DataFrame, slide_ms: int) -> DataFrame:
     """Pane aggregates in one long form (one scan, one aggregation):
-    (mid, pane, kind, key, n) with kind 'evid' (key = event id, n = count),
-    'uid' / 'item' (key = coupon user / item, a distinct member of the pane;
-    null is a member, as in a hash set)."""
-    coupon = F.col("evid") == EVID_COUPON
-    entries = F.array(
-        F.struct(F.lit("evid").alias("kind"), F.col("evid").alias("key")),
-        F.when(coupon, F.struct(F.lit("uid").alias("kind"), F.col("uid").alias("key"))),
-        F.when(coupon, F.struct(F.lit("item").alias("kind"), F.col("itemid").alias("key"))))
-    return (events.select("mid", _pane("ts", slide_ms).alias("pane"), F.explode(entries).alias("e"))
+    (mid, pane, kind, key, n) with the entries of ``pane_entries`` and how often each occurs."""
+    return (events.select("mid", _pane("ts", slide_ms).alias("pane"), F.explode(pane_entries()).alias("e"))
                   .where(F.col("e").isNotNull())
                   .groupBy("mid", "pane", F.col("e.kind").alias("kind"), F.col("e.key").alias("key"))
                   .agg(F.count(F.lit(1)).alias("n")))
 
 
-def window_long(panes: DataFrame, window_ms: int, slide_ms: int, only_windows: DataFrame | None = None) -> DataFrame:
+def window_long(panes: DataFrame, window_ms: int, slide_ms: int) -> DataFrame:
     """(mid, wstart, kind, key, n): pane rows merged into every window containing them."""
     w = to_windows(panes.select("mid", "pane", "kind", "key", "n"), window_ms, slide_ms)
-    if only_windows is not None:
-        w = same_windows(w, only_windows)
     return w.groupBy("mid", "wstart", "kind", "key").agg(F.sum("n").alias("n"))
 
 
-def same_windows(wl: DataFrame, windows: DataFrame) -> DataFrame:
-    """Rows of ``wl`` that belong to one of ``windows`` (mid, wstart); a null device is a device."""
-    w = windows.select(F.col("mid").alias("_mid"), F.col("wstart").alias("_wstart"))
-    return wl.join(w, F.col("mid").eqNullSafe(F.col("_mid")) & (F.col("wstart") == F.col("_wstart")), "left_semi")
-
-
-def _crowded_windows(wl: DataFrame, min_users: int) -> DataFrame:
-    """(mid, wstart, clicks, n_uids) of windows with >= min_users coupon users (hash aggregate; no lists)."""
+def qualifying_windows(wl: DataFrame, min_users: int) -> DataFrame:
+    """(mid, wstart, n_uids) of windows with no click and >= min_users coupon users (hash aggregate; no lists)."""
     kind = F.col("kind")
     return (wl.groupBy("mid", "wstart")
               .agg(F.sum(F.when((kind == "evid") & (F.col("key") == EVID_CLICK), F.col("n")).otherwise(0)).alias("clicks"),
                    F.count(F.when(kind == "uid", 1)).alias("n_uids"))
-              .where(F.col("n_uids") >= min_users))
-
-
-def qualifying_windows(wl: DataFrame, min_users: int) -> DataFrame:
-    """(mid, wstart, n_uids) of windows with no click and >= min_users coupon users."""
-    return _crowded_windows(wl, min_users).where("clicks = 0").select("mid", "wstart", "n_uids")
-
-
-def withdrawn_windows(wl: DataFrame, window_ms: int, min_users: int) -> DataFrame:
-    """(mid, window_start) of windows with enough users and a click: counts only grow, so any alert
-    that no longer holds is among them."""
-    return _crowded_windows(wl, min_users).where("clicks > 0").select("mid", _ms_text(F.col("wstart")).alias("window_start"))
+              .where(f"n_uids >= {int(min_users)} and clicks = 0").select("mid", "wstart", "n_uids"))
 
 
 def members_of(panes: DataFrame, windows: DataFrame, window_ms: int, slide_ms: int) -> DataFrame:
@@ -140,12 +123,6 @@ def alert_documents(members: DataFrame, windows: DataFrame, window_ms: int) -> D
     return alert_rows(both, window_ms)
 
 
-def alerts_from_long(wl: DataFrame, window_ms: int, min_users: int) -> DataFrame:
-    """Window rows -> alert rows; lists are collected for alerting windows only."""
-    q = qualifying_windows(wl, min_users)
-    return alert_documents(same_windows(wl, q), q, window_ms)
-
-
 def _panes(events: DataFrame, slide_ms: int) -> DataFrame:
     return pane_long(events.select("mid", "uid", "evid", "itemid", "ts"), slide_ms)
 

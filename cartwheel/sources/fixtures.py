@@ -215,9 +215,13 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_log_date_hour(event_log_from_events(ev))
 
 
-def busy_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def busy(log: DataFrame) -> DataFrame:
     """The behaviour log at 60 times its pace (ts div 60): dense enough for windows of 5 minutes."""
-    return event_log(spark, sf_dir).withColumn("ts", F.expr("ts div 60"))
+    return log.withColumn("ts", F.expr("ts div 60"))
+
+
+def busy_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return busy(event_log(spark, sf_dir))
 
 
 ORDER_SOURCE = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")

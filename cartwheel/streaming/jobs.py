@@ -14,15 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..constants import (ALERT_MIN_USERS, ALERT_SLIDE, ALERT_WINDOW, EVID_COUPON, JOIN_LATE_BOUND,
-                         TRIGGER_INTERVAL)
-from ..functions.timefns import day_number, with_log_date_hour
+from ..constants import ALERT_MIN_USERS, ALERT_SLIDE, ALERT_WINDOW, EVID_CLICK, JOIN_LATE_BOUND, TRIGGER_INTERVAL
+from ..functions.timefns import with_log_date_hour
 from ..operators.cdc import route_changes
-from ..operators.dedup import latest_per_key, pick_per_key
+from ..operators.dedup import latest_per_key
 from ..operators.joins import interval_join
-from ..operators.upsert import append, append_accepted, append_distinct, fill_missing_ids, first_number, read_keyed, stored
-from ..operators.windows import (alerts_from_long, alerts_per_minute, interval_ms, to_windows, window_long,
-                                 withdrawn_windows)
+from ..operators import snapshots
+from ..operators.upsert import append, append_accepted, append_distinct, fill_missing_ids, first_number, read_keyed, stored, tidy
+from ..operators.windows import alert_rows, alerts_per_minute, interval_ms, pane_entries
 from ..plans.dau import DAU_KEYS, DAU_ORDER, daily_active_new, daily_active
 from ..plans.orders import merge_sale_detail, with_user
 from ..plans.users import USER_COLUMNS
@@ -51,7 +50,7 @@ def dau_batch_writer(dau_path: str, seen_path: str | None = None, first: int = 0
             seen = stored(batch.sparkSession, seen_path) if seen_path else None
             # keys of this batch's own earlier attempt do not count as seen
             new = daily_active(rows) if seen is None else daily_active_new(rows, seen.where(F.col("batch_id") < batch_id))
-            append_accepted(new, dau_path, batch_id, list(DAU_KEYS), "log_date")
+            append_accepted(new, dau_path, batch_id, list(DAU_KEYS), "log_date", list(DAU_ORDER), "first")
             if seen_path:
                 append_distinct(new.dropna(subset=list(DAU_KEYS)), seen_path, list(DAU_KEYS), batch_id, "log_date")
         finally:
@@ -89,7 +88,7 @@ def start_order_table(orders: DataFrame, table_path: str, checkpoint: str, order
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             append_accepted(batch.withColumn("create_month", F.substring("create_date", 1, 7)), table_path,
-                            first + batch_id, "id", "create_month")
+                            first + batch_id, "id", "create_month", list(order_by))
         finally:
             batch.unpersist()
     return _writer(orders, "orders", checkpoint, trigger, available_now).foreachBatch(write).start()
@@ -104,19 +103,38 @@ def read_orders(spark: SparkSession, path: str, order_by=("event_ts",), where=No
 
 def start_user_dimension(users: DataFrame, table_path: str, checkpoint: str, order_by=("ts", "seq"),
                          trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
-    """Latest value per user id (order = arrival order columns)."""
+    """Latest value per user id (order = arrival order columns); users without an id go to the rejected table."""
     cols = [*USER_COLUMNS, *order_by]
     first = first_number(users.sparkSession, table_path, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest = latest_per_key(batch.select(*cols).where(F.col("id").isNotNull()), "id", list(order_by))
-        append(latest, table_path, first + batch_id)
+        # rows without an id are kept aside one by one, the others as the last one per user
+        rows = batch.select(*cols)
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            known = latest_per_key(rows.where(F.col("id").isNotNull()), "id", list(order_by))
+            append_accepted(known.unionByName(rows.where(F.col("id").isNull())), table_path, first + batch_id, "id", order_by=list(order_by))
+        finally:
+            rows.unpersist()
     return _writer(users, "users", checkpoint, trigger, available_now).foreachBatch(write).start()
 
 
-def read_users(spark: SparkSession, path: str, order_by=("ts", "seq")) -> DataFrame | None:
-    """Latest value per user; None before the first write."""
-    return read_keyed(spark, path, "id", list(order_by))
+def read_users(spark: SparkSession, path: str, order_by=("ts", "seq"), version: int | None = None) -> DataFrame | None:
+    """Latest value per user, now or as of a snapshot version; None before the first write."""
+    return read_keyed(spark, path, "id", list(order_by), version=version)
+
+
+def version_for_batch(spark: SparkSession, path: str, checkpoint: str, batch_id: int) -> int | None:
+    """The snapshot of a lookup table that micro-batch ``batch_id`` uses: the newest one when it first ran, noted beside its
+    checkpoint, so a replay looks up the same values.  None while there is no table."""
+    files, note = snapshots.Files(spark, checkpoint), f"{checkpoint}/lookups/{batch_id}"
+    if files.names(note) is None:
+        now = snapshots.current(spark, path)
+        if now is None:
+            return None
+        files.create(note, str(now.version))
+        files.delete(f"{checkpoint}/lookups/{batch_id - 100}")     # the engine replays the last micro-batch only
+    return int(files.read(note))
 
 
 # ---- sale detail ----------------------------------------------------------------------
@@ -136,12 +154,16 @@ def sale_detail_stream(orders: DataFrame, details: DataFrame, bound: str = JOIN_
     return merge_sale_detail(interval_join(i, d, "i_id", "d_order_id", "i_ts", "d_ts", bound, bound, how))
 
 
+SALE_ORDER = ["create_time", "sku_price"]
+
+
 def start_sale_detail(sale: DataFrame, out_path: str, checkpoint: str, users_path: str | None = None,
                       as_of=None, keys=("order_detail_id",), partition: str = "processing_day",
                       trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
-    """Enrich each micro-batch with the user table as it is now (re-read per
-    batch, so updates are seen), then append the documents; the last write per ``keys`` wins (``read_sale_detail``).
-    Documents without an id get one of their own and all stay.
+    """Enrich each micro-batch with the user table as it is now (its newest snapshot, so updates are seen; a replay
+    takes the same one), then append the documents; the last write per ``keys`` wins (``read_sale_detail``).
+    Documents without an id get one of their own and all stay.  The lookup reads the table's live folders, whose number
+    compaction bounds, however many batches have written users.
 
     ``partition='processing_day'`` (default) writes each batch into the daily
     index of the write day (``day`` = days since epoch of the current date),
@@ -151,7 +173,8 @@ def start_sale_detail(sale: DataFrame, out_path: str, checkpoint: str, users_pat
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        users = read_users(spark, users_path) if users_path else None    # a damaged table raises
+        version = version_for_batch(spark, users_path, checkpoint, batch_id) if users_path else None    # a damaged table raises
+        users = read_users(spark, users_path, version=version) if version is not None else None
         if users is None:
             users = spark.createDataFrame([], "id string, login_name string, user_level string, "
                                               "birthday string, gender string")
@@ -162,76 +185,67 @@ def start_sale_detail(sale: DataFrame, out_path: str, checkpoint: str, users_pat
         else:
             part_col = "dt"
         append(fill_missing_ids(docs, keys[0]), out_path, first + batch_id, part_col)
+        tidy(spark, out_path, list(keys), SALE_ORDER)
     return _writer(sale, "sale_detail", checkpoint, trigger, available_now).foreachBatch(write).start()
 
 
 def read_sale_detail(spark: SparkSession, path: str, keys=("order_detail_id",)) -> DataFrame:
     """Last write per document; within one micro-batch the latest creation time, then the larger price."""
-    return read_keyed(spark, path, list(keys), ["create_time", "sku_price"])
+    return read_keyed(spark, path, list(keys), SALE_ORDER)
 
 
 # ---- coupon alerts --------------------------------------------------------------------
 
-def start_coupon_alerts(events: DataFrame, panes_path: str, alerts_path: str, checkpoint: str,
-                        window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
+def coupon_alert_stream(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
+                        min_users: int = ALERT_MIN_USERS, lateness: str = "1 minute") -> DataFrame:
+    """Streaming alerts, each window judged once, when the watermark has passed its end.
+
+    Two chained aggregations in append mode, both in the state store: events -> panes as wide as the slide (a count per
+    device, pane, kind and key), and finished panes -> sliding windows (clicks, and the members as sets).  So a window sees
+    every click that is not later than ``lateness``, whichever micro-batch brings it, nothing is read back from a table,
+    and the watermark evicts panes and windows alike."""
+    w_ms = interval_ms(window)
+    ev = (events.select("mid", "uid", "evid", "itemid", "ts").withColumn("event_ts", F.timestamp_millis("ts"))
+                .withWatermark("event_ts", lateness)
+                .select("mid", "event_ts", F.explode(pane_entries()).alias("e")).where(F.col("e").isNotNull()))
+    panes = (ev.groupBy("mid", F.window("event_ts", slide).alias("pane"), F.col("e.kind").alias("kind"), F.col("e.key").alias("key"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    member = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.struct(F.col("key").alias("v"))))
+    is_event = F.col("kind") == "evid"
+    windows = (panes.groupBy("mid", F.window("pane", window, slide).alias("w"))
+                    .agg(F.sum(F.when(is_event & (F.col("key") == EVID_CLICK), F.col("n")).otherwise(0)).alias("clicks"),
+                         member("uid").alias("u"), member("item").alias("i"),
+                         F.collect_list(F.when(is_event, F.struct(F.col("key").alias("evid"), "n"))).alias("e")))
+    # a struct keeps null members through the collection
+    values = lambda c: F.array_sort(F.transform(c, lambda s: s["v"]))
+    kinds = F.array_sort(F.array_distinct(F.transform("e", lambda x: F.struct(x["evid"].alias("evid")))))
+    total = lambda k: F.aggregate(F.filter("e", lambda x: x["evid"].eqNullSafe(k["evid"])), F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    counted = F.transform(kinds, lambda k: F.concat(F.coalesce(k["evid"], F.lit("null")), F.lit(":"), total(k).cast("string")))
+    alerting = windows.where((F.col("clicks") == 0) & (F.size("u") >= min_users))
+    return alert_rows(alerting.select("mid", F.unix_millis(F.col("w.start")).alias("wstart"), F.size("u").alias("n_uids"),
+                                      values("u").alias("uids"), values("i").alias("item_ids"), counted.alias("events")), w_ms)
+
+
+def start_coupon_alerts(events: DataFrame, alerts_path: str, checkpoint: str, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
                         min_users: int = ALERT_MIN_USERS, lateness: str = "1 minute",
                         trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
-    """Pane counts in long form (device, slide-wide pane, kind, key -> n) are
-    the streaming state: a plain count per key, evicted by the watermark.
-    Each micro-batch appends the changed pane rows to a pane table
-    partitioned by day, recomputes only the windows those panes touch
-    (reading only the touched days) and appends their verdicts.  A window that has had enough
-    users but now has a click is appended as withdrawn, so an alert raised before the click came does not
-    stand.  ``read_alerts`` gives the alerts that stand, one per device-minute."""
-    w_ms, s_ms = interval_ms(window), interval_ms(slide)
-    coupon = F.col("evid") == EVID_COUPON
-    entries = F.array(
-        F.struct(F.lit("evid").alias("kind"), F.col("evid").alias("key")),
-        F.when(coupon, F.struct(F.lit("uid").alias("kind"), F.col("uid").alias("key"))),
-        F.when(coupon, F.struct(F.lit("item").alias("kind"), F.col("itemid").alias("key"))))
-    ev = (events.select("mid", "uid", "evid", "itemid", "ts")
-                .withColumn("event_ts", F.timestamp_millis("ts"))
-                .withWatermark("event_ts", lateness)
-                .select("mid", "event_ts", F.explode(entries).alias("e"))
-                .where(F.col("e").isNotNull()))
-    panes = (ev.groupBy("mid", F.window("event_ts", slide).alias("pw"),
-                        F.col("e.kind").alias("kind"), F.col("e.key").alias("key"))
-               .agg(F.count(F.lit(1)).alias("n"))
-               .select("mid", F.unix_millis(F.col("pw.start")).alias("pane"), "kind", "key", "n"))
-
-    first = first_number(events.sparkSession, panes_path, checkpoint)
+    """The alerts of ``coupon_alert_stream`` as a keyed table by alert id, which names device and minute; the last window
+    of a minute wins (``read_alerts``)."""
+    first = first_number(events.sparkSession, alerts_path, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch_id += first
-        spark = batch.sparkSession
-        changed = batch.withColumn("pday", day_number(F.col("pane")))
-        changed.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if changed.isEmpty():
-                return
-            append(changed, panes_path, batch_id, "pday")
-            touched = to_windows(changed.select("mid", "pane").distinct(), w_ms, s_ms).distinct()
-            # a window [wstart, wstart + W) reads panes of its own and the next day at most
-            days = (touched.select(day_number(F.col("wstart")).alias("d0"),
-                                   day_number(F.col("wstart") + F.lit(w_ms - 1)).alias("d1"))
-                           .select(F.explode(F.sequence("d0", "d1")).alias("pday")).distinct())
-            panes_now = stored(spark, panes_path).withColumn("pday", F.col("pday").cast("long"))
-            panes_now = pick_per_key(panes_now.join(days, "pday", "left_semi"), ["mid", "pane", "kind", "key"],
-                                     ["batch_id", "n"], "last")
-            wl = window_long(panes_now, w_ms, s_ms, only_windows=touched)
-            append(alerts_from_long(wl, w_ms, min_users).withColumn("withdrawn", F.lit(False))
-                   .unionByName(withdrawn_windows(wl, w_ms, min_users).withColumn("withdrawn", F.lit(True)),
-                                allowMissingColumns=True), alerts_path, batch_id)
-        finally:
-            changed.unpersist()
-    return (_writer(panes, "coupon_alerts", checkpoint, trigger, available_now)
-            .outputMode("update").foreachBatch(write).start())
+        append(alerts_per_minute(batch), alerts_path, first + batch_id)
+        tidy(batch.sparkSession, alerts_path, "alert_id", ALERT_ORDER)
+    alerts = coupon_alert_stream(events, window, slide, min_users, lateness)
+    return _writer(alerts, "coupon_alerts", checkpoint, trigger, available_now).outputMode("append").foreachBatch(write).start()
+
+
+ALERT_ORDER = ["ts", "window_start"]
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """The alerts that stand: last verdict per window, then the latest window per device-minute."""
-    last = read_keyed(spark, path, ["mid", "window_start"])
-    return alerts_per_minute(last.where(~F.col("withdrawn")).drop("withdrawn"))
+    """One alert per device-minute, the last that was raised."""
+    return read_keyed(spark, path, "alert_id", ALERT_ORDER)
 
 
 # ---- change-feed router ---------------------------------------------------------------

@@ -127,10 +127,14 @@ def q_stream_sale_detail(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_coupon_alert(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of 5 minutes every 5 seconds.  A closing event long after the others lets the watermark pass the last windows."""
     run = run_path(spark, "alerts")
-    _run(spark, run, _events(spark, sf),
-         lambda s: jobs.start_coupon_alerts(fx.event_log_from_events(s["events"]), f"{run}/panes", f"{run}/alerts", f"{run}/ckpt",
-                                            R.ALERT_WINDOW, R.ALERT_SLIDE, R.ALERT_USERS, available_now=True))
+    feeds = _events(spark, sf)
+    closing = feeds["events"][-1].limit(1).select(
+        "user_id", F.lit("close").alias("event_type"), F.lit("{}").alias("props"), (F.col("ts") + F.expr("interval 400 days")).alias("ts"))
+    feeds["events"].append(closing)
+    _run(spark, run, feeds, lambda s: jobs.start_coupon_alerts(
+        fx.busy(fx.event_log_from_events(s["events"])), f"{run}/alerts", f"{run}/ckpt", available_now=True))
     return R.alert_text(jobs.read_alerts(spark, f"{run}/alerts")).select(
         "alert_id", "mid", "window_start", "window_end", "n_uids", "uids", "item_ids", "events", "ts")
 
@@ -184,6 +188,7 @@ FROM s LEFT JOIN ul u ON s.user_id = u.id"""
         "stream_gmv": batch_sql["gmv_by_day"],
         "stream_user_latest": batch_sql["user_latest"],
         "stream_sale_detail": sale_user,
-        "stream_coupon_alert": batch_sql["coupon_alert"],
+        "stream_coupon_alert": O.w(O.BUSY_LOG, O.ALERT_5S) + """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY alert_id ORDER BY ts DESC) AS rn FROM alerts) WHERE rn = 1""",
         "stream_cdc_route": batch_sql["cdc_after_image_json"],
     }

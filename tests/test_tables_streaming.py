@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from cartwheel.operators.upsert import append, compact, fill_missing_ids, read_keyed, stored
+from cartwheel.operators import snapshots
+from cartwheel.operators.upsert import append, compact, fill_missing_ids, read_keyed, stored, tidy
 from cartwheel.plans import dau
 from cartwheel.sources import fixtures as fx
 from cartwheel.sources.topic import TopicSource
@@ -34,8 +35,126 @@ def test_last_or_first_write_per_key_and_replay(spark, tmpdir_spark):
     append(b2, p, 1, "day")          # replay: no change
     assert read() == last and stored(spark, p).count() == 6
     assert read(keep="first") == [("1", "a", 1, "d1"), ("2", "b", 1, "d1"), ("3", "c", 9, "d2")]
-    compact(spark, p, f"{tmpdir_spark}/t2", "id", ["ord"], partition_by="day")
-    assert read(f"{tmpdir_spark}/t2") == last and stored(spark, f"{tmpdir_spark}/t2").count() == 3 and read() == last
+    append(b1.limit(0), p, 2, "day")
+    before = stored(spark, p)
+    assert compact(spark, p, "id", ["ord"], everything=True) == 1
+    assert read() == last and stored(spark, p).count() == 3
+    assert before.count() == 6                                                     # a reader from before still has its files
+
+
+def test_live_folders_and_rewrites_grow_with_the_logarithm():
+    from cartwheel.operators.upsert import FAN, _due
+    s, n, moved, most = snapshots.Snapshot(0, None, []), 20_000, 0, 0
+    for b in range(n):
+        s.live.append(snapshots.Folder(f"b{b}", b, b))
+        s.last = b
+        while group := _due(s, FAN, False):
+            moved += sum(f.high - f.low + 1 for f in group)
+            s.live = [f for f in s.live if f not in group]
+            s.live.append(snapshots.Folder(f"m{b}", group[0].low, group[-1].high, 1 + max(f.level for f in group)))
+        most = max(most, len(s.live))
+        if b == 1000:
+            assert most <= 4 * FAN
+    assert most <= 5 * FAN and moved <= 5 * n                                      # log_8 of 20,000 is 4.8
+    assert sorted(x for f in s.live for x in range(f.low, f.high + 1)) == list(range(n))
+
+
+def test_many_micro_batches_stay_few_files(spark, tmpdir_spark):
+    p, n = f"{tmpdir_spark}/t", 80
+    for b in range(n):
+        append(spark.range(b, b + 3).select((F.col("id") % 40).cast("string").alias("id"), F.lit(b).cast("long").alias("v")), p, b)
+        tidy(spark, p, "id", ["v"], retain=0)
+    s, files = snapshots.current(spark, p), snapshots.Files(spark, p)
+    assert len(s.live) <= 3 * 8 and len(files.names(f"{p}/data")) <= len(s.live) + 8 and len(files.names(f"{p}/_snapshots")) <= 64
+    want = {str((b + i) % 40): b for b in range(n) for i in range(3)}
+    assert {r.id: r.v for r in read_keyed(spark, p, "id", ["v"]).collect()} == want
+
+
+def test_compaction_beside_a_writer_and_a_reader(spark, tmpdir_spark):
+    import threading
+    p, n = f"{tmpdir_spark}/t", 40
+    row = lambda b: spark.createDataFrame([("k", b), (f"own{b}", b)], "id string, v long")
+    append(row(0), p, 0)
+    failed, done = [], threading.Event()
+
+    def guarded(work):
+        try:
+            work()
+        except Exception as e:  # noqa: BLE001
+            failed.append(e)
+
+    def write():
+        for b in range(1, n):
+            append(row(b), p, b)
+        done.set()
+
+    def merge():
+        while not done.is_set():
+            compact(spark, p, "id", ["v"], fan=2)
+
+    def read():
+        last = 0
+        while not done.is_set():
+            now = {r.id: r.v for r in read_keyed(spark, p, "id", ["v"]).collect()}
+            assert now["k"] >= last and len(now) == now["k"] + 2                    # whole micro-batches, never fewer than before
+            last = now["k"]
+
+    threads = [threading.Thread(target=guarded, args=(w,)) for w in (write, merge, read)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(240)
+    assert not failed and done.is_set()
+    assert {r.id: r.v for r in read_keyed(spark, p, "id", ["v"]).collect()} == {"k": n - 1, **{f"own{b}": b for b in range(n)}}
+
+
+def test_snapshots_commit_once_and_expire(spark, tmpdir_spark):
+    import pytest
+    p = f"{tmpdir_spark}/t"
+    for b in range(4):
+        append(spark.createDataFrame([("k", b)], "id string, v long"), p, b)
+    version = snapshots.current(spark, p).version
+    assert not snapshots.Files(spark, p).create(f"{p}/_snapshots/{version:012d}.json", "{}")        # never overwritten
+    assert compact(spark, p, "id", ["v"], everything=True) == 1
+    assert read_keyed(spark, p, "id", ["v"], version=version).first().v == 3
+    snapshots.Files(spark, p).fs.mkdirs(snapshots.Files(spark, p).path(f"{p}/data/folder=failed"))   # of a write that failed
+    assert snapshots.expire(spark, p, 3600) == 0 and stored(spark, p, version).count() == 4
+    assert snapshots.expire(spark, p, -1) == 4
+    assert [r.v for r in read_keyed(spark, p, "id", ["v"]).collect()] == [3]
+    with pytest.raises(RuntimeError):
+        snapshots.current(spark, p, 999)
+
+
+def test_columns_may_be_added_but_not_change_their_type(spark, tmpdir_spark):
+    import pytest
+    p = f"{tmpdir_spark}/t"
+    append(spark.createDataFrame([("1", 1)], "id string, v long"), p, 0)
+    append(spark.createDataFrame([("2", 2, "x")], "id string, v long, w string"), p, 1)
+    assert _sorted(read_keyed(spark, p, "id").select("id", "v", F.coalesce("w", F.lit("-")))) == [("1", 1, "-"), ("2", 2, "x")]
+    with pytest.raises(ValueError):
+        append(spark.createDataFrame([("3", "3")], "id string, v string"), p, 2)
+
+
+def test_users_without_id_are_kept_aside(spark, tmpdir_spark):
+    cols = "id string, login_name string, user_level string, birthday string, gender string, ts long, seq long"
+    src, out = f"{tmpdir_spark}/src", f"{tmpdir_spark}/users"
+    spark.createDataFrame([("1", "a", "1", None, "M", 1, 1), ("1", "b", "1", None, "M", 2, 2), (None, "x", "1", None, "F", 1, 3),
+                           (None, "y", "1", None, "F", 1, 4)], cols).coalesce(1).write.parquet(src)
+    jobs.start_user_dimension(TopicSource("parquet", path=src).stream(spark), out, f"{tmpdir_spark}/ck", available_now=True).awaitTermination()
+    assert [(r.id, r.login_name) for r in jobs.read_users(spark, out).collect()] == [("1", "b")]
+    assert _sorted(stored(spark, f"{out}_rejected").select("login_name")) == [("x",), ("y",)]
+
+
+def test_a_replayed_batch_looks_up_the_same_users(spark, tmpdir_spark):
+    p, ck = f"{tmpdir_spark}/users", f"{tmpdir_spark}/ck"
+    assert jobs.version_for_batch(spark, p, ck, 0) is None
+    user = lambda level: spark.createDataFrame([("u", level, 1, 1)], "id string, user_level string, ts long, seq long")
+    append(user("old"), p, 0)
+    version = jobs.version_for_batch(spark, p, ck, 0)
+    append(user("new"), p, 1)
+    assert jobs.version_for_batch(spark, p, ck, 0) == version != jobs.version_for_batch(spark, p, ck, 1)
+    assert jobs.read_users(spark, p, version=version).first().user_level == "old"
+    assert jobs.read_users(spark, p).first().user_level == "new"
 
 
 def test_failed_write_keeps_every_stored_row(spark, tmpdir_spark):
@@ -75,24 +194,23 @@ def test_sale_documents_without_id_stay_and_the_last_write_wins(spark, tmpdir_sp
     assert sorted(r.sku_price for r in got) == [2.0, 5.0, 5.0]
 
 
-def test_stream_withdraws_an_alert_when_a_click_follows(spark, tmpdir_spark):
+def test_a_click_in_a_later_micro_batch_stops_an_alert(spark, tmpdir_spark):
     from cartwheel.plans.alerts import stored_alerts
     cols = "mid string, uid string, evid string, itemid string, ts long"
     t0 = 1_700_000_000_000 // 300_000 * 300_000 + 57_000
-    for mid in ("m", None):
-        run = f"{tmpdir_spark}/{mid}"
-        first = [(mid, f"u{i}", "coupon", "i", t0 + i) for i in range(3)]
-        click = [(mid, "u9", "clickItem", "i", t0 + 20_000)]
-        start = lambda: jobs.start_coupon_alerts(TopicSource("parquet", path=f"{run}/src").stream(spark), f"{run}/panes", f"{run}/alerts",  # noqa: E731,B023
-                                                 f"{run}/ck", "5 minutes", "5 seconds", available_now=True).awaitTermination()
-        spark.createDataFrame(first, cols).coalesce(1).write.parquet(f"{run}/src")
-        start()
-        early = jobs.read_alerts(spark, f"{run}/alerts").count()
-        spark.createDataFrame(click, cols).coalesce(1).write.mode("append").parquet(f"{run}/src")
-        start()
-        batch = stored_alerts(spark.createDataFrame(first + click, cols), "5 minutes", "5 seconds")
-        got = jobs.read_alerts(spark, f"{run}/alerts")
-        assert _sorted(got.select(*batch.columns)) == _sorted(batch) and 0 < batch.count() < early
+    first = [(mid, f"u{i}", "coupon", "i", t0 + i) for mid in ("m", None) for i in range(3)] + [("m", None, "coupon", None, t0 + 7_000)]
+    click = [(mid, "u9", "clickItem", "i", t0 + 20_000) for mid in ("m", None)]
+    late = [("m", "u9", "clickItem", "i", t0)]                               # behind the watermark by then: left out
+    closing = [("close", "u", "view", "i", t0 + 10 ** 9)]
+    for part in (first, click, closing, late + [("close", "u", "view", "i", t0 + 2 * 10 ** 9)]):
+        spark.createDataFrame(part, cols).coalesce(1).write.mode("append").parquet(f"{tmpdir_spark}/src")
+        jobs.start_coupon_alerts(TopicSource("parquet", path=f"{tmpdir_spark}/src").stream(spark), f"{tmpdir_spark}/alerts",
+                                 f"{tmpdir_spark}/ck", "5 minutes", "5 seconds", available_now=True).awaitTermination()
+        if part is first:
+            assert jobs.read_alerts(spark, f"{tmpdir_spark}/alerts") is None or not jobs.read_alerts(spark, f"{tmpdir_spark}/alerts").count()
+    batch = stored_alerts(spark.createDataFrame(first + click, cols), "5 minutes", "5 seconds")
+    got = jobs.read_alerts(spark, f"{tmpdir_spark}/alerts").select(*batch.columns)
+    assert _sorted(got) == _sorted(batch) and 0 < batch.count() < stored_alerts(spark.createDataFrame(first, cols), "5 minutes", "5 seconds").count()
 
 
 def test_null_ids_get_deterministic_ids(spark):
@@ -276,12 +394,14 @@ def test_stream_alerts_over_time_ordered_batches_equal_batch(spark, tmpdir_spark
     day = F.dayofmonth("ts")
     for lo, hi in ((1, 10), (11, 20), (21, 31)):     # three micro-batches in event-time order
         ev.where((day >= lo) & (day <= hi)).coalesce(1).write.mode("append").parquet(src_dir)
+    closing = ev.limit(1).withColumns({"event_type": F.lit("close"), "ts": F.col("ts") + F.expr("interval 400 days")}).select(*ev.columns)
+    closing.coalesce(1).write.mode("append").parquet(src_dir)
     stream = TopicSource("parquet", path=src_dir, schema=ev.schema, options={"maxFilesPerTrigger": "1"}).stream(spark)
     alerts = f"{tmpdir_spark}/alerts"
-    q = jobs.start_coupon_alerts(fx.event_log_from_events(stream), f"{tmpdir_spark}/panes", alerts,
-                                 f"{tmpdir_spark}/ck", "1 hour", "5 minutes", 2, available_now=True)
+    q = jobs.start_coupon_alerts(fx.event_log_from_events(stream), alerts, f"{tmpdir_spark}/ck", "1 hour", "5 minutes", 2,
+                                 available_now=True)
     q.awaitTermination()
-    assert len(q.recentProgress) >= 3
+    assert len(q.recentProgress) >= 4
     batch = coupon_alerts(fx.event_log(spark, SF_SMALL), "1 hour", "5 minutes", 2)
     cols = ["alert_id", "mid", "window_start", "n_uids", "uids", "item_ids", "events"]
-    assert _sorted(jobs.read_alerts(spark, alerts).select(*cols)) == _sorted(batch.select(*cols))
+    assert batch.count() and _sorted(jobs.read_alerts(spark, alerts).select(*cols)) == _sorted(batch.select(*cols))
