@@ -26,7 +26,7 @@ from .suffix import Hashed, mixed
 
 BUCKETS = 1 << 16
 SMOOTH = 1.0
-BROADCAST_ROWS = 2_000_000        # labels are broadcast up to here (16 bytes each), else joined by shuffle
+BROADCAST_ROWS = 200_000           # labels are broadcast up to here (some 180 bytes each in a hash table, 35 MB), else joined by shuffle
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -75,7 +75,7 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marks = (labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("quality") > 0).cast("int")).alias("good")))
     marks = marks.filter("good = 1")
-    if marks.count() <= BROADCAST_ROWS:          # 16 bytes a row: 32 MB at most
+    if marks.count() <= BROADCAST_ROWS:
         marks = F.broadcast(marks)
     good, raw = bucket_counts(docs.join(marks, "doc_id", "left").select("text", F.coalesce("good", F.lit(0)).alias("good")))
     model = (np.log((good + SMOOTH) / (good + SMOOTH).sum()) - np.log((raw + SMOOTH) / (raw + SMOOTH).sum())

@@ -1,19 +1,20 @@
 """Toxicity from two class-conditional Kneser-Ney models over the bytes of words.
 
 A word is scored byte by byte (with marks for its start and end) under a model of toxic and one of ordinary text:
-absolutely discounted counts of n-grams of up to ``TOP`` bytes.  The discounted mass of either class goes by the same back-off
-model, whose continuation counts (after how many different bytes an n-gram was seen) pool both classes.  A byte's context is
-as long as both classes together have seen it ``rare`` times.  From 1 on, where only discount and back-off smooth, the data
-choose: at high ``rare`` a rare expression is judged by its more frequent parts alone.  A text's evidence is log P(text | toxic) - log P(text | ordinary), per word.
+absolutely discounted counts of n-grams of up to ``TOP`` bytes.  Either class gives its discounted mass, and that of ``STRENGTH`` further
+counts, to the same back-off model, whose continuation counts (after how many different bytes an n-gram was seen) pool both
+classes.  So a rare expression is smoothed by what both classes share, and no context is cut off.
 
-``rare`` is the candidate of ``RARE`` with the least loss on a training fold that the counts do not see yet; there a logistic
-curve from evidence to score is fitted as well, on a bounded sample of ``calibrate_rows`` rows per class.  The counts that
+A word speaks for toxicity by what its log P(word | toxic) - log P(word | ordinary) has above ``MARGIN``; a text's evidence is the sum of
+that over its words, divided by the square root of their number (the spread of a sum of as many chance ratios).
+
+A logistic curve from evidence to score is fitted on one training fold under the counts of the others, on a bounded sample of
+``calibrate_rows`` rows per class; its slope is never below ``LEAST_SLOPE``, so more evidence never gives a lower score.  The counts that
 texts are scored with are then gathered over all labelled training rows, that fold included.
 
-Counts of all n-grams stay exact in a Spark table that grows with the corpus.  A text's evidence is the sum over its bytes of
-what the n-gram ending there says, so the distinct n-grams of the scored texts are joined to that table.  Of the results, the
-most frequent ``CACHE`` go to where texts are scored; the rest is joined to the texts that have them.  The cut-off
-between the two changes no result.
+Counts of all n-grams stay exact in a Spark table that grows with the corpus; the distinct n-grams of the scored texts are joined
+to it.  Of the results, the most frequent ``CACHE`` go to where texts are scored; words with other n-grams are completed by a
+join.  The cut-off between the two changes no result.
 
 Words are maximal runs of letters of the whole lower-cased text.  Null, empty and wordless texts have evidence 0.  Without
 toxic or without ordinary training rows every text gets that one class's score.  Labels that share a doc_id count
@@ -34,10 +35,11 @@ from pyspark.sql import functions as F
 from .common import held_out, id_text, slices, written
 
 TOP = 6
-CACHE = 1 << 20                    # numbers that go to the tasks: 8 bytes each, and 8 for their n-gram
-RARE = (1, 2, 5, 20, 80, 320, 1280, 5120, 20480)
+CACHE = 1 << 21                    # n-grams that go to the tasks: 16 bytes each
+STRENGTH, MARGIN = 20.0, 2.0
+LEAST_SLOPE = 1e-3
 DISCOUNT = 0.75
-BROADCAST_ROWS = 2_000_000         # labels are broadcast up to here (16 bytes each), else joined by shuffle
+BROADCAST_ROWS = 200_000           # labels are broadcast up to here (some 180 bytes each in a hash table, 35 MB), else joined by shuffle
 SETTLE = 1 << 19                   # different words a task counts before it sends n-grams on
 START, END = 1, 2
 VALUES = ("n0", "n1", "n2", "k0", "k1", "k2")
@@ -118,26 +120,24 @@ def counts(grams: DataFrame) -> DataFrame:
     return written(sums.groupBy("key").agg(*[F.sum(c).alias(c) for c in VALUES]), "counts")
 
 
-def ratios(found: np.ndarray, rares) -> np.ndarray:
-    """(12 slots, VALUES, n-grams) -> log P(byte | toxic) - log P(byte | ordinary), a row for each threshold.  Slots: the
-    n-gram's endings of order 1 to TOP, then their contexts."""
+def ratios(found: np.ndarray) -> np.ndarray:
+    """(12 slots, VALUES, n-grams) -> log P(byte | toxic) - log P(byte | ordinary).  Slots: the n-gram's endings of order 1 to TOP,
+    then their contexts."""
     lower = np.full(found.shape[2], 1 / 256)
-    out = np.zeros((len(rares), found.shape[2]))
-    live = [np.ones(found.shape[2], bool) for _ in rares]
+    out = np.zeros(found.shape[2])
     for o in range(1, TOP + 1):
         own, context = found[o - 1], found[TOP + o - 1]
-        p = [np.where(context[c] > 0, (np.maximum(own[c] - DISCOUNT, 0) + DISCOUNT * context[3 + c] * lower) / np.maximum(context[c], 1), lower)
-             for c in range(3)]
-        now = np.log(p[1]) - np.log(p[0])
-        for i, rare in enumerate(rares):
-            live[i] &= context[0] + context[1] >= rare
-            out[i][live[i]] = now[live[i]]
+        extra = (STRENGTH, STRENGTH, 0.0)
+        p = [np.where(context[c] + extra[c] > 0, (np.maximum(own[c] - DISCOUNT, 0) + (DISCOUNT * context[3 + c] + extra[c]) * lower)
+                      / np.maximum(context[c] + extra[c], 1), lower) for c in range(3)]
+        seen = context[0] + context[1] > 0
+        out[seen] = (np.log(p[1]) - np.log(p[0]))[seen]
         lower = p[2]
     return out
 
 
-def looked_up(grams: DataFrame, table: DataFrame, rares) -> DataFrame:
-    """(gram, n) -> (gram, n, r): what the byte that ends each n-gram says, by threshold."""
+def looked_up(grams: DataFrame, table: DataFrame) -> DataFrame:
+    """(gram, n) -> (gram, n, r): what the byte that ends each n-gram says."""
     def slots(low):
         return F.explode(F.array(*[F.struct(F.lit(kind * TOP + o - 1).alias("slot"), keyed(kind, F.lit(o), F.shiftright(ending(o), 8 * kind)).alias("key"))
                                    for kind in (0, 1) for o in range(1, TOP + 1) if short(kind, o) == low])).alias("g")
@@ -159,28 +159,25 @@ def looked_up(grams: DataFrame, table: DataFrame, rares) -> DataFrame:
             dense = np.zeros((2 * TOP, len(VALUES), batch.num_rows))
             for i, v in enumerate(values):
                 dense[slot, i, at] = v
-            r = np.ascontiguousarray(ratios(dense, rares).T)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, r.size + 1, len(rares)), pa.int32()), pa.array(r.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["gram", "n", "r"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ratios(dense))], names=["gram", "n", "r"])
 
-    return written(rows.mapInArrow(task, "gram long, n long, r array<double>"), "ratios")
+    return written(rows.mapInArrow(task, "gram long, n long, r double"), "ratios")
 
 
-def evidence(docs: DataFrame, said: DataFrame, k: int, cache: int | None = None) -> DataFrame:
-    """(id, text), (gram, n, r of k numbers) -> (id, e): log likelihood ratio per word of each text, k numbers."""
+def evidence(docs: DataFrame, said: DataFrame, cache: int | None = None, margin: float = MARGIN) -> DataFrame:
+    """(id, text), (gram, n, r) -> (id, e)."""
     bits = F.floor(F.log2("n")).alias("bits")
     sizes = sorted(((r.bits, r.n) for r in said.groupBy(bits).agg(F.count("*").alias("n")).collect()), reverse=True)     # 63 rows at most
-    least, room = 64, (CACHE if cache is None else cache) // k
+    least, room = 64, CACHE if cache is None else cache
     for b, n in sizes:
         if n > room:
             break
         least, room = b, room - n
     whole = not sizes or least == sizes[-1][0]
-    held = said.filter(bits >= least).select("gram", "r").toArrow()          # CACHE numbers at most
+    held = said.filter(bits >= least).select("gram", "r").toArrow()          # CACHE rows at most
     gram = held.column("gram").to_numpy()
     order = np.argsort(gram)
-    r = held.column("r").combine_chunks().flatten().to_numpy().reshape(-1, k)
-    shared = docs.sparkSession.sparkContext.broadcast((gram[order], r[order]))
+    shared = docs.sparkSession.sparkContext.broadcast((gram[order], held.column("r").to_numpy()[order]))
 
     def task(batches):
         known, values = shared.value
@@ -188,100 +185,108 @@ def evidence(docs: DataFrame, said: DataFrame, k: int, cache: int | None = None)
         for batch in slices(batches, 1 << 21):
             texts = [_find(t.lower()) for t in batch.column(1).to_pylist()]
             number = {w: i for i, w in enumerate(set().union(*texts))}
-            sums, missing = np.zeros((len(number), k)), {}
+            sums, missing = np.zeros(len(number)), {}
             if number:
                 code, sizes = spelled(list(number))
                 first = np.cumsum(sizes) - sizes
                 at = np.minimum(np.searchsorted(known, code), max(0, len(known) - 1))
                 hit = known[at] == code if len(known) else np.zeros(len(code), bool)
-                each = np.zeros((len(code), k))
+                each = np.zeros(len(code))
                 each[hit] = values[at[hit]]
-                sums = np.add.reduceat(each, first, axis=0)
+                sums = np.add.reduceat(each, first)
                 if not whole:
                     for i in np.flatnonzero(np.add.reduceat(~hit, first)).tolist():
                         mine = slice(first[i], first[i] + sizes[i])
                         missing[i] = code[mine][~hit[mine]].tolist()
+            excess = np.maximum(sums - margin, 0)
+            excess[list(missing)] = 0
             e, rest = [], []
             for words in texts:
                 mine = [number[w] for w in words]
-                e.append((sums[mine].sum(axis=0) / max(1, len(mine))).tolist())
-                left = Counter(g for i in mine if i in missing for g in missing[i]) if missing else {}
-                rest.append([{"gram": g, "share": n / len(mine)} for g, n in left.items()])
+                e.append(float(excess[mine].sum()))
+                left = Counter(i for i in mine if i in missing) if missing else {}
+                rest.append([{"part": float(sums[i]), "times": n, "grams": missing[i]} for i, n in left.items()])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + len(e))), batch.column(0), pa.array(e, pa.list_(pa.float64())),
-                 pa.array(rest, pa.list_(pa.struct([("gram", pa.int64()), ("share", pa.float64())])))], names=["row", "id", "e", "rest"])
+                [pa.array(np.arange(row, row + len(e))), batch.column(0), pa.array(e, pa.float64()), pa.array([len(w) for w in texts], pa.int64()),
+                 pa.array(rest, pa.list_(pa.struct([("part", pa.float64()), ("times", pa.int64()), ("grams", pa.list_(pa.int64()))])))],
+                names=["row", "id", "e", "words", "rest"])
             row += len(e)
 
-    rows = docs.select("id", "text").mapInArrow(task, "row long, id long, e array<double>, rest array<struct<gram: long, share: double>>")
+    rows = docs.select("id", "text").mapInArrow(
+        task, "row long, id long, e double, words long, rest array<struct<part: double, times: long, grams: array<long>>>")
+    spread = F.sqrt(F.greatest("words", F.lit(1)))
     if whole:
-        return rows.select("id", "e")
+        return rows.select("id", (F.col("e") / spread).alias("e"))
     rows = written(rows, "evidence")
-    more = (rows.select("row", F.explode("rest").alias("g")).select("row", "g.*").join(said.filter(bits < least).hint("shuffle_merge"), "gram")
-            .groupBy("row").agg(*[F.sum(F.col("share") * F.get("r", F.lit(i))).alias(f"m{i}") for i in range(k)]))
-    both = F.array(*[F.get("e", F.lit(i)) + F.coalesce(f"m{i}", F.lit(0.0)) for i in range(k)])
-    return rows.join(more.hint("shuffle_merge"), "row", "left").select("id", both.alias("e"))
+    open_ = rows.select("row", F.posexplode("rest").alias("at", "w")).select("row", "at", "w.part", "w.times", F.explode("w.grams").alias("gram"))
+    each = (open_.join(said.filter(bits < least).hint("shuffle_merge"), "gram", "left").groupBy("row", "at", "part", "times")
+            .agg(F.sum(F.coalesce("r", F.lit(0.0))).alias("r")))
+    more = each.groupBy("row").agg(F.sum(F.col("times") * F.greatest(F.col("part") + F.col("r") - margin, F.lit(0.0))).alias("more"))
+    return (rows.select("row", "id", "e", "words").join(more.hint("shuffle_merge"), "row", "left")
+            .select("id", ((F.col("e") + F.coalesce("more", F.lit(0.0))) / spread).alias("e")))
 
 
 class Model:
-    """The exact counts (or None), the threshold and the slope and offset of the logistic curve."""
+    """The exact counts (or None) and the slope and offset of the logistic curve."""
 
-    def __init__(self, table: DataFrame | None, rare: int, curve: tuple[float, float]):
-        self.table, self.rare, self.curve = table, rare, curve
+    def __init__(self, table: DataFrame | None, curve: tuple[float, float]):
+        self.table, self.curve = table, curve
 
 
 def logistic(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def curve(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
-    """Slope, offset and mean loss of a logistic curve (Newton steps, small ridge); ``weight`` undoes even sampling."""
+def curve(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope (``LEAST_SLOPE`` or more) and offset of a logistic curve (Newton steps, small ridge); ``weight`` undoes even sampling."""
     spread = evidence.std() or 1.0
-    x = np.stack([evidence / spread, np.ones(len(evidence))], axis=1)
-    w = np.zeros(2)
-    for _ in range(60):
-        p = logistic(x @ w)
-        g = x.T @ (weight * (p - toxic)) + 1e-2 * w
-        h = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2)
-        w = w - np.linalg.solve(h, g)
-    p = logistic(x @ w)
-    loss = -np.sum(weight * np.where(toxic > 0, np.log(p), np.log(1 - p))) / weight.sum()
-    return float(w[0] / spread), float(w[1]), float(loss)
+
+    def newton(x, w, shift):
+        for _ in range(60):
+            p = logistic(x @ w + shift)
+            g = x.T @ (weight * (p - toxic)) + 1e-2 * w
+            h = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(len(w))
+            w = w - np.linalg.solve(h, g)
+        return w
+
+    one = np.ones((len(evidence), 1))
+    slope, offset = newton(np.column_stack([evidence / spread, one]), np.zeros(2), 0.0)
+    if slope < LEAST_SLOPE:
+        slope = LEAST_SLOPE
+        (offset,) = newton(one, np.zeros(1), slope * evidence / spread)
+    return float(slope / spread), float(offset)
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, toxic, fold) of the labelled documents outside the held-out fold."""
     marks = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")))
-    if marks.count() <= BROADCAST_ROWS:      # 16 bytes a row: 32 MB at most
+    if marks.count() <= BROADCAST_ROWS:
         marks = F.broadcast(marks)
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     return id_text(docs).join(marks, "doc_id").select("doc_id", "text", "toxic", fold.alias("fold"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, calibrate_rows: int = 4000) -> Model:
-    """The curve and ``rare`` from fold 1 under the counts of folds 2 to 4; then the counts of all four."""
+    """The curve from fold 1 under the counts of folds 2 to 4; then the counts of all four."""
     rows = labelled(docs, labels)
     one = rows.filter("fold = 1")
     sizes = {r.toxic: r.n for r in one.groupBy("toxic").agg(F.count("*").alias("n")).collect()}    # two rows
     if len(sizes) < 2:
-        return Model(None, RARE[0], (0.0, 30.0 if 1 in sizes else -30.0))
+        return Model(None, (0.0, 30.0 if 1 in sizes else -30.0))
     part = F.col("toxic") + F.when(F.col("fold") == 1, 2).otherwise(0)
     grams = written(counted(rows.withColumn("part", part)).withColumn("toxic", F.col("part") % 2), "grams")
-    table = counts(grams.filter("part < 2"))
     parts = []
     for toxic in sorted(sizes):
         mine = one.filter(F.col("toxic") == toxic)
         ids = mine.select("doc_id").orderBy(F.xxhash64(F.lit("fit"), "doc_id"), "doc_id").limit(calibrate_rows)
         parts.append(mine.join(F.broadcast(ids.distinct()), "doc_id").select(F.col("toxic").cast("long").alias("id"), "text").limit(calibrate_rows))
     sample = written(parts[0].unionByName(parts[1]), "sample")
-    said = looked_up(distinct_grams(sample), table, RARE)
-    out = evidence(sample, said, len(RARE)).toArrow()          # calibrate_rows rows of each class at most
-    toxic = out.column("id").to_numpy().astype(float)
-    seen = out.column("e").combine_chunks().flatten().to_numpy().reshape(-1, len(RARE))
+    said = looked_up(distinct_grams(sample), counts(grams.filter("part < 2")))
+    out = evidence(sample, said).toArrow()          # calibrate_rows rows of each class at most
+    toxic, seen = out.column("id").to_numpy().astype(float), out.column("e").to_numpy()
     weight = np.where(toxic > 0, sizes[1] / max(1, (toxic > 0).sum()), sizes[0] / max(1, (toxic == 0).sum()))
-    curves = [curve(seen[:, i], toxic, weight) for i in range(len(RARE))]
-    best = min(range(len(RARE)), key=lambda i: curves[i][2])
-    return Model(counts(grams), RARE[best], curves[best][:2])
+    return Model(counts(grams), curve(seen, toxic, weight))
 
 
 def distinct_grams(docs: DataFrame) -> DataFrame:
@@ -294,8 +299,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     docs = id_text(docs, id_col, text_col).withColumnRenamed("doc_id", "id")
     if model.table is None:
         return docs.select(F.col("id").alias("doc_id"), F.lit(float(logistic(model.curve[1]))).alias("score"))
-    out = evidence(docs, looked_up(distinct_grams(docs), model.table, (model.rare,)), 1, cache)
-    x = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.lit(model.curve[0]) * F.get("e", F.lit(0)) + F.lit(model.curve[1])))
+    out = evidence(docs, looked_up(distinct_grams(docs), model.table), cache)
+    x = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.lit(model.curve[0]) * F.col("e") + F.lit(model.curve[1])))
     return out.select(F.col("id").alias("doc_id"), (1 / (1 + F.exp(-x))).alias("score"))
 
 

@@ -21,7 +21,7 @@ def bytes_of(word):
 
 
 def brute_ratio(texts):
-    """{toxic: texts} -> f(word, rare): the sum over the word's bytes, from dictionaries of exact n-grams."""
+    """{toxic: texts} -> f(word): the sum over the word's bytes, from dictionaries of exact n-grams."""
     n = [Counter(), Counter(), Counter()]
     for toxic, mine in texts.items():
         for w in re.findall(r"[^\W\d_]+", " ".join(mine).lower()):
@@ -34,16 +34,18 @@ def brute_ratio(texts):
             total[c][len(g), g[:-1]] += x
             types[c][len(g), g[:-1]] += 1
 
-    def ratio(word, rare):
+    def ratio(word):
         b, out = bytes_of(word), 0.0
         for i in range(TOP - 1, len(b)):
             lower, now = 1 / 256, 0.0
             for o in range(1, TOP + 1):
                 g = b[i + 1 - o:i + 1]
                 at = (o, g[:-1])
-                if total[0][at] + total[1][at] < rare:
+                if not total[0][at] + total[1][at]:
                     break
-                p = [(max(n[c][g] - D, 0) + D * types[c][at] * lower) / total[c][at] if total[c][at] else lower for c in range(3)]
+                more = (toxicity.STRENGTH, toxicity.STRENGTH, 0)
+                p = [(max(n[c][g] - D, 0) + (D * types[c][at] + more[c]) * lower) / (total[c][at] + more[c]) if total[c][at] + more[c] else lower
+                     for c in range(3)]
                 now, lower = math.log(p[1] / p[0]), p[2]
             out += now
         return out
@@ -64,14 +66,14 @@ def test_evidence_comes_from_exact_counts_in_the_cache_and_beyond(spark, cache):
     table = toxicity.counts(toxicity.counted(rows).withColumnRenamed("part", "toxic"))
     asked = [*corpus(1, 30), *corpus(3, 20), "", "12 !", "zzzz ßé"]
     docs = spark.createDataFrame(list(enumerate(asked)), "id long, text string").repartition(3)
-    rares = (2, 20, 80)
-    said = toxicity.looked_up(toxicity.distinct_grams(docs), table, rares)
-    got = {r.id: r.e for r in toxicity.evidence(docs, said, len(rares), cache).collect()}
+    said = toxicity.looked_up(toxicity.distinct_grams(docs), table)
     ratio = brute_ratio(texts)
-    for i, text in enumerate(asked):
-        words = re.findall(r"[^\W\d_]+", text.lower())
-        for e, rare in zip(got[i], rares):
-            assert e == pytest.approx(sum(ratio(w, rare) for w in words) / max(1, len(words)), abs=1e-9)
+    for margin in (-50.0, 0.3):
+        got = {r.id: r.e for r in toxicity.evidence(docs, said, cache, margin).collect()}
+        for i, text in enumerate(asked):
+            words = re.findall(r"[^\W\d_]+", text.lower())
+            assert got[i] == pytest.approx(sum(max(0, ratio(w) - margin) for w in words) / math.sqrt(max(1, len(words))), abs=1e-9)
+        assert any(got.values())
 
 
 def test_no_ngrams_share_a_count(spark):
@@ -96,10 +98,32 @@ def test_fold_1_counts_in_the_final_model(spark):
     assert got == {key[f]: tuple(sum(folds[i] == f and i % 2 == c for i in folds) for c in (0, 1)) for f in range(1, 5)}
 
 
-def test_a_word_seen_16_times_can_be_judged_as_a_whole():
-    """Some threshold on offer cuts no context off a word that only toxic texts have, 16 times."""
+def test_a_word_seen_16_times_speaks_for_toxicity():
+    """No context is cut off a word that only toxic texts have, 16 times."""
     rng = random.Random(12)
     words = ["".join(rng.choice("abcdeghiklmnorstuw") for _ in range(6)) for _ in range(400)]
     ordinary = lambda: " ".join(rng.choice(words) for _ in range(40))
     ratio = brute_ratio({0: [ordinary() for _ in range(150)], 1: [ordinary() + (" clown" if i < 16 else "") for i in range(100)]})
-    assert ratio("clown", min(toxicity.RARE)) == ratio("clown", 1) > 4
+    assert ratio("clown") > toxicity.MARGIN
+
+
+def test_the_curve_never_falls():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    e = rng.normal(size=90)
+    for toxic in ((e < -1).astype(float), (e > 1).astype(float), rng.integers(0, 2, 90).astype(float)):
+        slope, offset = toxicity.curve(e, toxic, np.ones(90))
+        assert slope > 0
+        assert toxicity.logistic(slope * e + offset).mean() == pytest.approx(toxic.mean(), abs=0.02)
+
+
+@pytest.mark.parametrize("sf,least", [("sf0.01", 0.9), ("sf0.1", 0.93)])
+def test_held_out_scores_rank_toxic_texts_first(spark, sf, least):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.predict_toxicity(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").filter("held_out AND toxic IS NOT NULL").collect()
+    bad, good = ([r.score for r in rows if r.toxic == t] for t in (1, 0))
+    auc = sum((b > g) + (b == g) / 2 for b in bad for g in good) / len(bad) / len(good)
+    hits, alarms = sum(r.predicted and r.toxic for r in rows), sum(r.predicted and not r.toxic for r in rows)
+    print(sf, "auc", auc, "found", hits, "of", len(bad), "false alarms", alarms, "of", len(good))
+    assert auc > least and alarms <= max(2, 0.01 * len(good))
+    assert hits >= (0.55 * len(bad) if sf == "sf0.1" else 1)
