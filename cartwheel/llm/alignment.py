@@ -140,8 +140,13 @@ class Groups:
 
     def __init__(self, a, a_end, b, b_end):
         self.a, self.b = a, b
-        self.common = np.intersect1d(a_end, b_end)
-        self.ga, self.gb = np.searchsorted(self.common, a_end), np.searchsorted(self.common, b_end)     # group of each token
+        base = min(a_end[:1].tolist() + b_end[:1].tolist(), default=0)
+        size = max(a_end[-1:].tolist() + b_end[-1:].tolist(), default=-1) + 1 - base
+        in_a, in_b = np.zeros(size, bool), np.zeros(size, bool)
+        in_a[a_end - base], in_b[b_end - base] = True, True
+        both_a, both_b = in_b[a_end - base], in_a[b_end - base]
+        self.common = a_end[both_a]
+        self.ga, self.gb = np.cumsum(both_a) - both_a, np.cumsum(both_b) - both_b     # group of each token: common ends before its own
         n = len(self.common)
         self.na, self.nb = np.bincount(self.ga, minlength=n + 1)[:n], np.bincount(self.gb, minlength=n + 1)[:n]
         self.fa, self.fb = np.cumsum(self.na) - self.na, np.cumsum(self.nb) - self.nb
@@ -175,6 +180,23 @@ class Groups:
         return list(map(names.__getitem__, index.tolist()))
 
 
+def distinct_links(owner, pair, links, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, pair, links) sorted, with the links of equal ones added up; ids are below ``size``."""
+    a, b = pair // PAIR, pair % PAIR
+    if len(owner) and int(owner.max()) < (1 << 62) // size ** 2 and (links == 1).all():
+        key = np.sort((owner * size + a) * size + b)               # one number for all three; equal ones are counted
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        rest, b = np.divmod(key[start], size)
+        owner, a = np.divmod(rest, size)
+        return owner, a * PAIR + b, np.diff(np.append(start, len(key)))
+    order = np.lexsort((pair, owner))
+    owner, pair, links = owner[order], pair[order], links[order]
+    new = np.ones(len(pair), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])
+    start = np.flatnonzero(new)
+    return owner[start], pair[start], np.add.reduceat(links, start) if len(start) else links
+
+
 @lru_cache(maxsize=2)
 def marked(size: int) -> list[str]:
     return [f"{i}{mark}" for i in range(size) for mark in ",|;"]
@@ -230,17 +252,12 @@ def whole_texts(docs: DataFrame, first, second) -> DataFrame:
             group_of = np.repeat(np.arange(len(live)), np.diff(np.append(0, until)))
             group, pair, links = g.links(0, len(g.common))
             owner = group_of[group]
-            order = np.lexsort((pair, owner))
-            owner, pair, links = owner[order], pair[order], links[order]
-            new = np.ones(len(pair), bool)
-            new[1:] = (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])
-            start = np.flatnonzero(new)
-            count = np.add.reduceat(links, start) if len(start) else links
+            owner, pair, count = distinct_links(owner, pair, links, max(len(one.tokens), len(two.tokens)))
             per = np.zeros((5, n), np.int64)           # n_a, n_b, n_groups, n_links, distinct pairs
             at = np.array(live, np.int64)
             per[0, at], per[1, at], per[2, at] = size[0], size[1], np.diff(np.append(0, until))
-            per[3, at] = np.bincount(owner, links, minlength=len(live))
-            per[4, at] = np.bincount(owner[start], minlength=len(live))
+            per[3, at] = np.bincount(owner, count, minlength=len(live))
+            per[4, at] = np.bincount(owner, minlength=len(live))
             spelled, digest = g.spelled(names), [""] * n
             ends = np.cumsum(size[0] + size[1]).tolist()
             for k, i in enumerate(live):
@@ -248,7 +265,7 @@ def whole_texts(docs: DataFrame, first, second) -> DataFrame:
                 digest[i] = hashlib.sha256("".join(mine)[:-1].encode()).hexdigest()
             offsets = np.cumsum(np.append(0, per[4]))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(per[c]) for c in range(4)), pa.array(digest, pa.string()),
-                                              _lists(pair[start], offsets, pa.int64()), _lists(count, offsets, pa.int32())], names=NAMES)
+                                              _lists(pair, offsets, pa.int64()), _lists(count, offsets, pa.int32())], names=NAMES)
 
     return docs.mapInArrow(task, DOC)
 
