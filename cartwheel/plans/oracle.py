@@ -363,6 +363,7 @@ SELECT doc_id, sex, favo, class_id, age FROM hits ORDER BY c_custkey, doc_id
 LIMIT {R.SEARCH_SIZE} OFFSET {R.SEARCH_FROM}""",
         "search_match": w(DOCS) + f"SELECT doc_id, lang FROM d WHERE list_has_any(t, {MATCH_TERMS})",
         "search_match_all": w(DOCS) + f"SELECT doc_id, lang FROM d WHERE list_has_all(t, {MATCH_TERMS})",
+        "search_match_indexed": w(DOCS) + f"SELECT doc_id FROM d WHERE list_has_all(t, {MATCH_TERMS})",
         "search_bm25": w(DOCS) + f"""
 , st AS (SELECT count(*) AS n, avg(len(t)) AS avgdl FROM d),
 occ AS (SELECT doc_id, dl, term, count(*) AS tf FROM (

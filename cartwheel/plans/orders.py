@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import JOIN_LATE_BOUND
 from ..functions.timefns import age_years
-from ..operators.joins import interval_join
+from ..operators.joins import full_outer_skew_safe, interval_join
 
 # fixed values: the columns of the order table
 ORDER_COLUMNS = ("id", "province_id", "consignee", "order_comment", "consignee_tel", "order_status", "payment_way",
@@ -51,8 +51,10 @@ def merge_sale_detail(joined: DataFrame, strict_price: bool = True) -> DataFrame
 
 
 def order_detail_join(order_info: DataFrame, order_detail: DataFrame, how: str = "inner") -> DataFrame:
-    """Equi-join of orders and lines on order id (inner / full_outer / left ...)."""
+    """Equi-join of orders and lines on order id (inner / full_outer / left ...); full outer in the form that takes hot ids."""
     i, d = _info(order_info), _detail(order_detail)
+    if how == "full_outer":
+        return full_outer_skew_safe(i, d, "i_id", "d_order_id")
     return i.join(d, i["i_id"] == d["d_order_id"], how)
 
 

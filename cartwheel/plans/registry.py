@@ -9,6 +9,7 @@ terms) are fixed literals so results are deterministic.
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import sha1
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +19,12 @@ from ..functions.text import match
 from ..functions.timefns import age_years, daily_index_name, epoch_ms, with_log_date_hour
 from ..operators.cdc import route_changes
 from ..operators.dedup import latest_per_key
-from ..operators.search import bm25
+from ..operators import index
+from ..operators.snapshots import Files
 from ..operators.upsert import append, fill_missing_ids, read_keyed
 from ..operators.windows import alert_members, alert_minutes, alert_text
 from ..schemas import STARTUP_CASTS, STARTUP_FIELDS
-from ..session import apply_runtime_conf, run_path
+from ..session import apply_runtime_conf, run_path, work_path
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
 from . import analysis, dau, orders, reports
@@ -315,9 +317,23 @@ def q_search_match_all(spark, sf):
     return _documents(spark, sf).where(match("text", MATCH_TEXT, "and")).select("doc_id", "lang")
 
 
+def _document_index(spark, sf) -> str:
+    """The index over the table's texts: built when the table is first searched (or has changed), read from then on."""
+    files = Files(spark, sf)
+    name = sha1(repr([files.stamp(f) for f in sorted(spark.read.parquet(f"{sf}/documents.parquet").inputFiles())]).encode()).hexdigest()
+    path = work_path(spark, "index", name)
+    if not index.exists(spark, path):
+        index.index_batch(_documents(spark, sf), path, 0)
+    return path
+
+
 def q_search_bm25(spark, sf):
-    return bm25(_documents(spark, sf), "doc_id", "text", MATCH_TEXT).select(
-        "doc_id", F.round("score", 4).alias("score"))
+    return index.ranked(spark, _document_index(spark, sf), MATCH_TEXT).select(F.col("doc").alias("doc_id"), F.round("score", 4).alias("score"))
+
+
+def q_search_match_indexed(spark, sf):
+    """The documents that hold every token, from the postings of the tokens alone."""
+    return index.matching(spark, _document_index(spark, sf), MATCH_TEXT, "and").select(F.col("doc").alias("doc_id"))
 
 
 def q_facet_gender(spark, sf):
@@ -420,6 +436,7 @@ _BATCH = {
     "search_match": q_search_match,
     "search_match_all": q_search_match_all,
     "search_bm25": q_search_bm25,
+    "search_match_indexed": q_search_match_indexed,
     "facet_gender": q_facet_gender,
     "facet_age_band": q_facet_age_band,
     "sale_search_page": q_sale_search_page,

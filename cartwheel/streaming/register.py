@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import index
 from ..session import run_path
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
@@ -149,6 +150,16 @@ def q_stream_cdc_route(spark: SparkSession, sf: str) -> DataFrame:
     return R.after_images(spark.read.schema("value string, topic string").json(out))
 
 
+def q_stream_search_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Every fifth document is indexed with another text first, then all documents in three slices; BM25 over the index."""
+    run = run_path(spark, "index")
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
+    early = docs.where("doc_id % 5 = 0").withColumn("text", F.concat(F.lit("que la que "), F.reverse("text")))
+    _run(spark, run, {"documents": [early, *_slices(docs, "doc_id")]},
+         lambda s: index.start_index(s["documents"], f"{run}/index", f"{run}/ckpt", available_now=True))
+    return index.ranked(spark, f"{run}/index", R.MATCH_TEXT).select(F.col("doc").alias("doc_id"), F.round("score", 4).alias("score"))
+
+
 def stream_queries() -> dict:
     return {
         "stream_dau": q_stream_dau,
@@ -159,6 +170,7 @@ def stream_queries() -> dict:
         "stream_sale_detail": q_stream_sale_detail,
         "stream_coupon_alert": q_stream_coupon_alert,
         "stream_cdc_route": q_stream_cdc_route,
+        "stream_search_index": q_stream_search_index,
     }
 
 
@@ -191,4 +203,5 @@ FROM s LEFT JOIN ul u ON s.user_id = u.id"""
         "stream_coupon_alert": O.w(O.BUSY_LOG, O.ALERT_5S) + """
 SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY alert_id ORDER BY ts DESC) AS rn FROM alerts) WHERE rn = 1""",
         "stream_cdc_route": batch_sql["cdc_after_image_json"],
+        "stream_search_index": batch_sql["search_bm25"],
     }
