@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,19 +29,33 @@ def event_time(ms) -> Column:
     return F.timestamp_millis(_c(ms))
 
 
-def log_date(ms) -> Column:
-    """``yyyy-MM-dd`` of an epoch-ms value."""
-    return F.date_format(F.timestamp_millis(_c(ms)), "yyyy-MM-dd")
+def _wall(ms, zone: str | None) -> Column:
+    """Epoch ms as the wall clock of ``zone`` shows it (the session's own zone, UTC, when None)."""
+    instant = F.timestamp_millis(_c(ms))
+    return instant if zone is None else F.convert_timezone(None, F.lit(zone), instant.cast("timestamp_ntz"))
+
+
+def log_date(ms, zone: str | None = None) -> Column:
+    """``yyyy-MM-dd`` of an epoch-ms value, in ``zone``."""
+    return F.date_format(_wall(ms, zone), "yyyy-MM-dd")
 
 
-def log_hour(ms) -> Column:
-    """Two-digit hour ``HH`` of an epoch-ms value."""
-    return F.date_format(F.timestamp_millis(_c(ms)), "HH")
+def log_hour(ms, zone: str | None = None) -> Column:
+    """Two-digit hour ``HH`` of an epoch-ms value, in ``zone``.  Where clocks go back an hour comes twice a day, where they
+    go forward one is missing."""
+    return F.date_format(_wall(ms, zone), "HH")
 
 
-def with_log_date_hour(df, ts_col: str = "ts"):
+def with_log_date_hour(df, ts_col: str = "ts", zone: str | None = None):
     """Add ``log_date`` and ``log_hour`` derived from epoch ms (overwrites)."""
-    return df.withColumn("log_date", log_date(ts_col)).withColumn("log_hour", log_hour(ts_col))
+    return df.withColumn("log_date", log_date(ts_col, zone)).withColumn("log_hour", log_hour(ts_col, zone))
+
+
+def day_start(date: str, zone: str, days: int = 0) -> str:
+    """UTC text of the midnight that begins ``date`` (plus ``days``) in ``zone``; days there may have 23 or 25 hours."""
+    day = _dt.date.fromisoformat(date) + _dt.timedelta(days=days)
+    local = _dt.datetime(day.year, day.month, day.day, tzinfo=ZoneInfo(zone))
+    return local.astimezone(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
 
 
 def create_date(create_time, strict: bool = True) -> Column:
@@ -64,15 +81,16 @@ def with_create_date_hour(df, col: str = "create_time", strict: bool = True):
               .withColumn("create_hour", create_hour(col, strict)))
 
 
-def within_days(df, col: str, first: str | None = None, last: str | None = None):
-    """Rows whose raw time column lies on the days ``first`` to ``last`` (``yyyy-MM-dd``, both included; None = open).
-    The bounds are literals of the column's own type, so the range reaches the scan, which a filter on derived
-    day text does not."""
+def within_days(df, col: str, first: str | None = None, last: str | None = None, zone: str | None = None):
+    """Rows whose raw time column (UTC) lies on the days ``first`` to ``last`` (``yyyy-MM-dd``, both included; None = open), days of
+    ``zone`` when given.  The bounds are literals of the column's own type, so the range reaches the scan, which a filter on
+    derived day text does not."""
     kind = df.schema[col].dataType
+    start = lambda date, days: (F.date_add(F.lit(date).cast("date"), days) if zone is None else F.lit(day_start(date, zone, days))).cast(kind)
     if first is not None:
-        df = df.where(F.col(col) >= F.lit(first).cast("date").cast(kind))
+        df = df.where(F.col(col) >= start(first, 0))
     if last is not None:
-        df = df.where(F.col(col) < F.date_add(F.lit(last).cast("date"), 1).cast(kind))
+        df = df.where(F.col(col) < start(last, 1))
     return df
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ..constants import AGE_BANDS, GENDER_LABELS
 from ..operators.search import SearchResult, TermsAgg, search
 from ..functions.text import match
-from ..operators.joins import one_row
 
 
 def student_search(students: DataFrame, sex: str, favo_token: str, offset: int = 0, size: int = 2,
@@ -51,31 +50,58 @@ def facet_age_band(sale: DataFrame) -> DataFrame:
     return _facet(sale, age_band("user_age"), "name")
 
 
-def sale_search(sale: DataFrame, date: str, keyword: str = "", offset: int = 0, size: int = 20):
-    """total, page (ordered by order_detail_id with unique tie-breaks), age and
-    gender facets over all hits of the day/keyword."""
+def sale_hits(sale: DataFrame, date: str, keyword: str = "") -> DataFrame:
+    """The sales of the day that match the keyword (all without one)."""
     hits = sale.where(F.col("dt") == date)
-    if keyword:
-        hits = hits.where(match("sku_name", keyword))
-    total = hits.agg(F.count(F.lit(1)).alias("total"))
-    page = (hits.orderBy("order_detail_id", "order_id", "sku_id", "sku_price")
-                .offset(offset).limit(size))
-    return {"total": total, "detail": page, "age": facet_age_band(hits), "gender": facet_gender(hits)}
+    return hits.where(match("sku_name", keyword)) if keyword else hits
+
+
+def hit_counts(hits: DataFrame) -> DataFrame:
+    """One row: total, and ``counts``, an array of (facet, name, value) of both facets.  One pass over the hits: they are counted per
+    age band and gender, and that handful of rows is added up along either."""
+    cube = hits.groupBy(age_band("user_age").alias("age"), gender_label("user_gender").alias("gender")).agg(F.count(F.lit(1)).alias("n"))
+    each = F.explode(F.array(F.struct(F.lit("age").alias("facet"), F.col("age").alias("name")),
+                             F.struct(F.lit("gender").alias("facet"), F.col("gender").alias("name")))).alias("f")
+    return (cube.select("n", each).groupBy("f.facet", "f.name").agg(F.sum("n").alias("value"))
+            .agg(F.coalesce(F.sum(F.when(F.col("facet") == "age", F.col("value"))), F.lit(0)).alias("total"),
+                 F.collect_list(F.struct("facet", "name", "value")).alias("counts")))
+
+
+def _share(value, total):
+    return F.round((F.lit(100.0) * value / total).cast("double"), 2)
+
+
+def sale_facets(hits: DataFrame) -> DataFrame:
+    """(facet, name, value, share %) of the age and gender facets over all hits."""
+    return (hit_counts(hits).select("total", F.explode("counts").alias("c"))
+            .select("c.facet", "c.name", "c.value", _share(F.col("c.value"), F.col("total")).alias("share")))
+
+
+PAGE_ORDER = ("order_detail_id", "order_id", "sku_id", "sku_price")
+
+
+def sale_search(sale: DataFrame, date: str, keyword: str = "", offset: int = 0, size: int = 20):
+    """total, page (ordered by order_detail_id with unique tie-breaks) and facets over all hits of the day/keyword."""
+    hits = sale_hits(sale, date, keyword)
+    return {"total": hits.agg(F.count(F.lit(1)).alias("total")), "detail": hits.orderBy(*PAGE_ORDER).offset(offset).limit(size),
+            "facets": sale_facets(hits)}
 
 
 def sale_search_json(sale: DataFrame, date: str, keyword: str = "", offset: int = 0, size: int = 20) -> DataFrame:
     """The sale search as one document: total, stat[0] = age options, stat[1] = gender options, detail = the page's rows.
-    Only facet rows (a handful) and one page are ever gathered."""
-    found = sale_search(sale, date, keyword, offset, size)
-    options = lambda facet: F.struct(facet.agg(
-        F.array_sort(F.collect_list(F.struct("name", "value", "share")))).scalar().alias("options"))
-    row = F.struct(*found["detail"].columns)
-    placed = F.struct("order_detail_id", "order_id", "sku_id", "sku_price", row.alias("row"))
-    detail = F.transform(F.array_sort(F.collect_list(placed)), lambda r: r["row"])
-    return found["detail"].agg(detail.alias("detail")).select(F.to_json(F.struct(
-        found["total"].scalar().alias("total"),
-        F.array(options(found["age"]), options(found["gender"])).alias("stat"),
-        F.col("detail"))).alias("json"))
+    Total and both facets take one pass over the hits, the page (with more columns) another.  Only facet rows (a
+    handful) and one page are ever gathered."""
+    hits = sale_hits(sale, date, keyword)
+    page = hits.orderBy(*PAGE_ORDER).offset(offset).limit(size)
+    placed = F.struct(*PAGE_ORDER, F.struct(*page.columns).alias("row"))
+    detail = page.agg(F.transform(F.array_sort(F.collect_list(placed)), lambda r: r["row"]).alias("detail"))
+
+    def options(facet):
+        mine = F.filter("counts", lambda c: c["facet"] == facet)
+        return F.struct(F.array_sort(F.transform(mine, lambda c: F.struct(c["name"].alias("name"), c["value"].alias("value"),
+                                                                          _share(c["value"], F.col("total")).alias("share")))).alias("options"))
+    return hit_counts(hits).withColumn("detail", detail.scalar()).select(F.to_json(F.struct(
+        "total", F.array(options("age"), options("gender")).alias("stat"), F.col("detail"))).alias("json"))
 
 
 def province_sales(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:

@@ -304,6 +304,13 @@ UNION ALL SELECT 'after_state_filter', count(*) FILTER (WHERE has_late AND NOT h
         "dau_hours_compare": w(STARTUP, DAU) + ", " + _hours_compare("dau", "log_date", "log_hour", d, "1", "BIGINT"),
         "gmv_hours_compare": w(ORDER_INFO) + ", " +
             _hours_compare("order_info", "create_date", "create_hour", g, "total_amount", "DOUBLE"),
+        "dau_hours_zone": w(STARTUP.replace("FROM events)", "FROM (SELECT user_id, event_type, ts + INTERVAL 8 HOUR AS ts FROM events))"), DAU)
+            + ", " + _hours_compare("dau", "log_date", "log_hour", d, "1", "BIGINT"),
+        "gmv_zone_days": """
+WITH l AS (SELECT o_orderdate - to_hours(CASE WHEN o_orderdate >= TIMESTAMP '1996-04-07 07:00:00' THEN 4 ELSE 5 END) AS t, o_totalprice FROM orders
+           WHERE o_orderdate >= TIMESTAMP '1996-04-05 05:00:00' AND o_orderdate < TIMESTAMP '1996-04-10 04:00:00')
+SELECT strftime(t, '%Y-%m-%d') AS log_date, strftime(t, '%H') AS log_hour, round(CAST(sum(o_totalprice) AS DOUBLE), 2) AS sum_amount,
+       count(*) AS n FROM l GROUP BY ALL""",
         "realtime_total": _realtime_total(R.NEW_DEVICE_DATE),
         "realtime_total_orders_day": _realtime_total(g),
         "realtime_total_json": _realtime_total_json(g),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonfns import decode, row_json
 from ..functions.text import match
-from ..functions.timefns import age_years, daily_index_name, epoch_ms, with_log_date_hour
+from ..functions.timefns import age_years, daily_index_name, epoch_ms, with_log_date_hour, within_days
 from ..operators.cdc import route_changes
 from ..operators.dedup import latest_per_key
 from ..operators import index
@@ -36,6 +36,8 @@ DAU_DATE = "2024-01-15"
 NEW_DEVICE_DATE = "2024-01-02"
 GMV_DATE = "1998-10-03"
 SPLIT_HOUR = "12"
+SHOP_ZONE = "Asia/Shanghai"
+CLOCK_ZONE, CLOCK_DAYS = "America/New_York", ("1996-04-05", "1996-04-09")     # clocks went forward on 7 April
 AS_OF = fx.AS_OF
 JOIN_BOUND = "10 days"          # event times of the fixtures are whole days
 ALERT_WINDOW, ALERT_SLIDE, ALERT_USERS = "1 hour", "5 minutes", 3
@@ -357,15 +359,26 @@ def q_sale_search_total(spark, sf):
 
 
 def q_sale_search_facets(spark, sf):
-    r = _sale_search(spark, sf)
-    return (r["age"].select(F.lit("age").alias("facet"), "*")
-            .unionByName(r["gender"].select(F.lit("gender").alias("facet"), "*")))
+    return _sale_search(spark, sf)["facets"]
 
 
 def q_sale_search_json(spark, sf):
     return analysis.sale_search_json(_sale_with_user(spark, sf, SALE_DATE), SALE_DATE, SALE_KEYWORD, SALE_FROM, SALE_SIZE)
 
 
+def q_dau_hours_zone(spark, sf):
+    """The hours of a day where the shops are, against those of the day before."""
+    first, last = _with_day_before(DAU_DATE)
+    return reports.dau_hours_compare(dau.daily_active(fx.startup_log(spark, sf, first, last, SHOP_ZONE)), DAU_DATE)
+
+
+def q_gmv_zone_days(spark, sf):
+    """Five days around the hour that a zone's clocks skip."""
+    rows = within_days(read_table(spark, sf, "orders", ["o_orderdate", "o_totalprice"]), "o_orderdate", *CLOCK_DAYS, CLOCK_ZONE)
+    return reports.sums_by_zone_day(rows.withColumn("ts", epoch_ms("o_orderdate")), "ts", "o_totalprice", CLOCK_ZONE).withColumn(
+        "sum_amount", F.round("sum_amount", 2))
+
+
 def _province_sales(spark, sf):
     return analysis.province_sales(
         read_table(spark, sf, "orders", ["o_custkey", "o_totalprice"]),
@@ -447,6 +460,8 @@ _BATCH = {
     "province_topk": q_province_topk,
     "province_sales_bins": q_province_sales_bins,
     "sku_sales": q_sku_sales,
+    "dau_hours_zone": q_dau_hours_zone,
+    "gmv_zone_days": q_gmv_zone_days,
 }
 
 

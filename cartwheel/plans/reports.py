@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import TOTAL_METRICS
+from ..functions.timefns import with_log_date_hour
 from .dau import devices_on
 
 
@@ -42,6 +43,12 @@ def gmv_by_day(orders: DataFrame) -> DataFrame:
                                              F.count(F.lit(1)).alias("n_orders"))
 
 
+def sums_by_zone_day(rows: DataFrame, ms: str, amount: str, zone: str) -> DataFrame:
+    """(log_date, log_hour, sum_amount, n) of the days and hours of ``zone``; limit the days before (``timefns.within_days``)."""
+    return (with_log_date_hour(rows, ms, zone).groupBy("log_date", "log_hour")
+            .agg(F.sum(amount).cast("double").alias("sum_amount"), F.count(F.lit(1)).alias("n")))
+
+
 def hour_axis(spark: SparkSession) -> DataFrame:
     """'00'..'23' (24 rows, fixed size)."""
     return spark.range(24).select(F.lpad(F.col("id").cast("string"), 2, "0").alias("hour"))
@@ -50,10 +57,10 @@ def hour_axis(spark: SparkSession) -> DataFrame:
 def _compare(spark: SparkSession, df: DataFrame, date_col: str, hour_col: str, date: str,
              value) -> DataFrame:
     """One scan over today + yesterday, split by conditional aggregates, then
-    aligned on the 24-hour axis with zero fill.  The hourly aggregate has at
-    most 24 rows, so broadcasting it is size-bounded."""
+    aligned on the 24-hour axis with zero fill.  Hours off the axis (free text in the source) are left out
+    first, so the hourly aggregate has at most 24 rows and broadcasting it is size-bounded."""
     y = previous_day_text(date)
-    hourly = (df.where(F.col(date_col).isin(date, y))
+    hourly = (df.where(F.col(date_col).isin(date, y) & F.col(hour_col).rlike("^([01][0-9]|2[0-3])$"))
                 .groupBy(F.col(hour_col).alias("hour"))
                 .agg(F.sum(F.when(F.col(date_col) == date, value)).alias("today"),
                      F.sum(F.when(F.col(date_col) == y, value)).alias("yesterday")))

@@ -204,10 +204,10 @@ def cdc_from_tables(orders: DataFrame, lineitem: DataFrame, customer: DataFrame)
 
 # ---- batch loaders over an sf directory -------------------------------------------------
 
-def startup_log(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Start-ups of the days ``first`` to ``last`` (all days when None)."""
-    ev = within_days(read_table(spark, sf_dir, "events", ["user_id", "event_type", "ts"]), "ts", first, last)
-    return with_log_date_hour(startup_from_events(ev))
+def startup_log(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None, zone: str | None = None) -> DataFrame:
+    """Start-ups of the days ``first`` to ``last`` (all days when None), days and hours of ``zone`` (UTC when None)."""
+    ev = within_days(read_table(spark, sf_dir, "events", ["user_id", "event_type", "ts"]), "ts", first, last, zone)
+    return with_log_date_hour(startup_from_events(ev), zone=zone)
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:

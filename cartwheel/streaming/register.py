@@ -8,20 +8,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import index
+from ..operators.joins import interval_join
+from ..operators.upsert import append, stored
 from ..session import run_path
 from ..sources import fixtures as fx
+from ..sources.log import append_log, read_log
 from ..sources.tables import read_table
 from ..sources.topic import TopicSource
 from ..plans import registry as R
 from ..plans.orders import ORDER_COLUMNS, with_sku_name
 from ..plans.reports import dau_hours_compare, gmv_by_day
 from ..plans.users import USER_COLUMNS
-from . import jobs
+from . import jobs, late
 
 SLICES = 3
 
@@ -160,6 +164,70 @@ def q_stream_search_index(spark: SparkSession, sf: str) -> DataFrame:
     return index.ranked(spark, f"{run}/index", R.MATCH_TEXT).select(F.col("doc").alias("doc_id"), F.round("score", 4).alias("score"))
 
 
+def q_stream_change_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes of three tables as a topic log; the topics of a pattern are read at most 100 messages a micro-batch.  The job is lost
+    in mid-log, after a micro-batch was written but before it was noted, and goes on from its checkpoint."""
+    run = run_path(spark, "feed")
+    log, table = f"{run}/log", f"{run}/messages"
+    for number, (topic, name, key) in enumerate((("shop.supplier", "supplier", "s_suppkey"), ("shop.nation", "nation", "n_nationkey"),
+                                                 ("other.region", "region", "r_regionkey"))):
+        rows = read_table(spark, sf, name)
+        append_log(rows.select(F.lit(topic).alias("topic"), F.col(key).cast("string").alias("key"), F.to_json(F.struct(key)).alias("value")),
+                   log, number, partitions=2)
+
+    def start(lost_at: int | None) -> StreamingQuery:
+        def write(batch: DataFrame, batch_id: int) -> None:
+            append(batch, table, batch_id)
+            if batch_id == lost_at:
+                raise RuntimeError("the driver is lost")
+        return (read_log(spark, log, "shop.*").writeStream.option("checkpointLocation", f"{run}/ckpt").trigger(availableNow=True)
+                .foreachBatch(write).start())
+
+    try:
+        start(1).awaitTermination()
+    except StreamingQueryException:
+        start(None).awaitTermination()
+    rows = stored(spark, table)
+    return rows.groupBy("topic", "key", "value").agg(F.count("*").alias("n_times"))
+
+
+LATE_EVERY = 97      # lines of every 97th order come last, when most of them are late
+
+
+def q_stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders joined with their lines in event time, with the lines of some orders arriving after all others: matched pairs, orders
+    without a line in time, and late lines.  One micro-batch of lines is replayed."""
+    run = run_path(spark, "late")
+    orders = read_table(spark, sf, "orders", fx.ORDER_SOURCE)
+    lines = read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"])
+    last = F.col("l_orderkey") % LATE_EVERY == 0
+    far = F.expr("interval 4000 days")
+    closing = lambda df, time, key: df.limit(1).withColumns({time: F.col(time) + far, key: F.lit(-1).cast("long")})
+    feeds = {"orders": [*_slices(orders, "o_orderdate", 2), orders.limit(0), closing(orders, "o_orderdate", "o_orderkey")],
+             "lineitem": [*_slices(lines.where(~last), "l_shipdate", 2), lines.where(last), closing(lines, "l_shipdate", "l_orderkey")]}
+    parts = {"orders": fx.order_info_from_orders, "lineitem": fx.order_detail_from_lineitem}
+
+    def start(s):
+        for name, shape in parts.items():
+            late.start_split(shape(s[name]), f"{run}/{name}", f"{run}/ckpt_{name}", bound=R.JOIN_BOUND, available_now=True).awaitTermination()
+        clean = {name: late.clean_rows(spark, f"{run}/{name}", shape(s[name]).schema) for name, shape in parts.items()}
+        i = clean["orders"].select(F.col("id").alias("i_id"), F.col("event_ts").alias("i_ts")).withWatermark("i_ts", R.JOIN_BOUND)
+        d = clean["lineitem"].select(F.col("id").alias("d_id"), F.col("order_id").alias("d_order_id"), F.col("sku_id").alias("d_sku_id"),
+                                     F.col("event_ts").alias("d_ts")).withWatermark("d_ts", R.JOIN_BOUND)
+        joined = interval_join(i, d, "i_id", "d_order_id", "i_ts", "d_ts", R.JOIN_BOUND, R.JOIN_BOUND, "left_outer")
+        return (joined.writeStream.option("checkpointLocation", f"{run}/ckpt_join").trigger(availableNow=True).outputMode("append")
+                .foreachBatch(lambda batch, n: append(batch, f"{run}/joined", n)).start())
+
+    _run(spark, run, feeds, start)
+    again = spark.read.schema(lines.schema).parquet(f"{run}/src/lineitem").where(F.col("l_orderkey") % LATE_EVERY == 0)
+    late.late_splitter(f"{run}/lineitem", "event_ts", R.JOIN_BOUND)(parts["lineitem"](again), 2)      # a replay changes nothing
+    joined = stored(spark, f"{run}/joined").select(
+        F.when(F.col("d_id").isNull(), "unmatched").otherwise("matched").alias("kind"), F.col("i_id").alias("order_id"),
+        F.col("d_id").alias("order_detail_id"), F.col("d_sku_id").alias("sku_id"))
+    return joined.unionByName(late.late_rows(spark, f"{run}/lineitem").select(
+        F.lit("late").alias("kind"), "order_id", F.col("id").alias("order_detail_id"), "sku_id"))
+
+
 def stream_queries() -> dict:
     return {
         "stream_dau": q_stream_dau,
@@ -171,6 +239,8 @@ def stream_queries() -> dict:
         "stream_coupon_alert": q_stream_coupon_alert,
         "stream_cdc_route": q_stream_cdc_route,
         "stream_search_index": q_stream_search_index,
+        "stream_change_feed": q_stream_change_feed,
+        "stream_late_rows": q_stream_late_rows,
     }
 
 
@@ -193,7 +263,21 @@ SELECT s.order_detail_id, s.order_id, s.order_status, s.create_time,
        coalesce(CASE WHEN u.id IS NOT NULL THEN """ + O.age_sql("u.birthday") + """ END, 0) AS user_age,
        u.user_level, coalesce(s.sku_price, 0.0) AS sku_price, s.sku_name, s.dt
 FROM s LEFT JOIN ul u ON s.user_id = u.id"""
+    late = f"l_orderkey % {LATE_EVERY} = 0 AND l_shipdate < (SELECT max(l_shipdate) FROM lineitem WHERE l_orderkey % {LATE_EVERY} <> 0) - INTERVAL 10 DAY"
+    late_rows = f"""
+WITH l AS (SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_orderkey || '-' || l_linenumber AS order_detail_id, CAST(l_partkey AS VARCHAR) AS sku_id,
+                  l_shipdate, {late} AS late FROM lineitem),
+m AS (SELECT CAST(o_orderkey AS VARCHAR) AS order_id, l.order_detail_id, l.sku_id FROM orders LEFT JOIN l
+      ON l.order_id = CAST(o_orderkey AS VARCHAR) AND NOT l.late
+      AND l.l_shipdate BETWEEN o_orderdate - INTERVAL 10 DAY AND o_orderdate + INTERVAL 10 DAY)
+SELECT CASE WHEN order_detail_id IS NULL THEN 'unmatched' ELSE 'matched' END AS kind, order_id, order_detail_id, sku_id FROM m
+UNION ALL SELECT 'late', order_id, order_detail_id, sku_id FROM l WHERE late"""
+    feed = """
+SELECT 'shop.supplier' AS topic, CAST(s_suppkey AS VARCHAR) AS key, '{"s_suppkey":' || s_suppkey || '}' AS value, 1::BIGINT AS n_times FROM supplier
+UNION ALL SELECT 'shop.nation', CAST(n_nationkey AS VARCHAR), '{"n_nationkey":' || n_nationkey || '}', 1 FROM nation"""
     return {
+        "stream_change_feed": feed,
+        "stream_late_rows": late_rows,
         "stream_dau": batch_sql["dau_first_per_device"],
         "stream_dau_report": batch_sql["dau_hours_compare"],
         "stream_order_table": batch_sql["order_enrich"],
