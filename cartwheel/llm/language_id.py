@@ -118,8 +118,8 @@ def fit(training: DataFrame, landmarks: int = 64, fit_rows: int = 2000, ridge: f
     # choose by the narrow columns; texts are read again for the chosen ids only
     ids = even_sample(training.select("doc_id", "lang", F.lit("").alias("text")), fit_rows).select("doc_id", "place").cache()
     chosen = training.join(F.broadcast(ids), "doc_id")           # at most fit_rows ids
-    model = Model([np.array(r.at, np.int64) for r in sets_of(chosen.orderBy("place", "doc_id").limit(landmarks)).collect()])
-    rows = kernels_of(chosen.limit(fit_rows), model).collect()   # at most fit_rows x landmarks numbers
+    model = Model([np.array(r.at, np.int64) for r in sets_of(chosen.orderBy("place", "doc_id", "lang", "text").limit(landmarks)).collect()])
+    rows = kernels_of(chosen.orderBy("place", "doc_id", "lang", "text").limit(fit_rows), model).collect()   # at most fit_rows x landmarks numbers
     ids.unpersist()
     if rows:
         model.fit(np.array([r.k for r in rows], np.float32), [r.lang for r in rows], ridge)

@@ -1,9 +1,10 @@
 """Quality selection by importance resampling.
 
 Target texts (labelled as good) and all texts are modelled as bags of hashed n-grams: the unigrams and bigrams of words fall
-into ``BUCKETS`` buckets, and each model is the smoothed frequency of the buckets.  A text's log ratio is the mean over
-its n-grams of log p_target - log p_raw.  A weight exp(``sharpness`` x log ratio) with Gumbel noise turns "the k largest"
-into sampling k texts without replacement by weight; the noise is a function of the id and the text, so it is the same in every run.
+into ``BUCKETS`` buckets, and each model is the smoothed frequency of the buckets.  A text's weight is the ratio of the two models,
+p_target(text) / p_raw(text); its logarithm is the sum over the text's n-grams.  Gumbel noise on that turns "the k largest" into
+sampling k texts without replacement by weight; the noise is a function of the id and the text, so it is the same in every run.
+``temperature`` above 1 flattens the weights (the ratio's power 1 / temperature).
 
 Counts cover all texts of either kind.  A task sums its texts into one table, so a table of ``BUCKETS`` rows comes to the
 driver and is broadcast (1 MB).  The k-th largest key is found by counting keys in 65,536 classes of their leading bits, four
@@ -89,7 +90,7 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 at, owner = features(data, offsets)
                 n = np.bincount(owner, minlength=batch.num_rows)
                 total = np.bincount(owner, model[at], minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total / np.maximum(n, 1)), batch.column(2)],
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total), batch.column(2)],
                                              names=["doc_id", "n_features", "log_ratio", "salt"])
 
     salted = docs.select("doc_id", "text", F.xxhash64(F.lit("gumbel"), "doc_id", "text").alias("salt"))
@@ -97,7 +98,7 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def kth_largest(keys: DataFrame, k: int) -> int | None:
-    """The k-th largest of the long column ``key`` (not negative), by leading bits: 65,536 counts at a time come to the driver."""
+    """The k-th largest of the long column ``key``, by leading bits: 65,536 counts at a time come to the driver."""
     prefix, left = 0, k
     for shift in (48, 32, 16, 0):
         here = keys.filter(F.shiftright("key", shift + 16) == prefix) if shift < 48 else keys
@@ -113,20 +114,20 @@ def kth_largest(keys: DataFrame, k: int) -> int | None:
     return prefix
 
 
-def resample(docs: DataFrame, labels: DataFrame, fraction: float = 0.5, sharpness: float = 10.0) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, fraction: float = 0.5, temperature: float = 1.0) -> DataFrame:
     """Every row with n_features, log_ratio, gumbel_key and whether it is among the sampled ``fraction`` of all rows."""
     uniform = (F.shiftrightunsigned("salt", 11).cast("double") + 0.5) / float(1 << 53)
-    rows = log_ratios(docs, labels).withColumn("gumbel_key", sharpness * F.col("log_ratio") - F.log(-F.log(uniform)))
-    # an order-preserving long: keys lie well within +-2^20, so this loses nothing that a double has there beyond 2^-40
-    rows = written(rows.drop("salt").withColumn("key", F.floor((F.col("gumbel_key") + float(1 << 20)) * float(1 << 40)).cast("long")), "keys")
+    rows = log_ratios(docs, labels).withColumn("gumbel_key", F.col("log_ratio") / temperature - F.log(-F.log(uniform)))
+    # an order-preserving long; keys within 2^-30 of each other are ties, those beyond +-2^31 too
+    held = F.greatest(F.lit(-float(1 << 31)), F.least(F.lit(float(1 << 31)), F.col("gumbel_key")))
+    rows = written(rows.drop("salt").withColumn("key", F.floor(held * float(1 << 30)).cast("long")), "keys")
     n = rows.count()
     k = int(n * fraction)
     bar = kth_largest(rows.select("key"), k) if k else None
     if bar is None:
         return rows.drop("key").withColumn("selected", F.lit(k > 0))
     above = rows.filter(F.col("key") > bar).count()
-    # rows that tie at the bar: the smaller ids, found the same way
-    tied = rows.filter(F.col("key") == bar).select((F.lit((1 << 62) - 1) - F.coalesce("doc_id", F.lit(-1))).alias("key"))
-    last = kth_largest(tied.filter("key >= 0"), k - above)
-    inside = (F.col("key") == bar) & (F.lit((1 << 62) - 1) - F.coalesce("doc_id", F.lit(-1)) >= (last if last is not None else 0))
-    return rows.withColumn("selected", (F.col("key") > bar) | inside).drop("key")
+    # rows that tie at the bar: the smaller ids (a null one first), found the same way
+    place = F.coalesce(F.bitwise_not("doc_id"), F.lit((1 << 63) - 1))
+    last = kth_largest(rows.filter(F.col("key") == bar).select(place.alias("key")), k - above)
+    return rows.withColumn("selected", (F.col("key") > bar) | ((F.col("key") == bar) & (place >= last))).drop("key")
