@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -9,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwheel.operators.snapshots import Files
 from cartwheel.session import work_path
 
 NULL_ID = -(1 << 63)   # stands for a null id inside the operators
@@ -32,6 +34,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def expire_written(spark: SparkSession, grace: float = 7 * 86400.0) -> int:
+    """Delete the tables of ``written`` that are ``grace`` seconds old; returns how many.  Frames that still read them fail, so the
+    grace should exceed the longest job."""
+    folder = work_path(spark, "llm")
+    files, before = Files(spark, folder), time.time() - grace
+    old = [n for n, at in files.names(folder) or [] if at <= before]
+    for n in old:
+        files.delete(f"{folder}/{n}")
+    return len(old)
+
+
 def row_keyed(rows: DataFrame, nulls_last: bool = False) -> DataFrame:
     """``rows`` with the id (first column) replaced by a number of each row's own, and the id itself as ``__id``.
 

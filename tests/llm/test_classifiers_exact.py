@@ -103,3 +103,10 @@ def test_predictions_equal_the_model_applied_text_by_text(spark):
     for r in language_id.identify(docs, model, ("doc_id",), with_text=True).collect():
         one = model.scores(language_id.kernel([language_id.present(language_id.lowered(r.text), table)], model.table.astype(np.float32), model.sizes))[0]
         assert r.lang_pred == model.classes[int(one.argmax())] and r.score == pytest.approx(min(1, max(0, one.max())), abs=1e-4)
+
+
+def test_written_tables_expire(spark):
+    from cartwheel.llm.common import expire_written, written
+    df = written(spark.range(3), "expire")
+    assert expire_written(spark, 3600) == 0 and df.count() == 3
+    assert expire_written(spark, -10) >= 1 and expire_written(spark, -10) == 0        # those of other tests go too
