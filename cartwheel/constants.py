@@ -49,7 +49,6 @@ DEFAULT_TOPICS = {
     "order_detail": "order_detail",
     "user": "user_info",
 }
-ALERT_INDEX = "coupon_alert"
 SALE_DETAIL_INDEX = "sale_detail"
 ALERT_WINDOW = "5 minutes"
 ALERT_SLIDE = "5 seconds"

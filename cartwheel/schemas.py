@@ -7,9 +7,6 @@ from pyspark.sql import types as T
 STARTUP_FIELDS = ("mid", "uid", "appid", "area", "os", "ch", "type", "vs", "ts")
 STARTUP_CASTS = {"ts": "bigint"}
 
-EVENT_FIELDS = ("mid", "uid", "appid", "area", "os", "type", "evid", "pgid", "npgid", "itemid", "ts")
-EVENT_CASTS = {"ts": "bigint"}
-
 ORDER_FIELDS = ("id", "province_id", "consignee", "order_comment", "consignee_tel", "order_status",
                 "payment_way", "user_id", "img_url", "total_amount", "expire_time",
                 "delivery_address", "create_time", "operate_time", "tracking_no",
@@ -21,10 +18,6 @@ ORDER_DETAIL_CASTS: dict = {}  # price/quantity stay text on the wire; cast at m
 
 USER_FIELDS = ("id", "login_name", "user_level", "birthday", "gender")
 
-SALE_DETAIL_COLUMNS = ("order_detail_id", "order_id", "order_status", "create_time", "user_id",
-                       "sku_id", "user_gender", "user_age", "user_level", "sku_price",
-                       "sku_name", "dt")
-
 NAME_VALUE = T.StructType([T.StructField("name", T.StringType()), T.StructField("value", T.StringType())])
 
 CDC_SCHEMA = T.StructType([
@@ -35,6 +28,3 @@ CDC_SCHEMA = T.StructType([
         T.StructField("after", T.ArrayType(NAME_VALUE)),
     ]))),
 ])
-
-ALERT_COLUMNS = ("alert_id", "mid", "window_start", "window_end", "n_uids", "uids", "item_ids",
-                 "events", "ts")

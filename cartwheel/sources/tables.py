@@ -17,7 +17,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> Dat
     Parquet ``ReadSchema`` to what the query uses."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def table_schema(spark: SparkSession, sf_dir: str, name: str):
-    return spark.read.parquet(table_path(sf_dir, name)).schema

@@ -59,10 +59,3 @@ class TopicSource:
                     spark.read.option("pathGlobFilter", self.glob).parquet(self.path).schema
             return self._reader(r.format("parquet").schema(schema)).load(self.path)
         raise ValueError(f"unknown source kind {self.kind!r}")
-
-
-def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files: int | None = None) -> DataFrame:
-    """A driver table's files as a file stream (one file -> one micro-batch
-    unless ``max_files`` splits a multi-file folder)."""
-    opts = {"maxFilesPerTrigger": str(max_files)} if max_files else {}
-    return TopicSource("parquet", path=sf_dir, glob=f"{table}.parquet", options=opts).stream(spark)
