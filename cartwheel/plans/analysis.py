@@ -83,8 +83,10 @@ PAGE_ORDER = ("order_detail_id", "order_id", "sku_id", "sku_price")
 def sale_search(sale: DataFrame, date: str, keyword: str = "", offset: int = 0, size: int = 20):
     """total, page (ordered by order_detail_id with unique tie-breaks) and facets over all hits of the day/keyword."""
     hits = sale_hits(sale, date, keyword)
+    facets = sale_facets(hits)
+    one = lambda facet: facets.where(F.col("facet") == facet).drop("facet")
     return {"total": hits.agg(F.count(F.lit(1)).alias("total")), "detail": hits.orderBy(*PAGE_ORDER).offset(offset).limit(size),
-            "facets": sale_facets(hits)}
+            "facets": facets, "age": one("age"), "gender": one("gender")}
 
 
 def sale_search_json(sale: DataFrame, date: str, keyword: str = "", offset: int = 0, size: int = 20) -> DataFrame:
