@@ -2,24 +2,24 @@
 the original job), for when arrival-time expiry is required instead of the
 event-time watermark of :func:`cartwheel.streaming.jobs.sale_detail_stream`.
 
-Orders and lines are unioned and grouped by order id; a
-``transformWithStateInPandas`` processor keeps per order:
+Orders and lines are unioned and grouped by (order, salt): a line goes to one of ``salts`` groups by a hash of its id, an order is copied
+to all of them, so the lines of a hot order spread over tasks.  A ``transformWithState`` processor keeps per group:
 
-* ``info``    the latest order row, expiring ``ttl_ms`` after its last write;
-* ``pending`` lines that arrived before their order, expiring ``ttl_ms``
-  after they were cached.
+* ``info``    the order version with the greatest arrival number, expiring ``ttl_ms`` after its last write;
+* ``pending`` lines that arrived before their order, expiring ``ttl_ms`` after they were cached.
 
-A line meets its order when both arrive less than ``ttl_ms`` apart (either
-order).  Each pair is emitted once (pending lines are dropped after the
-match).  State lives in the RocksDB state store under the query checkpoint.
-The per-key Python step is the slow path; the watermark join is the default.
+A line meets its order when both arrive less than ``ttl_ms`` apart (either order), in the version that is the latest at the
+end of that micro-batch.  Each pair is emitted once (pending lines are dropped after the match).  Rows are taken one by one and at
+most ``CHUNK`` lines are held outside the state store.  State lives in the RocksDB state store under the query checkpoint.
+The Python step is the slow path; the watermark join is the default.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -27,10 +27,12 @@ from ..plans.orders import merge_sale_detail
 
 INFO_COLS = ["i_id", "i_user_id", "i_status", "i_create_time", "i_dt"]
 DETAIL_COLS = ["d_id", "d_order_id", "d_sku_id", "d_sku_name", "d_price"]
-INFO_SCHEMA = ", ".join(f"{c} string" for c in INFO_COLS)
+INFO_SCHEMA = ", ".join(f"{c} string" for c in INFO_COLS) + ", arrival long"
 DETAIL_SCHEMA = ", ".join(f"{c} string" for c in DETAIL_COLS)
-OUT_SCHEMA = INFO_SCHEMA + ", " + DETAIL_SCHEMA
+OUT_SCHEMA = ", ".join(f"{c} string" for c in INFO_COLS) + ", " + DETAIL_SCHEMA
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CHUNK = 1000
 
 
 class TtlOrderLineJoin(StatefulProcessor):
@@ -41,28 +43,31 @@ class TtlOrderLineJoin(StatefulProcessor):
         self.info = handle.getValueState("info", INFO_SCHEMA, ttlDurationMs=self.ttl_ms)
         self.pending = handle.getListState("pending", DETAIL_SCHEMA, ttlDurationMs=self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        import pandas as pd
-
-        pdf = pd.concat(list(rows), ignore_index=True)
-        infos = pdf[pdf["side"] == "i"]
-        lines = [tuple(r) for r in pdf[pdf["side"] == "d"][DETAIL_COLS].itertuples(index=False)]
-        info = None
-        if len(infos):
-            info = tuple(infos.iloc[-1][INFO_COLS])
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self.info.get()
+        info, newer, lines = (tuple(held) if held is not None else None), False, []
+        for row in rows:
+            if row["side"] == "i":
+                if info is None or row["arrival"] >= info[-1]:
+                    info, newer = (*(row[c] for c in INFO_COLS), row["arrival"]), True
+                continue
+            lines.append(tuple(row[c] for c in DETAIL_COLS))
+            if len(lines) >= CHUNK:
+                self.pending.appendList(lines)
+                lines = []
+        if newer:
             self.info.update(info)                      # (re)cache the order, TTL restarts
-        elif self.info.exists():
-            info = tuple(self.info.get())
         if info is None:
             if lines:
                 self.pending.appendList(lines)          # wait for the order
             return
-        waiting = list(self.pending.get()) if self.pending.exists() else []
-        if waiting:
+        names = INFO_COLS + DETAIL_COLS
+        if self.pending.exists():
+            for line in self.pending.get():
+                yield Row(**dict(zip(names, (*info[:-1], *line))))
             self.pending.clear()
-        matched = [info + tuple(d) for d in waiting + lines]
-        if matched:
-            yield pd.DataFrame(matched, columns=INFO_COLS + DETAIL_COLS)
+        for line in lines:
+            yield Row(**dict(zip(names, (*info[:-1], *line))))
 
     def close(self) -> None:
         pass
@@ -77,22 +82,35 @@ def _ship_by_value() -> None:
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def ttl_sale_detail_stream(orders: DataFrame, details: DataFrame, ttl_ms: int = 10_000) -> DataFrame:
-    """Sale-detail rows from the processing-time TTL join (see module doc)."""
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """A query started inside keeps its state in RocksDB, which this join needs; the session's own setting comes back at the end."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
+
+
+def ttl_sale_detail_stream(orders: DataFrame, details: DataFrame, ttl_ms: int = 10_000, salts: int = 1, arrival: str | None = None) -> DataFrame:
+    """Sale-detail rows from the processing-time TTL join (see module doc).  ``arrival`` names the column of ``orders`` that numbers
+    arrivals (a topic offset, say); without it any of the versions in one micro-batch may stay.  Start the query inside ``rocksdb``."""
     _ship_by_value()
-    spark = orders.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     none = F.lit(None).cast("string")
-    i = orders.select(F.col("id").alias("key"), F.lit("i").alias("side"),
-                      *[F.col(c).cast("string").alias(a) for c, a in
-                        zip(["id", "user_id", "order_status", "create_time", "create_date"], INFO_COLS)],
+    number = F.lit(0).cast("long") if arrival is None else F.col(arrival).cast("long")
+    i = orders.select(F.col("id").alias("key"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit("i").alias("side"),
+                      number.alias("arrival"), *[F.col(c).cast("string").alias(a) for c, a in
+                                                 zip(["id", "user_id", "order_status", "create_time", "create_date"], INFO_COLS)],
                       *[none.alias(c) for c in DETAIL_COLS])
-    d = details.select(F.col("order_id").alias("key"), F.lit("d").alias("side"),
-                       *[none.alias(c) for c in INFO_COLS],
+    d = details.select(F.col("order_id").alias("key"), F.pmod(F.xxhash64("id", "sku_id"), F.lit(salts)).cast("int").alias("salt"),
+                       F.lit("d").alias("side"), F.lit(None).cast("long").alias("arrival"), *[none.alias(c) for c in INFO_COLS],
                        *[F.col(c).cast("string").alias(a) for c, a in
                          zip(["id", "order_id", "sku_id", "sku_name", "order_price"], DETAIL_COLS)])
-    joined = (i.unionByName(d).groupBy("key")
-                .transformWithStateInPandas(statefulProcessor=TtlOrderLineJoin(ttl_ms),
-                                            outputStructType=OUT_SCHEMA, outputMode="Append",
-                                            timeMode="ProcessingTime"))
+    joined = (i.unionByName(d).groupBy("key", "salt")
+                .transformWithState(statefulProcessor=TtlOrderLineJoin(ttl_ms), outputStructType=OUT_SCHEMA, outputMode="Append",
+                                    timeMode="ProcessingTime"))
     return merge_sale_detail(joined)

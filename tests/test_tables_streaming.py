@@ -337,7 +337,7 @@ def test_stream_interval_join_equals_batch_over_time_ordered_batches(spark, tmpd
 
 
 def test_processing_time_ttl_join_matches_across_batches(spark, tmpdir_spark):
-    from cartwheel.streaming.ttl_join import ttl_sale_detail_stream
+    from cartwheel.streaming.ttl_join import rocksdb, ttl_sale_detail_stream
     o_dir, l_dir = f"{tmpdir_spark}/o", f"{tmpdir_spark}/l"
     # lines arrive first (batch 1), their orders later (batch 2); one order never arrives
     lines = spark.createDataFrame([("1-1", "1", "10", "ring", "2.5"), ("1-2", "1", "11", "bolt", "3.0"),
@@ -354,8 +354,9 @@ def test_processing_time_ttl_join_matches_across_batches(spark, tmpdir_spark):
     ls_ = TopicSource("parquet", path=l_dir, schema=lines.schema, options={"maxFilesPerTrigger": "1"}).stream(spark)
     name = "ttl_" + uuid.uuid4().hex[:6]
     # processing-time TTL keeps expiry batches running: drive it, then stop
-    q = (ttl_sale_detail_stream(os_, ls_, 60_000).writeStream.format("memory").queryName(name)
-         .option("checkpointLocation", f"{tmpdir_spark}/ck").trigger(processingTime="1 second").start())
+    with rocksdb(spark):
+        q = (ttl_sale_detail_stream(os_, ls_, 60_000).writeStream.format("memory").queryName(name)
+             .option("checkpointLocation", f"{tmpdir_spark}/ck").trigger(processingTime="1 second").start())
     import time
     try:    # bounded wait: poll the sink instead of waiting for the query to go idle
         t0 = time.time()
@@ -367,6 +368,36 @@ def test_processing_time_ttl_join_matches_across_batches(spark, tmpdir_spark):
     assert got == [("1-1", "1", 2.5, "2024-01-01"), ("1-2", "1", 3.0, "2024-01-01")]
 
 
+def test_ttl_join_takes_versions_by_arrival_and_spreads_a_hot_order(spark, tmpdir_spark):
+    import time
+
+    from cartwheel.streaming.ttl_join import PROVIDER, rocksdb, ttl_sale_detail_stream
+    o_dir, l_dir = f"{tmpdir_spark}/o", f"{tmpdir_spark}/l"
+    order = "id string, user_id string, order_status string, create_time string, create_date string, offset long"
+    versions = [("hot", "u", s, "t", "d", n) for s, n in (("second", 2), ("first", 1), ("third", 3))] + [("x", "u", "only", "t", "d", 1)]
+    spark.createDataFrame(versions, order).repartition(2).write.parquet(o_dir)
+    lines = spark.range(2500).select(F.col("id").cast("string").alias("id"), F.lit("hot").alias("order_id"), F.lit("s").alias("sku_id"),
+                                     F.lit("n").alias("sku_name"), F.lit("1.5").alias("order_price"))
+    lines.write.parquet(l_dir)
+    before, name = spark.conf.get(PROVIDER, None), "ttl_" + uuid.uuid4().hex[:6]
+    sale = ttl_sale_detail_stream(TopicSource("parquet", path=o_dir).stream(spark), TopicSource("parquet", path=l_dir).stream(spark),
+                                  600_000, salts=4, arrival="offset")
+    assert "salt" in sale._jdf.queryExecution().logical().toString()
+    with rocksdb(spark):
+        q = (sale.writeStream.format("memory").queryName(name).option("checkpointLocation", f"{tmpdir_spark}/ck")
+                 .trigger(processingTime="1 second").start())
+    assert spark.conf.get(PROVIDER, None) == before
+    try:
+        t0 = time.time()
+        while time.time() - t0 < 90 and spark.table(name).count() < 2500:
+            time.sleep(2)
+    finally:
+        q.stop()
+    got = spark.table(name)
+    assert got.count() == got.select("order_detail_id").distinct().count() == 2500
+    assert {r.order_status for r in got.select("order_status").distinct().collect()} == {"third"}
+
+
 def test_stream_dau_resumes_from_checkpoint(spark, tmpdir_spark):
     """A stopped job restarted on the same checkpoint continues where it left
     off; the keyed table ends equal to the batch result."""
