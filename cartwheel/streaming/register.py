@@ -6,6 +6,7 @@ micro-batches through its sink.  Working folders are fresh per run, under the sh
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -26,6 +27,7 @@ from ..plans.orders import ORDER_COLUMNS, with_sku_name
 from ..plans.reports import dau_hours_compare, gmv_by_day
 from ..plans.users import USER_COLUMNS
 from . import jobs, late
+from .ttl_join import rocksdb, ttl_sale_detail_stream
 
 SLICES = 3
 
@@ -228,6 +230,41 @@ def q_stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("late").alias("kind"), "order_id", F.col("id").alias("order_detail_id"), "sku_id"))
 
 
+def q_stream_ttl_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The processing-time TTL join: half of the lines wait for their orders, which come in two versions, the other half find them.
+    Such a query never runs out of timers, so it is stopped once it has read everything."""
+    run = run_path(spark, "ttl")
+    orders = read_table(spark, sf, "orders", fx.ORDER_SOURCE)
+    lines = read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"])
+    versions = orders.withColumn("offset", F.lit(2)).unionByName(
+        orders.where("o_orderkey % 5 = 0").withColumns({"o_orderstatus": F.lit("early"), "offset": F.lit(1)}))
+    kinds = {"orders": versions, "lineitem": lines}
+    for name, rows in kinds.items():
+        rows.limit(0).write.parquet(f"{run}/src/{name}")
+    src = {name: TopicSource("parquet", path=f"{run}/src/{name}", schema=rows.schema).stream(spark) for name, rows in kinds.items()}
+    numbered = fx.order_info_from_orders(src["orders"].withColumn("o_orderstatus", F.concat_ws("/", "o_orderstatus", "offset")))
+    numbered = numbered.withColumns({"offset": F.substring_index("order_status", "/", -1).cast("long"),
+                                     "order_status": F.substring_index("order_status", "/", 1)})
+    sale = ttl_sale_detail_stream(numbered, fx.order_detail_from_lineitem(src["lineitem"]), 3_600_000, salts=2, arrival="offset")
+    with rocksdb(spark):
+        q = (sale.writeStream.option("checkpointLocation", f"{run}/ckpt").trigger(processingTime="1 second")
+             .foreachBatch(lambda batch, n: append(batch, f"{run}/sale", n)).start())
+    done, read = 0, {}                # rows read by micro-batch; the query itself remembers the last hundred only
+    try:
+        half = F.col("l_linenumber") % 2 == 0
+        for name, rows in (("lineitem", lines.where(half)), ("orders", versions), ("lineitem", lines.where(~half))):
+            done += rows.count()
+            rows.write.mode("append").parquet(f"{run}/src/{name}")
+            while q.isActive and sum(read.values()) < done:
+                time.sleep(0.5)
+                read.update({p["batchId"]: p["numInputRows"] for p in q.recentProgress if p["numInputRows"]})
+            if q.exception() is not None:
+                raise q.exception()
+    finally:
+        q.stop()
+    return stored(spark, f"{run}/sale").select("order_detail_id", "order_id", "order_status", "user_id", "sku_id", "sku_price")
+
+
 def stream_queries() -> dict:
     return {
         "stream_dau": q_stream_dau,
@@ -241,6 +278,7 @@ def stream_queries() -> dict:
         "stream_search_index": q_stream_search_index,
         "stream_change_feed": q_stream_change_feed,
         "stream_late_rows": q_stream_late_rows,
+        "stream_ttl_join": q_stream_ttl_join,
     }
 
 
@@ -278,6 +316,10 @@ UNION ALL SELECT 'shop.nation', CAST(n_nationkey AS VARCHAR), '{"n_nationkey":'
     return {
         "stream_change_feed": feed,
         "stream_late_rows": late_rows,
+        "stream_ttl_join": """
+SELECT l_orderkey || '-' || l_linenumber AS order_detail_id, CAST(o_orderkey AS VARCHAR) AS order_id, o_orderstatus AS order_status,
+       CAST(o_custkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS sku_id, CAST(l_extendedprice AS DOUBLE) AS sku_price
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
         "stream_dau": batch_sql["dau_first_per_device"],
         "stream_dau_report": batch_sql["dau_hours_compare"],
         "stream_order_table": batch_sql["order_enrich"],
