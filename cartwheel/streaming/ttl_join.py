@@ -62,9 +62,11 @@ class TtlOrderLineJoin(StatefulProcessor):
                 self.pending.appendList(lines)          # wait for the order
             return
         names = INFO_COLS + DETAIL_COLS
-        if self.pending.exists():
-            for line in self.pending.get():
-                yield Row(**dict(zip(names, (*info[:-1], *line))))
+        waited = False
+        for line in self.pending.get():
+            waited = True
+            yield Row(**dict(zip(names, (*info[:-1], *line))))
+        if waited:
             self.pending.clear()
         for line in lines:
             yield Row(**dict(zip(names, (*info[:-1], *line))))
@@ -96,7 +98,7 @@ def rocksdb(spark: SparkSession):
             spark.conf.set(PROVIDER, before)
 
 
-def ttl_sale_detail_stream(orders: DataFrame, details: DataFrame, ttl_ms: int = 10_000, salts: int = 1, arrival: str | None = None) -> DataFrame:
+def ttl_sale_detail_stream(orders: DataFrame, details: DataFrame, ttl_ms: int = 10_000, salts: int = 4, arrival: str | None = None) -> DataFrame:
     """Sale-detail rows from the processing-time TTL join (see module doc).  ``arrival`` names the column of ``orders`` that numbers
     arrivals (a topic offset, say); without it any of the versions in one micro-batch may stay.  Start the query inside ``rocksdb``."""
     _ship_by_value()
