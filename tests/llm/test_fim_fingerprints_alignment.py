@@ -243,7 +243,7 @@ def plain_alignment(rows):
     return Counter(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"piece": 40, "span": 16, "fan": 2, "cache": 64}, {"piece": 150, "span": 1, "fan": 3, "cache": 0}])
+@pytest.mark.parametrize("options", [{}, {"piece": 40, "span": 16, "fan": 8, "cache": 64}, {"piece": 150, "span": 2, "fan": 30, "cache": 0}])
 def test_alignment_equals_plain_version(spark, options):
     rows = [r for r in many_rows() if len(r[1] or "") < 400][:30] + many_rows()[-14:]
     out = alignment.align(documents(spark, rows), A, B, **options).collect()
