@@ -60,12 +60,13 @@ def test_live_folders_and_rewrites_grow_with_the_logarithm():
 
 
 def test_many_micro_batches_stay_few_files(spark, tmpdir_spark):
-    p, n = f"{tmpdir_spark}/t", 80
+    p, n = f"{tmpdir_spark}/t", 30
     for b in range(n):
         append(spark.range(b, b + 3).select((F.col("id") % 40).cast("string").alias("id"), F.lit(b).cast("long").alias("v")), p, b)
-        tidy(spark, p, "id", ["v"], retain=0)
+        tidy(spark, p, "id", ["v"], fan=3, retain=0)                               # three levels
     s, files = snapshots.current(spark, p), snapshots.Files(spark, p)
-    assert len(s.live) <= 3 * 8 and len(files.names(f"{p}/data")) <= len(s.live) + 8 and len(files.names(f"{p}/_snapshots")) <= 64
+    assert len(s.live) <= 3 * 3 and len(files.names(f"{p}/data")) <= len(s.live) + 3 and len(files.names(f"{p}/_snapshots")) <= 30
+    assert max(f.level for f in s.live) == 3
     want = {str((b + i) % 40): b for b in range(n) for i in range(3)}
     assert {r.id: r.v for r in read_keyed(spark, p, "id", ["v"]).collect()} == want
 
