@@ -239,6 +239,7 @@ def q_stream_ttl_join(spark: SparkSession, sf: str) -> DataFrame:
     lines = read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"])
     versions = orders.withColumn("offset", F.lit(2)).unionByName(
         orders.where("o_orderkey % 5 = 0").withColumns({"o_orderstatus": F.lit("early"), "offset": F.lit(1)}))
+    versions = versions.repartition("o_orderkey")       # the versions of an order in one file, so in one micro-batch
     kinds = {"orders": versions, "lineitem": lines}
     for name, rows in kinds.items():
         rows.limit(0).write.parquet(f"{run}/src/{name}")

@@ -399,6 +399,54 @@ def test_ttl_join_takes_versions_by_arrival_and_spreads_a_hot_order(spark, tmpdi
     assert {r.order_status for r in got.select("order_status").distinct().collect()} == {"third"}
 
 
+def test_ttl_join_state_is_kept_by_buckets_of_orders(spark, tmpdir_spark, monkeypatch):
+    """3000 orders in three micro-batches: the state has an entry per bucket and micro-batch, not per order.  Each line comes out
+    once, in the version that was the latest when it met its order; lines beyond what a group may hold go through the state."""
+    import time
+
+    from cartwheel.streaming import ttl_join
+    monkeypatch.setattr(ttl_join, "BUCKETS", 8)
+    monkeypatch.setattr(ttl_join, "CHUNK", 100)
+    monkeypatch.setattr(ttl_join, "PIECE", 150)
+    o_dir, l_dir, name = f"{tmpdir_spark}/o", f"{tmpdir_spark}/l", "ttl_" + uuid.uuid4().hex[:6]
+    order = lambda a, b, status, n: spark.range(a, b).select(
+        F.col("id").cast("string").alias("id"), F.lit("u").alias("user_id"), F.lit(status).alias("order_status"),
+        F.lit("t").alias("create_time"), F.lit("d").alias("create_date"), F.lit(n).cast("long").alias("offset"))
+    line = lambda a, b, kind: spark.range(a, b).select(
+        F.concat(F.lit(kind), F.col("id")).alias("id"), F.col("id").cast("string").alias("order_id"), F.lit("s").alias("sku_id"),
+        F.lit("n").alias("sku_name"), F.lit("1.5").alias("order_price"))
+    steps = [(None, line(0, 3500, "a")),                                              # wait
+             (order(0, 3000, "one", 5), line(0, 3000, "b")),
+             (order(0, 1000, "two", 6).unionByName(order(1000, 2000, "old", 4)), line(0, 3000, "c"))]
+    order(0, 0, "", 0).write.parquet(o_dir)
+    line(0, 0, "").write.parquet(l_dir)
+    sale = ttl_join.ttl_sale_detail_stream(TopicSource("parquet", path=o_dir).stream(spark), TopicSource("parquet", path=l_dir).stream(spark),
+                                           600_000, salts=1, arrival="offset")
+    with ttl_join.rocksdb(spark):
+        q = (sale.writeStream.format("memory").queryName(name).option("checkpointLocation", f"{tmpdir_spark}/ck")
+                 .trigger(processingTime="2 seconds").start())
+    entries, done, seen = 0, 0, {}
+    try:
+        for orders, lines in steps:
+            both = [(o_dir, orders.coalesce(1))] if orders is not None else []
+            for place, rows in [*both, (l_dir, lines.coalesce(1))]:
+                done += rows.count()
+                rows.write.mode("append").parquet(place)
+                t0 = time.time()
+                while time.time() - t0 < 90 and sum(seen.values()) < done:
+                    time.sleep(0.5)
+                    for p in q.recentProgress:
+                        seen[p["batchId"]] = p["numInputRows"]
+                        entries = max(entries, p["stateOperators"][0]["numRowsTotal"])
+    finally:
+        q.stop()
+    want = {**{f"a{i}": "one" for i in range(3000)}, **{f"b{i}": "one" for i in range(3000)},
+            **{f"c{i}": "two" if i < 1000 else "one" for i in range(3000)}}
+    got = [(r.order_detail_id, r.order_status) for r in spark.table(name).collect()]
+    assert len(got) == len(want) and dict(got) == want
+    assert 0 < entries < 500
+
+
 def test_stream_dau_resumes_from_checkpoint(spark, tmpdir_spark):
     """A stopped job restarted on the same checkpoint continues where it left
     off; the keyed table ends equal to the batch result."""
