@@ -32,17 +32,23 @@ def _bucket(term, buckets: int):
 
 
 def document_terms(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, length, terms array<struct<term, tf>>) of every document; a null text has no terms."""
-    t = docs.select(F.col(id_col).alias("doc"), F.explode_outer(tokens(F.coalesce(F.col(text_col), F.lit("")))).alias("term"))
+    """(doc, length, terms array<struct<term, tf>>) of every document; a null text has no terms.  The texts are shuffled, by
+    document, and not their terms: both counts below find their rows together."""
+    together = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).repartition("doc")
+    t = together.select("doc", F.explode_outer(tokens("_text")).alias("term"))
     counted = t.groupBy("doc", "term").agg(F.count("term").cast("int").alias("tf"))
     return counted.groupBy("doc").agg(F.sum("tf").cast("long").alias("length"),
                                       F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", "tf"))).alias("terms"))
 
 
-def _current_documents(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    """The documents as micro-batches below ``before`` left them."""
-    table = stored(spark, f"{path}/documents")
-    return None if table is None else pick_per_key(table.where(F.col(BATCH) < before), "doc", [BATCH], "last")
+def _replaced(spark: SparkSession, path: str, new: DataFrame, before: int) -> DataFrame | None:
+    """The documents of ``new`` as micro-batches below ``before`` left them; None if there are no such micro-batches.  Rows outside
+    the range of the new ids are dropped where they are read."""
+    if not any(f.low < before for f in snapshots.current(spark, f"{path}/documents").live):
+        return None
+    low, high = new.agg(F.min("doc")).scalar(), new.agg(F.max("doc")).scalar()
+    table = stored(spark, f"{path}/documents").where((F.col(BATCH) < before) & F.col("doc").between(low, high))
+    return pick_per_key(table, "doc", [BATCH], "last").join(new.select("doc"), "doc", "left_semi").drop(BATCH)
 
 
 def index_batch(docs: DataFrame, path: str, batch_id: int, id_col: str = "doc_id", text_col: str = "text", order_by=(),
@@ -53,18 +59,20 @@ def index_batch(docs: DataFrame, path: str, batch_id: int, id_col: str = "doc_id
     rows = docs.where(F.col(id_col).isNotNull())
     if order_by:
         rows = latest_per_key(rows, id_col, list(order_by))
-    append(document_terms(rows, id_col, text_col), f"{path}/documents", batch_id)
+    append(document_terms(rows, id_col, text_col), f"{path}/documents", batch_id, arranged=True)
     new = stored(spark, f"{path}/documents").where(F.col(BATCH) == batch_id).drop(BATCH)     # read back, so texts are analysed once
-    old = _current_documents(spark, path, batch_id)
-    old = old.join(new.select("doc"), "doc", "left_semi").drop(BATCH)
+    old = _replaced(spark, path, new, batch_id)
     postings = new.select("doc", "length", F.explode("terms").alias("t")).select(_bucket("t.term", buckets).alias("bucket"), "t.term", "doc", "t.tf", "length")
-    names = lambda c: F.transform(c, lambda x: x["term"])
-    gone = (old.select("doc", F.col("terms").alias("before")).join(new.select("doc", "terms"), "doc")
-            .select("doc", F.explode(F.array_except(names(F.col("before")), names(F.col("terms")))).alias("term"))
-            .select(_bucket("term", buckets).alias("bucket"), "term", "doc", F.lit(0).alias("tf"), F.lit(0).cast("long").alias("length")))
-    append(postings.unionByName(gone), f"{path}/postings", batch_id, "bucket")
     size = lambda df, sign: df.agg((sign * F.count("*")).alias("documents"), (sign * F.coalesce(F.sum("length"), F.lit(0))).alias("tokens"))
-    change = size(new, 1).unionByName(size(old, -1)).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+    change = size(new, 1)
+    if old is not None:
+        names = lambda c: F.transform(c, lambda x: x["term"])
+        gone = (old.select("doc", F.col("terms").alias("before")).join(new.select("doc", "terms"), "doc")
+                .select("doc", F.explode(F.array_except(names(F.col("before")), names(F.col("terms")))).alias("term"))
+                .select(_bucket("term", buckets).alias("bucket"), "term", "doc", F.lit(0).alias("tf"), F.lit(0).cast("long").alias("length")))
+        postings = postings.unionByName(gone)
+        change = change.unionByName(size(old, -1)).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+    append(postings, f"{path}/postings", batch_id, "bucket")
     append(change, f"{path}/statistics", batch_id)
     tidy(spark, f"{path}/documents", "doc")
     tidy(spark, f"{path}/postings", ["bucket", "term", "doc"])

@@ -29,9 +29,9 @@ def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols or [])
 
 
-def _write(rows: DataFrame, place: str, parts: list[str]) -> None:
+def _write(rows: DataFrame, place: str, parts: list[str], arranged: bool = False) -> None:
     # few files per partition; AQE still splits a skewed partition value
-    rows.hint("rebalance", *parts).write.partitionBy(*parts).parquet(place)
+    (rows if arranged else rows.hint("rebalance", *parts)).write.partitionBy(*parts).parquet(place)
 
 
 def _with_columns_of(stored_schema: StructType, new: StructType) -> StructType:
@@ -43,13 +43,14 @@ def _with_columns_of(stored_schema: StructType, new: StructType) -> StructType:
     return StructType([*stored_schema, *(f for f in new if f.name not in known)])
 
 
-def append(batch: DataFrame, path: str, batch_id: int, partition_by=None) -> None:
-    """Write ``batch`` as micro-batch ``batch_id`` of the table; a replay replaces that micro-batch only."""
+def append(batch: DataFrame, path: str, batch_id: int, partition_by=None, arranged: bool = False) -> None:
+    """Write ``batch`` as micro-batch ``batch_id`` of the table; a replay replaces that micro-batch only.  ``arranged``: the rows lie
+    in few partitions that suit the table, and are not shuffled for it."""
     spark, parts, number = batch.sparkSession, _names(partition_by), int(batch_id)
     out = batch.withColumn(BATCH, F.lit(number).cast("long"))
     snapshots.create(spark, path, out.schema, parts)
     name, place = snapshots.new_folder(path)
-    _write(out, place, parts)
+    _write(out, place, parts, arranged)
     filled = snapshots.Files(spark, path).holds_data(place)
 
     def add(s: Snapshot) -> bool:

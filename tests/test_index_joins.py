@@ -65,6 +65,22 @@ def test_a_query_reads_the_postings_of_its_terms(spark, tmpdir_spark):
     assert 0 < read.count() < 100
 
 
+def test_indexing_shuffles_texts_not_their_terms(spark, tmpdir_spark):
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("que la que").alias("text"))
+    p = plan(index.document_terms(docs, "doc_id", "text"))
+    assert p.split("Initial Plan")[-1].count("Exchange") == 2       # the exchange in the tree and in the list of nodes
+    path = f"{tmpdir_spark}/index"
+    index.index_batch(docs, path, 0, buckets=2)
+    new = stored(spark, f"{path}/documents")
+    assert index._replaced(spark, path, new, 0) is None
+    again = docs.where("doc_id >= 45").withColumn("text", F.lit("la"))
+    old = index._replaced(spark, path, again.select(F.col("doc_id").alias("doc")), 1)
+    assert sorted(r.doc for r in old.collect()) == [45, 46, 47, 48, 49]
+    index.index_batch(again, path, 1, buckets=2)
+    assert index.postings_of(spark, path, ["que"], 2).count() == 45
+    assert index.statistics(spark, path).first()[:] == (50, 140)
+
+
 @pytest.mark.parametrize("fraction", [1.0, 0.2, 0.0001])
 def test_full_outer_equals_plain_join(spark, fraction):
     rng = random.Random(5)
