@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import index
 from ..operators.joins import interval_join
-from ..operators.upsert import append, stored
+from ..operators.upsert import append, stored, tidy
 from ..session import run_path
 from ..sources import fixtures as fx
 from ..sources.log import append_log, read_log
@@ -179,9 +179,10 @@ def q_stream_change_feed(spark: SparkSession, sf: str) -> DataFrame:
 
     def start(lost_at: int | None) -> StreamingQuery:
         def write(batch: DataFrame, batch_id: int) -> None:
-            append(batch, table, batch_id)
+            append(batch, table, batch_id, arranged=True)       # a file's messages
             if batch_id == lost_at:
                 raise RuntimeError("the driver is lost")
+            tidy(spark, table)
         return (read_log(spark, log, "shop.*").writeStream.option("checkpointLocation", f"{run}/ckpt").trigger(availableNow=True)
                 .foreachBatch(write).start())
 

@@ -108,3 +108,20 @@ def test_facets_plan_the_joins_once(spark):
     facets, page = (plan(E.queries()[q](spark, SF_SMALL)) for q in ("sale_search_facets", "sale_search_page"))
     scans = lambda p: p.split("\n\n")[0].count("Scan parquet")
     assert 0 < scans(facets) <= scans(page)
+
+
+def test_a_commit_lists_no_earlier_versions(spark, tmpdir_spark, monkeypatch):
+    from cartwheel.operators import snapshots, upsert
+    path, listed = f"{tmpdir_spark}/t", []
+    rows = spark.range(3).withColumn("v", F.lit("x"))
+    upsert.append(rows, path, 0)
+    names = snapshots.Files.names
+    monkeypatch.setattr(snapshots.Files, "names", lambda self, p: listed.append(p) or names(self, p))
+    for batch in range(1, 4):
+        upsert.append(rows, path, batch, arranged=True)
+    assert upsert.stored(spark, path).count() == 12 and snapshots.current(spark, path).version == 4
+    assert not [p for p in listed if p.endswith("_snapshots")]
+    snapshots._seen.clear()                                    # another process: the list is read, once
+    assert snapshots.current(spark, path).version == 4 and len([p for p in listed if p.endswith("_snapshots")]) == 1
+    with pytest.raises(RuntimeError, match="expired"):
+        snapshots.current(spark, path, 9)
