@@ -9,6 +9,9 @@ the ``read_*`` functions pick one row per key.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,18 +142,23 @@ def version_for_batch(spark: SparkSession, path: str, checkpoint: str, batch_id:
 
 # ---- sale detail ----------------------------------------------------------------------
 
+def _order_side(orders: DataFrame) -> DataFrame:
+    return orders.select(F.col("id").alias("i_id"), F.col("user_id").alias("i_user_id"),
+                         F.col("order_status").alias("i_status"), F.col("create_time").alias("i_create_time"),
+                         F.col("create_date").alias("i_dt"), F.col("event_ts").alias("i_ts"))
+
+
+def _line_side(details: DataFrame) -> DataFrame:
+    return details.select(F.col("id").alias("d_id"), F.col("order_id").alias("d_order_id"),
+                          F.col("sku_id").alias("d_sku_id"), F.col("sku_name").alias("d_sku_name"),
+                          F.col("order_price").alias("d_price"), F.col("event_ts").alias("d_ts"))
+
+
 def sale_detail_stream(orders: DataFrame, details: DataFrame, bound: str = JOIN_LATE_BOUND,
                        how: str = "inner") -> DataFrame:
     """Stream-stream interval join; watermarks on both sides bound the join
     state to ``bound`` of event time (what a TTL cache approximated)."""
-    i = orders.select(F.col("id").alias("i_id"), F.col("user_id").alias("i_user_id"),
-                      F.col("order_status").alias("i_status"), F.col("create_time").alias("i_create_time"),
-                      F.col("create_date").alias("i_dt"), F.col("event_ts").alias("i_ts")
-                      ).withWatermark("i_ts", bound)
-    d = details.select(F.col("id").alias("d_id"), F.col("order_id").alias("d_order_id"),
-                       F.col("sku_id").alias("d_sku_id"), F.col("sku_name").alias("d_sku_name"),
-                       F.col("order_price").alias("d_price"), F.col("event_ts").alias("d_ts")
-                       ).withWatermark("d_ts", bound)
+    i, d = _order_side(orders).withWatermark("i_ts", bound), _line_side(details).withWatermark("d_ts", bound)
     return merge_sale_detail(interval_join(i, d, "i_id", "d_order_id", "i_ts", "d_ts", bound, bound, how))
 
 
@@ -170,7 +178,11 @@ def start_sale_detail(sale: DataFrame, out_path: str, checkpoint: str, users_pat
     so a micro-batch touches one partition; ``partition='event_day'`` uses
     the order's create date (``dt``) instead."""
     first = first_number(sale.sparkSession, out_path, checkpoint)
+    write = _sale_writer(out_path, checkpoint, first, users_path, as_of, keys, partition)
+    return _writer(sale, "sale_detail", checkpoint, trigger, available_now).foreachBatch(write).start()
 
+
+def _sale_writer(out_path, checkpoint, first, users_path, as_of, keys, partition):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         version = version_for_batch(spark, users_path, checkpoint, batch_id) if users_path else None    # a damaged table raises
@@ -186,7 +198,65 @@ def start_sale_detail(sale: DataFrame, out_path: str, checkpoint: str, users_pat
             part_col = "dt"
         append(fill_missing_ids(docs, keys[0]), out_path, first + batch_id, part_col)
         tidy(spark, out_path, list(keys), SALE_ORDER)
-    return _writer(sale, "sale_detail", checkpoint, trigger, available_now).foreachBatch(write).start()
+    return write
+
+
+def start_sale_detail_join(orders: DataFrame, details: DataFrame, out_path: str, checkpoint: str, bound: str = JOIN_LATE_BOUND,
+                           shape: Callable[[DataFrame], DataFrame] | None = None, users_path: str | None = None, as_of=None,
+                           keys=("order_detail_id",), partition: str = "processing_day",
+                           trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
+    """``start_sale_detail`` over the inner join that ``sale_detail_stream`` makes, for large micro-batches.
+
+    The engine's join puts every row of a micro-batch into its state store and takes it out again once the watermark has passed.
+    Here a micro-batch is joined as it lies, with the rows that earlier ones left open, and only those rows stay open that a later
+    one can still meet: within ``bound`` of the watermark, which is ``bound`` behind the slower side.  Rows that come after the
+    watermark has passed them are dropped, as the engine does.  Open rows and the watermark are written beside the checkpoint, per
+    micro-batch, so a replay finds those of its predecessor.  ``shape`` changes the pairs before users are looked up."""
+    sides = _order_side(orders).unionByName(_line_side(details), allowMissingColumns=True)
+    first = first_number(sides.sparkSession, out_path, checkpoint)
+    write_sale = _sale_writer(out_path, checkpoint, first, users_path, as_of, keys, partition)
+    time = F.coalesce("i_ts", "d_ts")       # a row has one side; rows without a time match nothing
+    files = snapshots.Files(sides.sparkSession, checkpoint)
+    open_rows, mark = lambda n: f"{checkpoint}/open/{n}", lambda n: f"{checkpoint}/watermarks/{n}"
+    newest: dict[str, int] = {}         # greatest time of a side in this run, in ms: like the engine's, it starts anew with the run
+
+    def back(spark: SparkSession, ms: int) -> int:
+        return spark.sql(f"SELECT unix_millis(timestamp_millis({ms}) - INTERVAL {bound})").first()[0]
+
+    def after(ms: int | None):
+        return F.lit(True) if ms is None else time > F.timestamp_millis(F.lit(ms))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        spark.conf.set("spark.sql.adaptive.enabled", "true")     # of the stream's own session; nothing is kept in state stores
+        spark.conf.set("spark.sql.inMemoryColumnarStorage.compressed", "false")     # rows are read a few times only
+        rows, watermark = batch.where(time.isNotNull()).withColumn("fresh", F.lit(True)), None
+        if batch_id:
+            watermark = json.loads(files.read(mark(batch_id - 1)))
+            kept = spark.read.schema(batch.schema).parquet(open_rows(batch_id - 1))
+            rows = rows.where(after(watermark)).unionByName(kept.withColumn("fresh", F.lit(False)))
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # first, so one pass fills the cache; the two sides of the join would wait for each other's blocks
+            found = rows.where("fresh").agg(*[F.unix_millis(F.max(c)).alias(c) for c in ("i_ts", "d_ts")]).first().asDict()
+            newest.update({c: max(ms, newest.get(c, ms)) for c, ms in found.items() if ms is not None})
+            if len(newest) == 2:
+                passed = back(spark, min(newest.values()))
+                watermark = passed if watermark is None else max(watermark, passed)
+            i = rows.where(F.col("i_ts").isNotNull()).select(*[c for c in rows.columns if c.startswith("i_")], F.col("fresh").alias("i_fresh"))
+            d = rows.where(F.col("d_ts").isNotNull()).select(*[c for c in rows.columns if c.startswith("d_")], F.col("fresh").alias("d_fresh"))
+            pairs = interval_join(i, d, "i_id", "d_order_id", "i_ts", "d_ts", bound, bound).where("i_fresh OR d_fresh")
+            sale = merge_sale_detail(pairs)
+            write_sale(shape(sale) if shape else sale, batch_id)
+            still = rows.where(after(None if watermark is None else back(spark, watermark)))
+            still.drop("fresh").hint("rebalance").write.mode("overwrite").parquet(open_rows(batch_id))
+            files.delete(mark(batch_id))        # that of an attempt before
+            files.create(mark(batch_id), json.dumps(watermark))
+            for of in (open_rows, mark):
+                files.delete(of(batch_id - 2))      # the engine replays the last micro-batch only
+        finally:
+            rows.unpersist()
+    return _writer(sides, "sale_detail", checkpoint, trigger, available_now).foreachBatch(write).start()
 
 
 def read_sale_detail(spark: SparkSession, path: str, keys=("order_detail_id",)) -> DataFrame:

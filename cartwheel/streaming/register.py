@@ -123,10 +123,9 @@ def q_stream_sale_detail(spark: SparkSession, sf: str) -> DataFrame:
 
     # the fixture's line id repeats across lines; the line's item completes the document key
     def start(s):
-        sale = jobs.sale_detail_stream(fx.order_info_from_orders(s["orders"]), fx.order_detail_from_lineitem(s["lineitem"]),
-                                       R.JOIN_BOUND)
-        return jobs.start_sale_detail(with_sku_name(sale, names), out, f"{run}/ckpt_sale", users_path=users, as_of=R.AS_OF,
-                                      keys=("order_detail_id", "sku_id"), available_now=True)
+        return jobs.start_sale_detail_join(fx.order_info_from_orders(s["orders"]), fx.order_detail_from_lineitem(s["lineitem"]), out,
+                                           f"{run}/ckpt_sale", R.JOIN_BOUND, lambda sale: with_sku_name(sale, names), users_path=users,
+                                           as_of=R.AS_OF, keys=("order_detail_id", "sku_id"), available_now=True)
     _run(spark, run, feeds, start)
     return jobs.read_sale_detail(spark, out, ("order_detail_id", "sku_id")).select(
         "order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id", "user_gender",
