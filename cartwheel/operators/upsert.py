@@ -11,6 +11,9 @@ times.  ``tidy``, which the streaming jobs call after every write, also deletes
 
 from __future__ import annotations
 
+import functools
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +26,7 @@ from .snapshots import FOLDER, Folder, Snapshot
 BATCH = "batch_id"
 FAN = 8
 RETAIN = 3600.0
+UNPUBLISHED = {"mapreduce.fileoutputcommitter.algorithm.version": "2", "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 
 
 def _names(cols) -> list[str]:
@@ -30,8 +34,9 @@ def _names(cols) -> list[str]:
 
 
 def _write(rows: DataFrame, place: str, parts: list[str], arranged: bool = False) -> None:
-    # few files per partition; AQE still splits a skewed partition value
-    (rows if arranged else rows.hint("rebalance", *parts)).write.partitionBy(*parts).parquet(place)
+    # few files per partition; AQE still splits a skewed partition value.  A folder counts only once a snapshot names it, so its
+    # files are not moved again when the job ends, nor marked as whole
+    (rows if arranged else rows.hint("rebalance", *parts)).write.partitionBy(*parts).options(**UNPUBLISHED).parquet(place)
 
 
 def _with_columns_of(stored_schema: StructType, new: StructType) -> StructType:
@@ -155,6 +160,31 @@ def tidy(spark: SparkSession, path: str, keys=None, order_by=(), keep: str = "la
         snapshots.expire(spark, path, retain)
 
 
+class TidyBeside:
+    """``tidy`` beside a writer of many small micro-batches, which calls this after a write and does not wait: one ``tidy`` at a
+    time, in a thread of its own.  A failure is raised at the next call; leaving the ``with`` block merges what is still due."""
+
+    def __init__(self, spark: SparkSession, path: str, *args, **options):
+        self.tidy = functools.partial(tidy, spark, path, *args, **options)
+        self.thread, self.running = ThreadPoolExecutor(1), None
+
+    def __call__(self) -> None:
+        if self.running is None or self.running.done():
+            if self.running is not None:
+                self.running.result()
+            self.running = self.thread.submit(self.tidy)
+
+    def __enter__(self) -> TidyBeside:
+        return self
+
+    def __exit__(self, kind, *_) -> None:
+        self.thread.shutdown(wait=True)
+        if kind is None:
+            if self.running is not None:
+                self.running.result()
+            self.tidy()
+
+
 def fill_missing_ids(df: DataFrame, id_col: str) -> DataFrame:
     """Every row without an id gets one of its own (content and place), so equal rows without ids all stay."""
     content = F.sha2(F.to_json(F.struct(*[c for c in df.columns if c != id_col])), 256)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -80,6 +81,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+CHECKPOINT_FILES = "spark.sql.streaming.checkpointFileManagerClass"
+PLAIN_RENAMES = "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
+SOURCE_CLEANUP = "spark.sql.streaming.fileSource.log.cleanupDelay"
+
+
+@contextlib.contextmanager
+def many_batches(spark: SparkSession, path: str):
+    """For queries of many small micro-batches with checkpoints below ``path``: start them inside.  The file source forgets the lists
+    of old micro-batches after some seconds, as every micro-batch looks through those that it keeps.  In local folders
+    progress is noted through Spark's ``FileSystem`` based file manager: the default one starts some fifteen processes for a file (Hadoop's
+    ``stat`` and ``chmod``) and is no safer there, as both look whether the file is there, then rename.  What the session itself sets
+    stays, and comes back at the end."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+    wanted = {SOURCE_CLEANUP: "10s"} | ({CHECKPOINT_FILES: PLAIN_RENAMES} if where == "file" else {})
+    set_here = [k for k in wanted if k not in spark.conf.getAll]
+    for k in set_here:
+        spark.conf.set(k, wanted[k])
+    try:
+        yield
+    finally:
+        for k in set_here:
+            spark.conf.unset(k)
+
+
 def run_path(spark: SparkSession, name: str) -> str:
     """A fresh working folder for one run, under the shared folder."""
     return work_path(spark, "runs", f"{name}-{uuid.uuid4().hex[:12]}")

@@ -1,11 +1,12 @@
 """Topic log in files: partitioned, offset-numbered messages that streams read in bounded micro-batches.
 
-``append_log`` writes a micro-batch of messages below ``<path>/<batch>/topic=<topic>/``, files of at most ``segment`` messages each.  A message's
-partition is the hash of its key; offsets count from 0 without gaps in every (topic, partition), in the order given.  A
-batch that is appended again is left as it is, so a replay repeats nothing.
+``append_log`` writes a micro-batch of messages below ``<path>/<batch>/topic_=<topic>/part_=<partition>/``, files of at most ``segment`` messages
+each.  A message's partition is the hash of its key; offsets count from 0 without gaps in every (topic, partition), in the
+order given.  A batch that is appended again is left as it is, so a replay repeats nothing.
 
 ``read_log`` streams the topics of a pattern, at most ``most`` messages a micro-batch, from the earliest message or from those after its first
-start (``latest``).  Progress lives in the stream's checkpoint: a stream that stops in mid-log goes on behind its last batch."""
+start (``latest``).  Progress lives in the stream's checkpoint: a stream that stops in mid-log goes on behind its last batch.  One stream
+reads all partitions, or a group of streams one partition each (``part``), side by side."""
 
 from __future__ import annotations
 
@@ -58,17 +59,19 @@ def append_log(messages: DataFrame, path: str, batch: int, order_by=("key",), pa
     before = heads(spark, path).select("topic", "part", "next")
     rows = (numbered.join(F.broadcast(before), ["topic", "part"], "left")          # a row per log partition
             .select("topic", "part", (F.col("_n") + F.coalesce("next", F.lit(0))).cast("long").alias("offset"), F.col("key").cast("string"),
-                    F.col("value").cast("string"), F.col("topic").alias("_folder")))
-    rows = rows.repartition("topic", "part").sortWithinPartitions("topic", "part", "offset").withColumnRenamed("_folder", "topic_")
-    write_once(rows, place, ["topic_"], maxRecordsPerFile=segment)
+                    F.col("value").cast("string"), F.col("topic").alias("topic_"), F.col("part").alias("part_")))
+    # a log partition's files come one after another: streams read the oldest first
+    rows = rows.repartition("topic", "part").sortWithinPartitions("topic", "part", "offset")
+    write_once(rows, place, ["topic_", "part_"], maxRecordsPerFile=segment)
 
 
 def read_log(spark: SparkSession, path: str, topics: str = "*", most: int = SEGMENT, segment: int = SEGMENT, starting: str = "earliest",
-             checkpoint: str | None = None) -> DataFrame:
-    """The log as a stream (``SCHEMA``): topics by file pattern, ``most`` messages a micro-batch (at least one file's).
+             checkpoint: str | None = None, part: int | None = None) -> DataFrame:
+    """The log as a stream (``SCHEMA``): topics by file pattern, ``most`` messages a micro-batch (at least one file's).  ``part``: only that
+    partition of the topics; the streams of all partitions read every message once, each with a checkpoint of its own.
     ``starting='latest'`` notes where the log ends beside the ``checkpoint`` at its first start and leaves earlier messages out."""
     rows = (spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max(1, most // segment))
-            .parquet(f"{path}/*/topic_={topics}"))
+            .parquet(f"{path}/*/topic_={topics}" + ("" if part is None else f"/part_={part}")))
     if starting == "earliest":
         return rows
     note = f"{checkpoint}/starting_offsets"

@@ -6,6 +6,9 @@ micro-batches through its sink.  Working folders are fresh per run, under the sh
 
 from __future__ import annotations
 
+import contextlib
+import functools
+import itertools
 import time
 from collections.abc import Callable
 
@@ -16,8 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import index
 from ..operators.joins import interval_join
-from ..operators.upsert import append, stored, tidy
-from ..session import run_path
+from ..operators.upsert import TidyBeside, append, stored
+from ..session import many_batches, run_path
 from ..sources import fixtures as fx
 from ..sources.log import append_log, read_log
 from ..sources.tables import read_table
@@ -165,31 +168,46 @@ def q_stream_search_index(spark: SparkSession, sf: str) -> DataFrame:
     return index.ranked(spark, f"{run}/index", R.MATCH_TEXT).select(F.col("doc").alias("doc_id"), F.round("score", 4).alias("score"))
 
 
+FEED_PARTITIONS = 2
+
+
 def q_stream_change_feed(spark: SparkSession, sf: str) -> DataFrame:
-    """Changes of three tables as a topic log; the topics of a pattern are read at most 100 messages a micro-batch.  The job is lost
-    in mid-log, after a micro-batch was written but before it was noted, and goes on from its checkpoint."""
+    """Changes of three tables as a topic log; the topics of a pattern are read at most 100 messages a micro-batch, by a stream for
+    each log partition.  The job is lost in mid-log, after a micro-batch was written but before it was noted, and goes on from its
+    checkpoints."""
     run = run_path(spark, "feed")
-    log, table = f"{run}/log", f"{run}/messages"
+    log, tables = f"{run}/log", [f"{run}/messages/{part}" for part in range(FEED_PARTITIONS)]
     for number, (topic, name, key) in enumerate((("shop.supplier", "supplier", "s_suppkey"), ("shop.nation", "nation", "n_nationkey"),
                                                  ("other.region", "region", "r_regionkey"))):
         rows = read_table(spark, sf, name)
         append_log(rows.select(F.lit(topic).alias("topic"), F.col(key).cast("string").alias("key"), F.to_json(F.struct(key)).alias("value")),
-                   log, number, partitions=2)
+                   log, number, partitions=FEED_PARTITIONS)
+    written = itertools.count()
 
-    def start(lost_at: int | None) -> StreamingQuery:
+    def start(part: int, lost_at: int | None, tidy: TidyBeside) -> StreamingQuery:
         def write(batch: DataFrame, batch_id: int) -> None:
-            append(batch, table, batch_id, arranged=True)       # a file's messages
-            if batch_id == lost_at:
+            append(batch, tables[part], batch_id, arranged=True)       # a file's messages
+            if lost_at is not None and next(written) >= lost_at:
                 raise RuntimeError("the driver is lost")
-            tidy(spark, table)
-        return (read_log(spark, log, "shop.*").writeStream.option("checkpointLocation", f"{run}/ckpt").trigger(availableNow=True)
-                .foreachBatch(write).start())
+            tidy()
+        return (read_log(spark, log, "shop.*", part=part).writeStream.option("checkpointLocation", f"{run}/ckpt/{part}")
+                .trigger(availableNow=True).foreachBatch(write).start())
+
+    def consume(lost_at: int | None) -> None:
+        with contextlib.ExitStack() as ends:
+            queries = []
+            with many_batches(spark, run):
+                for part, table in enumerate(tables):
+                    queries.append(start(part, lost_at, ends.enter_context(TidyBeside(spark, table))))
+                    ends.callback(queries[-1].stop)
+            for query in queries:
+                query.awaitTermination()
 
     try:
-        start(1).awaitTermination()
+        consume(1)
     except StreamingQueryException:
-        start(None).awaitTermination()
-    rows = stored(spark, table)
+        consume(None)
+    rows = functools.reduce(DataFrame.unionByName, [r for r in (stored(spark, t) for t in tables) if r is not None])
     return rows.groupBy("topic", "key", "value").agg(F.count("*").alias("n_times"))
 
 

@@ -10,6 +10,7 @@ import __spark_entry__ as E
 from cartwheel.functions import timefns
 from cartwheel.operators.upsert import append, stored
 from cartwheel.plans import reports
+from cartwheel.session import many_batches
 from cartwheel.sources import log
 from cartwheel.streaming import late
 from conftest import SF_SMALL
@@ -67,6 +68,33 @@ def test_bounded_batches_restart_in_mid_log(spark, tmpdir_spark):
     assert sorted(seen) == list(range(350, 359))
 
 
+def test_streams_of_a_group_read_a_partition_each(spark, tmpdir_spark):
+    p = f"{tmpdir_spark}/log"
+    log.append_log(messages(spark, "shop.x", 0, 450).unionByName(messages(spark, "other", 0, 9)), p, 0, ["at"], partitions=2)
+    log.append_log(messages(spark, "shop.y", 0, 3), p, 1, ["at"], partitions=2)
+    setting, before = "spark.sql.streaming.checkpointFileManagerClass", dict(spark.conf.getAll)
+    batches = {part: [] for part in (0, 1, 2)}          # nothing lies in the last
+
+    def run():
+        with many_batches(spark, p):
+            assert setting in spark.conf.getAll
+            queries = [log.read_log(spark, p, "shop.*", part=part).writeStream.option("checkpointLocation", f"{tmpdir_spark}/ck{part}")
+                       .trigger(availableNow=True).foreachBatch(lambda b, n, to=to: to.append(b.collect())).start() for part, to in batches.items()]
+        assert setting not in before and dict(spark.conf.getAll) == before
+        for q in queries:
+            q.awaitTermination()
+
+    run()
+    log.append_log(messages(spark, "shop.x", 450, 50), p, 2, ["at"], partitions=2)
+    run()
+    assert not batches[2] and all({r.part for r in b} == {part} and len(b) <= 100 for part, found in batches.items() for b in found)
+    rows = [r for found in batches.values() for b in found for r in b]
+    assert Counter((r.topic, int(r.key)) for r in rows) == Counter([("shop.x", i) for i in range(500)] + [("shop.y", i) for i in range(3)])
+    for part in (0, 1):         # in the order of the log
+        offsets = [o for b in batches[part] for o in sorted(r.offset for r in b if r.topic == "shop.x")]
+        assert offsets == list(range(len(offsets))) and len(offsets) > 200
+
+
 def test_late_rows_go_to_the_side_once(spark, tmpdir_spark):
     p = f"{tmpdir_spark}/split"
     rows = lambda *xs: spark.createDataFrame([(i, None if t is None else f"2024-01-{t:02d} 00:00:00") for i, t in xs], "id int, t string").select(
@@ -125,3 +153,40 @@ def test_a_commit_lists_no_earlier_versions(spark, tmpdir_spark, monkeypatch):
     assert snapshots.current(spark, path).version == 4 and len([p for p in listed if p.endswith("_snapshots")]) == 1
     with pytest.raises(RuntimeError, match="expired"):
         snapshots.current(spark, path, 9)
+
+
+def test_merges_do_not_look_through_all_folders(spark, tmpdir_spark, monkeypatch):
+    from cartwheel.operators import snapshots, upsert
+    path, listed = f"{tmpdir_spark}/t", []
+    names = snapshots.Files.names
+    monkeypatch.setattr(snapshots.Files, "names", lambda self, p: listed.append(p) or names(self, p))
+    with upsert.TidyBeside(spark, path, fan=2) as tidy:
+        for batch in range(9):
+            upsert.append(spark.range(3), path, batch, arranged=True)
+            tidy()
+    assert len([p for p in listed if p.endswith("/data")]) == 1       # one look within the hour, after many merges
+    s = snapshots.current(spark, path)
+    assert max(f.level for f in s.live) >= 2 and len(s.old) >= 6 and upsert.stored(spark, path).count() == 27
+    snapshots.Files(spark, path).fs.mkdirs(snapshots.Files(spark, path).path(f"{path}/data/folder=failed"))
+    assert snapshots.expire(spark, path, 0) == len(s.old) + 1         # a shorter time looks again
+    assert upsert.stored(spark, path).count() == 27
+
+
+def test_a_failed_merge_beside_a_writer_is_raised(spark, tmpdir_spark):
+    from cartwheel.operators import snapshots, upsert
+    path = f"{tmpdir_spark}/t"
+    with pytest.raises(RuntimeError, match="not a keyed table"):
+        with upsert.TidyBeside(spark, path) as tidy:
+            snapshots.Files(spark, path).fs.mkdirs(snapshots.Files(spark, path).path(path))
+            tidy()
+
+
+def test_the_change_feed_is_lost_once_and_repeats_nothing(spark, monkeypatch):
+    from cartwheel.streaming import register
+    written, add = [], register.append
+    monkeypatch.setattr(register, "append", lambda batch, path, n, **k: written.append((path, n, batch.count())) or add(batch, path, n, **k))
+
+    rows = E.queries()["stream_change_feed"](spark, SF_SMALL).collect()
+    places = Counter((path, n) for path, n, _ in written)
+    assert max(places.values()) == 2 and all(m <= 100 for _, _, m in written)       # a micro-batch was written, lost and written again
+    assert {r.topic for r in rows} == {"shop.supplier", "shop.nation"} and all(r.n_times == 1 for r in rows)
