@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import index
-from ..operators.joins import interval_join
 from ..operators.upsert import TidyBeside, append, stored
 from ..session import many_batches, run_path
 from ..sources import fixtures as fx
@@ -231,12 +230,11 @@ def q_stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
         for name, shape in parts.items():
             late.start_split(shape(s[name]), f"{run}/{name}", f"{run}/ckpt_{name}", bound=R.JOIN_BOUND, available_now=True).awaitTermination()
         clean = {name: late.clean_rows(spark, f"{run}/{name}", shape(s[name]).schema) for name, shape in parts.items()}
-        i = clean["orders"].select(F.col("id").alias("i_id"), F.col("event_ts").alias("i_ts")).withWatermark("i_ts", R.JOIN_BOUND)
+        i = clean["orders"].select(F.col("id").alias("i_id"), F.col("event_ts").alias("i_ts"))
         d = clean["lineitem"].select(F.col("id").alias("d_id"), F.col("order_id").alias("d_order_id"), F.col("sku_id").alias("d_sku_id"),
-                                     F.col("event_ts").alias("d_ts")).withWatermark("d_ts", R.JOIN_BOUND)
-        joined = interval_join(i, d, "i_id", "d_order_id", "i_ts", "d_ts", R.JOIN_BOUND, R.JOIN_BOUND, "left_outer")
-        return (joined.writeStream.option("checkpointLocation", f"{run}/ckpt_join").trigger(availableNow=True).outputMode("append")
-                .foreachBatch(lambda batch, n: append(batch, f"{run}/joined", n)).start())
+                                     F.col("event_ts").alias("d_ts"))
+        return late.start_outer_join(i, d, "i_id", "d_order_id", "i_ts", "d_ts", f"{run}/joined", f"{run}/ckpt_join", R.JOIN_BOUND,
+                                     available_now=True)
 
     _run(spark, run, feeds, start)
     again = spark.read.schema(lines.schema).parquet(f"{run}/src/lineitem").where(F.col("l_orderkey") % LATE_EVERY == 0)

@@ -110,6 +110,58 @@ def test_late_rows_go_to_the_side_once(spark, tmpdir_spark):
     assert {r.id: str(r.behind) for r in late.late_rows(spark, p).collect()} == {3: "None", 5: "2024-01-08 00:00:00", 7: "2024-01-10 00:00:00"}
 
 
+def test_outer_join_keeps_only_rows_near_the_watermark(spark, tmpdir_spark, monkeypatch):
+    p, ck = tmpdir_spark, f"{tmpdir_spark}/ck"
+    shape = {"l": "l_id string, l_ts timestamp", "r": "r_id string, r_of string, r_ts timestamp"}
+
+    def feed(left, right):
+        for side, rows in (("l", left), ("r", [(f"{k}{n}", k, n) for k, n in right])):
+            made = spark.createDataFrame(rows, shape[side].replace("timestamp", "int"))
+            made = made.withColumn(f"{side}_ts", F.timestamp_seconds(F.lit(1704067200) + F.col(f"{side}_ts") * 86400))
+            made.coalesce(1).write.mode("append").parquet(f"{p}/{side}")
+        sides = [spark.readStream.schema(shape[s]).parquet(f"{p}/{s}") for s in "lr"]
+        late.start_outer_join(*sides, "l_id", "r_of", "l_ts", "r_ts", f"{p}/out", ck, "2 days", available_now=True).awaitTermination()
+
+    def found():
+        rows = stored(spark, f"{p}/out").collect()
+        return Counter((r.l_id, r.r_id) for r in rows)
+
+    def opened(n):
+        return sorted((r.l_id or r.r_id, r._met) for r in spark.read.parquet(f"{ck}/open/{n}").collect())
+
+    feed([("a", 1), ("a", 1), ("b", 10), (None, 2), ("e", 3)], [("a", 2), ("c", 9), (None, 9)])
+    want = Counter({("a", "a2"): 2, (None, None): 1, ("e", None): 1})
+    assert found() == want                                            # the watermark is day 7
+    assert opened(0) == [("b", False), ("c9", False)]
+    add = late.append
+
+    def lost(batch, path, n):
+        add(batch, path, n)
+        raise RuntimeError("lost")
+    monkeypatch.setattr(late, "append", lost)
+    with pytest.raises(StreamingQueryException):                      # written, not noted: the next run writes it again
+        feed([("c", 8), ("f", 7), ("g", 6)], [("b", 12), ("b", 8), ("a", 3)])
+    monkeypatch.setattr(late, "append", add)
+    feed([], [])
+    want += Counter({("c", "c9"): 1, ("b", "b12"): 1, ("b", "b8"): 1})
+    assert found() == want                                            # a3 and g are behind; f, on the watermark, is not
+    assert opened(1) == [("b", True), ("b12", False), ("b8", False), ("c", True), ("c9", False), ("f", False)]
+    feed([("d", 8), ("z", 40)], [("y", 40)])
+    want += Counter({("d", None): 1, ("f", None): 1})
+    n = max(int(x) for x, _ in late.Files(spark, ck).names(f"{ck}/open") if x.isdigit())
+    assert found() == want and opened(n) == [("y40", False), ("z", False)]
+    assert late.Files(spark, ck).names(f"{ck}/state") is None
+
+
+def test_late_rows_query_keeps_no_state_of_its_rows(spark, monkeypatch):
+    from cartwheel.streaming import register
+    runs, path = [], register.run_path
+    monkeypatch.setattr(register, "run_path", lambda s, name: runs.append(path(s, name)) or runs[-1])
+    assert E.queries()["stream_late_rows"](spark, SF_SMALL).where("kind = 'unmatched'").count() > 0
+    files = late.Files(spark, runs[0])
+    assert files.names(f"{runs[0]}/ckpt_join/offsets") and files.names(f"{runs[0]}/ckpt_join/state") is None
+
+
 @pytest.mark.parametrize("date,zone,hours", [("2024-03-31", "Europe/Paris", 23), ("2024-10-27", "Europe/Paris", 25), ("2024-05-05", "Europe/Paris", 24),
                                              ("2024-03-10", "America/New_York", 23), ("2024-01-15", "Asia/Shanghai", 24)])
 def test_days_of_a_zone(spark, date, zone, hours):
